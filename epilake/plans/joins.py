@@ -1,0 +1,25 @@
+"""Joins against a dimension whose size is checked, not assumed."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Largest dimension (rows) that is shipped whole to every task. A keyed
+#: reference dimension (regions, codes) is far below this; anything larger
+#: goes through a shuffle join instead.
+BROADCAST_MAX_ROWS = 200_000
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+    """Return ``(dim, True)`` with a broadcast hint if the dimension has at
+    most ``max_rows`` rows, else ``(dim, False)`` unhinted so the planner
+    falls back to a shuffle (sort-merge) join.
+
+    The check is one bounded job: ``limit(max_rows + 1).count()`` stops
+    reading as soon as the bound is exceeded.
+    """
+    n = dim.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(dim), True
+    return dim, False

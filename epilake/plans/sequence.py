@@ -1,0 +1,62 @@
+"""Order-dependent windows over a series without a single-partition window.
+
+``Window.orderBy(date)`` with no partition key sends the whole series to
+one task. Here the series is cut into fixed date blocks instead:
+
+1. row number inside each block (partitioned window, at most
+   ``block_days`` rows per partition);
+2. the global offset of each block from a running sum over the per-block
+   row counts -- the only ordered step, over one row per block;
+3. a trailing ROWS frame of width ``n`` becomes an equi-aggregation: every
+   row is sent to the ``n`` positions whose frame contains it
+   (``explode(sequence(i, i + n - 1))``) and grouped by position.
+
+Work and shuffle volume are ``n`` x the series; no group exceeds ``n`` rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+# Null dates sort first, as in an ascending SQL window; they get a block
+# below every real one.
+_NULL_BLOCK = -(2 ** 31)
+
+
+def ordered_index(series: DataFrame, date_col: str, out: str = "pos",
+                  block_days: int = 32) -> DataFrame:
+    """1-based position of each row in ascending ``date_col`` order (nulls
+    first). Ties in ``date_col`` get distinct positions in arbitrary order,
+    so pass a series with one row per date."""
+    blk = "__block"
+    epoch_days = F.datediff(F.col(date_col), F.lit("1970-01-01").cast("date"))
+    with_block = series.withColumn(
+        blk, F.coalesce(F.floor(epoch_days / F.lit(block_days)).cast("long"),
+                        F.lit(_NULL_BLOCK).cast("long")))
+    in_block = with_block.withColumn(
+        "__rn", F.row_number().over(
+            Window.partitionBy(blk).orderBy(F.col(date_col).asc_nulls_first())))
+    offsets = (in_block.groupBy(blk).agg(F.count(F.lit(1)).alias("__n"))
+               .withColumn("__off", F.coalesce(F.sum("__n").over(
+                   Window.orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)))
+               .drop("__n"))
+    return (in_block.join(offsets, on=blk, how="inner")
+            .withColumn(out, F.col("__off") + F.col("__rn"))
+            .drop(blk, "__rn", "__off"))
+
+
+def trailing_rows_mean(series: DataFrame, date_col: str, value_col: str, n: int,
+                       out: str, block_days: int = 32) -> DataFrame:
+    """``avg(value) OVER (ORDER BY date ROWS BETWEEN n-1 PRECEDING AND
+    CURRENT ROW)`` for a series with one row per date, computed without a
+    global window (see module doc). Rows with fewer than ``n`` predecessors
+    average what they have."""
+    pos = "__pos"
+    indexed = ordered_index(series, date_col, pos, block_days)
+    spread = indexed.select(
+        F.explode(F.sequence(F.col(pos), F.col(pos) + F.lit(n - 1))).alias(pos),
+        F.col(value_col).alias("__v"))
+    frame = spread.groupBy(pos).agg(F.avg("__v").alias(out))
+    return indexed.join(frame, on=pos, how="inner").drop(pos)
