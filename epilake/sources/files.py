@@ -13,8 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+#: Folder layout of event-level tables: one folder per day.
 PARTITION_COLUMNS = ("year", "month", "day")
 
+#: Folder layout of aggregated tables (at most one row per date x group, at
+#: any data size): one folder per year, rows sorted by date inside, so a
+#: month/day predicate skips row groups by their min/max statistics
+#: instead of opening one tiny file per day.
+AGGREGATE_PARTITION_COLUMNS = ("year",)
+
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True,
              rejects_col: str | None = None) -> DataFrame:
@@ -38,16 +45,38 @@ def scan_partitioned_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] = PARTITION_COLUMNS,
-                      dynamic: bool = False, max_records_per_file: int = 5_000_000) -> None:
+                      distribution: str = "rebalance", num_partitions: int | None = None,
+                      dynamic: bool = False, max_records_per_file: int = 5_000_000,
+                      sort_within: Sequence[str] = ()) -> None:
     """Publish ``df`` as Parquet partitioned by ``partition_cols``.
 
-    Rows are first rebalanced on the partition columns (the REBALANCE hint:
-    one writer per partition value, so few files per directory, and AQE
-    splits a skewed value across several tasks instead of one). Overwrite is
-    static by default -- partitions absent from ``df`` disappear; with
-    ``dynamic=True`` only the partitions present in ``df`` are replaced.
+    ``distribution`` says how rows reach the writers:
+
+    - ``"rebalance"`` (event-level tables, where one date may hold a large
+      share of all rows): the REBALANCE hint shuffles on the partition
+      columns and AQE splits an oversized value over several tasks and
+      merges small ones, so files stay near the advisory size;
+    - ``"hash"`` (aggregated tables, a bounded number of rows per value):
+      ``repartition(n, *cols)`` with ``n`` = the session's shuffle
+      partitions, one writer per value and no single-task write;
+    - ``"none"``: keep the current partitioning.
+
+    Overwrite is static by default -- partitions absent from ``df``
+    disappear; with ``dynamic=True`` only partitions present in ``df`` are
+    replaced. ``sort_within`` orders rows inside each file (after the
+    partition columns) for tight row-group statistics.
     """
-    out = df.hint("rebalance", *partition_cols)
+    if distribution == "rebalance":
+        out = df.hint("rebalance", *partition_cols)
+    elif distribution == "hash":
+        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = df.repartition(n, *partition_cols)
+    elif distribution == "none":
+        out = df
+    else:
+        raise ValueError(f"unknown distribution {distribution!r}")
+    if sort_within:
+        out = out.sortWithinPartitions(*partition_cols, *sort_within)
     (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
      .option("maxRecordsPerFile", max_records_per_file)

@@ -79,8 +79,9 @@ def register_lake_table(spark: SparkSession, name: str, path: str, partitioned:
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         name = f"{database}.{name}"
-    spark.catalog.createTable(name, path=path, source="parquet")
-    if partitioned:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet")
+    if partitioned:  # until partitions are registered the table reads 0 rows
+        spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
     return spark.table(name)
