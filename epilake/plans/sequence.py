@@ -52,11 +52,21 @@ def trailing_rows_mean(series: DataFrame, date_col: str, value_col: str, n: int,
     """``avg(value) OVER (ORDER BY date ROWS BETWEEN n-1 PRECEDING AND
     CURRENT ROW)`` for a series with one row per date, computed without a
     global window (see module doc). Rows with fewer than ``n`` predecessors
-    average what they have."""
-    pos = "__pos"
-    indexed = ordered_index(series, date_col, pos, block_days)
+    average what they have. Returns ``date_col, value_col, out``.
+
+    Each row is sent to the ``n`` positions whose frame holds it; the copy
+    sent to its own position also carries its date and value, so the frame
+    aggregate needs no join back to the series.
+    """
+    pos, j = "__pos", "__j"
+    indexed = ordered_index(series.select(date_col, value_col), date_col, pos, block_days)
     spread = indexed.select(
-        F.explode(F.sequence(F.col(pos), F.col(pos) + F.lit(n - 1))).alias(pos),
-        F.col(value_col).alias("__v"))
-    frame = spread.groupBy(pos).agg(F.avg("__v").alias(out))
-    return indexed.join(frame, on=pos, how="inner").drop(pos)
+        F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(j), pos, date_col, value_col)
+    own = F.col(j) == 0
+    frame = spread.groupBy((F.col(pos) + F.col(j)).alias(pos)).agg(
+        F.avg(value_col).alias(out),
+        F.count_if(own).alias("__own"),
+        F.max(F.when(own, F.col(date_col))).alias(date_col),
+        F.max(F.when(own, F.col(value_col))).alias(value_col))
+    # positions past the last row get contributions but no row of their own
+    return frame.filter(F.col("__own") > 0).select(date_col, value_col, out)

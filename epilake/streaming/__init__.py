@@ -1,7 +1,8 @@
 """Structured Streaming entry points.
 
-The workload is batch: landed files are processed whole per run. The only
+The workload is batch: landed files are processed whole per run. The
 streaming piece is an incremental driver for the ingest step
-(``incremental_trusted``) that processes newly landed files once
-(``availableNow``) and republishes only the date partitions they touch.
+(:func:`epilake.streaming.ingest.incremental_trusted`): it enriches only
+files landed since the last run (``availableNow``) and appends them to the
+trusted table exactly once (file sink + checkpoint).
 """
