@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epilake.functions.columns import AGE_BINS, AGE_FALLBACK, bin_label, round2
-from epilake.plans.sequence import trailing_rows_mean
+from epilake.plans.sequence import trailing_days_mean, trailing_rows_mean
 
 
 def _date_lit(d: str | _dt.date) -> Column:
@@ -85,14 +85,21 @@ def monthly_trends(indicators: DataFrame) -> DataFrame:
 
 def bin_share(events: DataFrame, value_col: str = "age",
               bins: Sequence[tuple[str, float | None, float | None]] = AGE_BINS,
-              fallback: str = AGE_FALLBACK, label_out: str = "age_group") -> DataFrame:
+              fallback: str = AGE_FALLBACK, label_out: str = "age_group",
+              unit_col: str | None = None, unit_value: object = None) -> DataFrame:
     """Events per bin of a numeric column (nulls excluded) and each bin's
     share of the total in percent, rounded to 2 places.
 
     The share is exact decimal arithmetic (``count * 100.0 / total``),
     returned as double. The total comes from an empty-spec window over the
     *aggregated* rows: at most ``len(bins) + 1`` rows reach that task.
+
+    By default the value's unit is ignored (an age given in months counts
+    as years); pass ``unit_col``/``unit_value`` to bin only rows in that
+    unit (an addition, off by default).
     """
+    if unit_col is not None:
+        events = events.filter(F.col(unit_col) == F.lit(unit_value))
     binned = (events.filter(F.col(value_col).isNotNull())
               .groupBy(bin_label(value_col, bins, fallback).alias(label_out))
               .agg(F.count(F.lit(1)).alias("total_cases")))
@@ -138,11 +145,18 @@ def national_daily_cases(indicators: DataFrame) -> DataFrame:
     return indicators.groupBy("date").agg(F.sum("new_cases").alias("new_cases_national"))
 
 
-def moving_average(indicators: DataFrame, window: int = 7, block_days: int = 32) -> DataFrame:
+def moving_average(indicators: DataFrame, window: int = 7, block_days: int = 32,
+                   calendar: bool = False) -> DataFrame:
     """Trailing ``window``-row moving average of the national daily new
     cases (rows, not calendar days: a gap in dates is not filled), rounded
-    to 2 places; early rows average the rows they have."""
+    to 2 places; early rows average the rows they have.
+
+    ``calendar=True`` (an addition, off by default) averages over the last
+    ``window`` calendar days instead."""
     daily = national_daily_cases(indicators)
-    avg = trailing_rows_mean(daily, "date", "new_cases_national", window, "__avg", block_days)
+    if calendar:
+        avg = trailing_days_mean(daily, "date", "new_cases_national", window, "__avg")
+    else:
+        avg = trailing_rows_mean(daily, "date", "new_cases_national", window, "__avg", block_days)
     return (avg.select("date", "new_cases_national", round2("__avg").alias("moving_avg"))
             .orderBy(F.col("date").desc_nulls_last()))

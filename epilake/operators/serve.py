@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SERVE_COLUMNS = ("date", "new_cases_national", "cumulative_cases_national",
@@ -107,3 +107,10 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     a count costs no extra job (read ``obs.get`` after the action)."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def run_sql(spark: SparkSession, query: str, **args: object) -> DataFrame:
+    """Run SQL text over catalog tables / temp views with *named*
+    parameters (``:name`` markers bound as typed literals, never spliced
+    into the text)."""
+    return spark.sql(query, args=args or None)

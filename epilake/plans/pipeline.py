@@ -25,7 +25,9 @@ from epilake.operators import analytics as an
 from epilake.operators import clean as cl
 from epilake.operators import indicators as ind
 from epilake.operators.serve import observed
+from epilake.schemas import DIM_CONTRACT, DIM_SCHEMA
 from epilake.sources import files as io
+from epilake.sources import tables as tb
 
 
 @dataclass
@@ -88,3 +90,27 @@ def run_pipeline(spark: SparkSession, cases: DataFrame, dim: DataFrame, base_pat
                          dynamic=cfg.dynamic_overwrite, sort_within=("date",))
     res.paths["summary"], res.rows["summary"] = sum_path, obs_s.get["rows"]
     return res
+
+
+def ingest_dimension(spark: SparkSession, csv_path: str, table_path: str, version: str,
+                     previous_version: str | None = None, export_path: str | None = None,
+                     export_format: str = "csv") -> tuple[str, DataFrame]:
+    """Keyed dimension ingest: CSV (explicit schema, codes stay strings)
+    -> contract report -> upsert into a new table version
+    (``table_path/v=<version>``) -> optional export.
+
+    Returns ``(new_version_path, contract_report)``; the report is one row
+    of violation counts for the caller to act on.
+    """
+    incoming = io.scan_csv(spark, csv_path, DIM_SCHEMA)
+    report = tb.check_table_contract(incoming, DIM_CONTRACT["key"], DIM_CONTRACT["not_null"],
+                                     DIM_CONTRACT["max_length"])
+    new_path = f"{table_path.rstrip('/')}/v={version}"
+    if previous_version is None:
+        incoming.write.mode("errorifexists").parquet(new_path)
+    else:
+        tb.publish_upsert(spark, f"{table_path.rstrip('/')}/v={previous_version}", incoming,
+                          DIM_CONTRACT["key"], new_path)
+    if export_path:
+        io.export_table(spark.read.parquet(new_path), export_path, export_format)
+    return new_path, report

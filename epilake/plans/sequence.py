@@ -70,3 +70,22 @@ def trailing_rows_mean(series: DataFrame, date_col: str, value_col: str, n: int,
         F.max(F.when(own, F.col(value_col))).alias(value_col))
     # positions past the last row get contributions but no row of their own
     return frame.filter(F.col("__own") > 0).select(date_col, value_col, out)
+
+
+def trailing_days_mean(series: DataFrame, date_col: str, value_col: str, n_days: int,
+                       out: str) -> DataFrame:
+    """Calendar version of :func:`trailing_rows_mean`: the average over the
+    rows whose date lies in ``[date - (n_days - 1), date]`` (a gap shortens
+    the frame instead of reaching further back). Each row is sent to the
+    ``n_days`` dates it covers; no ordering step at all. Null dates are
+    dropped (they belong to no calendar frame)."""
+    j = "__j"
+    spread = series.filter(F.col(date_col).isNotNull()).select(
+        F.explode(F.sequence(F.lit(0), F.lit(n_days - 1))).alias(j), date_col, value_col)
+    own = F.col(j) == 0
+    frame = spread.groupBy(F.date_add(F.col(date_col), F.col(j)).alias("__t")).agg(
+        F.avg(value_col).alias(out),
+        F.count_if(own).alias("__own"),
+        F.max(F.when(own, F.col(value_col))).alias(value_col))
+    return (frame.filter(F.col("__own") > 0)
+            .select(F.col("__t").alias(date_col), value_col, out))

@@ -174,3 +174,17 @@ def test_top_k_deterministic_ties(spark):
     rows = [(D(2020, 1, 1), c, c, 1, 1, 1, 10.0) for c in ["C", "A", "B"]]
     out = [r.code for r in an.top_k_latest_rate(ind_rows(spark, rows), 2).collect()]
     assert out == ["A", "B"]
+
+
+def test_moving_average_calendar_flag(spark):
+    rows = [(D(2020, 1, 1), "A", "A", 1, 10, 10, None), (D(2020, 1, 2), "A", "A", 1, 20, 30, None),
+            (D(2020, 2, 1), "A", "A", 1, 60, 90, None)]
+    out = an.moving_average(ind_rows(spark, rows), window=7, calendar=True).orderBy("date").collect()
+    assert [r.moving_avg for r in out] == [10.0, 15.0, 60.0]
+
+
+def test_bin_share_unit_filter(spark):
+    df = spark.createDataFrame([(6, 1), (6, 2), (40, 1)], "age int, unit int")
+    assert sum(r.total_cases for r in an.bin_share(df).collect()) == 3
+    out = {r.age_group: r.total_cases for r in an.bin_share(df, unit_col="unit", unit_value=1).collect()}
+    assert out == {"0-17": 1, "30-49": 1}

@@ -99,3 +99,25 @@ def test_register_lake_table_sees_new_partitions(spark):
     pruned = spark.table(name).filter("month = 2")
     assert "PartitionFilters: [isnotnull(month" in pruned._jdf.queryExecution().executedPlan().toString() \
         or pruned.count() == 1
+
+
+def test_named_parameter_sql(spark):
+    from epilake.operators.serve import run_sql
+    spark.createDataFrame([(2001, 3, 5, 7)], "year int, month int, day int, v long") \
+        .createOrReplaceTempView("t_params")
+    out = run_sql(spark, "SELECT v FROM t_params WHERE year = :y AND month = :m AND day = :d",
+                  y=2001, m=int("03"), d=5).collect()
+    assert [r.v for r in out] == [7]
+
+
+def test_ingest_dimension_versions(spark):
+    from epilake.plans.pipeline import ingest_dimension
+    csv1, csv2, table = (scratch_path(spark, n) for n in ("d1", "d2", "dimtbl"))
+    spark.createDataFrame([("05", "A", 1), ("08", "B", 2)], DIM_SCHEMA).write.option("header", True).csv(csv1)
+    spark.createDataFrame([("08", "B2", 3), ("11", "C", 4)], DIM_SCHEMA).write.option("header", True).csv(csv2)
+    v1, rep = ingest_dimension(spark, csv1, table, "1")
+    assert rep.collect()[0].duplicate_keys == 0
+    v2, _ = ingest_dimension(spark, csv2, table, "2", previous_version="1",
+                             export_path=scratch_path(spark, "dimexp"))
+    assert sorted(map(tuple, spark.read.parquet(v2).collect())) == [("05", "A", 1), ("08", "B2", 3), ("11", "C", 4)]
+    assert spark.read.parquet(v1).count() == 2
