@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from epilake.plans.selection import first_n_by
+
 #: Folder layout of event-level tables: one folder per day.
 PARTITION_COLUMNS = ("year", "month", "day")
 
@@ -120,5 +121,7 @@ def export_tables(tables: dict[str, DataFrame], base_path: str, fmt: str = "csv"
 
 def ingest_limit(df: DataFrame, n: int, order_col: str) -> DataFrame:
     """First ``n`` records by ``order_col`` (a bounded ingest that is the
-    same on every run): top-n per task, then top-n overall."""
-    return df.orderBy(F.col(order_col).asc_nulls_last()).limit(n)
+    same on every run). A large ``n`` is cut at the n-th key found by a
+    distributed selection (:mod:`epilake.plans.selection`), so no task
+    collects the top ``n`` of every split."""
+    return first_n_by(df, n, order_col)

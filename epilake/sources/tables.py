@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,9 +24,13 @@ def upsert_by_key(target: DataFrame, incoming: DataFrame, key: str | Sequence[st
     keys = [key] if isinstance(key, str) else list(key)
     batch = incoming
     if seq_col is not None:
-        w = Window.partitionBy(*keys).orderBy(F.col(seq_col).desc())
-        batch = (incoming.withColumn("__rn", F.row_number().over(w))
-                 .filter(F.col("__rn") == 1).drop("__rn", seq_col))
+        # last write wins per key as an aggregate (max_by combines partially
+        # on the map side), so a key repeated in a third of the batch still
+        # reaches the reducer as one row per task, not as one window group
+        rest = [c for c in incoming.columns if c not in keys and c != seq_col]
+        batch = (incoming.groupBy(*keys)
+                 .agg(F.max_by(F.struct(*rest), F.col(seq_col)).alias("__last"))
+                 .select(*keys, "__last.*"))
     kept = target.join(batch.select(*keys), on=keys, how="left_anti")
     return batch.select(*target.columns).unionByName(kept)
 

@@ -1,0 +1,87 @@
+"""Distributed first-n selection against a brute-force top-n."""
+
+import datetime as _dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from epilake.plans.selection import first_n_by, nth_smallest
+from epilake.sources import files as io
+from epilake.sources import tables as tb
+
+
+def _brute_nth(values, n):
+    vals = sorted(v for v in values if v is not None)
+    return vals[n - 1] if len(vals) >= n else None
+
+
+@pytest.mark.parametrize("n", [1, 2, 37, 500, 999, 1000, 1001])
+def test_nth_smallest_unique_keys_many_rounds(spark, n):
+    df = spark.range(1000).select(((F.col("id") * 7919) % 1000 * 3 + 11).alias("k"))
+    vals = [r.k for r in df.collect()]
+    # small range and a coarse sketch force several narrowing rounds
+    assert nth_smallest(df, "k", n, small=8, accuracy=20) == _brute_nth(vals, n)
+
+
+@pytest.mark.parametrize("n", [1, 50, 51, 300, 700, 2000])
+def test_nth_smallest_ties_and_nulls(spark, n):
+    # one value holds a third of the rows, plus nulls
+    df = spark.range(1200).select(
+        F.when(F.col("id") % 3 == 0, F.lit(42))
+         .when(F.col("id") % 10 == 1, F.lit(None))
+         .otherwise(F.col("id")).cast("long").alias("k"))
+    vals = [r.k for r in df.collect()]
+    assert nth_smallest(df, "k", n, small=5, accuracy=30) == _brute_nth(vals, n)
+
+
+def test_first_n_by_matches_top_n(spark):
+    df = spark.range(3000).select(
+        F.col("id"), ((F.col("id") * 104729) % 5003).alias("k"),
+        (F.col("id") % 17).alias("v"))
+    out = first_n_by(df, 1234, "k", small_limit=10, small=16, accuracy=25)
+    ref = df.orderBy("k").limit(1234)
+    assert out.count() == 1234
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, ref.collect()))
+
+
+def test_first_n_by_ties_fill_exactly(spark):
+    df = spark.range(600).select(F.col("id"), F.when(F.col("id") < 400, 5)
+                                 .otherwise(F.col("id")).alias("k"))
+    out = first_n_by(df, 450, "k", small_limit=10, small=4, accuracy=25)
+    rows = out.collect()
+    assert len(rows) == 450
+    assert sum(r.k == 5 for r in rows) == 400 and max(r.k for r in rows) == 449
+
+
+def test_first_n_by_fewer_keys_than_n_keeps_nulls_last(spark):
+    df = spark.createDataFrame([(i if i < 20 else None,) for i in range(30)], "k long")
+    out = first_n_by(df, 25, "k", small_limit=1, small=4, accuracy=25).collect()
+    assert len(out) == 25 and sum(r.k is None for r in out) == 5
+
+
+def test_first_n_by_dates(spark):
+    base = _dt.date(2020, 1, 1)
+    df = spark.createDataFrame([(base + _dt.timedelta(days=(i * 37) % 400), i) for i in range(400)],
+                               "d date, i int")
+    out = first_n_by(df, 123, "d", small_limit=5, small=8, accuracy=25)
+    assert sorted(r.d for r in out.collect()) == sorted(r.d for r in df.orderBy("d").limit(123).collect())
+
+
+def test_ingest_limit_large_n_has_no_single_task_top_n(spark):
+    df = spark.range(5000).select(((F.col("id") * 31) % 5000).alias("case_id"))
+    out = io.ingest_limit(df, 2500, "case_id")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" not in plan
+    assert sorted(r.case_id for r in out.collect()) == list(range(2500))
+
+
+def test_upsert_hot_key_is_aggregated_not_windowed(spark):
+    target = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long")
+    incoming = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), F.col("id").cast("string"))).alias("k"),
+        F.col("id").alias("v"), F.col("id").alias("seq"))
+    out = tb.upsert_by_key(target, incoming, "k", seq_col="seq")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    got = {r.k: r.v for r in out.collect()}
+    assert got["hot"] == 2997 and got["a"] == 1 and got["b"] == 2 and len(got) == 2 + 1 + 2000
