@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from epilake.functions.columns import normalise_code, rate_per_n_expr
+from epilake.plans.sequence import prefix_sum
 
 #: Output columns of the per-region daily indicator table, in order.
 INDICATOR_COLUMNS = ("date", "year", "month", "day", "code", "name", "population",
@@ -92,10 +93,41 @@ def with_latest_date(df: DataFrame, date_col: str = "date", out: str = "latest_d
     return df.withColumn(out, latest)
 
 
-def national_daily_summary(indicators: DataFrame) -> DataFrame:
+def national_rollup_dense(indicators: DataFrame, block_days: int = 32) -> DataFrame:
+    """Densified national roll-up (an addition, not the reference's
+    semantics): every region that has reported keeps counting on later
+    dates, with its last cumulative total and its population.
+
+    Carrying each region's cumulative forward makes the national cumulative
+    the running sum of national new cases, and the population the running
+    sum of the populations entering on their group's first date (a null
+    date sorts first). So no date x region spine is built: two per-date
+    aggregates and block-wise prefix sums (no single-task window).
+    """
+    d = F.col("date")
+    daily = indicators.groupBy("date", "year", "month", "day").agg(
+        F.sum("new_cases").alias("new_cases_national"))
+    first_seen = indicators.groupBy("code", "name", "population").agg(
+        F.when(F.count_if(d.isNull()) > 0, F.lit(None).cast("date"))
+         .otherwise(F.min(d)).alias("__entry"))
+    entering = first_seen.groupBy("__entry").agg(F.sum("population").alias("__pop_in"))
+    series = (daily.join(entering, daily["date"].eqNullSafe(entering["__entry"]), "left")
+              .drop("__entry")
+              .withColumn("__pop_in", F.coalesce(F.col("__pop_in"), F.lit(0))))
+    series = prefix_sum(series, "date", "new_cases_national", "cumulative_cases_national", block_days)
+    series = prefix_sum(series, "date", "__pop_in", "population_total", block_days)
+    return series.select("date", "year", "month", "day", "new_cases_national",
+                         "cumulative_cases_national", "population_total")
+
+
+def national_daily_summary(indicators: DataFrame, densify: bool = False) -> DataFrame:
     """National series: roll-up, rate per 100k (null where the summed
-    population is 0 or null) and the latest available date."""
-    nat = national_rollup(indicators)
+    population is 0 or null) and the latest available date.
+
+    ``densify=True`` (an addition, off by default) uses
+    :func:`national_rollup_dense` instead of the reference's sum over the
+    regions that reported on each date."""
+    nat = national_rollup_dense(indicators) if densify else national_rollup(indicators)
     nat = nat.withColumn(
         "rate_per_100k_national",
         F.try_divide(F.col("cumulative_cases_national") * F.lit(100000.0),

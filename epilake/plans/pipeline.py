@@ -38,6 +38,7 @@ class PipelineConfig:
     moving_window: int = 7
     run_analytics: bool = True
     dynamic_overwrite: bool = False
+    densify: bool = False  # national series with carried-forward regions (addition)
 
 
 @dataclass
@@ -85,7 +86,8 @@ def run_pipeline(spark: SparkSession, cases: DataFrame, dim: DataFrame, base_pat
 
     # 4. national daily summary for serving
     sum_path = f"{base}/refined/api_views/national_summary"
-    sum_df, obs_s = observed(ind.national_daily_summary(indicators), "summary")
+    sum_df, obs_s = observed(ind.national_daily_summary(indicators, densify=cfg.densify),
+                              "summary")
     io.write_partitioned(sum_df, sum_path, io.AGGREGATE_PARTITION_COLUMNS, distribution="hash",
                          dynamic=cfg.dynamic_overwrite, sort_within=("date",))
     res.paths["summary"], res.rows["summary"] = sum_path, obs_s.get["rows"]

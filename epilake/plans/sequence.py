@@ -89,3 +89,27 @@ def trailing_days_mean(series: DataFrame, date_col: str, value_col: str, n_days:
         F.max(F.when(own, F.col(value_col))).alias(value_col))
     return (frame.filter(F.col("__own") > 0)
             .select(F.col("__t").alias(date_col), value_col, out))
+
+
+def prefix_sum(series: DataFrame, date_col: str, value_col: str, out: str,
+               block_days: int = 32) -> DataFrame:
+    """``sum(value) OVER (ORDER BY date ROWS UNBOUNDED PRECEDING)`` (nulls
+    first) for a series with one row per date, without a global window:
+    running sums inside date blocks, plus the sum of all earlier blocks
+    (an ordered step over one row per block). Keeps every column."""
+    blk = "__block"
+    epoch_days = F.datediff(F.col(date_col), F.lit("1970-01-01").cast("date"))
+    with_block = series.withColumn(
+        blk, F.coalesce(F.floor(epoch_days / F.lit(block_days)).cast("long"),
+                        F.lit(_NULL_BLOCK).cast("long")))
+    in_block = with_block.withColumn("__run", F.sum(value_col).over(
+        Window.partitionBy(blk).orderBy(F.col(date_col).asc_nulls_first())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    offsets = (with_block.groupBy(blk).agg(F.sum(value_col).alias("__s"))
+               .withColumn("__off", F.coalesce(F.sum("__s").over(
+                   Window.orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)))
+               .drop("__s"))
+    return (in_block.join(offsets, on=blk, how="inner")
+            .withColumn(out, F.col("__off") + F.coalesce(F.col("__run"), F.lit(0)))
+            .drop(blk, "__run", "__off"))

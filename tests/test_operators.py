@@ -2,8 +2,10 @@
 worked running total (5, 12, 8, 32, 11 -> 68)."""
 
 import datetime as dt
+from datetime import timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType)
@@ -188,3 +190,47 @@ def test_bin_share_unit_filter(spark):
     assert sum(r.total_cases for r in an.bin_share(df).collect()) == 3
     out = {r.age_group: r.total_cases for r in an.bin_share(df, unit_col="unit", unit_value=1).collect()}
     assert out == {"0-17": 1, "30-49": 1}
+
+
+def test_sparse_national_densified(spark):
+    # T1 addition: regions keep their last cumulative total and population
+    rows = [(D(2020, 1, 1), "A", "A", 100, 5, 5, None), (D(2020, 1, 1), "B", "B", 200, 7, 7, None),
+            (D(2020, 1, 2), "A", "A", 100, 4, 9, None), (D(2020, 1, 3), "B", "B", 200, 1, 8, None)]
+    out = ind.national_daily_summary(ind_rows(spark, rows), densify=True).orderBy("date").collect()
+    assert [r.new_cases_national for r in out] == [12, 4, 1]
+    assert [r.cumulative_cases_national for r in out] == [12, 16, 17]
+    assert [r.population_total for r in out] == [300, 300, 300]
+    assert [round(r.rate_per_100k_national, 6) for r in out] == [4000.0, round(16e5 / 300, 6), round(17e5 / 300, 6)]
+
+
+def test_densified_matches_carried_forward_spine(spark):
+    # brute force on the sf0.001 fixture: date spine x region, last value carried
+    from epilake import queries as q
+    from conftest import SF001
+    indic = q.indicators(spark, SF001)
+    rows = indic.select("date", "code", "name", "population", "cumulative_cases").collect()
+    dates = sorted({r.date for r in rows}, key=lambda d: (d is not None, d))
+    last, pop, expect = {}, {}, {}
+    by_date = {}
+    for r in rows:
+        by_date.setdefault(r.date, []).append(r)
+    for d in dates:
+        for r in by_date[d]:
+            g = (r.code, r.name, r.population)
+            last[g] = r.cumulative_cases
+            pop[g] = r.population
+        expect[d] = (sum(last.values()), sum(p for p in pop.values() if p is not None))
+    got = {r.date: (r.cumulative_cases_national, r.population_total)
+           for r in ind.national_daily_summary(indic, densify=True).collect()}
+    assert got == expect
+
+
+def test_prefix_sum_matches_global_window(spark):
+    from epilake.plans.sequence import prefix_sum
+    base = D(2020, 1, 1)
+    data = [(base + timedelta(days=(i * 53) % 700), i % 11) for i in range(700)] + [(None, 4)]
+    df = spark.createDataFrame(data, "d date, v long")
+    w = Window.orderBy(F.col("d").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ref = {r.d: r.s for r in df.withColumn("s", F.sum("v").over(w)).collect()}
+    got = {r.d: r.s for r in prefix_sum(df, "d", "v", "s", block_days=16).collect()}
+    assert got == ref
