@@ -83,10 +83,32 @@ def monthly_trends(indicators: DataFrame) -> DataFrame:
         .orderBy(F.col("year").asc_nulls_first(), F.col("month").asc_nulls_first()))
 
 
+def _events(count_col: str | None, cond: Column | None = None) -> Column:
+    """Number of events (optionally those meeting ``cond``): a row count,
+    or the sum of ``count_col`` over pre-aggregated rows."""
+    if count_col is None:
+        return F.count(F.lit(1)) if cond is None else F.count_if(cond)
+    w = F.col(count_col) if cond is None else F.when(cond, F.col(count_col)).otherwise(F.lit(0))
+    return F.coalesce(F.sum(w), F.lit(0)).cast("bigint")
+
+
+def event_profile(events: DataFrame, cols: Sequence[str] = ("age", "sex", "status"),
+                  out: str = "events") -> DataFrame:
+    """Events per combination of ``cols`` (null is a value of its own).
+
+    One event-level pass that several small reports can share: with a few
+    distinct values per column the result has at most a few thousand rows
+    whatever the number of events, and map-side partial aggregation keeps
+    a hot combination to one row per task.
+    """
+    return events.groupBy(*cols).agg(F.count(F.lit(1)).alias(out))
+
+
 def bin_share(events: DataFrame, value_col: str = "age",
               bins: Sequence[tuple[str, float | None, float | None]] = AGE_BINS,
               fallback: str = AGE_FALLBACK, label_out: str = "age_group",
-              unit_col: str | None = None, unit_value: object = None) -> DataFrame:
+              unit_col: str | None = None, unit_value: object = None,
+              count_col: str | None = None) -> DataFrame:
     """Events per bin of a numeric column (nulls excluded) and each bin's
     share of the total in percent, rounded to 2 places.
 
@@ -97,12 +119,15 @@ def bin_share(events: DataFrame, value_col: str = "age",
     By default the value's unit is ignored (an age given in months counts
     as years); pass ``unit_col``/``unit_value`` to bin only rows in that
     unit (an addition, off by default).
+
+    ``count_col`` names a column of pre-aggregated event counts (see
+    :func:`event_profile`); rows then count with that weight.
     """
     if unit_col is not None:
         events = events.filter(F.col(unit_col) == F.lit(unit_value))
     binned = (events.filter(F.col(value_col).isNotNull())
               .groupBy(bin_label(value_col, bins, fallback).alias(label_out))
-              .agg(F.count(F.lit(1)).alias("total_cases")))
+              .agg(_events(count_col).alias("total_cases")))
     share = F.round(F.col("total_cases") * F.lit(100).cast("decimal(4,1)")
                     / F.sum("total_cases").over(Window.partitionBy()), 2)
     return (binned.withColumn("share_pct", share.cast("double"))
@@ -111,18 +136,19 @@ def bin_share(events: DataFrame, value_col: str = "age",
 
 def outcome_breakdown(events: DataFrame, label_col: str = "sex", missing_label: str = "Not reported",
                       deceased_col: str = "status", deceased_value: str = "Deceased",
-                      recovered_col: str = "status", recovered_value: str = "Recovered") -> DataFrame:
+                      recovered_col: str = "status", recovered_value: str = "Recovered",
+                      count_col: str | None = None) -> DataFrame:
     """Per label: events, deceased, recovered and fatality percent.
 
     Grouping is on the raw column and the missing-label fallback is applied
     afterwards, so a null group and a literal ``missing_label`` group stay
     separate rows. Comparisons are exact (case- and accent-sensitive).
+    ``count_col`` as in :func:`bin_share`.
     """
-    deceased = F.count_if(F.col(deceased_col) == F.lit(deceased_value))
     agg = events.groupBy(label_col).agg(
-        F.count(F.lit(1)).alias("total_cases"),
-        deceased.alias("deceased"),
-        F.count_if(F.col(recovered_col) == F.lit(recovered_value)).alias("recovered"))
+        _events(count_col).alias("total_cases"),
+        _events(count_col, F.col(deceased_col) == F.lit(deceased_value)).alias("deceased"),
+        _events(count_col, F.col(recovered_col) == F.lit(recovered_value)).alias("recovered"))
     fatality = F.round(F.col("deceased") * F.lit(100).cast("decimal(4,1)") / F.col("total_cases"), 2)
     return (agg.select(F.coalesce(F.col(label_col), F.lit(missing_label)).alias(label_col),
                        "total_cases", "deceased", "recovered",

@@ -26,6 +26,7 @@ from epilake.operators import clean as cl
 from epilake.operators import indicators as ind
 from epilake.operators.serve import observed
 from epilake.schemas import DIM_CONTRACT, DIM_SCHEMA
+from epilake.session import shared_dir
 from epilake.sources import files as io
 from epilake.sources import tables as tb
 
@@ -69,13 +70,17 @@ def run_pipeline(spark: SparkSession, cases: DataFrame, dim: DataFrame, base_pat
     res.paths["indicators"], res.rows["indicators"] = ind_path, obs_i.get["rows"]
     indicators = io.scan_partitioned_parquet(spark, ind_path)
 
-    # 3. analytics (optional), each a small job over the materialised tables
+    # 3. analytics (optional), each a small job over the materialised tables;
+    #    the two event-level reports share one pre-aggregated profile
+    #    (one scan of the trusted table, checkpointed in the shared folder)
     if cfg.run_analytics:
+        shared_dir(spark)
+        profile = an.event_profile(trusted, ("age", "sex", "status")).checkpoint(eager=True)
         reports = {
             "top_regions_rate": an.top_k_latest_rate(indicators, cfg.k),
             "monthly_trends": an.monthly_trends(indicators),
-            "age_distribution": an.bin_share(trusted),
-            "outcomes_by_sex": an.outcome_breakdown(trusted),
+            "age_distribution": an.bin_share(profile, count_col="events"),
+            "outcomes_by_sex": an.outcome_breakdown(profile, count_col="events"),
             "threshold_dates": an.first_threshold_date(indicators, cfg.threshold, cfg.origin),
             "moving_average": an.moving_average(indicators, cfg.moving_window),
         }

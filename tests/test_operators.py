@@ -234,3 +234,14 @@ def test_prefix_sum_matches_global_window(spark):
     ref = {r.d: r.s for r in df.withColumn("s", F.sum("v").over(w)).collect()}
     got = {r.d: r.s for r in prefix_sum(df, "d", "v", "s", block_days=16).collect()}
     assert got == ref
+
+
+def test_reports_from_profile_equal_event_level(spark):
+    from epilake import fixture as fx
+    from conftest import SF001
+    cases = fx.cases(spark, SF001)
+    profile = an.event_profile(cases, ("age", "sex", "status"))
+    for direct, shared in [(an.bin_share(cases), an.bin_share(profile, count_col="events")),
+                           (an.outcome_breakdown(cases), an.outcome_breakdown(profile, count_col="events"))]:
+        assert direct.schema == shared.schema
+        assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, shared.collect()))
