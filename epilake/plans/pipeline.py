@@ -17,10 +17,13 @@ job.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from epilake.functions.columns import AGE_BINS, AGE_FALLBACK
 from epilake.operators import analytics as an
 from epilake.operators import clean as cl
 from epilake.operators import indicators as ind
@@ -40,6 +43,16 @@ class PipelineConfig:
     run_analytics: bool = True
     dynamic_overwrite: bool = False
     densify: bool = False  # national series with carried-forward regions (addition)
+    # columns, labels and compared values of the event-level reports
+    age_col: str = "age"
+    age_bins: tuple[tuple[str, float | None, float | None], ...] = AGE_BINS
+    age_fallback: str = AGE_FALLBACK
+    label_col: str = "sex"
+    missing_label: str = "Not reported"
+    deceased_col: str = "status"
+    deceased_value: str = "Deceased"
+    recovered_col: str = "status"
+    recovered_value: str = "Recovered"
 
 
 @dataclass
@@ -48,57 +61,110 @@ class PipelineResult:
     rows: dict[str, int] = field(default_factory=dict)
 
 
-def run_pipeline(spark: SparkSession, cases: DataFrame, dim: DataFrame, base_path: str,
-                 config: PipelineConfig | None = None) -> PipelineResult:
-    cfg = config or PipelineConfig()
+def table_paths(base_path: str) -> dict[str, str]:
+    """Where each published table lives under ``base_path``."""
     base = base_path.rstrip("/")
-    res = PipelineResult()
-
-    # 1. trusted: enrich + date parts, event level -> rebalanced partitioned write
-    trusted_path = f"{base}/trusted/cases"
-    trusted_df, obs_t = observed(cl.trusted_cases(cases, dim), "trusted")
-    io.write_partitioned(trusted_df, trusted_path, distribution="rebalance",
-                         dynamic=cfg.dynamic_overwrite)
-    res.paths["trusted"], res.rows["trusted"] = trusted_path, obs_t.get["rows"]
-    trusted = io.scan_partitioned_parquet(spark, trusted_path)
-
-    # 2. region indicators, materialised once
-    ind_path = f"{base}/refined/region_indicators"
-    ind_df, obs_i = observed(ind.region_daily_indicators(trusted), "indicators")
-    io.write_partitioned(ind_df, ind_path, io.AGGREGATE_PARTITION_COLUMNS, distribution="hash",
-                         dynamic=cfg.dynamic_overwrite, sort_within=("date",))
-    res.paths["indicators"], res.rows["indicators"] = ind_path, obs_i.get["rows"]
-    indicators = io.scan_partitioned_parquet(spark, ind_path)
+    return {
+        "trusted": f"{base}/trusted/cases",
+        "indicators": f"{base}/refined/region_indicators",
+        "analytics": f"{base}/refined/analytics",
+        "summary": f"{base}/refined/api_views/national_summary",
+    }
+
+
+def read_landed_cases(spark: SparkSession, path: str, rename: Mapping[str, str] | None = None,
+                      fmt: str = "csv", numeric: Sequence[str] = ("age",)) -> DataFrame:
+    """Raw event records as landed: header row, every column read as text
+    (no inference pass, codes such as ``05`` stay as written), renamed to
+    the operators' column names, ``numeric`` columns cast with ``try_cast``
+    (unreadable text becomes null instead of failing the job)."""
+    if fmt == "csv":
+        df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    else:
+        df = spark.read.format(fmt).load(path)
+    if rename:
+        df = df.withColumnsRenamed(dict(rename))
+    casts = {c: F.col(c).try_cast("double") for c in numeric if c in df.columns}
+    return df.withColumns(casts) if casts else df
+
+
+def step_trusted(spark: SparkSession, cases: DataFrame, dim: DataFrame, base_path: str,
+                 config: PipelineConfig | None = None,
+                 result: PipelineResult | None = None) -> PipelineResult:
+    """Step 1: enrich + date parts, event level -> rebalanced partitioned
+    write of the trusted table."""
+    cfg, res = config or PipelineConfig(), result or PipelineResult()
+    path = table_paths(base_path)["trusted"]
+    df, obs = observed(cl.trusted_cases(cases, dim), "trusted")
+    io.write_partitioned(df, path, distribution="rebalance", dynamic=cfg.dynamic_overwrite)
+    res.paths["trusted"], res.rows["trusted"] = path, obs.get["rows"]
+    return res
+
+
+def step_refined(spark: SparkSession, base_path: str, config: PipelineConfig | None = None,
+                 result: PipelineResult | None = None) -> PipelineResult:
+    """Step 2: region indicators (materialised once, read back) and the six
+    reports, each a small job over the materialised tables. The two
+    event-level reports share one pre-aggregated profile: one scan of the
+    trusted table, checkpointed in the shared folder."""
+    cfg, res = config or PipelineConfig(), result or PipelineResult()
+    paths = table_paths(base_path)
+    trusted = io.scan_partitioned_parquet(spark, paths["trusted"])
+
+    df, obs = observed(ind.region_daily_indicators(trusted), "indicators")
+    io.write_partitioned(df, paths["indicators"], io.AGGREGATE_PARTITION_COLUMNS,
+                         distribution="hash", dynamic=cfg.dynamic_overwrite, sort_within=("date",))
+    res.paths["indicators"], res.rows["indicators"] = paths["indicators"], obs.get["rows"]
+    indicators = io.scan_partitioned_parquet(spark, paths["indicators"])
 
-    # 3. analytics (optional), each a small job over the materialised tables;
-    #    the two event-level reports share one pre-aggregated profile
-    #    (one scan of the trusted table, checkpointed in the shared folder)
     if cfg.run_analytics:
         shared_dir(spark)
-        profile = an.event_profile(trusted, ("age", "sex", "status")).checkpoint(eager=True)
+        cols = list(dict.fromkeys([cfg.age_col, cfg.label_col, cfg.deceased_col,
+                                   cfg.recovered_col]))
+        profile = an.event_profile(trusted, cols).checkpoint(eager=True)
         reports = {
             "top_regions_rate": an.top_k_latest_rate(indicators, cfg.k),
             "monthly_trends": an.monthly_trends(indicators),
-            "age_distribution": an.bin_share(profile, count_col="events"),
-            "outcomes_by_sex": an.outcome_breakdown(profile, count_col="events"),
+            "age_distribution": an.bin_share(profile, value_col=cfg.age_col, bins=cfg.age_bins,
+                                             fallback=cfg.age_fallback, count_col="events"),
+            "outcomes_by_sex": an.outcome_breakdown(
+                profile, label_col=cfg.label_col, missing_label=cfg.missing_label,
+                deceased_col=cfg.deceased_col, deceased_value=cfg.deceased_value,
+                recovered_col=cfg.recovered_col, recovered_value=cfg.recovered_value,
+                count_col="events"),
             "threshold_dates": an.first_threshold_date(indicators, cfg.threshold, cfg.origin),
             "moving_average": an.moving_average(indicators, cfg.moving_window),
         }
-        for name, df in reports.items():
-            path = f"{base}/refined/analytics/{name}"
-            io.publish_result(df, path)
+        for name, report in reports.items():
+            path = f"{paths['analytics']}/{name}"
+            io.publish_result(report, path)
             res.paths[name] = path
+    return res
 
-    # 4. national daily summary for serving
-    sum_path = f"{base}/refined/api_views/national_summary"
-    sum_df, obs_s = observed(ind.national_daily_summary(indicators, densify=cfg.densify),
-                              "summary")
-    io.write_partitioned(sum_df, sum_path, io.AGGREGATE_PARTITION_COLUMNS, distribution="hash",
+
+def step_summary(spark: SparkSession, base_path: str, config: PipelineConfig | None = None,
+                 result: PipelineResult | None = None) -> PipelineResult:
+    """Step 3: national daily summary for serving, from the published
+    indicators."""
+    cfg, res = config or PipelineConfig(), result or PipelineResult()
+    paths = table_paths(base_path)
+    indicators = io.scan_partitioned_parquet(spark, paths["indicators"])
+    df, obs = observed(ind.national_daily_summary(indicators, densify=cfg.densify), "summary")
+    io.write_partitioned(df, paths["summary"], io.AGGREGATE_PARTITION_COLUMNS, distribution="hash",
                          dynamic=cfg.dynamic_overwrite, sort_within=("date",))
-    res.paths["summary"], res.rows["summary"] = sum_path, obs_s.get["rows"]
+    res.paths["summary"], res.rows["summary"] = paths["summary"], obs.get["rows"]
     return res
 
 
+def run_pipeline(spark: SparkSession, cases: DataFrame, dim: DataFrame, base_path: str,
+                 config: PipelineConfig | None = None) -> PipelineResult:
+    """All three steps in order; each reads what the previous one wrote."""
+    cfg = config or PipelineConfig()
+    res = step_trusted(spark, cases, dim, base_path, cfg)
+    step_refined(spark, base_path, cfg, res)
+    return step_summary(spark, base_path, cfg, res)
+
+
 def ingest_dimension(spark: SparkSession, csv_path: str, table_path: str, version: str,
                      previous_version: str | None = None, export_path: str | None = None,
                      export_format: str = "csv") -> tuple[str, DataFrame]:
