@@ -16,10 +16,13 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tup
     most ``max_rows`` rows, else ``(dim, False)`` unhinted so the planner
     falls back to a shuffle (sort-merge) join.
 
-    The check is one bounded job: ``limit(max_rows + 1).count()`` stops
-    reading as soon as the bound is exceeded.
+    The check reads at most ``max_rows + 1`` one-column rows: ``take``
+    scans the input's partitions incrementally (one first, then a few
+    more) and stops once the bound is passed, so an unexpectedly large
+    input costs a partition or two, not a pass over every split (which is
+    what ``limit(n).count()`` would plan).
     """
-    n = dim.limit(max_rows + 1).count()
+    n = len(dim.select(F.lit(1).alias("one")).take(max_rows + 1))
     if n <= max_rows:
         return F.broadcast(dim), True
     return dim, False

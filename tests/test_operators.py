@@ -245,3 +245,21 @@ def test_reports_from_profile_equal_event_level(spark):
                            (an.outcome_breakdown(cases), an.outcome_breakdown(profile, count_col="events"))]:
         assert direct.schema == shared.schema
         assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, shared.collect()))
+
+
+def test_enrich_broadcasts_only_under_the_bound(spark):
+    # AQE off, so the plan shows the static join choice
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = spark.createDataFrame([(i, str(i % 5)) for i in range(50)], "id long, k string")
+        dim = spark.createDataFrame([(str(i).zfill(2), f"n{i}") for i in range(5)], "code string, name string")
+        small = cl.enrich_left_join(fact, dim, "k", "code", {"name": "name"}, broadcast_max_rows=5)
+        big = cl.enrich_left_join(fact, dim, "k", "code", {"name": "name"}, broadcast_max_rows=4)
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan(small)
+        assert "BroadcastHashJoin" not in plan(big) and "SortMergeJoin" in plan(big)
+        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
