@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-#: Up to this many rows, a plain top-n (TakeOrderedAndProject) is used.
-SMALL_LIMIT = 1_000
+#: A plain top-n (TakeOrderedAndProject) is used while its final task would
+#: receive at most this many rows (``n`` x the number of input partitions).
+GATHER_MAX_ROWS = 5_000_000
 
 
 def nth_smallest(df: DataFrame, key: str, n: int, small: int = 100_000,
@@ -75,18 +76,21 @@ def nth_smallest(df: DataFrame, key: str, n: int, small: int = 100_000,
     return keys.orderBy(k.asc()).limit(n).agg(F.max(key)).first()[0]
 
 
-def first_n_by(df: DataFrame, n: int, key: str, small_limit: int = SMALL_LIMIT,
+def first_n_by(df: DataFrame, n: int, key: str, gather_max_rows: int = GATHER_MAX_ROWS,
                small: int = 100_000, accuracy: int = 10_000) -> DataFrame:
     """The ``n`` rows with the smallest ``key`` (nulls last), exactly ``n``
-    rows when the input has that many. Small ``n`` (or a key type the
-    quantile sketch cannot order, such as strings) uses a plain top-n; a
-    large one the cutoff selection of :func:`nth_smallest`. If the cutoff
-    value is tied, an arbitrary subset of the tied rows fills the count (as
-    SQL ``ORDER BY .. LIMIT`` does)."""
+    rows when the input has that many.
+
+    A plain top-n sends ``n`` rows from every input partition to one task;
+    it is used while that is at most ``gather_max_rows`` rows (or for a key
+    type the quantile sketch cannot order, such as strings). Otherwise the
+    cutoff selection of :func:`nth_smallest` is used. If the cutoff value
+    is tied, an arbitrary subset of the tied rows fills the count (as SQL
+    ``ORDER BY .. LIMIT`` does)."""
     k = F.col(key)
     sketchable = isinstance(df.schema[key].dataType,
                             (NumericType, DateType, TimestampType, TimestampNTZType))
-    if n <= small_limit or not sketchable:
+    if not sketchable or n * df.rdd.getNumPartitions() <= gather_max_rows:
         return df.orderBy(k.asc_nulls_last()).limit(n)
     c = nth_smallest(df, key, n, small=small, accuracy=accuracy)
     if c is None:  # fewer than n non-null keys: all of them, then nulls

@@ -38,7 +38,7 @@ def test_first_n_by_matches_top_n(spark):
     df = spark.range(3000).select(
         F.col("id"), ((F.col("id") * 104729) % 5003).alias("k"),
         (F.col("id") % 17).alias("v"))
-    out = first_n_by(df, 1234, "k", small_limit=10, small=16, accuracy=25)
+    out = first_n_by(df, 1234, "k", gather_max_rows=0, small=16, accuracy=25)
     ref = df.orderBy("k").limit(1234)
     assert out.count() == 1234
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, ref.collect()))
@@ -47,7 +47,7 @@ def test_first_n_by_matches_top_n(spark):
 def test_first_n_by_ties_fill_exactly(spark):
     df = spark.range(600).select(F.col("id"), F.when(F.col("id") < 400, 5)
                                  .otherwise(F.col("id")).alias("k"))
-    out = first_n_by(df, 450, "k", small_limit=10, small=4, accuracy=25)
+    out = first_n_by(df, 450, "k", gather_max_rows=0, small=4, accuracy=25)
     rows = out.collect()
     assert len(rows) == 450
     assert sum(r.k == 5 for r in rows) == 400 and max(r.k for r in rows) == 449
@@ -55,7 +55,7 @@ def test_first_n_by_ties_fill_exactly(spark):
 
 def test_first_n_by_fewer_keys_than_n_keeps_nulls_last(spark):
     df = spark.createDataFrame([(i if i < 20 else None,) for i in range(30)], "k long")
-    out = first_n_by(df, 25, "k", small_limit=1, small=4, accuracy=25).collect()
+    out = first_n_by(df, 25, "k", gather_max_rows=0, small=4, accuracy=25).collect()
     assert len(out) == 25 and sum(r.k is None for r in out) == 5
 
 
@@ -63,16 +63,25 @@ def test_first_n_by_dates(spark):
     base = _dt.date(2020, 1, 1)
     df = spark.createDataFrame([(base + _dt.timedelta(days=(i * 37) % 400), i) for i in range(400)],
                                "d date, i int")
-    out = first_n_by(df, 123, "d", small_limit=5, small=8, accuracy=25)
+    out = first_n_by(df, 123, "d", gather_max_rows=0, small=8, accuracy=25)
     assert sorted(r.d for r in out.collect()) == sorted(r.d for r in df.orderBy("d").limit(123).collect())
 
 
-def test_ingest_limit_large_n_has_no_single_task_top_n(spark):
-    df = spark.range(5000).select(((F.col("id") * 31) % 5000).alias("case_id"))
-    out = io.ingest_limit(df, 2500, "case_id")
+def test_ingest_limit_large_gather_has_no_single_task_top_n(spark):
+    # 100 splits x 60,000 rows would reach one task: selection instead
+    df = spark.range(0, 200_000, 1, 100).select(((F.col("id") * 31) % 200_000).alias("case_id"))
+    out = io.ingest_limit(df, 60_000, "case_id")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" not in plan
-    assert sorted(r.case_id for r in out.collect()) == list(range(2500))
+    got = out.select(F.min("case_id"), F.max("case_id"), F.count("*")).first()
+    assert tuple(got) == (0, 59_999, 60_000)
+
+
+def test_first_n_by_small_gather_uses_plain_top_n(spark):
+    df = spark.range(0, 1000, 1, 4).select(((F.col("id") * 7) % 1000).alias("k"))
+    out = first_n_by(df, 10, "k")
+    assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
+    assert [r.k for r in out.collect()] == list(range(10))
 
 
 def test_upsert_hot_key_is_aggregated_not_windowed(spark):
