@@ -263,3 +263,36 @@ def test_enrich_broadcasts_only_under_the_bound(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_null_population_adds_cases_not_population(spark):
+    # T2: a region with null population still counts in the numerator
+    rows = [(D(2020, 1, 1), "A", "A", 100, 5, 5, None), (D(2020, 1, 1), "Z", "Z", None, 7, 7, None)]
+    out = ind.national_daily_summary(ind_rows(spark, rows)).collect()[0]
+    assert (out.cumulative_cases_national, out.population_total) == (12, 100)
+    assert out.rate_per_100k_national == 12 * 100000.0 / 100
+
+
+def test_outcome_literals_are_case_sensitive(spark):
+    # T8: 'deceased' is not 'Deceased'
+    df = spark.createDataFrame([("F", "Deceased"), ("F", "deceased"), ("F", "Recovered "),
+                                ("F", "Recovered")], "sex string, status string")
+    r = an.outcome_breakdown(df).collect()[0]
+    assert (r.total_cases, r.deceased, r.recovered, r.fatality_pct) == (4, 1, 1, 25.0)
+
+
+def test_zero_padded_request_date_prunes_int_partitions(spark):
+    # T11: '2001-03-05' (padded) matches month=3/day=5 int partition values
+    from epilake.operators import serve as sv
+    from epilake.session import scratch_path
+    from epilake.sources import files as io
+    rows = [(D(2001, 3, 5), 2001, 3, 5, 10, 10, 100, 10000.0, D(2001, 3, 6)),
+            (D(2001, 3, 6), 2001, 3, 6, 1, 11, 100, 11000.0, D(2001, 3, 6))]
+    df = spark.createDataFrame(rows, "date date, year int, month int, day int, new_cases_national long, "
+                               "cumulative_cases_national long, population_total long, "
+                               "rate_per_100k_national double, latest_date date")
+    path = scratch_path(spark, "padded")
+    io.write_partitioned(df, path, distribution="none")
+    out = sv.summary_by_date(io.scan_partitioned_parquet(spark, path), "2001-03-05")
+    assert "PartitionFilters: [" in out._jdf.queryExecution().executedPlan().toString()
+    assert [r.new_cases_national for r in out.collect()] == [10]
