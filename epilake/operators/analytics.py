@@ -48,7 +48,7 @@ def top_k_latest_rate(indicators: DataFrame, k: int = 10) -> DataFrame:
     latest = latest_per_group(indicators.filter(F.col("rate_per_100k").isNotNull()))
     return top_k(latest, "rate_per_100k", k).select(
         "code", "name",
-        F.col("rate_per_100k").cast("decimal(10,2)").alias("rate_per_100k"),
+        F.col("rate_per_100k").try_cast("decimal(10,2)").alias("rate_per_100k"),
         F.col("cumulative_cases").alias("total_cases"),
         F.col("date").alias("last_date"))
 
@@ -69,7 +69,7 @@ def top_k_on_date(indicators: DataFrame, year: int, month: int, day: int, k: int
                                  & (F.col("day") == day))
     return top_k(day_rows, "rate_per_100k", k).select(
         "code", "name",
-        F.col("rate_per_100k").cast("decimal(10,2)").alias("rate_per_100k"),
+        F.col("rate_per_100k").try_cast("decimal(10,2)").alias("rate_per_100k"),
         F.col("cumulative_cases").alias("total_cases"))
 
 

@@ -296,3 +296,10 @@ def test_zero_padded_request_date_prunes_int_partitions(spark):
     out = sv.summary_by_date(io.scan_partitioned_parquet(spark, path), "2001-03-05")
     assert "PartitionFilters: [" in out._jdf.queryExecution().executedPlan().toString()
     assert [r.new_cases_national for r in out.collect()] == [10]
+
+
+def test_rate_decimal_overflow_is_null_not_error(spark):
+    # SC2: decimal(10,2) overflow gives null instead of failing the report under ANSI
+    rows = [(D(2020, 1, 1), "A", "A", 1, 5, 5_000_000, 5e11), (D(2020, 1, 1), "B", "B", 100, 1, 1, 1000.0)]
+    out = {r.code: r.rate_per_100k for r in an.top_k_latest_rate(ind_rows(spark, rows), 2).collect()}
+    assert out["A"] is None and float(out["B"]) == 1000.0
