@@ -24,9 +24,14 @@ from epilake.sources.files import PARTITION_COLUMNS
 def incremental_trusted(spark: SparkSession, landing_path: str, schema: StructType,
                         dim: DataFrame, trusted_path: str, checkpoint_path: str | None = None,
                         fmt: str = "csv", max_files_per_trigger: int | None = None,
-                        raw_code: str = "region_raw", date_col: str = "report_date") -> StreamingQuery:
+                        raw_code: str = "region_raw", date_col: str = "report_date",
+                        num_writers: int | None = None) -> StreamingQuery:
     """Start an ``availableNow`` query that appends newly landed files to
-    the trusted table; call ``.awaitTermination()`` on the result."""
+    the trusted table; call ``.awaitTermination()`` on the result.
+
+    ``num_writers`` hash-distributes each micro-batch on year/month/day
+    over that many tasks (one file per date per batch); bound the batch
+    with ``max_files_per_trigger`` when using it."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("mode", "PERMISSIVE")
@@ -34,6 +39,12 @@ def incremental_trusted(spark: SparkSession, landing_path: str, schema: StructTy
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = reader.load(landing_path)
     trusted = trusted_cases(events, dim, raw_code=raw_code, date_col=date_col)
+    if num_writers:
+        # one writer (one file) per date per micro-batch instead of one per
+        # date per input split; AQE, and so REBALANCE, does not run in
+        # streaming, and a batch is bounded by the trigger, so a hot date
+        # costs at most one batch's rows in one task
+        trusted = trusted.repartition(num_writers, *PARTITION_COLUMNS)
     ckpt = checkpoint_path or scratch_path(spark, "ingest-ckpt")
     return (trusted.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", ckpt)

@@ -25,3 +25,17 @@ def test_incremental_ingest_exactly_once(spark):
     assert sorted(rows) == [1, 2, 3]
     assert rows[1].dim_name == "Antioquia" and rows[3].dim_name == "Antioquia"
     assert rows[2].dim_name is None and rows[2].event_date is None and rows[2].year is None
+
+
+def test_incremental_ingest_one_file_per_date_per_batch(spark):
+    import os
+    landing, out, ckpt = (scratch_path(spark, n) for n in ("landing2", "trusted_s2", "ckpt_s2"))
+    dim = spark.createDataFrame([("05", "Antioquia", 1000)], "code string, name string, population long")
+    for i in range(3):  # three landed files, each with both dates
+        _land(spark, landing, [(10 * i + 1, "2020-03-06", "5", "ANT", 30, "F", "Active"),
+                               (10 * i + 2, "2020-03-07", "5", "ANT", 31, "M", "Active")])
+    incremental_trusted(spark, landing, CASES_SCHEMA, dim, out, ckpt, num_writers=4).awaitTermination()
+    assert spark.read.parquet(out).count() == 6
+    per_day = [len([f for f in fs if f.endswith(".parquet")]) for d, _, fs in os.walk(out.replace("file:", ""))
+               if os.path.basename(d).startswith("day=")]
+    assert per_day == [1, 1]
