@@ -101,4 +101,6 @@ def first_n_by(df: DataFrame, n: int, key: str, gather_max_rows: int = GATHER_MA
     strict, upto = df.agg(F.count_if(k < cut), F.count_if(k <= cut)).first()
     if upto == n:  # no surplus ties at the cutoff (always so for a unique key)
         return df.filter(k <= cut)
+    # an unordered limit: its final task stops after n - strict rows (no
+    # ordering to settle, unlike a top-n), so it never reads every split's share
     return df.filter(k < cut).unionByName(df.filter(k == cut).limit(n - strict))
