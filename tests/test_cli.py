@@ -60,3 +60,41 @@ def test_steps_one_by_one_equal_all(spark):
         da, db = spark.read.parquet(pa), spark.read.parquet(pb)
         assert canon(da.columns, [tuple(r) for r in da.collect()]) == \
             canon(db.columns, [tuple(r) for r in db.collect()])
+
+
+def test_cli_on_fixture_csv_equals_registered_queries(spark):
+    # the sf0.001 fixture written as a landed CSV in the source's layout
+    from pyspark.sql import functions as F
+
+    from conftest import SF001
+    from epilake import fixture as fx
+    from epilake import queries as q
+    cases = fx.cases(spark, SF001)
+    landed = cases.select(
+        F.col("case_id").alias("id_de_caso"),
+        F.col("report_date").cast("string").alias("fecha_reporte_web"),
+        F.col("region_raw").cast("string").alias("departamento"),
+        F.col("region_name_raw").alias("departamento_nom"),
+        F.col("age").alias("edad"), F.col("sex").alias("sexo"),
+        F.when(F.col("status") == "Deceased", "Fallecido").otherwise("Leve").alias("estado"),
+        F.when(F.col("status") == "Recovered", "Recuperado")
+         .when(F.col("status") == "Deceased", "Fallecido").otherwise("Activo").alias("recuperado"))
+    raw, dim, base = (scratch_path(spark, n) for n in ("raw_fx", "dim_fx", "cli_fx"))
+    landed.write.option("header", True).csv(raw)
+    fx.region_dim(spark, SF001).write.option("header", True).csv(dim)
+    res = cli.run(spark, ["all", "--cases", raw, "--dim", dim, "--base", base, "--layout", "source"])
+
+    def rows(df, cols):
+        return canon(cols, [tuple(r) for r in df.select(*cols).collect()])
+
+    ind_cols = ["date", "code", "name", "population", "new_cases", "cumulative_cases", "rate_per_100k"]
+    assert rows(spark.read.parquet(res.paths["indicators"]), ind_cols) == rows(q.indicators(spark, SF001), ind_cols)
+    sum_cols = ["date", "new_cases_national", "cumulative_cases_national", "population_total",
+                "rate_per_100k_national", "latest_date"]
+    assert rows(spark.read.parquet(res.paths["summary"]), sum_cols) == rows(q.summary(spark, SF001), sum_cols)
+    from epilake.operators import analytics as an
+    got = {r.sex: (r.total_cases, r.deceased, r.recovered)
+           for r in spark.read.parquet(res.paths["outcomes_by_sex"]).collect()}
+    want = {("No reportado" if r.sex == "Not reported" else r.sex): (r.total_cases, r.deceased, r.recovered)
+            for r in an.outcome_breakdown(cases).collect()}
+    assert got == want
