@@ -22,7 +22,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (DateType, DoubleType, FloatType, IntegralType, TimestampNTZType,
+                               TimestampType)
+
+# Key types whose quantile sketch returns values taken from the data (decimals
+# go through doubles, so a returned bracket could fall between two keys).
+_SKETCHABLE = (IntegralType, FloatType, DoubleType, DateType, TimestampType, TimestampNTZType)
 
 #: A plain top-n (TakeOrderedAndProject) is used while its final task would
 #: receive at most this many rows (``n`` x the number of input partitions).
@@ -33,8 +38,8 @@ def nth_smallest(df: DataFrame, key: str, n: int, small: int = 100_000,
                  accuracy: int = 10_000, max_rounds: int = 32):
     """Value ``c`` of the non-null ``key`` with ``count(key < c) < n <=
     count(key <= c)``; ``None`` if there are fewer than ``n`` non-null
-    keys. ``key`` must be orderable by ``percentile_approx`` (numeric,
-    date, timestamp).
+    keys. ``key`` must be an integral, floating, date or timestamp column
+    (the quantile sketch then returns actual key values).
 
     Invariant: the answer lies in ``(lo, hi]`` and ``below`` keys are
     ``<= lo``. Each round is two aggregations over the keys in range and
@@ -83,13 +88,12 @@ def first_n_by(df: DataFrame, n: int, key: str, gather_max_rows: int = GATHER_MA
 
     A plain top-n sends ``n`` rows from every input partition to one task;
     it is used while that is at most ``gather_max_rows`` rows (or for a key
-    type the quantile sketch cannot order, such as strings). Otherwise the
+    type outside the sketch's exact types, such as strings or decimals). Otherwise the
     cutoff selection of :func:`nth_smallest` is used. If the cutoff value
     is tied, an arbitrary subset of the tied rows fills the count (as SQL
     ``ORDER BY .. LIMIT`` does)."""
     k = F.col(key)
-    sketchable = isinstance(df.schema[key].dataType,
-                            (NumericType, DateType, TimestampType, TimestampNTZType))
+    sketchable = isinstance(df.schema[key].dataType, _SKETCHABLE)
     if not sketchable or n * df.rdd.getNumPartitions() <= gather_max_rows:
         return df.orderBy(k.asc_nulls_last()).limit(n)
     c = nth_smallest(df, key, n, small=small, accuracy=accuracy)

@@ -94,3 +94,21 @@ def test_upsert_hot_key_is_aggregated_not_windowed(spark):
     assert "Window" not in plan
     got = {r.k: r.v for r in out.collect()}
     assert got["hot"] == 2997 and got["a"] == 1 and got["b"] == 2 and len(got) == 2 + 1 + 2000
+
+
+def test_first_n_by_timestamps_and_doubles(spark):
+    base = _dt.datetime(2020, 1, 1, 0, 0, 0)
+    rows = [(base + _dt.timedelta(seconds=(i * 7919) % 5000), ((i * 104729) % 5000) / 7.0) for i in range(5000)]
+    df = spark.createDataFrame(rows, "ts timestamp, x double")
+    for key in ("ts", "x"):
+        out = first_n_by(df, 777, key, gather_max_rows=0, small=16, accuracy=25)
+        want = sorted(getattr(r, key) for r in df.orderBy(key).limit(777).collect())
+        assert sorted(getattr(r, key) for r in out.collect()) == want
+
+
+def test_first_n_by_decimal_key_uses_plain_top_n(spark):
+    from decimal import Decimal
+    df = spark.createDataFrame([(Decimal(i % 97) / 3,) for i in range(500)], "d decimal(10,4)")
+    out = first_n_by(df, 50, "d", gather_max_rows=0)
+    assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.d for r in out.collect()) == sorted(r.d for r in df.orderBy("d").limit(50).collect())
