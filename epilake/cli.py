@@ -6,7 +6,10 @@
     spark-submit epilake/cli.py summary --base OUT
 
 ``--layout source`` reads a case file with the public source's own column
-names and outcome labels; ``--rename a=b`` adds or overrides renames. The
+names and outcome labels; ``--rename a=b`` adds or overrides renames.
+``--names source`` publishes the refined tables under the folder and column
+names the source's downstream queries use (all steps of one base path must
+use the same ``--names``). The
 session (master, memory, ``spark.checkpoint.dir``) comes from
 ``spark-submit``; nothing global is set here.
 """
@@ -48,6 +51,61 @@ SOURCE_LAYOUT = {
     "age_fallback": "Desconocido",
 }
 
+# Folder and column names of the published tables as the
+# source's downstream queries know them (table -> folder, table -> columns).
+SOURCE_NAMES = {
+    "folders": {
+        "indicators": "refined/indicadores_departamento",
+        "summary": "refined/api_views/resumen_nacional_diario",
+        "top_regions_rate": "top_departamentos_tasa",
+        "monthly_trends": "tendencias_mensuales",
+        "age_distribution": "distribucion_edad",
+        "outcomes_by_sex": "desglose_genero",
+        "threshold_dates": "hitos_1000_casos",
+        "moving_average": "promedio_movil_7dias",
+    },
+    "columns": {
+        "indicators": {
+            "date": "fecha", "year": "anio", "month": "mes", "day": "dia",
+            "code": "codigo_departamento", "name": "nombre_departamento",
+            "population": "poblacion", "new_cases": "casos_nuevos",
+            "cumulative_cases": "casos_acumulados", "rate_per_100k": "casos_por_100k",
+        },
+        "summary": {
+            "date": "fecha", "year": "anio", "month": "mes", "day": "dia",
+            "new_cases_national": "casos_nuevos_nacional",
+            "cumulative_cases_national": "casos_acumulados_nacional",
+            "population_total": "poblacion_total_aprox",
+            "rate_per_100k_national": "casos_por_100k_nacional",
+            "latest_date": "ultima_fecha_disponible",
+        },
+        "top_regions_rate": {
+            "code": "codigo_departamento", "name": "nombre_departamento",
+            "rate_per_100k": "tasa_por_100k", "total_cases": "casos_totales",
+            "last_date": "ultima_actualizacion",
+        },
+        "monthly_trends": {
+            "year": "anio", "month": "mes", "monthly_cases": "casos_mensuales",
+            "regions_reporting": "departamentos_afectados", "avg_daily_cases": "promedio_diario",
+        },
+        "age_distribution": {
+            "age_group": "grupo_edad", "total_cases": "total_casos", "share_pct": "porcentaje",
+        },
+        "outcomes_by_sex": {
+            "sex": "sexo", "total_cases": "total_casos", "deceased": "fallecidos",
+            "recovered": "recuperados", "fatality_pct": "tasa_letalidad",
+        },
+        "threshold_dates": {
+            "code": "codigo_departamento", "name": "nombre_departamento",
+            "first_date": "fecha_milestone_1000", "days_since_origin": "dias_desde_primer_caso",
+        },
+        "moving_average": {
+            "date": "fecha", "new_cases_national": "casos_nuevos_nacional",
+            "moving_avg": "promedio_movil_7dias",
+        },
+    },
+}
+
 STEPS = ("trusted", "refined", "summary", "all")
 
 
@@ -60,6 +118,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--base", required=True, help="root folder of the published tables")
     p.add_argument("--layout", choices=("canonical", "source"), default="canonical")
     p.add_argument("--rename", action="append", default=[], metavar="FROM=TO")
+    p.add_argument("--names", choices=("canonical", "source"), default="canonical",
+                   help="folder and column names of the published tables")
     p.add_argument("--k", type=int, default=10)
     p.add_argument("--threshold", type=int, default=1000)
     p.add_argument("--origin", default="2020-03-06")
@@ -90,7 +150,7 @@ def config_from(args: argparse.Namespace) -> tuple[pl.PipelineConfig, dict[str,
                             moving_window=args.moving_window,
                             run_analytics=not args.no_analytics,
                             dynamic_overwrite=args.dynamic_overwrite, densify=args.densify,
-                            **labels)
+                            **labels, **(SOURCE_NAMES if args.names == "source" else {}))
     return cfg, rename
 
 

@@ -53,6 +53,10 @@ class PipelineConfig:
     deceased_value: str = "Deceased"
     recovered_col: str = "status"
     recovered_value: str = "Recovered"
+    # published names: table -> folder (relative to the base path) and
+    # table -> {column: published column}; unnamed ones keep the defaults
+    folders: Mapping[str, str] = field(default_factory=dict)
+    columns: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
 
 
 @dataclass
@@ -61,15 +65,49 @@ class PipelineResult:
     rows: dict[str, int] = field(default_factory=dict)
 
 
-def table_paths(base_path: str) -> dict[str, str]:
-    """Where each published table lives under ``base_path``."""
+#: Default folder of each published table under the base path.
+DEFAULT_FOLDERS = {
+    "trusted": "trusted/cases",
+    "indicators": "refined/region_indicators",
+    "analytics": "refined/analytics",
+    "summary": "refined/api_views/national_summary",
+    "top_regions_rate": "top_regions_rate",
+    "monthly_trends": "monthly_trends",
+    "age_distribution": "age_distribution",
+    "outcomes_by_sex": "outcomes_by_sex",
+    "threshold_dates": "threshold_dates",
+    "moving_average": "moving_average",
+}
+
+
+def table_paths(base_path: str, folders: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Where each published table lives under ``base_path`` (reports under
+    the analytics folder)."""
     base = base_path.rstrip("/")
-    return {
-        "trusted": f"{base}/trusted/cases",
-        "indicators": f"{base}/refined/region_indicators",
-        "analytics": f"{base}/refined/analytics",
-        "summary": f"{base}/refined/api_views/national_summary",
-    }
+    f = {**DEFAULT_FOLDERS, **(folders or {})}
+    paths = {k: f"{base}/{f[k]}" for k in ("trusted", "indicators", "analytics", "summary")}
+    for k in DEFAULT_FOLDERS:
+        if k not in paths:
+            paths[k] = f"{paths['analytics']}/{f[k]}"
+    return paths
+
+
+def _publish_names(df: DataFrame, cfg: PipelineConfig, table: str) -> DataFrame:
+    names = cfg.columns.get(table, {})
+    return df.withColumnsRenamed({c: n for c, n in names.items() if c in df.columns}) if names else df
+
+
+def _read_back(spark: SparkSession, path: str, cfg: PipelineConfig, table: str) -> DataFrame:
+    """A published table with its columns named as the operators expect."""
+    df = io.scan_partitioned_parquet(spark, path)
+    names = cfg.columns.get(table, {})
+    inverse = {n: c for c, n in names.items() if n in df.columns}
+    return df.withColumnsRenamed(inverse) if inverse else df
+
+
+def _partition_names(cfg: PipelineConfig, table: str, cols: Sequence[str]) -> list[str]:
+    names = cfg.columns.get(table, {})
+    return [names.get(c, c) for c in cols]
 
 
 def read_landed_cases(spark: SparkSession, path: str, rename: Mapping[str, str] | None = None,
@@ -94,7 +132,7 @@ def step_trusted(spark: SparkSession, cases: DataFrame, dim: DataFrame, base_pat
     """Step 1: enrich + date parts, event level -> rebalanced partitioned
     write of the trusted table."""
     cfg, res = config or PipelineConfig(), result or PipelineResult()
-    path = table_paths(base_path)["trusted"]
+    path = table_paths(base_path, cfg.folders)["trusted"]
     df, obs = observed(cl.trusted_cases(cases, dim), "trusted")
     io.write_partitioned(df, path, distribution="rebalance", dynamic=cfg.dynamic_overwrite)
     res.paths["trusted"], res.rows["trusted"] = path, obs.get["rows"]
@@ -108,14 +146,16 @@ def step_refined(spark: SparkSession, base_path: str, config: PipelineConfig | N
     event-level reports share one pre-aggregated profile: one scan of the
     trusted table, checkpointed in the shared folder."""
     cfg, res = config or PipelineConfig(), result or PipelineResult()
-    paths = table_paths(base_path)
+    paths = table_paths(base_path, cfg.folders)
     trusted = io.scan_partitioned_parquet(spark, paths["trusted"])
 
     df, obs = observed(ind.region_daily_indicators(trusted), "indicators")
-    io.write_partitioned(df, paths["indicators"], io.AGGREGATE_PARTITION_COLUMNS,
-                         distribution="hash", dynamic=cfg.dynamic_overwrite, sort_within=("date",))
+    io.write_partitioned(_publish_names(df, cfg, "indicators"), paths["indicators"],
+                         _partition_names(cfg, "indicators", io.AGGREGATE_PARTITION_COLUMNS),
+                         distribution="hash", dynamic=cfg.dynamic_overwrite,
+                         sort_within=_partition_names(cfg, "indicators", ("date",)))
     res.paths["indicators"], res.rows["indicators"] = paths["indicators"], obs.get["rows"]
-    indicators = io.scan_partitioned_parquet(spark, paths["indicators"])
+    indicators = _read_back(spark, paths["indicators"], cfg, "indicators")
 
     if cfg.run_analytics:
         shared_dir(spark)
@@ -136,9 +176,8 @@ def step_refined(spark: SparkSession, base_path: str, config: PipelineConfig | N
             "moving_average": an.moving_average(indicators, cfg.moving_window),
         }
         for name, report in reports.items():
-            path = f"{paths['analytics']}/{name}"
-            io.publish_result(report, path)
-            res.paths[name] = path
+            io.publish_result(_publish_names(report, cfg, name), paths[name])
+            res.paths[name] = paths[name]
     return res
 
 
@@ -147,11 +186,13 @@ def step_summary(spark: SparkSession, base_path: str, config: PipelineConfig | N
     """Step 3: national daily summary for serving, from the published
     indicators."""
     cfg, res = config or PipelineConfig(), result or PipelineResult()
-    paths = table_paths(base_path)
-    indicators = io.scan_partitioned_parquet(spark, paths["indicators"])
+    paths = table_paths(base_path, cfg.folders)
+    indicators = _read_back(spark, paths["indicators"], cfg, "indicators")
     df, obs = observed(ind.national_daily_summary(indicators, densify=cfg.densify), "summary")
-    io.write_partitioned(df, paths["summary"], io.AGGREGATE_PARTITION_COLUMNS, distribution="hash",
-                         dynamic=cfg.dynamic_overwrite, sort_within=("date",))
+    io.write_partitioned(_publish_names(df, cfg, "summary"), paths["summary"],
+                         _partition_names(cfg, "summary", io.AGGREGATE_PARTITION_COLUMNS),
+                         distribution="hash", dynamic=cfg.dynamic_overwrite,
+                         sort_within=_partition_names(cfg, "summary", ("date",)))
     res.paths["summary"], res.rows["summary"] = paths["summary"], obs.get["rows"]
     return res
 

@@ -1,5 +1,7 @@
 """Command-line steps over a literal case file in the source's own layout."""
 
+import datetime
+
 from oracle import canon
 
 from epilake import cli
@@ -98,3 +100,31 @@ def test_cli_on_fixture_csv_equals_registered_queries(spark):
     want = {("No reportado" if r.sex == "Not reported" else r.sex): (r.total_cases, r.deceased, r.recovered)
             for r in an.outcome_breakdown(cases).collect()}
     assert got == want
+
+
+def test_cli_source_names_serve_the_source_sql(spark):
+    from epilake.sources import tables as tb
+    cases, dim = _write(spark, "raw", CASES_CSV), _write(spark, "dim", DIM_CSV)
+    base, canon_base = scratch_path(spark, "cli_names"), scratch_path(spark, "cli_canon")
+    common = ["--cases", cases, "--dim", dim, "--layout", "source"]
+    named = cli.run(spark, ["all", "--base", base, "--names", "source"] + common)
+    plain = cli.run(spark, ["all", "--base", canon_base] + common)
+    assert named.paths["summary"].endswith("refined/api_views/resumen_nacional_diario")
+    tb.register_lake_table(spark, "resumen_nacional_diario_t", named.paths["summary"])
+    tb.register_lake_table(spark, "indicadores_departamento_t", named.paths["indicators"])
+    # the serving read as the source writes it: string parts, padded month and day
+    one = spark.sql("SELECT fecha, casos_nuevos_nacional, casos_acumulados_nacional "
+                    "FROM resumen_nacional_diario_t WHERE anio = '2020' AND mes = '03' AND dia = '06' LIMIT 1").collect()
+    assert [tuple(r) for r in one] == [(datetime.date(2020, 3, 6), 2, 2)]
+    top = spark.sql("SELECT nombre_departamento, casos_por_100k FROM indicadores_departamento_t "
+                    "WHERE anio = 2020 AND mes = 3 AND dia = 7 ORDER BY casos_por_100k DESC LIMIT 10").collect()
+    assert [r.nombre_departamento for r in top] == ["Atlántico"]
+    # same numbers as the canonical run, only the names differ
+    for table in ("indicators", "summary", "outcomes_by_sex", "moving_average"):
+        a, b = spark.read.parquet(named.paths[table]), spark.read.parquet(plain.paths[table])
+        names = cli.SOURCE_NAMES["columns"][table]
+        b = b.withColumnsRenamed({c: n for c, n in names.items() if c in b.columns})
+        cols = sorted(a.columns)
+        assert sorted(b.columns) == cols
+        assert canon(cols, [tuple(r) for r in a.select(*cols).collect()]) == \
+            canon(cols, [tuple(r) for r in b.select(*cols).collect()])
