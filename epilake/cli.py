@@ -127,6 +127,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--no-analytics", action="store_true")
     p.add_argument("--dynamic-overwrite", action="store_true")
     p.add_argument("--densify", action="store_true")
+    p.add_argument("--preview", type=int, default=0, metavar="N",
+                   help="print the first N rows of each report written")
     args = p.parse_args(argv)
     if args.step in ("trusted", "all") and not (args.cases and args.dim):
         p.error(f"step {args.step!r} needs --cases and --dim")
@@ -166,9 +168,34 @@ def run(spark: SparkSession, argv: list[str]) -> pl.PipelineResult:
         pl.step_refined(spark, args.base, cfg, res)
     if args.step in ("summary", "all"):
         pl.step_summary(spark, args.base, cfg, res)
+    if args.preview > 0:
+        for name in REPORT_ORDER:
+            if name in res.paths:
+                print(f"{name} ({res.paths[name]})")
+                preview(spark, res.paths[name], name, args.preview).show(args.preview, truncate=False)
     return res
 
 
+#: Reports in the order the refined step writes them, and the order their
+#: rows are shown in (published names are mapped back before ordering).
+REPORT_ORDER = ("top_regions_rate", "monthly_trends", "age_distribution", "outcomes_by_sex",
+                "threshold_dates", "moving_average")
+
+
+def preview(spark: SparkSession, path: str, name: str, n: int):
+    """First ``n`` rows of a written report in its natural order (reports
+    are bounded: one row per region, month, bin, label or date)."""
+    from pyspark.sql import functions as F
+    df = spark.read.parquet(path)
+    order = {"top_regions_rate": [F.col(df.columns[2]).desc_nulls_last(), F.col(df.columns[0])],
+             "monthly_trends": [F.col(df.columns[0]), F.col(df.columns[1])],
+             "age_distribution": [F.col(df.columns[1]).desc()],
+             "outcomes_by_sex": [F.col(df.columns[1]).desc()],
+             "threshold_dates": [F.col(df.columns[2])],
+             "moving_average": [F.col(df.columns[0]).desc()]}[name]
+    return df.orderBy(*order).limit(n)
+
+
 def main(argv: list[str] | None = None) -> int:
     argv = list(sys.argv[1:] if argv is None else argv)
     parse_args(argv)  # usage errors before any JVM starts

@@ -128,3 +128,13 @@ def test_cli_source_names_serve_the_source_sql(spark):
         assert sorted(b.columns) == cols
         assert canon(cols, [tuple(r) for r in a.select(*cols).collect()]) == \
             canon(cols, [tuple(r) for r in b.select(*cols).collect()])
+
+
+def test_cli_preview_prints_each_report(spark, capsys):
+    cases, dim = _write(spark, "raw", CASES_CSV), _write(spark, "dim", DIM_CSV)
+    cli.run(spark, ["all", "--base", scratch_path(spark, "cli_prev"), "--cases", cases, "--dim", dim,
+                    "--layout", "source", "--preview", "3"])
+    out = capsys.readouterr().out
+    for name in cli.REPORT_ORDER:
+        assert name in out
+    assert "30-49 años" in out and "No reportado" in out
