@@ -129,12 +129,15 @@ def read_landed_cases(spark: SparkSession, path: str, rename: Mapping[str, str]
 def step_trusted(spark: SparkSession, cases: DataFrame, dim: DataFrame, base_path: str,
                  config: PipelineConfig | None = None,
                  result: PipelineResult | None = None) -> PipelineResult:
-    """Step 1: enrich + date parts, event level -> rebalanced partitioned
-    write of the trusted table."""
+    """Step 1: enrich + date parts, event level -> partitioned write of the
+    trusted table (REBALANCE, or hash for a bounded input; see
+    :func:`epilake.sources.files.choose_distribution`)."""
     cfg, res = config or PipelineConfig(), result or PipelineResult()
     path = table_paths(base_path, cfg.folders)["trusted"]
-    df, obs = observed(cl.trusted_cases(cases, dim), "trusted")
-    io.write_partitioned(df, path, distribution="rebalance", dynamic=cfg.dynamic_overwrite)
+    trusted = cl.trusted_cases(cases, dim)
+    distribution = io.choose_distribution(trusted)  # before observe: the probe is an action
+    df, obs = observed(trusted, "trusted")
+    io.write_partitioned(df, path, distribution=distribution, dynamic=cfg.dynamic_overwrite)
     res.paths["trusted"], res.rows["trusted"] = path, obs.get["rows"]
     return res
 

@@ -258,7 +258,8 @@ def q_scan_partitioned_parquet(spark, sf):
 
 def q_write_partitioned_roundtrip(spark, sf):
     path = scratch_path(spark, "trusted")
-    io.write_partitioned(trusted(spark, sf), path, distribution="rebalance")
+    df = trusted(spark, sf)
+    io.write_partitioned(df, path, distribution=io.choose_distribution(df))
     return io.scan_partitioned_parquet(spark, path)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from epilake.plans.selection import first_n_by
@@ -45,6 +46,29 @@ def scan_partitioned_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: Inputs of at most this many rows are hash-distributed on the partition
+#: columns by :func:`choose_distribution`: even if one value held every row,
+#: a writer task would get at most this many.
+HASH_MAX_ROWS = 200_000
+
+
+def choose_distribution(df: DataFrame, max_rows: int = HASH_MAX_ROWS) -> str:
+    """``"hash"`` for an input known to hold at most ``max_rows`` rows, else
+    ``"rebalance"``.
+
+    AQE sizes REBALANCE writers by bytes, so a small input spread over many
+    partition values (thousands of dates) lands in one writer task that
+    opens every file in turn; a bounded input can safely use one writer per
+    shuffle partition instead. The probe is ``take(max_rows + 1)`` on one
+    column: it scans splits incrementally and stops at the bound, so a large
+    input costs one or two splits. Call it on a lineage without a selective
+    filter (the probe stops only when enough rows have been produced), and
+    before attaching an ``observe``, which the probe would otherwise fill.
+    """
+    n = len(df.select(F.lit(1).alias("one")).take(max_rows + 1))
+    return "hash" if n <= max_rows else "rebalance"
+
+
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] = PARTITION_COLUMNS,
                       distribution: str = "rebalance", num_partitions: int | None = None,
                       dynamic: bool = False, max_records_per_file: int = 5_000_000,

@@ -121,3 +121,10 @@ def test_ingest_dimension_versions(spark):
                              export_path=scratch_path(spark, "dimexp"))
     assert sorted(map(tuple, spark.read.parquet(v2).collect())) == [("05", "A", 1), ("08", "B2", 3), ("11", "C", 4)]
     assert spark.read.parquet(v1).count() == 2
+
+
+def test_choose_distribution_by_bounded_probe(spark):
+    small = spark.range(0, 1000, 1, 4)
+    big = spark.range(0, 5000, 1, 40)
+    assert io.choose_distribution(small, max_rows=1000) == "hash"
+    assert io.choose_distribution(big, max_rows=1000) == "rebalance"
