@@ -65,6 +65,7 @@ SOURCE_NAMES = {
         "moving_average": "promedio_movil_7dias",
     },
     "columns": {
+        "trusted": {"year": "anio", "month": "mes", "day": "dia"},
         "indicators": {
             "date": "fecha", "year": "anio", "month": "mes", "day": "dia",
             "code": "codigo_departamento", "name": "nombre_departamento",

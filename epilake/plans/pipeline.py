@@ -136,8 +136,9 @@ def step_trusted(spark: SparkSession, cases: DataFrame, dim: DataFrame, base_pat
     path = table_paths(base_path, cfg.folders)["trusted"]
     trusted = cl.trusted_cases(cases, dim)
     distribution = io.choose_distribution(trusted)  # before observe: the probe is an action
-    df, obs = observed(trusted, "trusted")
-    io.write_partitioned(df, path, distribution=distribution, dynamic=cfg.dynamic_overwrite)
+    df, obs = observed(_publish_names(trusted, cfg, "trusted"), "trusted")
+    io.write_partitioned(df, path, _partition_names(cfg, "trusted", io.PARTITION_COLUMNS),
+                         distribution=distribution, dynamic=cfg.dynamic_overwrite)
     res.paths["trusted"], res.rows["trusted"] = path, obs.get["rows"]
     return res
 
@@ -150,7 +151,7 @@ def step_refined(spark: SparkSession, base_path: str, config: PipelineConfig | N
     trusted table, checkpointed in the shared folder."""
     cfg, res = config or PipelineConfig(), result or PipelineResult()
     paths = table_paths(base_path, cfg.folders)
-    trusted = io.scan_partitioned_parquet(spark, paths["trusted"])
+    trusted = _read_back(spark, paths["trusted"], cfg, "trusted")
 
     df, obs = observed(ind.region_daily_indicators(trusted), "indicators")
     io.write_partitioned(_publish_names(df, cfg, "indicators"), paths["indicators"],

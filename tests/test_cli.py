@@ -110,6 +110,7 @@ def test_cli_source_names_serve_the_source_sql(spark):
     named = cli.run(spark, ["all", "--base", base, "--names", "source"] + common)
     plain = cli.run(spark, ["all", "--base", canon_base] + common)
     assert named.paths["summary"].endswith("refined/api_views/resumen_nacional_diario")
+    assert spark.read.parquet(named.paths["trusted"]).filter("anio = 2020 AND mes = 3 AND dia = 6").count() == 2
     tb.register_lake_table(spark, "resumen_nacional_diario_t", named.paths["summary"])
     tb.register_lake_table(spark, "indicadores_departamento_t", named.paths["indicators"])
     # the serving read as the source writes it: string parts, padded month and day
@@ -120,7 +121,7 @@ def test_cli_source_names_serve_the_source_sql(spark):
                     "WHERE anio = 2020 AND mes = 3 AND dia = 7 ORDER BY casos_por_100k DESC LIMIT 10").collect()
     assert [r.nombre_departamento for r in top] == ["Atlántico"]
     # same numbers as the canonical run, only the names differ
-    for table in ("indicators", "summary", "outcomes_by_sex", "moving_average"):
+    for table in ("trusted", "indicators", "summary", "outcomes_by_sex", "moving_average"):
         a, b = spark.read.parquet(named.paths[table]), spark.read.parquet(plain.paths[table])
         names = cli.SOURCE_NAMES["columns"][table]
         b = b.withColumnsRenamed({c: n for c, n in names.items() if c in b.columns})
