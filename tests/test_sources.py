@@ -128,3 +128,19 @@ def test_choose_distribution_by_bounded_probe(spark):
     big = spark.range(0, 5000, 1, 40)
     assert io.choose_distribution(small, max_rows=1000) == "hash"
     assert io.choose_distribution(big, max_rows=1000) == "rebalance"
+
+
+def test_contract_report_counts_violations(spark):
+    rows = [("05", "A", 1), ("05", "B", 2), ("123", "C", 3), ("08", None, 4),
+            ("11", "x" * 101, None), (None, "D", 5)]
+    df = spark.createDataFrame(rows, DIM_SCHEMA)
+    r = tb.check_table_contract(df, "code", ("code", "name", "population"),
+                                {"code": 2, "name": 100}).first()
+    assert (r.rows, r.null_code, r.null_name, r.null_population) == (6, 1, 1, 1)
+    assert (r.long_code, r.long_name, r.duplicate_keys) == (1, 1, 1)
+
+
+def test_contract_report_on_empty_table(spark):
+    r = tb.check_table_contract(spark.createDataFrame([], DIM_SCHEMA), "code", ("code",),
+                                {"code": 2}).first()
+    assert (r.rows, r.null_code, r.long_code, r.duplicate_keys) == (0, 0, 0, 0)
