@@ -76,10 +76,16 @@ def top_k_on_date(indicators: DataFrame, year: int, month: int, day: int, k: int
 def monthly_trends(indicators: DataFrame) -> DataFrame:
     """Per (year, month): total new cases, distinct reporting regions, and
     the average of new cases per region-day row."""
-    return (indicators.groupBy("year", "month").agg(
-        F.sum("new_cases").alias("monthly_cases"),
-        F.count_distinct("code").alias("regions_reporting"),
-        round2(F.avg("new_cases")).alias("avg_daily_cases"))
+    # two plain aggregation levels instead of a distinct aggregate (which
+    # Spark expands into a copy of every row per aggregate group): per
+    # region-month sums and row counts, then per month; a region is counted
+    # once per month by construction, and the average is the exact ratio
+    per_region = indicators.groupBy("year", "month", "code").agg(
+        F.sum("new_cases").alias("__cases"), F.count(F.lit(1)).alias("__rows"))
+    return (per_region.groupBy("year", "month").agg(
+        F.sum("__cases").alias("monthly_cases"),
+        F.count("code").alias("regions_reporting"),
+        round2(F.sum("__cases") / F.sum("__rows")).alias("avg_daily_cases"))
         .orderBy(F.col("year").asc_nulls_first(), F.col("month").asc_nulls_first()))
 
 
