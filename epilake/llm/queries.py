@@ -8,9 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epilake.session import scratch_path, shared_dir
+from epilake.session import shared_dir
 
-from . import exact_dedup, mixing, quality_classifier, sentencepiece_codec, simhash
+from . import (exact_dedup, language_id, license_scan, mixing, pii, quality_classifier, quality_rules,
+               sentencepiece_codec, simhash, url_filter)
 from .common import remainder, table
 
 #: Vocabulary file of the tokenizer queries; change it with the session
@@ -23,6 +24,16 @@ def new_index(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/epilake/digest-index-{uuid.uuid4().hex[:12]}"
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, learned from rows not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held = remainder(F.col("doc_id"), 4) == 2
+    filters = language_id.train(docs.filter(~held).select("text", "lang"))
+    docs = docs.select("doc_id", "text")
+    got = docs.select("doc_id", held.alias("held_out"), language_id.predict(docs, filters).alias("p"))
+    return got.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of equal texts of each document, through a new digest index."""
     found = exact_dedup.dedup(table(spark, sf_dir, "documents"), new_index(spark))
@@ -41,6 +52,13 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_checked(docs, vocabulary(spark))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that each document's sentences amount to."""
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"),
+                        F.array_join("licenses", ",").alias("licenses"), "has_license")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that the mix takes."""
     return mixing.words_taken(table(spark, sf_dir, "documents"))
@@ -52,6 +70,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of each document and whether it is kept."""
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of each document, learned from labels not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -62,15 +85,32 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality_classifier.THRESHOLD).cast("int"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of each page's address."""
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in each document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.select("doc_id", pii.find(docs, pii.train(docs)).alias("p")).select("doc_id", "p.*")
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_license_scan": op4_license_scan,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
+    "op7_quality_rules": op7_quality_rules,
     "op8_quality": op8_quality,
+    "op9_url_filter": op9_url_filter,
+    "op10_pii": op10_pii,
 }
 
 ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
+    "op4_license_scan": license_scan.oracle_sql(),
     "op5_mixing": mixing.oracle_sql(),
 }
