@@ -29,6 +29,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
@@ -40,7 +41,7 @@ from .common import ship
 
 MARK = "▁"
 #: Words, pairs of pieces kept by a worker; beyond that the table starts anew.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 600_000
 PAIRS_KEPT = 1_000_000
 
 UNIGRAM, BPE = "unigram", "bpe"
@@ -74,14 +75,16 @@ class Codec:
 
     voc: Vocabulary
     ids: dict[str, int] = field(init=False)
-    kept: dict[str, array] = field(default_factory=dict)
-    pairs: dict[tuple[int, int], bool] = field(default_factory=dict)
+    kept: dict[str, bytes] = field(default_factory=dict)
+    pairs: dict[int, bool] = field(default_factory=dict)
 
     def __post_init__(self):
         voc = self.voc
         self.ids = {p: i for i, p in enumerate(voc.pieces) if voc.kinds[i] == "n"}
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(voc.pieces) if voc.kinds[i] == "b"}
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        self.alphabet = frozenset(p for p in self.ids if len(p) == 1)
+        self.plain = np.array([k == "n" for k in voc.kinds])
         self.special = frozenset(i for i, k in enumerate(voc.kinds) if k == "x")
         self.automaton = ahocorasick.Automaton()
         for p, i in self.ids.items():
@@ -107,12 +110,12 @@ class Codec:
             out[k:k + 2] = [out[k] + out[k + 1]]
 
     def beside(self, a: int, b: int) -> bool:
-        got = self.pairs.get((a, b))
-        if got is None:
-            if len(self.pairs) >= PAIRS_KEPT:
-                self.pairs.clear()
-            p = self.voc.pieces
-            got = self.pairs[a, b] = self.merge(p[a] + p[b]) == [p[a], p[b]]
+        """Whether merging leaves the two pieces side by side (``a`` -1: the one piece alone)."""
+        if len(self.pairs) >= PAIRS_KEPT:
+            self.pairs.clear()
+        p = self.voc.pieces
+        alone = [p[b]] if a < 0 else [p[a], p[b]]
+        got = self.pairs[a << 24 | b] = self.merge("".join(alone)) == alone
         return got
 
     def _merged(self, text: str) -> tuple[list, list]:
@@ -120,25 +123,25 @@ class Codec:
         n = len(text)
         last: list = [None] * (n + 1)
         start = [0] * (n + 1)
-        last[0] = -1  # no piece before; -2 is a character that has none
-        done = 0
+        last[0] = -1  # no piece before
+        pairs, beside = self.pairs, self.beside
+        if not self.alphabet.issuperset(text):  # -2: a character that has no piece
+            for e, c in enumerate(text, 1):
+                if c not in self.alphabet:
+                    last[e], start[e] = -2, e - 1
         for end, (size, i) in self.automaton.iter(text):
             end += 1
-            if end > done + 1:  # positions that no piece ends at
-                self._bare(text, last, start, done + 1, end)
-            done = end
             if last[end] is None:
                 before = last[end - size]
-                if before is not None and (before < 0 or self.beside(before, i)):
-                    last[end], start[end] = i, end - size
-        self._bare(text, last, start, done + 1, n + 1)
+                if before is not None:
+                    if before == -2:
+                        before = -1
+                    ok = pairs.get(before << 24 | i)
+                    if ok or (ok is None and beside(before, i)):
+                        last[end] = i
+                        start[end] = end - size
         return last, start
 
-    def _bare(self, text, last, start, low, high):
-        for e in range(low, high):
-            if text[e - 1] not in self.ids:
-                last[e], start[e] = -2, e - 1
-
     def _summed(self, text: str) -> tuple[list, list]:
         """last, start: the piece that ends the best-scored split of each prefix."""
         n = len(text)
@@ -158,10 +161,8 @@ class Codec:
                 hit = next(found, None)
         return last, start
 
-    def word(self, text: str) -> array:
-        i = self.ids.get(text)
-        if i is not None and self.voc.model == BPE and self.merge(text) == [text]:
-            return array("i", (i,))
+    def word(self, text: str) -> bytes:
+        """The ids of one word, as 32-bit integers."""
         last, start = self.search(text)
         out: list[int] = []
         e = len(text)
@@ -174,37 +175,35 @@ class Codec:
                 out.append(i)
             e = s
         out.reverse()
-        return array("i", out)
+        return array("i", out).tobytes()
 
-    def encode(self, text: str | None) -> array:
-        out = array("i")
+    def encode(self, text: str | None) -> bytes:
+        """The ids of a text, as 32-bit integers."""
         if not text:
-            return out
+            return b""
         text = text.replace(" ", MARK)
         if self.voc.prefix:
             text = MARK + text
+        words = self.words.findall(text)
         kept = self.kept
-        for w in self.words.findall(text):
-            got = kept.get(w)
-            if got is None:
-                got = self.word(w)
-                if len(w) <= 64:  # longer ones hardly come again
-                    if len(kept) >= WORDS_KEPT:
-                        kept.clear()
-                    kept[w] = got
-            out.extend(got)
-        return out
+        new = set(words).difference(kept)
+        if len(kept) + len(new) > WORDS_KEPT:
+            kept.clear()
+            new = set(words)
+        if len(new) > WORDS_KEPT:  # one text with more words than are kept
+            return b"".join(map(self.word, words))
+        for w in new:
+            kept[w] = self.word(w)
+        return b"".join([kept[w] for w in words])
 
     def decode(self, ids) -> str:
+        ids = np.asarray(ids, dtype=np.int32)
         p = self.voc.pieces
-        if not self.special.isdisjoint(ids):  # marks of a text's ends say nothing, an unknown piece shows as one
-            ids = [i for i in ids if i not in self.special or i == self.voc.unknown]
-            surface = {self.voc.unknown: " ⁇ "}
+        if self.plain[ids].all():
+            text = "".join([p[i] for i in ids.tolist()])
         else:
-            surface = {}
-        if surface or not self.byte_of.keys().isdisjoint(ids):
             out, run = [], bytearray()
-            for i in ids:
+            for i in ids.tolist():
                 b = self.byte_of.get(i)
                 if b is not None:
                     run.append(b)
@@ -212,11 +211,12 @@ class Codec:
                 if run:
                     out.append(run.decode("utf-8", "replace"))
                     run = bytearray()
-                out.append(surface.get(i, p[i]))
+                if i == self.voc.unknown:
+                    out.append(" \u2047 ")
+                elif i not in self.special:  # marks of a text's ends say nothing
+                    out.append(p[i])
             out.append(run.decode("utf-8", "replace"))
             text = "".join(out)
-        else:
-            text = "".join([p[i] for i in ids])
         text = text.replace(MARK, " ")
         return text[1:] if self.voc.prefix and text[:1] == " " else text
 
@@ -262,21 +262,18 @@ def _mapped(docs: DataFrame, col: str, voc: Vocabulary, new: list[tuple[str, Dat
     return docs.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{col}`").alias(value)).mapInArrow(run, schema)
 
 
-def _lists(rows: list[array]) -> pa.ListArray:
-    offsets = array("i", [0])
-    flat = array("i")
-    for r in rows:
-        flat.extend(r)
-        offsets.append(len(flat))
-    return pa.ListArray.from_arrays(pa.array(memoryview(offsets), pa.int32()) if len(rows) else pa.array([0], pa.int32()),
-                                    pa.Array.from_buffers(pa.int32(), len(flat), [None, pa.py_buffer(flat)]))
+def _lists(rows: list[bytes]) -> pa.ListArray:
+    ends = np.zeros(len(rows) + 1, dtype=np.int32)
+    np.cumsum([len(r) // 4 for r in rows], out=ends[1:])
+    flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(rows))])
+    return pa.ListArray.from_arrays(pa.array(ends), flat)
 
 
 def encode(docs: DataFrame, voc: Vocabulary, text_col: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (array of int) and ``n_ids`` in place of the text."""
     def make(codec: Codec, texts: list) -> list:
         rows = [codec.encode(t) for t in texts]
-        return [_lists(rows), pa.array([len(r) for r in rows], pa.int32())]
+        return [_lists(rows), pa.array([len(r) // 4 for r in rows], pa.int32())]
 
     return _mapped(docs, text_col, voc, [("ids", ArrayType(IntegerType())), ("n_ids", IntegerType())], make)
 
@@ -294,8 +291,8 @@ def encode_checked(docs: DataFrame, voc: Vocabulary, text_col: str = "text") ->
     (its mark characters read as spaces)."""
     def make(codec: Codec, texts: list) -> list:
         rows = [codec.encode(t) for t in texts]
-        same = [codec.decode(r) == (t or "").replace(MARK, " ") for r, t in zip(rows, texts)]
-        return [_lists(rows), pa.array([len(r) for r in rows], pa.int32()), pa.array(same, pa.bool_())]
+        same = [codec.decode(np.frombuffer(r, np.int32)) == (t or "").replace(MARK, " ") for r, t in zip(rows, texts)]
+        return [_lists(rows), pa.array([len(r) // 4 for r in rows], pa.int32()), pa.array(same, pa.bool_())]
 
     return _mapped(docs, text_col, voc, [("ids", ArrayType(IntegerType())), ("n_ids", IntegerType()), ("round_trip", BooleanType())], make)
 
