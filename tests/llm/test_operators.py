@@ -1,0 +1,553 @@
+"""The operators of llm against brute force, on sf0.001 / sf0.01 and on a
+small table of odd rows."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from conftest import SF01, SF001
+from oracle import compare, duck
+from pyspark.sql import functions as F
+
+from epilake.llm import (exact_dedup, language_id, license_scan, mixing, pii, quality_classifier, quality_rules,
+                         queries, sentencepiece_codec, simhash, url_filter)
+from epilake.session import scratch_path
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, group_size long, id string, n long"
+LONG = " ".join(f"word{i % 977}" for i in range(60_000))
+
+
+def odd_rows():
+    prose = "The quick brown fox jumps over the lazy dog and runs on through the field of corn again. "
+    texts = [None, "", " ", "\n\t", "a", "a  b\tc", "a b c", prose * 3, prose * 3, prose * 3, LONG, LONG + " tail",
+             "mail me@example.com now", "ip 10.0.0.1 and 999.1.1.1", "日本語 テキスト", "\U0001F600 emoji", "###$$$ %%%",
+             "Released under the MIT License.", "x\ny\nx\n", prose + "extra"]
+    rows = [(i, t, ["en", "de", None][i % 3], ["s1", None, "s0"][i % 3], i, 7, "x", 3) for i, t in enumerate(texts)]
+    rows += [rows[7], (None, "a b c", None, None, None, None, None, None), (None, None, "en", "s1", 1, 1, "y", 1)]
+    rows += [(100 + i, f"{prose} number {i} of many", "en", "s1", 1, 1, "z", 1) for i in range(80)]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(odd_rows(), SCHEMA).repartition(5)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def docs_of(spark, sf):
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+# -- oracles -----------------------------------------------------------------
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, name):
+    sf = SF01 if name == "op9_url_filter" else SF001
+    problems, n = compare(queries.QUERIES[name](spark, sf), duck(sf), queries.ORACLES[name])
+    assert not problems and n
+
+
+# -- language ----------------------------------------------------------------
+
+def test_language_held_out_accuracy(spark):
+    got = queries.op1_language_id(spark, SF01).join(docs_of(spark, SF01).select("doc_id", "text", "lang"), "doc_id").collect()
+    assert len(got) == 1000
+    held = [r for r in got if zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
+    assert all(r.held_out == (r in held) and 0 <= r.score <= 1 for r in got)
+    assert sum(r.lang_pred == r.lang for r in held) >= 0.98 * len(held)
+
+
+def test_language_filters_by_hand():
+    texts = {"aa": "abc abd abc " * 5, "bb": "xyz xyw " * 5}
+    grams = {k: np.unique(language_id.trigrams([t])[0]) for k, t in texts.items()}
+    f = language_id.Filters.build(["bb", "aa"], grams, language_id.Config())
+    for k, g in grams.items():  # a filter never misses
+        bit = f.langs.index(k)
+        assert all((f.languages(g)[:, 0] >> np.uint64(bit)) & np.uint64(1))
+    names, scores = f.decide(["ABD abc", "xyz!", "12 34", None, "", "İxyz xyw"])
+    assert names == ["aa", "bb", "und", "und", "und", "bb"] and list(scores[2:5]) == [0, 0, 0]
+
+
+def test_trigrams_count(spark):
+    text = "Ab, c\nüb"
+    keys, at = language_id.trigrams([text, None, "a"])
+    def key(s):
+        return sum((0 if c == " " else ord(c)) << k for c, k in zip(s, (42, 21, 0)))
+    assert keys[at[0]:at[1]].tolist() == [key(x) for x in (" ab", "ab ", " c ", " üb", "üb ")]
+    assert at[1] == at[2] and keys[at[2]:].tolist() == [key(" a ")]
+
+
+# -- exact dedup -------------------------------------------------------------
+
+def brute_groups(rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[re.sub("[\x20\x09-\x0d]+", " ", t or "")].append(i)
+    return groups
+
+
+def test_exact_dedup_odd_rows(spark, odd):
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    groups = brute_groups(rows)
+    got = exact_dedup.dedup(odd, queries.new_index(spark), batches=3).collect()
+    assert len(got) == len(rows)
+    least = {hashlib.sha256(k.encode()).digest(): (min([i for i in v if i is not None], default=None), len(v))
+             for k, v in groups.items()}
+    for r in got:
+        assert (r.keep_id, r.group_size) == least[bytes(r.digest)]
+    assert sorted(bytes(r.digest) for r in got if r.kept) == sorted(least)
+
+
+def test_index_survives_and_appends(spark):
+    path = queries.new_index(spark)
+    a = spark.createDataFrame([(5, "x"), (6, "y")], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "x"), (7, "z z")], "doc_id long, text string")
+    exact_dedup.dedup(a, path, buckets=4).collect()
+    got = {r.doc_id: (r.keep_id, r.kept) for r in exact_dedup.dedup(b, path, buckets=4).collect()}
+    assert got == {1: (5, False), 7: (7, True)}  # what is stored already stays
+    assert {r.keep_id for r in exact_dedup.DigestIndex(spark, path, 4).rows().collect()} == {5, 6, 7}
+    index = exact_dedup.DigestIndex(spark, path, 4)
+    fresh = spark.createDataFrame([(bytes(32), 1)], "digest binary, keep_id long").groupBy("digest").agg(F.min("keep_id"))
+    plan = fresh.join(index.rows().select("digest").hint("merge"), "digest", "left_anti")._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+
+
+def test_deduplicated_keeps_columns(spark, odd, empty):
+    got = exact_dedup.deduplicated(odd, queries.new_index(spark))
+    assert got.columns == odd.columns
+    assert got.count() == len(brute_groups([(r.doc_id, r.text) for r in odd.collect()]))
+    assert exact_dedup.dedup(empty, queries.new_index(spark)).count() == 0
+
+
+# -- sentencepiece -----------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def library():
+    sentencepiece = pytest.importorskip("sentencepiece")
+    return sentencepiece.SentencePieceProcessor(model_file=queries.SENTENCEPIECE_MODEL)
+
+
+def test_sentencepiece_equals_library(spark, library, odd, empty):
+    voc = sentencepiece_codec.Vocabulary.read(queries.SENTENCEPIECE_MODEL)
+    for df in (odd, docs_of(spark, SF001)):
+        texts = [r.text for r in df.collect()]
+        got = sentencepiece_codec.encode_checked(df, voc)
+        rows = got.collect()
+        want = sorted(tuple(library.encode(t)) if t else () for t in texts)
+        assert sorted(tuple(r.ids) for r in rows) == want and all(r.round_trip for r in rows)
+        assert all(r.n_ids == len(r.ids) for r in rows)
+        back = [r.text for r in sentencepiece_codec.decode(got.select("doc_id", "ids"), voc).collect()]
+        assert sorted(back) == sorted(t or "" for t in texts)
+    assert sentencepiece_codec.encode(empty, voc).count() == 0
+
+
+def test_unigram_viterbi_is_best():
+    pieces = ("<unk>", "▁", "a", "b", "ab", "ba", "▁a", "bab")
+    scores = (0.0, -3.0, -2.0, -2.5, -2.2, -1.9, -2.1, -4.0)
+    voc = sentencepiece_codec.Vocabulary(pieces, scores, "xnnnnnnn", 0, sentencepiece_codec.UNIGRAM)
+    codec = sentencepiece_codec.Codec(voc)
+
+    def best(s):
+        top = [0.0] + [-1e9] * len(s)
+        for e in range(1, len(s) + 1):
+            for b in range(e):
+                if s[b:e] in pieces:
+                    top[e] = max(top[e], top[b] + scores[pieces.index(s[b:e])])
+        return top[-1]
+
+    for text in ("a", "abab", "babab", "ab ba", "bbaab"):
+        ids = np.frombuffer(codec.encode(text), np.int32).tolist()
+        assert math.isclose(sum(scores[i] for i in ids), sum(best(w) for w in codec.words.findall("▁" + text.replace(" ", "▁"))))
+        assert codec.decode(ids) == text
+
+
+# -- licences ----------------------------------------------------------------
+
+def test_license_rules(spark, empty):
+    mit = [license_scan.SENTENCES[k].capitalize() + "." for k in ("mit-grant", "mit-notice", "mit-as-is")]
+    wrapped = "\n".join(re.sub("(.{40,60}) ", "\\1\n", s) for s in mit)
+    texts = ["Foo. Licensed under the Apache License, Version 2.0.\nBar", " ".join(mit), wrapped, None, "",
+             "Licensed under CC BY-NC 4.0.\nReleased under the MIT License.", "no licence here", mit[1]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: list(r.licenses) for r in license_scan.scan(df).collect()}
+    assert got == {0: ["Apache-2.0"], 1: ["MIT"], 2: ["MIT"], 3: [], 4: [], 5: ["CC-BY-NC-4.0", "MIT"], 6: [], 7: []}
+    assert license_scan.scan(empty).count() == 0
+
+
+# -- mixing ------------------------------------------------------------------
+
+def brute_targets(sizes, weights=(5, 2, 1), cap=3):
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    left, free, out = sum(sizes.values()), set(order), {}
+    while free:
+        share = {s: left * w[s] / sum(w[x] for x in free) for s in free}
+        over = [s for s in free if share[s] > cap * sizes[s] + 1e-9]
+        if not over:
+            return {**out, **share}
+        for s in over:
+            out[s] = cap * sizes[s]
+            left -= out[s]
+            free.discard(s)
+    return out
+
+
+@pytest.mark.parametrize("block", [7, 512])
+def test_mixing_meets_targets(spark, odd, block):
+    for df in (odd, docs_of(spark, SF001)):
+        rows = df.select("doc_id", "source", "text").collect()
+        sizes = Counter()
+        for r in rows:
+            sizes[r.source] += len(WORD.findall(r.text or ""))
+        want = brute_targets(sizes)
+        got = mixing.words_taken(df, block=block).collect()
+        assert sorted((r.doc_id is None, r.doc_id or 0, r.size) for r in got) == sorted(
+            (r.doc_id is None, r.doc_id or 0, len(WORD.findall(r.text or ""))) for r in rows)
+        taken = Counter()
+        for r in got:
+            assert 0 <= r.taken <= 3 * r.size
+            taken[r.source_size] += r.taken
+        totals = defaultdict(float)
+        for s, n in sizes.items():
+            totals[n] += round(want[s])
+        assert all(abs(taken[n] - t) <= 1 for n, t in totals.items())
+
+
+def test_mixed_documents_hold_the_words(spark, odd, empty):
+    sizes = Counter()
+    for r in odd.collect():
+        sizes[r.source] += len(WORD.findall(r.text or ""))
+    out = mixing.mixed_documents(odd, block=64)
+    assert out.columns == odd.columns
+    got = Counter()
+    for r in out.collect():
+        got[r.source] += len(WORD.findall(r.text))
+    assert all(abs(got[s] - t) <= 1 for s, t in brute_targets(sizes).items())
+    assert mixing.words_taken(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
+
+
+def test_permutation_is_one_to_one(spark):
+    for n in (1, 2, 3, 17, 64, 1000, 4097):
+        df = mixing.permuted(spark.range(n), "y", F.col("id"), F.lit(n).cast("long"), F.lit("k"))
+        got = [r.y for r in df.orderBy("id").collect()]
+        assert sorted(got) == list(range(n)) and (n < 64 or got != list(range(n)))
+
+
+def test_shard_counts_sum_to_draws(spark):
+    placed = mixing.starts(mixing.sized(docs_of(spark, SF01))).cache()
+    slots = mixing.slots(mixing.source_targets(placed), block=16, per_shard=100).cache()
+    n = slots.count()
+    assert slots.agg(F.countDistinct("slot"), F.max("slot")).first() == (n, n - 1)
+    counts = mixing.shard_counts(slots).groupBy("shard").agg(F.sum("n").alias("n")).collect()
+    assert sorted(r.n for r in counts)[-1] == 100 and sum(r.n for r in counts) == n
+
+
+# -- simhash -----------------------------------------------------------------
+
+def brute_fingerprint(text, k=3):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(low)
+    if not words:
+        return 0
+    parts = [" ".join(words)] if len(words) < k else [" ".join(words[i:i + k]) for i in range(len(words) - k + 1)]
+    h = [xxhash.xxh64(p.encode(), seed=42).intdigest() for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_components(fps, bits=2):
+    fps = sorted(set(fps))
+    arr = np.array(fps, dtype=np.uint64)
+    root = {f: f for f in fps}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for i, f in enumerate(fps):
+        near = np.flatnonzero(np.bitwise_count(arr[i + 1:] ^ arr[i]) <= bits)
+        for j in near:
+            root[find(fps[i + 1 + j])] = find(f)
+    return {f: find(f) for f in fps}
+
+
+def test_simhash_query_equals_brute_force(spark, odd):
+    for df in (odd, docs_of(spark, SF01)):
+        rows = [(r.doc_id, r.text) for r in df.collect()]
+        fps = [brute_fingerprint(t) for _, t in rows]
+        comp = brute_components(fps)
+        least = {}
+        for (i, _), f in zip(rows, fps):
+            if i is not None:
+                least[comp[f]] = min(i, least.get(comp[f], i))
+        got = simhash.near_duplicates(df).select("doc_id", simhash.hex16(F.col("fp")).alias("h"), "component_id").collect()
+        key = lambda x: (x[0] is None, x[0] or 0, x[1])
+        assert sorted([(r.doc_id, r.h, r.component_id) for r in got], key=key) == sorted(
+            [(i, f"{f:016x}", least.get(comp[f])) for (i, _), f in zip(rows, fps)], key=key)
+
+
+@pytest.mark.parametrize("pairs_max", [0, 2, 32])
+@pytest.mark.parametrize("bits", [0, 1, 2])
+def test_links_lose_none(spark, pairs_max, bits):
+    rng = np.random.default_rng(5)
+    fps = set()
+    for centre in rng.integers(0, 2**63, 12).tolist() + [0, 2**64 - 1]:
+        for _ in range(60):
+            f = centre
+            for b in rng.integers(0, 64, rng.integers(0, 5)):
+                f ^= 1 << int(b)
+            fps.add(f)
+    signed = [(int(np.uint64(f).view(np.int64)),) for f in fps]
+    df = spark.createDataFrame(signed, "fp long")
+    nodes = {r.node: r.root for r in simhash.components(simhash.links(df, bits, pairs_max)).collect()}
+    got, want = defaultdict(set), defaultdict(set)
+    for f, root in brute_components(fps, bits).items():
+        s = int(np.uint64(f).view(np.int64))
+        want[root].add(s)
+        got[nodes.get(s, s)].add(s)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_components_of_a_path(spark):
+    n = 200
+    df = spark.range(n).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    got = simhash.components(df).collect()
+    assert len(got) == n + 1 and {r.root for r in got} == {0}
+
+
+def test_one_of_each(spark, odd, empty):
+    got = simhash.one_of_each(odd)
+    assert got.columns == odd.columns
+    rows = simhash.near_duplicates(odd).collect()
+    assert got.count() == len({r.component_id for r in rows})
+    assert simhash.near_duplicates(empty).count() == 0
+
+
+# -- quality rules -----------------------------------------------------------
+
+def brute_counts(text):
+    words = WORD.findall(text or "")
+    windows = Counter(tuple(words[i:i + 8]) for i in range(len(words) - 7))
+    covered = {j for i in range(len(words) - 7) if windows[tuple(words[i:i + 8])] > 1 for j in range(i, i + 8)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered))
+
+
+def test_quality_counts(spark, odd):
+    for df in (odd, docs_of(spark, SF001)):
+        rows = df.select("doc_id", "text").collect()
+        got = quality_rules.judge(df).collect()
+        key = lambda x: (x[0] is None, *[v or 0 for v in x])
+        assert sorted([(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got], key=key) \
+            == sorted([(r.doc_id, *brute_counts(r.text)) for r in rows], key=key)
+        for r in got:
+            assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+            assert not (r.base_failed and r.kept)
+
+
+def test_quality_rejects_outliers_only(spark):
+    got = {r.doc_id: r for r in quality_rules.judge(docs_of(spark, SF01)).collect()}
+    labels = spark.read.parquet(f"{SF01}/labels.parquet").collect()
+    good = [got[r.doc_id] for r in labels if r.quality == 1 and not got[r.doc_id].base_failed]
+    bad = [got[r.doc_id] for r in labels if r.quality == 0]
+    assert all(r.kept for r in good) and sum(not r.kept for r in bad) >= 0.9 * len(bad)
+
+
+def test_mcd_ignores_far_rows(spark):
+    """The estimate of clean rows is hardly moved by a fifth of far rows, as numpy's plain one is."""
+    rng = np.random.default_rng(3)
+    clean = rng.multivariate_normal([1, 2, 3, 4], np.diag([1.0, 4.0, 9.0, 1.0]) + 0.5, 4000)
+    far = rng.normal(60, 1, (1000, 4))
+    rows = [("g", *map(float, r)) for r in np.vstack([clean, far])]
+    df = spark.createDataFrame(rows, "g string, " + ", ".join(f"{a} double" for a in quality_rules.AXES))
+    r = quality_rules.estimate(df).first()
+    low = np.array([[r[f"l{i}{j}"] if j <= i else 0 for j in range(4)] for i in range(4)])
+    assert np.allclose([r[f"m{i}"] for i in range(4)], [1, 2, 3, 4], atol=0.35)
+    assert np.allclose(low @ low.T, np.cov(clean.T), rtol=0.45, atol=0.8)
+
+
+def test_quality_rules_empty(spark, empty):
+    assert quality_rules.judge(empty).count() == 0
+
+
+# -- classifier --------------------------------------------------------------
+
+def test_classifier_held_out_accuracy(spark):
+    got = {r.doc_id: r for r in queries.op8_quality(spark, SF01).collect()}
+    assert len(got) == 1000
+    held = [(got[r.doc_id], r.quality) for r in spark.read.parquet(f"{SF01}/labels.parquet").collect()
+            if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    assert all(g.held_out and g.predicted == int(g.score >= 0.3) for g, _ in held)
+    assert sum(g.predicted == y for g, y in held) >= 0.95 * len(held)
+
+
+def test_classifier_features_by_hand():
+    cfg = quality_classifier.Config(ngrams=(3,))
+    kinds = list(quality_classifier.features(["ab  CD ab", None, "x x"], cfg))
+    assert [(len(b), d.tolist()) for b, d in kinds] == [
+        (5, [0, 0, 0, 2, 2]), (3, [0, 0, 2]), (8, [0, 0, 0, 0, 0, 0, 2, 2])]
+    words = kinds[0][0].tolist()
+    assert words[0] == words[2] and words[3] == words[4] and words[0] != words[1]
+
+
+def test_classifier_chunks_do_not_matter(monkeypatch):
+    texts = ["good words here", "bad bad bad bad", "", None, "good and fine words", "bad " * 50] * 5
+    model = quality_classifier.fit(texts, [1, 0, 1, 1, 1, 0] * 5)
+    a = model.scores(texts)
+    monkeypatch.setattr("epilake.llm.common.CHUNK_CHARS", 10)
+    assert np.allclose(a, model.scores(texts)) and a[1] < a[0] and 0 <= a.min() and a.max() <= 1
+    assert quality_classifier.fit(["a"], [1]).scores(["b", None])[0] > 0.5
+    assert len(quality_classifier.fit([], []).scores(["b"])) == 1
+
+
+def test_classifier_odd_rows(spark, odd, empty):
+    labels = spark.createDataFrame([(7, 1), (7, 0), (16, 0), (None, 1), (5, None)], "doc_id long, quality int")
+    model = quality_classifier.train(odd, labels)
+    got = odd.select(quality_classifier.score(odd, model).alias("s")).collect()
+    assert len(got) == odd.count() and all(0 <= r.s <= 1 for r in got)
+    model = quality_classifier.train(empty, labels.limit(0))
+    assert empty.select(quality_classifier.score(empty, model)).count() == 0
+
+
+# -- urls --------------------------------------------------------------------
+
+def test_url_rules(spark):
+    urls = ["http://a.com/x", "https://EXAMPLE.com/en/1?q", "https://www.example.com/en/2#f", "http://b.net/es/1",
+            "http://netto/es/", "http://x.net/fr/", "http://a.com", None, "no scheme", "", "x://Y.Com?://z/", "http://a.COM/\nb"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = {r.page_id: (r.host, r.path, r.rule) for r in url_filter.judge(df).collect()}
+    assert got == {0: ("a.com", "/x", "com/"), 1: ("example.com", "/en/1", "example.com/en/"),
+                   2: ("www.example.com", "/en/2", "www.example.com/en/"), 3: ("b.net", "/es/1", "net/es/"),
+                   4: ("netto", "/es/", None), 5: ("x.net", "/fr/", "net/fr/"), 6: ("a.com", "", None),
+                   7: ("", "", None), 8: ("", "", None), 9: ("", "", None), 10: ("y.com", "", None),
+                   11: ("a.com", "/\nb", "com/")}
+
+
+def test_url_scores_equal_brute_force(spark):
+    rows = [(f"h{i % 7}.com/{'ab' * (i % 3)}{i}", "allow" if i % 2 else "block" if i % 3 else None) for i in range(60)]
+    df = spark.createDataFrame(sorted(set(rows)), "s string, label string").withColumn("example", F.lit(None).cast("string"))
+    got = {r.s: r.score for r in url_filter.scores(df).collect()}
+    k = url_filter.ORDER
+    counts = {"allow": Counter(), "block": Counter()}
+    for s, label in set(rows):
+        padded = url_filter.EDGE * k + s + url_filter.EDGE
+        for i in range(len(s) + 1):
+            if label:
+                for o in range(k + 1):
+                    counts[label][padded[i + k - o:i + k + 1]] += 1
+
+    def p(label, gram):
+        if not gram:
+            return url_filter.UNIFORM
+        context = sum(n for g, n in counts[label].items() if len(g) == len(gram) and g[:-1] == gram[:-1])
+        return (counts[label][gram] + url_filter.PRIOR * p(label, gram[1:])) / (context + url_filter.PRIOR)
+
+    todo = [s for s, label in set(rows) if label is None]
+    assert set(got) == set(todo)
+    for s in todo:
+        padded = url_filter.EDGE * k + s + url_filter.EDGE
+        want = sum(math.log(p("allow", padded[i:i + k + 1]) / p("block", padded[i:i + k + 1])) for i in range(len(s) + 1))
+        assert math.isclose(got[s], want / (len(s) + 1), abs_tol=1e-9)
+
+
+def test_url_query(spark):
+    rows = queries.op9_url_filter(spark, SF01).collect()
+    assert len(rows) == spark.read.parquet(f"{SF01}/pages.parquet").count()
+    assert {r.verdict for r in rows} <= {"allow", "block"}
+    empty = spark.createDataFrame([], "page_id long, url string, host string")
+    assert url_filter.judge(empty).count() == 0
+
+
+# -- personal data -----------------------------------------------------------
+
+def brute_spans(t):
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t):
+        out.append((0, m.start(), m.end()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t):
+        if all(int(x) <= 255 for x in m.group().split(".")):
+            out.append((1, m.start(), m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = re.sub("[^0-9]", "", m.group())
+        s = sum(x if i % 2 == 0 else 2 * x - 9 * (x > 4) for i, x in enumerate(int(c) for c in reversed(d)))
+        if 16 <= len(d) <= 19 and s % 10 == 0:
+            out.append((2, m.start(), m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t):
+        if 8 <= len(re.sub("[^0-9]", "", m.group())) <= 15:
+            out.append((3, m.start(), m.end()))
+    return out
+
+
+def test_base_spans_equal_patterns():
+    import random
+    rng = random.Random(4)
+    alphabet = "0123456789 .-+()@ab%é1.2@"
+    for _ in range(20_000):
+        t = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40)))
+        assert pii.base_spans(t) == brute_spans(t), t
+    assert pii.base_spans("4" + "0" * 5000 + "@" + "a" * 5000) == []
+
+
+def test_pii_query(spark, odd, empty):
+    for df in (docs_of(spark, SF001), odd):
+        model = pii.train(df, pii.Config(sample=200))
+        got = df.select("doc_id", "text", pii.find(df, model).alias("p")).select("doc_id", "text", "p.*").collect()
+        for r in got:
+            base = brute_spans(r.text or "")
+            text = ",".join(f"{pii.KINDS[k]}:{s}:{e}" for k, s, e in base)
+            assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+            assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == c for k, _, _ in base) for c in range(4)]
+            assert set(text.split(",")) <= set(r.spans.split(",")) | {""}
+            assert r.n_added == len([x for x in r.spans.split(",") if x]) - len(base)
+    model = pii.fit([])
+    assert empty.select(pii.find(empty, model)).count() == 0
+
+
+def test_field_learns_forms_beyond_the_patterns(spark):
+    texts = [r.text for r in docs_of(spark, SF01).filter(F.col("text").rlike("[0-9@]")).collect()]
+    model = pii.fit(texts)
+    _, every = model.spans("call me at 1-563-555-5874 today")
+    assert [k for k, _, _ in every] == [3]
+    assert model.spans("Version 2.0 of 4.0 in 1999, page 37")[1] == []
+
+
+def test_partition_function_is_exact():
+    """One training step's expectation equals enumeration of all segmentations."""
+    text, run = "11 22 33", [(0, 2), (3, 5), (6, 8)]
+    crf = pii.SemiCrf()
+    seg = crf.segments(text, run)
+    feats = {k: ["f%d-%d" % k] for k in seg}
+    rng = np.random.default_rng(0)
+    crf.weights = {(f, c): float(rng.normal()) for fs in feats.values() for f in fs for c in range(4)}
+    crf.segments = lambda *_: feats
+    before = dict(crf.weights)
+
+    def paths(i):
+        if i == 3:
+            yield [], 0.0
+            return
+        for rest, s in paths(i + 1):
+            yield rest, s
+        for m in range(1, 4 - i):
+            for c in range(4):
+                for rest, s in paths(i + m):
+                    yield [((i, m), c), *rest], s + crf.score(feats[i, m], c)
+
+    every = list(paths(0))
+    z = sum(math.exp(s) for _, s in every)
+    crf.learn(text, run, {}, 1.0, 0.0)
+    for k, fs in feats.items():
+        for c in range(4):
+            p = sum(math.exp(s) for path, s in every if (k, c) in path) / z
+            assert math.isclose(before[fs[0], c] - crf.weights[fs[0], c], p, abs_tol=1e-6)
