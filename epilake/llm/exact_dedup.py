@@ -90,9 +90,10 @@ def dedup(docs: DataFrame, index_path: str, id_col: str = "doc_id", text_col: st
             part = part.filter(F.col("id") <= high)
         index.append_new(part.groupBy("digest").agg(F.min("id").alias("keep_id")))
         low = high
-    groups = (seen.groupBy("digest").agg(F.sum("n").alias("group_size"))
-              .join(index.rows().hint("merge"), "digest"))
-    # only the id's side repeats a digest, and Spark splits such a partition
+    # written, so that both sides of the next join are dealt by exchanges: only
+    # the id's side repeats a digest, and Spark splits such a partition
+    groups = materialise(seen.groupBy("digest").agg(F.sum("n").alias("group_size"))
+                         .join(index.rows().hint("merge"), "digest"), "digest-groups")
     joined = seen.join(groups, "digest").select(
         "id", "digest", "keep_id", "group_size",
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy"))
