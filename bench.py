@@ -52,7 +52,7 @@ def refined_step(spark, trusted_path: str, base: str, materialise: bool) -> floa
     indicators = ind.region_daily_indicators(trusted)
     if materialise:
         io.write_partitioned(indicators, f"{base}/ind", io.AGGREGATE_PARTITION_COLUMNS,
-                             distribution="hash", sort_within=("date",))
+                             sort_within=("date",))
         indicators = spark.read.parquet(f"{base}/ind")
     else:
         indicators.count()

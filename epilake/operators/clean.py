@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from epilake.functions.columns import as_date
 from epilake.functions.columns import normalise_code as code_expr
-from epilake.plans.joins import BROADCAST_MAX_ROWS, bounded_broadcast
 
 
 def normalise_code(df: DataFrame, src: str, out: str = "code", width: int = 2) -> DataFrame:
@@ -36,19 +35,20 @@ def date_parts(df: DataFrame, src: str, date_out: str = "event_date",
 
 
 def enrich_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                     dim_columns: Mapping[str, str], width: int = 2,
-                     broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                     dim_columns: Mapping[str, str], width: int = 2) -> DataFrame:
     """Left outer join of events to a dimension on a normalised code.
 
     ``dim_columns`` maps dimension column -> output name (the dimension key
-    itself may be included). Every event row is kept; misses get nulls. The
-    dimension is broadcast only after its row count is checked against
-    ``broadcast_max_rows``; beyond that the join is a shuffle join.
+    itself may be included). Every event row is kept once; misses get nulls.
+    Dimension rows whose keys are equal once normalised count as one (the
+    greatest row), so they multiply no event. The planner chooses the join
+    by the dimension's measured bytes.
     """
     k = "__join_key"
     right = dim.select(code_expr(dim_key, width).alias(k),
                        *[F.col(c).alias(o) for c, o in dim_columns.items()])
-    right, _ = bounded_broadcast(right, broadcast_max_rows)
+    right = (right.groupBy(k).agg(F.max(F.struct(*dim_columns.values())).alias("__dim"))
+             .select(k, "__dim.*"))
     left = fact.withColumn(k, code_expr(fact_key, width))
     return left.join(right, on=k, how="left").drop(k)
 
@@ -65,12 +65,10 @@ def unmatched_keys(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
 
 def trusted_cases(cases: DataFrame, dim: DataFrame, raw_code: str = "region_raw",
-                  dim_key: str = "code", date_col: str = "report_date",
-                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                  dim_key: str = "code", date_col: str = "report_date") -> DataFrame:
     """Raw events + dimension columns (``dim_code``, ``dim_name``,
     ``population``) + parsed ``event_date`` and its year/month/day."""
     enriched = enrich_left_join(
         cases, dim, raw_code, dim_key,
-        {dim_key: "dim_code", "name": "dim_name", "population": "population"},
-        broadcast_max_rows=broadcast_max_rows)
+        {dim_key: "dim_code", "name": "dim_name", "population": "population"})
     return date_parts(enriched, date_col)

@@ -52,11 +52,19 @@ def running_total(df: DataFrame, value: str = "new_cases", partition_by: Sequenc
 
     The frame is written out: RANGE UNBOUNDED PRECEDING .. CURRENT ROW, so
     rows of one group with the same date are peers and share one total, and
-    a null date sorts first.
+    a null date sorts first. The window runs over one row per group and
+    date and is joined back, so a group with many rows a date (events
+    without a code, each with its own name) makes no large window.
     """
+    keys = [*partition_by, order_by]
     w = (Window.partitionBy(*partition_by).orderBy(F.col(order_by).asc_nulls_first())
          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(out, F.sum(value).over(w))
+    total = df.groupBy(*keys).agg(F.sum(value).alias("__sum")).withColumn("__total", F.sum("__sum").over(w))
+    total = total.select(*[F.col(c).alias(f"__{c}") for c in keys], F.col("__total").alias(out))
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return df.join(total, same).select(*df.columns, out)
 
 
 def rate_per_n(df: DataFrame, value: str = "cumulative_cases", population: str = "population",

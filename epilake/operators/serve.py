@@ -8,9 +8,9 @@ a partitioned table is pruned instead of scanned.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SERVE_COLUMNS = ("date", "new_cases_national", "cumulative_cases_national",
@@ -60,7 +60,8 @@ def last_n_days(summary: DataFrame, n_days: int = 30, as_of: str | _dt.date | No
     newest first, national rate rounded to 2 places."""
     if as_of is None:
         start_col = F.date_sub(F.current_date(), n_days)
-        rows = summary.filter(F.col("date") >= start_col)
+        # the year's bound folds to a constant and prunes the year folders
+        rows = summary.filter((F.col("year") >= F.year(start_col)) & (F.col("date") >= start_col))
     else:
         start = _as_date(as_of) - _dt.timedelta(days=n_days)
         rows = summary.filter(partition_lower_bound(start) & (F.col("date") >= F.lit(start)))
@@ -102,11 +103,13 @@ def row_count(df: DataFrame, rows: str = "rows", columns: str = "columns") -> Da
     return df.agg(F.count(F.lit(1)).alias(rows)).withColumn(columns, F.lit(len(df.columns)))
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Attach a row counter that fills in while ``df`` is written: logging
-    a count costs no extra job (read ``obs.get`` after the action)."""
+def observed(df: DataFrame, name: str, conditions: Mapping[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+    """Attach a row counter, and one for each of ``conditions``, that fill
+    in while ``df`` is written: counting costs no extra job (read
+    ``obs.get`` after the action)."""
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                      *[F.count_if(c).alias(n) for n, c in (conditions or {}).items()]), obs
 
 
 def run_sql(spark: SparkSession, query: str, **args: object) -> DataFrame:

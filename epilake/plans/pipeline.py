@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epilake.functions.columns import AGE_BINS, AGE_FALLBACK
+from epilake.functions.columns import normalise_code as code_expr
 from epilake.operators import analytics as an
 from epilake.operators import clean as cl
 from epilake.operators import indicators as ind
@@ -63,6 +64,7 @@ class PipelineConfig:
 class PipelineResult:
     paths: dict[str, str] = field(default_factory=dict)
     rows: dict[str, int] = field(default_factory=dict)
+    rejects: dict[str, int] = field(default_factory=dict)  # bad_dates, unmatched
 
 
 #: Default folder of each published table under the base path.
@@ -130,16 +132,20 @@ def step_trusted(spark: SparkSession, cases: DataFrame, dim: DataFrame, base_pat
                  config: PipelineConfig | None = None,
                  result: PipelineResult | None = None) -> PipelineResult:
     """Step 1: enrich + date parts, event level -> partitioned write of the
-    trusted table (REBALANCE, or hash for a bounded input; see
-    :func:`epilake.sources.files.choose_distribution`)."""
+    trusted table. Unreadable dates and events without a dimension row
+    are counted during the write (``result.rejects``)."""
     cfg, res = config or PipelineConfig(), result or PipelineResult()
     path = table_paths(base_path, cfg.folders)["trusted"]
     trusted = cl.trusted_cases(cases, dim)
-    distribution = io.choose_distribution(trusted)  # before observe: the probe is an action
-    df, obs = observed(_publish_names(trusted, cfg, "trusted"), "trusted")
+    trusted, obs = observed(trusted, "trusted", {
+        "bad_dates": F.col("event_date").isNull() & F.col("report_date").isNotNull(),
+        "unmatched": F.col("dim_code").isNull()})
+    df = _publish_names(trusted, cfg, "trusted")
     io.write_partitioned(df, path, _partition_names(cfg, "trusted", io.PARTITION_COLUMNS),
-                         distribution=distribution, dynamic=cfg.dynamic_overwrite)
-    res.paths["trusted"], res.rows["trusted"] = path, obs.get["rows"]
+                         dynamic=cfg.dynamic_overwrite)
+    got = obs.get
+    res.paths["trusted"], res.rows["trusted"] = path, got["rows"]
+    res.rejects = {k: got[k] for k in ("bad_dates", "unmatched")}
     return res
 
 
@@ -156,7 +162,7 @@ def step_refined(spark: SparkSession, base_path: str, config: PipelineConfig | N
     df, obs = observed(ind.region_daily_indicators(trusted), "indicators")
     io.write_partitioned(_publish_names(df, cfg, "indicators"), paths["indicators"],
                          _partition_names(cfg, "indicators", io.AGGREGATE_PARTITION_COLUMNS),
-                         distribution="hash", dynamic=cfg.dynamic_overwrite,
+                         dynamic=cfg.dynamic_overwrite,
                          sort_within=_partition_names(cfg, "indicators", ("date",)))
     res.paths["indicators"], res.rows["indicators"] = paths["indicators"], obs.get["rows"]
     indicators = _read_back(spark, paths["indicators"], cfg, "indicators")
@@ -195,7 +201,7 @@ def step_summary(spark: SparkSession, base_path: str, config: PipelineConfig | N
     df, obs = observed(ind.national_daily_summary(indicators, densify=cfg.densify), "summary")
     io.write_partitioned(_publish_names(df, cfg, "summary"), paths["summary"],
                          _partition_names(cfg, "summary", io.AGGREGATE_PARTITION_COLUMNS),
-                         distribution="hash", dynamic=cfg.dynamic_overwrite,
+                         dynamic=cfg.dynamic_overwrite,
                          sort_within=_partition_names(cfg, "summary", ("date",)))
     res.paths["summary"], res.rows["summary"] = paths["summary"], obs.get["rows"]
     return res
@@ -214,21 +220,30 @@ def ingest_dimension(spark: SparkSession, csv_path: str, table_path: str, versio
                      previous_version: str | None = None, export_path: str | None = None,
                      export_format: str = "csv") -> tuple[str, DataFrame]:
     """Keyed dimension ingest: CSV (explicit schema, codes stay strings)
-    -> contract report -> upsert into a new table version
-    (``table_path/v=<version>``) -> optional export.
+    -> keys normalised as the join does -> contract -> upsert into a new
+    table version (``table_path/v=<version>``) -> optional export.
 
-    Returns ``(new_version_path, contract_report)``; the report is one row
-    of violation counts for the caller to act on.
+    A key repeated in the file is replaced by its last row in file order. A
+    missing or overlong value raises ``ValueError`` and nothing is
+    published. Returns ``(new_version_path, contract_report)``; the report
+    counts repeated keys too.
     """
-    incoming = io.scan_csv(spark, csv_path, DIM_SCHEMA)
-    report = tb.check_table_contract(incoming, DIM_CONTRACT["key"], DIM_CONTRACT["not_null"],
-                                     DIM_CONTRACT["max_length"])
+    key, seq = DIM_CONTRACT["key"], "__seq"
+    incoming = (io.scan_csv(spark, csv_path, DIM_SCHEMA)
+                .withColumn(seq, F.monotonically_increasing_id())
+                .withColumn(key, code_expr(key, DIM_CONTRACT["max_length"][key])))
+    report = tb.check_table_contract(incoming, key, DIM_CONTRACT["not_null"], DIM_CONTRACT["max_length"])
+    found = report.first().asDict()
+    broken = {k: n for k, n in found.items() if n and k.startswith(("null_", "long_"))}
+    if broken:
+        raise ValueError(f"{csv_path} breaks the table contract: {broken}")
     new_path = f"{table_path.rstrip('/')}/v={version}"
     if previous_version is None:
-        incoming.write.mode("errorifexists").parquet(new_path)
+        empty = spark.createDataFrame([], DIM_SCHEMA)
+        tb.upsert_by_key(empty, incoming, key, seq).write.mode("errorifexists").parquet(new_path)
     else:
         tb.publish_upsert(spark, f"{table_path.rstrip('/')}/v={previous_version}", incoming,
-                          DIM_CONTRACT["key"], new_path)
+                          key, new_path, seq)
     if export_path:
         io.export_table(spark.read.parquet(new_path), export_path, export_format)
     return new_path, report

@@ -29,10 +29,6 @@ from pyspark.sql.types import (DateType, DoubleType, FloatType, IntegralType, Ti
 # go through doubles, so a returned bracket could fall between two keys).
 _SKETCHABLE = (IntegralType, FloatType, DoubleType, DateType, TimestampType, TimestampNTZType)
 
-#: A plain top-n (TakeOrderedAndProject) is used while its final task would
-#: receive at most this many rows (``n`` x the number of input partitions).
-GATHER_MAX_ROWS = 5_000_000
-
 
 def nth_smallest(df: DataFrame, key: str, n: int, small: int = 100_000,
                  accuracy: int = 10_000, max_rounds: int = 32):
@@ -81,20 +77,19 @@ def nth_smallest(df: DataFrame, key: str, n: int, small: int = 100_000,
     return keys.orderBy(k.asc()).limit(n).agg(F.max(key)).first()[0]
 
 
-def first_n_by(df: DataFrame, n: int, key: str, gather_max_rows: int = GATHER_MAX_ROWS,
+def first_n_by(df: DataFrame, n: int, key: str,
                small: int = 100_000, accuracy: int = 10_000) -> DataFrame:
     """The ``n`` rows with the smallest ``key`` (nulls last), exactly ``n``
     rows when the input has that many.
 
-    A plain top-n sends ``n`` rows from every input partition to one task;
-    it is used while that is at most ``gather_max_rows`` rows (or for a key
-    type outside the sketch's exact types, such as strings or decimals). Otherwise the
-    cutoff selection of :func:`nth_smallest` is used. If the cutoff value
+    Keys of the sketch's exact types are cut by :func:`nth_smallest`, at any
+    size; others (strings, decimals) take a plain top-n, which sends ``n``
+    rows from every input partition to one task. If the cutoff value
     is tied, an arbitrary subset of the tied rows fills the count (as SQL
     ``ORDER BY .. LIMIT`` does)."""
     k = F.col(key)
     sketchable = isinstance(df.schema[key].dataType, _SKETCHABLE)
-    if not sketchable or n * df.rdd.getNumPartitions() <= gather_max_rows:
+    if not sketchable:
         return df.orderBy(k.asc_nulls_last()).limit(n)
     c = nth_smallest(df, key, n, small=small, accuracy=accuracy)
     if c is None:  # fewer than n non-null keys: all of them, then nulls

@@ -64,7 +64,7 @@ _PUBLISHED: dict[tuple[str, str, str], tuple[str, str]] = {}
 
 def published(spark: SparkSession, sf: str, name: str,
               build: Callable[[SparkSession, str], DataFrame],
-              distribution: str = "hash") -> tuple[DataFrame, str]:
+              distribution: str = "rebalance") -> tuple[DataFrame, str]:
     """Write ``build(spark, sf)`` once as a date-partitioned table,
     register it in the session catalog, and return ``(table, path)``.
 
@@ -253,13 +253,13 @@ def q_scan_csv(spark, sf):
 
 
 def q_scan_partitioned_parquet(spark, sf):
-    return published_indicators(spark, sf)
+    return io.scan_partitioned_parquet(spark, published(spark, sf, "region_indicators", indicators)[1])
 
 
 def q_write_partitioned_roundtrip(spark, sf):
     path = scratch_path(spark, "trusted")
     df = trusted(spark, sf)
-    io.write_partitioned(df, path, distribution=io.choose_distribution(df))
+    io.write_partitioned(df, path)
     return io.scan_partitioned_parquet(spark, path)
 
 
@@ -299,7 +299,7 @@ def q_export_table(spark, sf):
 def q_register_lake_tables(spark, sf):
     path = scratch_path(spark, "summary_tbl")
     io.write_partitioned(summary(spark, sf), path, io.AGGREGATE_PARTITION_COLUMNS,
-                         distribution="hash", sort_within=("date",))
+                         sort_within=("date",))
     name = "national_summary_" + path.rsplit("-", 1)[-1]
     return tb.register_lake_table(spark, name, path, partitioned=True)
 

@@ -46,29 +46,6 @@ def scan_partitioned_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-#: Inputs of at most this many rows are hash-distributed on the partition
-#: columns by :func:`choose_distribution`: even if one value held every row,
-#: a writer task would get at most this many.
-HASH_MAX_ROWS = 200_000
-
-
-def choose_distribution(df: DataFrame, max_rows: int = HASH_MAX_ROWS) -> str:
-    """``"hash"`` for an input known to hold at most ``max_rows`` rows, else
-    ``"rebalance"``.
-
-    AQE sizes REBALANCE writers by bytes, so a small input spread over many
-    partition values (thousands of dates) lands in one writer task that
-    opens every file in turn; a bounded input can safely use one writer per
-    shuffle partition instead. The probe is ``take(max_rows + 1)`` on one
-    column: it scans splits incrementally and stops at the bound, so a large
-    input costs one or two splits. Call it on a lineage without a selective
-    filter (the probe stops only when enough rows have been produced), and
-    before attaching an ``observe``, which the probe would otherwise fill.
-    """
-    n = len(df.select(F.lit(1).alias("one")).take(max_rows + 1))
-    return "hash" if n <= max_rows else "rebalance"
-
-
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] = PARTITION_COLUMNS,
                       distribution: str = "rebalance", num_partitions: int | None = None,
                       dynamic: bool = False, max_records_per_file: int = 5_000_000,
@@ -77,13 +54,12 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
 
     ``distribution`` says how rows reach the writers:
 
-    - ``"rebalance"`` (event-level tables, where one date may hold a large
-      share of all rows): the REBALANCE hint shuffles on the partition
-      columns and AQE splits an oversized value over several tasks and
-      merges small ones, so files stay near the advisory size;
-    - ``"hash"`` (aggregated tables, a bounded number of rows per value):
-      ``repartition(n, *cols)`` with ``n`` = the session's shuffle
-      partitions, one writer per value and no single-task write;
+    - ``"rebalance"`` (what the pipeline uses for every table and size): the
+      REBALANCE hint shuffles on the partition columns and AQE splits an
+      oversized value over several tasks and merges small ones, so files
+      stay near the advisory size;
+    - ``"hash"``: ``repartition(n, *cols)`` with ``n`` = the session's
+      shuffle partitions; one writer per value, which AQE can't split;
     - ``"none"``: keep the current partitioning.
 
     Overwrite is static by default -- partitions absent from ``df``
@@ -122,9 +98,9 @@ EXPORT_FORMATS = ("csv", "parquet")
 
 
 def export_table(df: DataFrame, path: str, fmt: str = "csv") -> str:
-    """Export as CSV (with header) or Parquet; any other value means CSV.
-    Returns the format used."""
-    fmt = fmt.lower() if fmt and fmt.lower() in EXPORT_FORMATS else "csv"
+    """Export as CSV (with header) or Parquet; any value but exactly
+    ``parquet`` means CSV. Returns the format used."""
+    fmt = fmt if fmt in EXPORT_FORMATS else "csv"
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         writer.option("header", True).csv(path)
@@ -144,8 +120,8 @@ def export_tables(tables: dict[str, DataFrame], base_path: str, fmt: str = "csv"
 
 
 def ingest_limit(df: DataFrame, n: int, order_col: str) -> DataFrame:
-    """First ``n`` records by ``order_col`` (a bounded ingest that is the
-    same on every run). A large ``n`` is cut at the n-th key found by a
+    """First ``n`` records by ``order_col``, cut at the n-th key found by a
     distributed selection (:mod:`epilake.plans.selection`), so no task
-    collects the top ``n`` of every split."""
+    collects the top ``n`` of every split. The same on every run if the
+    column is unique; of rows tied at the cutoff some are taken."""
     return first_n_by(df, n, order_col)

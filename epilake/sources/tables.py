@@ -29,7 +29,8 @@ def upsert_by_key(target: DataFrame, incoming: DataFrame, key: str | Sequence[st
         # reaches the reducer as one row per task, not as one window group
         rest = [c for c in incoming.columns if c not in keys and c != seq_col]
         batch = (incoming.groupBy(*keys)
-                 .agg(F.max_by(F.struct(*rest), F.col(seq_col)).alias("__last"))
+                 .agg(F.max_by(F.struct(*rest), F.struct(F.col(seq_col).isNotNull(), F.col(seq_col)))
+                      .alias("__last"))  # a null sequence is the earliest, not lost
                  .select(*keys, "__last.*"))
     kept = target.join(batch.select(*keys), on=keys, how="left_anti")
     return batch.select(*target.columns).unionByName(kept)
@@ -75,7 +76,9 @@ def register_lake_table(spark: SparkSession, name: str, path: str, partitioned:
     """Register a Parquet folder as a catalog table (schema from the files,
     partitions from ``key=value`` folders) and return it.
 
-    Re-running refreshes the partition list, so new partitions appear.
+    Re-running points an existing external table at ``path`` and takes the
+    schema and partitions found there. A managed table of that name is an
+    error, as replacing it would delete its data.
     """
     for ident in (name, database or "default"):
         if not _IDENT.match(ident):
@@ -83,8 +86,11 @@ def register_lake_table(spark: SparkSession, name: str, path: str, partitioned:
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         name = f"{database}.{name}"
-    if not spark.catalog.tableExists(name):
-        spark.catalog.createTable(name, path=path, source="parquet")
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType != "EXTERNAL":
+            raise ValueError(f"{name} is not an external table")
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
     if partitioned:  # until partitions are registered the table reads 0 rows
         spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)

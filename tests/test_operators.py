@@ -247,22 +247,22 @@ def test_reports_from_profile_equal_event_level(spark):
         assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, shared.collect()))
 
 
-def test_enrich_broadcasts_only_under_the_bound(spark):
-    # AQE off, so the plan shows the static join choice
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        fact = spark.createDataFrame([(i, str(i % 5)) for i in range(50)], "id long, k string")
-        dim = spark.createDataFrame([(str(i).zfill(2), f"n{i}") for i in range(5)], "code string, name string")
-        small = cl.enrich_left_join(fact, dim, "k", "code", {"name": "name"}, broadcast_max_rows=5)
-        big = cl.enrich_left_join(fact, dim, "k", "code", {"name": "name"}, broadcast_max_rows=4)
-        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan(small)
-        assert "BroadcastHashJoin" not in plan(big) and "SortMergeJoin" in plan(big)
-        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_enrich_multiplies_no_event(spark):
+    fact = spark.createDataFrame([(i, str(i % 5)) for i in range(50)], "id long, k string")
+    dim = spark.createDataFrame([("0", "a"), ("00", "b"), ("1", "c")], "code string, name string")
+    got = cl.enrich_left_join(fact, dim, "k", "code", {"name": "name"})
+    assert got.count() == 50
+    assert {(r.k, r.name) for r in got.collect()} == {("0", "b"), ("1", "c"), ("2", None), ("3", None), ("4", None)}
+
+
+def test_running_total_with_many_names_of_a_null_code(spark):
+    rows = [(None, D(2020, 1, 1), f"n{i}", 1) for i in range(50)] + [
+        (None, None, "x", 2), (None, D(2020, 1, 2), "y", 3), ("05", D(2020, 1, 1), "A", 4)]
+    df = spark.createDataFrame(rows, "code string, date date, name string, new_cases long")
+    got = ind.running_total(df)
+    assert got.count() == len(rows)
+    totals = {(r.code, r.date): r.cumulative_cases for r in got.collect()}
+    assert totals == {(None, None): 2, (None, D(2020, 1, 1)): 52, (None, D(2020, 1, 2)): 55, ("05", D(2020, 1, 1)): 4}
 
 
 def test_null_population_adds_cases_not_population(spark):

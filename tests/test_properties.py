@@ -90,6 +90,6 @@ def test_trailing_means_and_prefix_sum_match_brute_force(spark, days, n, block):
        n=st.integers(1, 130))
 def test_first_n_by_matches_sorted_prefix(spark, vals, n):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, k long")
-    out = first_n_by(df, n, "k", gather_max_rows=0, small=3, accuracy=20).collect()
+    out = first_n_by(df, n, "k", small=3, accuracy=20).collect()
     ordered = sorted(vals, key=lambda v: (v is None, v if v is not None else 0))[:n]
     assert sorted((r.k for r in out), key=lambda v: (v is None, v if v is not None else 0)) == ordered

@@ -38,7 +38,7 @@ def test_first_n_by_matches_top_n(spark):
     df = spark.range(3000).select(
         F.col("id"), ((F.col("id") * 104729) % 5003).alias("k"),
         (F.col("id") % 17).alias("v"))
-    out = first_n_by(df, 1234, "k", gather_max_rows=0, small=16, accuracy=25)
+    out = first_n_by(df, 1234, "k", small=16, accuracy=25)
     ref = df.orderBy("k").limit(1234)
     assert out.count() == 1234
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, ref.collect()))
@@ -47,7 +47,7 @@ def test_first_n_by_matches_top_n(spark):
 def test_first_n_by_ties_fill_exactly(spark):
     df = spark.range(600).select(F.col("id"), F.when(F.col("id") < 400, 5)
                                  .otherwise(F.col("id")).alias("k"))
-    out = first_n_by(df, 450, "k", gather_max_rows=0, small=4, accuracy=25)
+    out = first_n_by(df, 450, "k", small=4, accuracy=25)
     rows = out.collect()
     assert len(rows) == 450
     assert sum(r.k == 5 for r in rows) == 400 and max(r.k for r in rows) == 449
@@ -55,7 +55,7 @@ def test_first_n_by_ties_fill_exactly(spark):
 
 def test_first_n_by_fewer_keys_than_n_keeps_nulls_last(spark):
     df = spark.createDataFrame([(i if i < 20 else None,) for i in range(30)], "k long")
-    out = first_n_by(df, 25, "k", gather_max_rows=0, small=4, accuracy=25).collect()
+    out = first_n_by(df, 25, "k", small=4, accuracy=25).collect()
     assert len(out) == 25 and sum(r.k is None for r in out) == 5
 
 
@@ -63,7 +63,7 @@ def test_first_n_by_dates(spark):
     base = _dt.date(2020, 1, 1)
     df = spark.createDataFrame([(base + _dt.timedelta(days=(i * 37) % 400), i) for i in range(400)],
                                "d date, i int")
-    out = first_n_by(df, 123, "d", gather_max_rows=0, small=8, accuracy=25)
+    out = first_n_by(df, 123, "d", small=8, accuracy=25)
     assert sorted(r.d for r in out.collect()) == sorted(r.d for r in df.orderBy("d").limit(123).collect())
 
 
@@ -77,11 +77,11 @@ def test_ingest_limit_large_gather_has_no_single_task_top_n(spark):
     assert tuple(got) == (0, 59_999, 60_000)
 
 
-def test_first_n_by_small_gather_uses_plain_top_n(spark):
+def test_first_n_by_has_one_path_for_all_sizes(spark):
     df = spark.range(0, 1000, 1, 4).select(((F.col("id") * 7) % 1000).alias("k"))
     out = first_n_by(df, 10, "k")
-    assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
-    assert [r.k for r in out.collect()] == list(range(10))
+    assert "TakeOrderedAndProject" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.k for r in out.collect()) == list(range(10))
 
 
 def test_upsert_hot_key_is_aggregated_not_windowed(spark):
@@ -101,7 +101,7 @@ def test_first_n_by_timestamps_and_doubles(spark):
     rows = [(base + _dt.timedelta(seconds=(i * 7919) % 5000), ((i * 104729) % 5000) / 7.0) for i in range(5000)]
     df = spark.createDataFrame(rows, "ts timestamp, x double")
     for key in ("ts", "x"):
-        out = first_n_by(df, 777, key, gather_max_rows=0, small=16, accuracy=25)
+        out = first_n_by(df, 777, key, small=16, accuracy=25)
         want = sorted(getattr(r, key) for r in df.orderBy(key).limit(777).collect())
         assert sorted(getattr(r, key) for r in out.collect()) == want
 
@@ -109,6 +109,6 @@ def test_first_n_by_timestamps_and_doubles(spark):
 def test_first_n_by_decimal_key_uses_plain_top_n(spark):
     from decimal import Decimal
     df = spark.createDataFrame([(Decimal(i % 97) / 3,) for i in range(500)], "d decimal(10,4)")
-    out = first_n_by(df, 50, "d", gather_max_rows=0)
+    out = first_n_by(df, 50, "d")
     assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.d for r in out.collect()) == sorted(r.d for r in df.orderBy("d").limit(50).collect())

@@ -63,3 +63,13 @@ def test_observed_count_costs_no_extra_job(spark):
     df, obs = sv.observed(spark.range(123), "n")
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == 123
+
+
+def test_last_n_days_of_today_prunes_years(spark, tmp_path):
+    from epilake.sources import files as io
+    rows = [(dt.date(y, 1, 1), y, 1, 1, 1, 1, 1.0) for y in (2019, 2020)]
+    df = spark.createDataFrame(rows, "date date, year int, month int, day int, new_cases_national long, "
+                                     "cumulative_cases_national long, rate_per_100k_national double")
+    io.write_partitioned(df, str(tmp_path / "s"), ("year",))
+    plan = sv.last_n_days(spark.read.parquet(str(tmp_path / "s")), 30)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]

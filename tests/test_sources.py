@@ -77,7 +77,7 @@ def test_export_unknown_format_falls_back_to_csv(spark):
     df = spark.createDataFrame([("05", "A", 1)], DIM_SCHEMA)
     assert io.export_table(df, path, "xlsx") == "csv"
     assert io.scan_csv(spark, path, DIM_SCHEMA).count() == 1
-    assert io.export_table(df, scratch_path(spark, "exp"), "PARQUET") == "parquet"
+    assert io.export_table(df, scratch_path(spark, "exp"), "PARQUET") == "csv"
 
 
 def test_contract_violations(spark):
@@ -123,11 +123,41 @@ def test_ingest_dimension_versions(spark):
     assert spark.read.parquet(v1).count() == 2
 
 
-def test_choose_distribution_by_bounded_probe(spark):
-    small = spark.range(0, 1000, 1, 4)
-    big = spark.range(0, 5000, 1, 40)
-    assert io.choose_distribution(small, max_rows=1000) == "hash"
-    assert io.choose_distribution(big, max_rows=1000) == "rebalance"
+def test_ingest_dimension_last_row_of_a_key_wins(spark):
+    from epilake.plans.pipeline import ingest_dimension
+    csv, table = (scratch_path(spark, n) for n in ("d3", "dimtbl3"))
+    rows = [("05", "A", 1), ("8", "B", 2), ("5", "A2", 4), ("08", "B3", 5)]
+    spark.createDataFrame(rows, DIM_SCHEMA).coalesce(1).write.option("header", True).csv(csv)
+    v1, rep = ingest_dimension(spark, csv, table, "1")
+    assert rep.first().duplicate_keys == 2
+    assert sorted(map(tuple, spark.read.parquet(v1).collect())) == [("05", "A2", 4), ("08", "B3", 5)]
+
+
+def test_ingest_dimension_stops_on_violations(spark):
+    import pytest
+
+    from epilake.plans.pipeline import ingest_dimension
+    csv, table = (scratch_path(spark, n) for n in ("d4", "dimtbl4"))
+    spark.createDataFrame([("05", None, 1)], DIM_SCHEMA).write.option("header", True).csv(csv)
+    with pytest.raises(ValueError, match="null_name"):
+        ingest_dimension(spark, csv, table, "1")
+
+
+def test_upsert_keeps_a_row_with_null_sequence(spark):
+    target = spark.createDataFrame([("a", 1), ("b", 9)], "k string, v int")
+    batch = spark.createDataFrame([("a", 2, None), ("b", 3, None), ("b", 4, 1)], "k string, v int, seq int")
+    got = sorted(map(tuple, tb.upsert_by_key(target, batch, "k", "seq").collect()))
+    assert got == [("a", 2), ("b", 4)]
+
+
+def test_register_follows_a_new_location_and_schema(spark):
+    a, b = scratch_path(spark, "ra"), scratch_path(spark, "rb")
+    spark.range(3).write.parquet(a)
+    spark.range(7).selectExpr("id", "id * 2 AS twice").write.parquet(b)
+    name = "moved_" + a.rsplit("-", 1)[-1]
+    assert tb.register_lake_table(spark, name, a, partitioned=False).count() == 3
+    moved = tb.register_lake_table(spark, name, b, partitioned=False)
+    assert moved.columns == ["id", "twice"] and moved.count() == 7
 
 
 def test_contract_report_counts_violations(spark):
