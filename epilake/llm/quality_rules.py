@@ -44,6 +44,8 @@ PRIOR_WORDS, PRIOR_LENGTH = 50, 5.0
 #: deviations in the plane of the estimate; the bulk's own tails stay.
 CUTOFF = 64.0
 ACCURACY = 10_000
+#: A group's estimate meets its rows in so many parts, so that a hot group is split.
+SALTS = 32
 AXES = ("x0", "x1", "x2", "x3")
 
 
@@ -137,11 +139,25 @@ def _factor(stats: DataFrame, scale: float) -> DataFrame:
     return stats.select("g", *[f"m{i}" for i in range(p)], *[f"l{i}{j}" for i in range(p) for j in range(i + 1)])
 
 
+def _salted(small: DataFrame) -> DataFrame:
+    """A table of one row per group, each repeated for every salt."""
+    return small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _salt(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+
+
 def estimate(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Centre and factor by group of ``rows`` (g, axes): a row per group."""
+    """Centre and factor by group of ``rows`` (g, axes, and ``_salt``, by
+    default made of the axes): a row per group."""
+    if "_salt" not in rows.columns:
+        rows = rows.withColumn("_salt", _salt(*AXES))
+    on = ["g", "_salt"]
     p, scale = len(AXES), consistency(KEEP, len(AXES))
-    mid = rows.groupBy("g").agg(*[F.percentile_approx(a, 0.5, ACCURACY).alias(f"m{i}") for i, a in enumerate(AXES)])
-    mad = rows.join(mid, "g").groupBy("g").agg(
+    mid = materialise(rows.groupBy("g").agg(
+        *[F.percentile_approx(a, 0.5, ACCURACY).alias(f"m{i}") for i, a in enumerate(AXES)]), "mcd-middle")
+    mad = rows.join(_salted(mid), on).groupBy("g").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(p)],
         *[F.percentile_approx(F.abs(F.col(a) - F.col(f"m{i}")), 0.5, ACCURACY).alias(f"a{i}")
           for i, a in enumerate(AXES)])
@@ -150,9 +166,9 @@ def estimate(rows: DataFrame, steps: int = STEPS) -> DataFrame:
         *[(F.col(f"a{i}") * 1.4826 + FLOOR[i] if i == j else F.lit(0.0)).alias(f"l{i}{j}")
           for i in range(p) for j in range(i + 1)]), "mcd-start")
     for _ in range(steps):
-        far = _mahalanobis(rows.join(now, "g")).select("g", "d", *AXES)
+        far = _mahalanobis(rows.join(_salted(now), on)).select(*on, "d", *AXES)
         cut = materialise(far.groupBy("g").agg(F.percentile_approx("d", KEEP, ACCURACY).alias("cut")), "mcd-cut")
-        near = far.join(cut, "g").filter(F.col("d") <= F.col("cut"))
+        near = far.join(_salted(cut), on).filter(F.col("d") <= F.col("cut"))
         got = near.groupBy("g").agg(
             *[F.avg(a).alias(f"m{i}") for i, a in enumerate(AXES)],
             *[F.covar_pop(AXES[i], AXES[j]).alias(f"s{i}{j}") for i in range(p) for j in range(i + 1)])
@@ -169,7 +185,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     rows = counts(docs.select(F.col(id_col), F.col(text_col).alias("_t"), name(lang_col).alias("_lang"),
                               name(source_col).alias("_source")), "_t").drop("_t")
-    rows = materialise(vectors(rows.withColumn("base_failed", base_failed())), "statistics")
+    rows = vectors(rows.withColumn("base_failed", base_failed())).withColumn("_salt", _salt(id_col))
+    rows = materialise(rows, "statistics")
     good = rows.filter(~F.col("base_failed"))
     size = materialise(good.groupBy("_lang", "_source").agg(F.count(F.lit(1)).alias("n")), "group-sizes")
     langs = size.groupBy("_lang").agg(F.sum("n").alias("n_lang"))
@@ -180,17 +197,16 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         .otherwise(F.lit("all")).alias("g")), "groups")
     uses = {r.kind for r in groups.select(F.substring("g", 1, 1).alias("kind")).distinct().collect()}
     # each estimate is made from all the rows it stands for
-    parts = [good.select(pair.alias("g"), *AXES)]
+    parts = [good.select(pair.alias("g"), "_salt", *AXES)]
     if "l" in uses:
-        parts.append(good.select(lang.alias("g"), *AXES))
+        parts.append(good.select(lang.alias("g"), "_salt", *AXES))
     if "a" in uses:
-        parts.append(good.select(F.lit("all").alias("g"), *AXES))
+        parts.append(good.select(F.lit("all").alias("g"), "_salt", *AXES))
     base = parts[0]
     for part in parts[1:]:
         base = base.unionByName(part)
-    wanted = groups.select("g").distinct()
-    found = estimate(base.join(wanted, "g", "left_semi"))
-    far = _mahalanobis(good.join(groups, ["_lang", "_source"]).join(found, "g"))
+    found = materialise(groups.join(estimate(base), "g"), "estimates")
+    far = _mahalanobis(good.join(_salted(found), ["_lang", "_source", "_salt"]))
     out = [id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     judged = far.select(*out, (F.col("d") <= CUTOFF).alias("kept"), F.col("d").alias("distance"))
     return judged.unionByName(rows.filter("base_failed").select(
