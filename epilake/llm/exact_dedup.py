@@ -88,7 +88,9 @@ def dedup(docs: DataFrame, index_path: str, id_col: str = "doc_id", text_col: st
                                else (F.col("id") > low) | F.col("id").isNull())
         if high is not None:
             part = part.filter(F.col("id") <= high)
-        index.append_new(part.groupBy("digest").agg(F.min("id").alias("keep_id")))
+        # written, else the optimizer moves the anti-join below this aggregate
+        # and every copy is shuffled instead of one row per digest
+        index.append_new(materialise(part.groupBy("digest").agg(F.min("id").alias("keep_id")), "digest-batch"))
         low = high
     # written, so that both sides of the next join are dealt by exchanges: only
     # the id's side repeats a digest, and Spark splits such a partition
