@@ -29,8 +29,11 @@ BLOCK_WORDS = 512
 SLOTS_PER_SHARD = 1024
 SEED = 17
 
-#: Rows numbered by one window, and draws made by one generating row.
-LEVEL = 1024
+#: Rows numbered by one window (few, so that a hot source's windows spread
+#: evenly over the tasks), windows numbered by one of the level above, and
+#: draws made by one generating row.
+BUCKET = 64
+LEVEL = 4096
 DRAWS = 4096
 #: Odd multipliers under 2^21: a block index up to 2^41 stays within a long.
 ROUNDS = 4
@@ -105,8 +108,8 @@ def starts(sizes: DataFrame) -> DataFrame:
     before the document, by a fixed pseudorandom order of the documents."""
     spread = sizes.withColumn("_h", _key(F.col("doc_id"), F.lit(SEED), digits=10))
     rows = sizes.count()
-    # as many buckets as hold LEVEL rows each, by ranges of the hash
-    n = max(1, -(-rows // LEVEL))
+    # as many buckets as hold BUCKET rows each, by ranges of the hash
+    n = max(1, -(-rows // BUCKET))
     spread = spread.withColumn("_b", F.floor(F.col("_h") * F.lit(n / float(1 << 40))).cast("long"))
     spread = spread.withColumn("_b2", F.floor(F.col("_b") / LEVEL).cast("long"))
     src = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("~"))  # null is a source too
