@@ -55,6 +55,7 @@ SOURCE_LAYOUT = {
 # source's downstream queries know them (table -> folder, table -> columns).
 SOURCE_NAMES = {
     "folders": {
+        "trusted": "trusted/covid",
         "indicators": "refined/indicadores_departamento",
         "summary": "refined/api_views/resumen_nacional_diario",
         "top_regions_rate": "top_departamentos_tasa",
@@ -65,7 +66,14 @@ SOURCE_NAMES = {
         "moving_average": "promedio_movil_7dias",
     },
     "columns": {
-        "trusted": {"year": "anio", "month": "mes", "day": "dia"},
+        "trusted": {
+            "case_id": "id_de_caso", "report_date": "fecha_reporte_web",
+            "event_date": "fecha_reporte_web_date", "year": "anio", "month": "mes", "day": "dia",
+            "region_raw": "codigo_divipola_departamento", "region_name_raw": "departamento_nom",
+            "ciudad_municipio": "codigo_divipola_municipio", "ciudad_municipio_nom": "nombre_municipio",
+            "age": "edad", "sex": "sexo", "dim_code": "codigo_departamento",
+            "dim_name": "departamento_nombre_normalizado", "population": "poblacion",
+        },
         "indicators": {
             "date": "fecha", "year": "anio", "month": "mes", "day": "dia",
             "code": "codigo_departamento", "name": "nombre_departamento",
@@ -105,6 +113,16 @@ SOURCE_NAMES = {
             "moving_avg": "promedio_movil_7dias",
         },
     },
+    # fixed values: the trusted table's columns in order
+    "trusted_columns": (
+        "id_de_caso", "fecha_reporte_web", "fecha_reporte_web_date", "fecha_de_notificaci_n",
+        "anio", "mes", "dia", "codigo_divipola_departamento", "departamento_nom",
+        "codigo_divipola_municipio", "nombre_municipio", "edad", "unidad_medida", "sexo",
+        "fuente_tipo_contagio", "ubicacion", "estado", "pais_viajo_1_cod", "pais_viajo_1_nom",
+        "recuperado", "fecha_inicio_sintomas", "fecha_muerte", "fecha_diagnostico",
+        "fecha_recuperado", "tipo_recuperacion", "per_etn_", "nom_grupo_", "codigo_departamento",
+        "departamento_nombre_normalizado", "poblacion",
+    ),
 }
 
 STEPS = ("trusted", "refined", "summary", "all")

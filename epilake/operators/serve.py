@@ -82,14 +82,19 @@ def rows_as_json(df: DataFrame, cols: Sequence[str], out: str = "json") -> DataF
 
 
 def json_envelope(df: DataFrame, name: str, cols: Sequence[str], order_col: str,
-                  out: str = "body") -> DataFrame:
-    """``{"<name>": [[v, ...], ...]}`` for an already *bounded* result
-    (e.g. a top-k or a single record), rows ordered by ``order_col``."""
+                  out: str = "body", max_rows: int = 10_000) -> DataFrame:
+    """``{"<name>": [[v, ...], ...]}`` for a *bounded* result (e.g. a top-k
+    or a single record), rows ordered by ``order_col``. The body is one
+    value, so a result of more than ``max_rows`` rows raises an error."""
+    df = df.limit(max_rows + 1)
     rows = F.array_sort(F.collect_list(F.struct(
         F.col(order_col).alias("__k"),
         F.array(*[F.col(c).cast("string") for c in cols]).alias("__v"))))
-    return df.agg(F.to_json(F.struct(F.transform(rows, lambda r: r["__v"]).alias(name)),
-                            {"ignoreNullFields": "false"}).alias(out))
+    body = F.to_json(F.struct(F.transform(F.col("__rows"), lambda r: r["__v"]).alias(name)),
+                     {"ignoreNullFields": "false"})
+    return df.agg(rows.alias("__rows")).select(
+        F.when(F.size("__rows") <= max_rows, body)
+        .otherwise(F.raise_error(F.lit(f"{name}: more than {max_rows} rows in one payload"))).alias(out))
 
 
 def preview_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:

@@ -58,6 +58,8 @@ class PipelineConfig:
     # table -> {column: published column}; unnamed ones keep the defaults
     folders: Mapping[str, str] = field(default_factory=dict)
     columns: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    # published columns of the trusted table, in order (empty: all there are)
+    trusted_columns: Sequence[str] = ()
 
 
 @dataclass
@@ -141,6 +143,11 @@ def step_trusted(spark: SparkSession, cases: DataFrame, dim: DataFrame, base_pat
         "bad_dates": F.col("event_date").isNull() & F.col("report_date").isNotNull(),
         "unmatched": F.col("dim_code").isNull()})
     df = _publish_names(trusted, cfg, "trusted")
+    if cfg.trusted_columns:
+        # a column that the landed file lacks is null text, so the table's
+        # columns are the same whatever was landed
+        df = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)
+                         for c in cfg.trusted_columns])
     io.write_partitioned(df, path, _partition_names(cfg, "trusted", io.PARTITION_COLUMNS),
                          dynamic=cfg.dynamic_overwrite)
     got = obs.get

@@ -21,6 +21,7 @@ from epilake.operators import analytics as an
 from epilake.operators import clean as cl
 from epilake.operators import indicators as ind
 from epilake.operators import serve as sv
+from epilake.plans import pipeline as pl
 from epilake.schemas import DIM_CONTRACT, DIM_SCHEMA
 from epilake.session import scratch_path, shared_dir
 from epilake.sources import files as io
@@ -304,6 +305,58 @@ def q_register_lake_tables(spark, sf):
     return tb.register_lake_table(spark, name, path, partitioned=True)
 
 
+def _landed_cases(spark, sf):
+    """The cases written as a landed CSV file with a header row."""
+    path = scratch_path(spark, "cases_csv")
+    fx.cases(spark, sf).write.option("header", True).csv(path)
+    return pl.read_landed_cases(spark, path)
+
+
+def q_scan_cases_csv(spark, sf):
+    return _landed_cases(spark, sf)
+
+
+def q_run_pipeline(spark, sf):
+    """The three steps from the landed CSV; what the last one published."""
+    res = pl.run_pipeline(spark, _landed_cases(spark, sf), fx.region_dim(spark, sf),
+                          scratch_path(spark, "steps"), pl.PipelineConfig(run_analytics=False))
+    return io.scan_partitioned_parquet(spark, res.paths["summary"])
+
+
+def q_trusted_source_columns(spark, sf):
+    """The trusted step under the source's names, from a landed CSV in the
+    source's layout: all its columns, those the fixture has no data for null."""
+    from epilake.cli import SOURCE_LAYOUT, SOURCE_NAMES
+    raw = scratch_path(spark, "source_csv")
+    back = {c: n for n, c in SOURCE_LAYOUT["rename"].items()}
+    (fx.cases(spark, sf).withColumnsRenamed({**back, "status": "estado"})
+     .write.option("header", True).csv(raw))
+    res = pl.step_trusted(spark, pl.read_landed_cases(spark, raw, SOURCE_LAYOUT["rename"]),
+                          fx.region_dim(spark, sf), scratch_path(spark, "source_trusted"),
+                          pl.PipelineConfig(**SOURCE_NAMES))
+    return io.scan_partitioned_parquet(spark, res.paths["trusted"])
+
+
+_PAYLOAD = ["date", "new_cases_national", "cumulative_cases_national", "population_total", "latest_date"]
+
+
+def q_serving_payload(spark, sf):
+    s = published_summary(spark, sf)
+    latest = sv.json_envelope(sv.latest_summary(s), "latest", _PAYLOAD, "date")
+    return latest.unionByName(sv.json_envelope(sv.summary_by_date(s, FIXED_DATE), "by_date", _PAYLOAD, "date"))
+
+
+def q_run_sql(spark, sf):
+    """SQL text with bound parameters over a registered table."""
+    name = "serving_summary"
+    published_summary(spark, sf).createOrReplaceTempView(name)
+    return sv.run_sql(
+        spark, "SELECT date, new_cases_national, cumulative_cases_national, "
+               "round(rate_per_100k_national, 2) AS rate_national FROM IDENTIFIER(:name) "
+               "WHERE date >= date_sub(CAST(:as_of AS DATE), :days) ORDER BY date DESC",
+        name=name, as_of=AS_OF, days=LAST_DAYS)
+
+
 # ------------------------------------------------------------ oracle SQL
 def r2(x: str) -> str:
     """DuckDB: round a double half-up on its shortest decimal text, as
@@ -337,6 +390,12 @@ FROM indicators GROUP BY year, month"""
 
 _DAILY_COLS = "date, year, month, day, code, name, population, new_cases"
 
+# Columns of the source's case file that the fixture has no data for.
+_NOT_IN_FIXTURE = ("fecha_de_notificaci_n", "codigo_divipola_municipio", "nombre_municipio", "unidad_medida",
+                   "fuente_tipo_contagio", "ubicacion", "pais_viajo_1_cod", "pais_viajo_1_nom", "recuperado",
+                   "fecha_inicio_sintomas", "fecha_muerte", "fecha_diagnostico", "fecha_recuperado",
+                   "tipo_recuperacion", "per_etn_", "nom_grupo_")
+
 SQL: dict[str, str] = {
     "normalise_code": f"SELECT case_id, coalesce(dim_code, {_CODE}) AS code, "
                       "coalesce(dim_name, region_name_raw) AS name FROM trusted",
@@ -432,6 +491,26 @@ SQL: dict[str, str] = {
       FROM region_dim""",
     "export_table": f"SELECT {_DAILY_COLS} FROM daily",
     "register_lake_tables": "SELECT * FROM summary",
+    "scan_cases_csv": """SELECT CAST(case_id AS VARCHAR) AS case_id,
+        CAST(report_date AS VARCHAR) AS report_date, CAST(region_raw AS VARCHAR) AS region_raw,
+        region_name_raw, CAST(age AS DOUBLE) AS age, sex, status FROM cases""",
+    "run_pipeline": "SELECT * FROM summary",
+    "trusted_source_columns": f"""SELECT CAST(case_id AS VARCHAR) AS id_de_caso,
+        CAST(report_date AS VARCHAR) AS fecha_reporte_web, event_date AS fecha_reporte_web_date,
+        year AS anio, month AS mes, day AS dia,
+        CAST(region_raw AS VARCHAR) AS codigo_divipola_departamento,
+        region_name_raw AS departamento_nom, CAST(age AS DOUBLE) AS edad, sex AS sexo, status AS estado,
+        dim_code AS codigo_departamento, dim_name AS departamento_nombre_normalizado, population AS poblacion,
+        {", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in _NOT_IN_FIXTURE)} FROM trusted""",
+    "serving_payload": "".join(
+        f"""{sep}(SELECT to_json({{'{name}': [[CAST(date AS VARCHAR), CAST(new_cases_national AS VARCHAR),
+        CAST(cumulative_cases_national AS VARCHAR), CAST(population_total AS VARCHAR),
+        CAST(latest_date AS VARCHAR)]]}})::VARCHAR AS body FROM summary {which} LIMIT 1)"""
+        for sep, name, which in (("", "latest", "ORDER BY date DESC NULLS LAST"),
+                                 (" UNION ALL ", "by_date", f"WHERE date = DATE '{FIXED_DATE}'"))),
+    "run_sql": f"""SELECT date, new_cases_national, cumulative_cases_national,
+        {r2('rate_per_100k_national')} AS rate_national FROM summary
+      WHERE date >= DATE '{AS_OF}' - INTERVAL {LAST_DAYS} DAY""",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
