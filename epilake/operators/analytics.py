@@ -119,7 +119,7 @@ def bin_share(events: DataFrame, value_col: str = "age",
     share of the total in percent, rounded to 2 places.
 
     The share is exact decimal arithmetic (``count * 100.0 / total``),
-    returned as double. The total comes from an empty-spec window over the
+    returned as decimal(27,2). The total comes from an empty-spec window over the
     *aggregated* rows: at most ``len(bins) + 1`` rows reach that task.
 
     By default the value's unit is ignored (an age given in months counts
@@ -136,7 +136,7 @@ def bin_share(events: DataFrame, value_col: str = "age",
               .agg(_events(count_col).alias("total_cases")))
     share = F.round(F.col("total_cases") * F.lit(100).cast("decimal(4,1)")
                     / F.sum("total_cases").over(Window.partitionBy()), 2)
-    return (binned.withColumn("share_pct", share.cast("double"))
+    return (binned.withColumn("share_pct", share.cast("decimal(27,2)"))
             .orderBy(F.col("total_cases").desc()))
 
 
@@ -144,7 +144,8 @@ def outcome_breakdown(events: DataFrame, label_col: str = "sex", missing_label:
                       deceased_col: str = "status", deceased_value: str = "Deceased",
                       recovered_col: str = "status", recovered_value: str = "Recovered",
                       count_col: str | None = None) -> DataFrame:
-    """Per label: events, deceased, recovered and fatality percent.
+    """Per label: events, deceased, recovered and fatality percent
+    (decimal(27,2)).
 
     Grouping is on the raw column and the missing-label fallback is applied
     afterwards, so a null group and a literal ``missing_label`` group stay
@@ -158,7 +159,7 @@ def outcome_breakdown(events: DataFrame, label_col: str = "sex", missing_label:
     fatality = F.round(F.col("deceased") * F.lit(100).cast("decimal(4,1)") / F.col("total_cases"), 2)
     return (agg.select(F.coalesce(F.col(label_col), F.lit(missing_label)).alias(label_col),
                        "total_cases", "deceased", "recovered",
-                       fatality.cast("double").alias("fatality_pct"))
+                       fatality.cast("decimal(27,2)").alias("fatality_pct"))
             .orderBy(F.col("total_cases").desc()))
 
 

@@ -6,100 +6,121 @@ input splits that task receives up to ``P x n`` rows -- fine for a top-10
 report, not for a bounded ingest of a million rows out of a large table.
 
 Here the cutoff key is found first, by a distributed selection over the key
-column alone (column-pruned scans, one-row aggregates back):
+columns alone (column-pruned scans), for every orderable type and size:
 
-1. ``percentile_approx`` brackets the n-th key inside the current range;
-2. conditional counts check the bracket and give the rank offset;
-3. the range shrinks to the bracket (about ``4 / accuracy`` of its rows)
-   until at most ``small`` keys are left, which an ordinary top-n settles.
+1. a sample of about ``sample`` keys of the current range gives two pivots
+   around the wanted rank (they only steer the search);
+2. exact conditional counts say on which side of them the n-th key lies,
+   and the range shrinks to that side (to about ``4 / sqrt(sample)``);
+3. a range of at most ``sample`` rows is counted by key and read off.
 
-The rows are then a plain filter ``key <= cutoff`` (plus, if the cutoff
-value is tied, just enough of its rows): every task keeps its own rows,
-nothing is gathered.
+The rows are then a plain filter ``key <= cutoff``: every task keeps its own
+rows, nothing is gathered. The driver sees at most about ``sample`` keys a
+round. The search runs when the DataFrame is built, as the cutoff is part of
+its filter; give it landed files or a written table, not a costly lineage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, DoubleType, FloatType, IntegralType, TimestampNTZType,
-                               TimestampType)
+from pyspark.sql.types import Row, StructType, TimestampType
+
+SAMPLE = 50_000
+
+
+def _rank(df: DataFrame, columns: Sequence[str]) -> Column:
+    """``columns`` as one comparable struct, nulls after values. Timestamps
+    are compared as microseconds, which no time zone changes."""
+    parts = []
+    for i, c in enumerate(columns):
+        v = F.unix_micros(c) if isinstance(df.schema[c].dataType, TimestampType) else F.col(c)
+        parts += [F.col(c).isNull().alias(f"n{i}"), v.alias(f"v{i}")]
+    return F.struct(*parts)
 
-# Key types whose quantile sketch returns values taken from the data (decimals
-# go through doubles, so a returned bracket could fall between two keys).
-_SKETCHABLE = (IntegralType, FloatType, DoubleType, DateType, TimestampType, TimestampNTZType)
 
+def _literal(value: Row, kind: StructType) -> Column:
+    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(value, kind)])
 
-def nth_smallest(df: DataFrame, key: str, n: int, small: int = 100_000,
-                 accuracy: int = 10_000, max_rounds: int = 32):
-    """Value ``c`` of the non-null ``key`` with ``count(key < c) < n <=
-    count(key <= c)``; ``None`` if there are fewer than ``n`` non-null
-    keys. ``key`` must be an integral, floating, date or timestamp column
-    (the quantile sketch then returns actual key values).
 
-    Invariant: the answer lies in ``(lo, hi]`` and ``below`` keys are
-    ``<= lo``. Each round is two aggregations over the keys in range and
-    strictly shrinks it (to about ``4 / accuracy`` of its size when the
-    sketch is as accurate as promised).
+def cutoff(ranks: DataFrame, n: int, sample: int = SAMPLE) -> tuple[Row, int, int] | None:
+    """The ``n``-th smallest value of the struct column ``k`` of ``ranks``,
+    how many are below it and how many at most it; None if there are at most
+    ``n`` rows.
+
+    The answer always lies in the current range, ``below`` rows precede the
+    range and ``m`` are in it. Pivots are keys of the range and leave it, so
+    every round shrinks it.
     """
-    k = F.col(key)
-    keys = df.select(key).filter(k.isNotNull())
-    lo = hi = None
-    below = 0
-    for _ in range(max_rounds):
-        part = keys
-        if lo is not None:
-            part = part.filter(k > F.lit(lo))
-        if hi is not None:
-            part = part.filter(k <= F.lit(hi))
-        m = part.count()
+    kind = ranks.schema["k"].dataType
+    k = F.col("k")
+    m = ranks.count()
+    if m <= n:
+        return None
+    part, below, seed = ranks, 0, 0
+    while m > sample:
         need = n - below
-        if m < need:
-            return None
-        if m <= small:
-            return part.orderBy(k.asc()).limit(need).agg(F.max(key)).first()[0]
-        eps = 2.0 / accuracy
-        frac = need / m
-        qlo, qhi = max(frac - eps, 0.0), min(frac + eps, 1.0)
-        clo, chi = part.agg(F.percentile_approx(key, [qlo, qhi], accuracy)).first()[0]
-        s, a, b, under = part.agg(
-            F.count_if(k < F.lit(clo)), F.count_if(k <= F.lit(clo)),
-            F.count_if(k <= F.lit(chi)), F.max(F.when(k < F.lit(clo), k))).first()
-        if s < need <= a:       # clo itself is the answer
-            return clo
-        if need <= s:           # below clo: largest key under clo caps the range
-            hi = under
-        elif need <= b:         # inside (clo, chi]
-            lo, below, hi = clo, below + a, chi
-        else:                   # above chi (sketch was off)
-            lo, below = chi, below + b
-    # not reached for any real distribution (the range shrinks every round)
-    return keys.orderBy(k.asc()).limit(n).agg(F.max(key)).first()[0]
-
-
-def first_n_by(df: DataFrame, n: int, key: str,
-               small: int = 100_000, accuracy: int = 10_000) -> DataFrame:
-    """The ``n`` rows with the smallest ``key`` (nulls last), exactly ``n``
-    rows when the input has that many.
-
-    Keys of the sketch's exact types are cut by :func:`nth_smallest`, at any
-    size; others (strings, decimals) take a plain top-n, which sends ``n``
-    rows from every input partition to one task. If the cutoff value
-    is tied, an arbitrary subset of the tied rows fills the count (as SQL
-    ``ORDER BY .. LIMIT`` does)."""
-    k = F.col(key)
-    sketchable = isinstance(df.schema[key].dataType, _SKETCHABLE)
-    if not sketchable:
-        return df.orderBy(k.asc_nulls_last()).limit(n)
-    c = nth_smallest(df, key, n, small=small, accuracy=accuracy)
-    if c is None:  # fewer than n non-null keys: all of them, then nulls
-        non_null = df.filter(k.isNotNull())
-        short = n - non_null.count()
-        return non_null.unionByName(df.filter(k.isNull()).limit(short))
-    cut = F.lit(c)
-    strict, upto = df.agg(F.count_if(k < cut), F.count_if(k <= cut)).first()
-    if upto == n:  # no surplus ties at the cutoff (always so for a unique key)
-        return df.filter(k <= cut)
-    # an unordered limit: its final task stops after n - strict rows (no
-    # ordering to settle, unlike a top-n), so it never reads every split's share
-    return df.filter(k < cut).unionByName(df.filter(k == cut).limit(n - strict))
+        seed += 1
+        drawn = [r.k for r in part.sample(sample / m, seed).orderBy("k").collect()]
+        if not drawn:
+            continue
+        at, margin = need / m * len(drawn), 2 * len(drawn) ** 0.5
+        low, high = int(at - margin), int(at + margin) + 1
+        if low < 0 and high >= len(drawn):  # a tiny sample: halve the range
+            low = high = len(drawn) // 2
+        a = _literal(drawn[low], kind) if low >= 0 else None
+        b = _literal(drawn[high], kind) if high < len(drawn) else None
+        got = part.agg(*[F.count_if(c) if c is not None else F.lit(0) for c in (
+            None if a is None else k < a, None if a is None else k <= a,
+            None if b is None else k < b, None if b is None else k <= b)]).first()
+        under_a, upto_a = got[0], got[1]
+        under_b, upto_b = (m, m) if b is None else (got[2], got[3])
+        if need <= under_a:
+            part, m = part.filter(k < a), under_a
+        elif need <= upto_a:
+            return drawn[low], below + under_a, below + upto_a
+        elif need <= under_b:
+            if a is not None:
+                part = part.filter(k > a)
+            if b is not None:
+                part = part.filter(k < b)
+            below, m = below + upto_a, under_b - upto_a
+        elif need <= upto_b:
+            return drawn[high], below + under_b, below + upto_b
+        else:
+            part, below, m = part.filter(k > b), below + upto_b, m - upto_b
+    for r in part.groupBy("k").count().orderBy("k").collect():
+        if below + r["count"] >= n:
+            return r.k, below, below + r["count"]
+        below += r["count"]
+    raise RuntimeError("the input changed between two scans")
+
+
+def first_n_by(df: DataFrame, n: int, key: str, tie_break: Sequence[str] = (),
+               sample: int = SAMPLE) -> DataFrame:
+    """The ``n`` rows smallest by ``key``, then by the ``tie_break`` columns
+    (nulls last), exactly ``n`` rows when the input has that many.
+
+    Where rows are still tied at the cutoff, as many of them as needed are
+    taken (any of them, as SQL ``ORDER BY .. LIMIT`` does); name tie-break
+    columns that make rows distinct for the same rows on every run."""
+    if n <= 0:
+        return df.limit(0)
+    columns = [key, *tie_break]
+    rank = _rank(df, columns)
+    ranks = df.select(rank.alias("k"))
+    found = cutoff(ranks, n, sample)
+    if found is None:
+        return df
+    value, strict, upto = found
+    cut = _literal(value, ranks.schema["k"].dataType)
+    rows = df
+    if value[1] is not None and not isinstance(df.schema[key].dataType, TimestampType):
+        # implied by the cutoff; on a plain column, so that it reaches the scan
+        rows = df.filter(F.col(key) <= F.lit(value[1]).cast(df.schema[key].dataType))
+    if upto == n:  # always so for a unique key
+        return rows.filter(rank <= cut)
+    # an unordered limit: its final task stops after n - strict rows
+    return rows.filter(rank < cut).unionByName(rows.filter(rank == cut).limit(n - strict))

@@ -9,7 +9,6 @@ oracle can be compared row for row.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,22 +56,30 @@ def summary(spark: SparkSession, sf: str) -> DataFrame:
     return ind.national_daily_summary(published_indicators(spark, sf))
 
 
-# Published (date-partitioned) tables, written once per data folder and
-# session checkpoint folder, then read by every serving query -- the
-# publish-once / serve-many shape of the refined layer.
-_PUBLISHED: dict[tuple[str, str, str], tuple[str, str]] = {}
+# Published (date-partitioned) tables, written once per state of the input
+# files and session checkpoint folder, then read by every serving query --
+# the publish-once / serve-many shape of the refined layer.
+_PUBLISHED: dict[tuple, tuple[str, str]] = {}
+
+
+def _input_state(spark: SparkSession, sf: str) -> tuple:
+    """Files, bytes and newest change of the case-record tables (a listing;
+    no content is read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(
+        [f"{sf.rstrip('/')}/{t}.parquet" for t in ("nation", "customer", "orders")])
+    return tuple(files.agg(F.count("path"), F.sum("length"), F.max("modificationTime")).first())
 
 
 def published(spark: SparkSession, sf: str, name: str,
               build: Callable[[SparkSession, str], DataFrame],
               distribution: str = "rebalance") -> tuple[DataFrame, str]:
-    """Write ``build(spark, sf)`` once as a date-partitioned table,
-    register it in the session catalog, and return ``(table, path)``.
+    """Write ``build(spark, sf)`` once per state of its input as a
+    date-partitioned table, register it in the session catalog, and return ``(table, path)``.
 
     Reads go through the catalog's partition list, so a filter on
     year/month/day lists only the matching folders.
     """
-    key = (shared_dir(spark), os.path.abspath(sf), name)
+    key = (shared_dir(spark), sf.rstrip("/"), name, _input_state(spark, sf))
     hit = _PUBLISHED.get(key)
     if hit is not None:
         table, path = hit
@@ -177,11 +184,11 @@ def q_monthly_trends(spark, sf):
 
 
 def q_bin_share(spark, sf):
-    return an.bin_share(fx.cases(spark, sf))
+    return an.bin_share(fx.cases(spark, sf)).withColumn("share_pct", F.col("share_pct").cast("double"))
 
 
 def q_outcome_breakdown(spark, sf):
-    return an.outcome_breakdown(fx.cases(spark, sf))
+    return an.outcome_breakdown(fx.cases(spark, sf)).withColumn("fatality_pct", F.col("fatality_pct").cast("double"))
 
 
 def q_first_threshold_date(spark, sf):
@@ -285,6 +292,21 @@ def q_upsert_by_key(spark, sf):
     return spark.read.parquet(new)
 
 
+def q_ingest_dimension(spark, sf):
+    """A first version from the dimension, then a landed file with unpadded
+    and repeated codes, whose last row counts."""
+    first, second, base = (scratch_path(spark, n) for n in ("dim_csv", "dim_csv", "dim"))
+    fx.region_dim(spark, sf).write.option("header", True).csv(first)
+    pl.ingest_dimension(spark, first, base, "1")
+    batch = _dim_incoming(spark, sf)
+    early = batch.select(F.col("code").cast("int").cast("string").alias("code"), "name",
+                         F.lit(1).cast("bigint").alias("population"), F.lit(0).alias("nr"))
+    # one file: the order of its rows decides
+    (early.unionByName(batch.withColumn("nr", F.lit(1))).coalesce(1).sortWithinPartitions("nr").drop("nr")
+     .write.option("header", True).csv(second))
+    return spark.read.parquet(pl.ingest_dimension(spark, second, base, "2", "1")[0])
+
+
 def q_check_table_contract(spark, sf):
     return tb.check_table_contract(fx.region_dim(spark, sf), DIM_CONTRACT["key"],
                                    DIM_CONTRACT["not_null"], DIM_CONTRACT["max_length"])
@@ -323,6 +345,14 @@ def q_run_pipeline(spark, sf):
     return io.scan_partitioned_parquet(spark, res.paths["summary"])
 
 
+def q_run_analytics(spark, sf):
+    """The first two steps with the reports on; one that they published."""
+    base = scratch_path(spark, "reports")
+    res = pl.step_trusted(spark, fx.cases(spark, sf), fx.region_dim(spark, sf), base)
+    pl.step_refined(spark, base, pl.PipelineConfig(), res)
+    return spark.read.parquet(res.paths["monthly_trends"])
+
+
 def q_trusted_source_columns(spark, sf):
     """The trusted step under the source's names, from a landed CSV in the
     source's layout: all its columns, those the fixture has no data for null."""
@@ -380,6 +410,7 @@ _LATEST = ("row_number() OVER (PARTITION BY code ORDER BY date DESC NULLS LAST,
 _SUMMARY_SERVE = ("date, new_cases_national, cumulative_cases_national, population_total, "
                   "rate_per_100k_national, latest_date")
 
+# The ranges of functions/columns.py.
 _BINS = """CASE WHEN age < 18 THEN '0-17' WHEN age BETWEEN 18 AND 29 THEN '18-29'
   WHEN age BETWEEN 30 AND 49 THEN '30-49' WHEN age BETWEEN 50 AND 64 THEN '50-64'
   WHEN age >= 65 THEN '65+' ELSE 'Unknown' END"""
@@ -390,6 +421,14 @@ FROM indicators GROUP BY year, month"""
 
 _DAILY_COLS = "date, year, month, day, code, name, population, new_cases"
 
+_UPSERT = """WITH incoming AS (
+    SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, n_name AS name,
+       CAST(n * 1000 AS BIGINT) AS population
+    FROM nation JOIN (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1) s
+     ON n_nationkey = s.s_nationkey)
+  SELECT * FROM incoming
+  UNION ALL SELECT * FROM region_dim d WHERE d.code NOT IN (SELECT code FROM incoming)"""
+
 # Columns of the source's case file that the fixture has no data for.
 _NOT_IN_FIXTURE = ("fecha_de_notificaci_n", "codigo_divipola_municipio", "nombre_municipio", "unidad_medida",
                    "fuente_tipo_contagio", "ubicacion", "pais_viajo_1_cod", "pais_viajo_1_nom", "recuperado",
@@ -464,7 +503,8 @@ SQL: dict[str, str] = {
     "rows_as_json": """SELECT CAST(json_object('date', date, 'new_cases_national', new_cases_national,
         'cumulative_cases_national', cumulative_cases_national,
         'population_total', population_total) AS VARCHAR) AS json FROM summary""",
-    "row_count": "SELECT count(*) AS rows, 14 AS columns FROM trusted",
+    "row_count": """SELECT count(*) AS rows,
+        (SELECT CAST(len(json_keys(to_json(t))) AS INT) FROM trusted t LIMIT 1) AS columns FROM trusted""",
     "preview_n": f"""{_MONTHLY} ORDER BY year ASC NULLS FIRST, month ASC NULLS FIRST
         LIMIT {PREVIEW_ROWS}""",
     "ingest_limit": f"SELECT * FROM cases ORDER BY case_id LIMIT {INGEST_ROWS}",
@@ -473,13 +513,8 @@ SQL: dict[str, str] = {
     "write_partitioned_roundtrip": "SELECT * FROM trusted",
     "publish_result": _MONTHLY,
     "write_if_absent": "SELECT * FROM region_dim",
-    "upsert_by_key": """WITH incoming AS (
-        SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, n_name AS name,
-               CAST(n * 1000 AS BIGINT) AS population
-        FROM nation JOIN (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1) s
-             ON n_nationkey = s.s_nationkey)
-      SELECT * FROM incoming
-      UNION ALL SELECT * FROM region_dim d WHERE d.code NOT IN (SELECT code FROM incoming)""",
+    "upsert_by_key": _UPSERT,
+    "ingest_dimension": _UPSERT,
     "check_table_contract": """SELECT CAST(count(*) AS BIGINT) AS rows,
         CAST(count(*) FILTER (WHERE code IS NULL) AS BIGINT) AS null_code,
         CAST(count(*) FILTER (WHERE name IS NULL) AS BIGINT) AS null_name,
@@ -495,6 +530,7 @@ SQL: dict[str, str] = {
         CAST(report_date AS VARCHAR) AS report_date, CAST(region_raw AS VARCHAR) AS region_raw,
         region_name_raw, CAST(age AS DOUBLE) AS age, sex, status FROM cases""",
     "run_pipeline": "SELECT * FROM summary",
+    "run_analytics": _MONTHLY,
     "trusted_source_columns": f"""SELECT CAST(case_id AS VARCHAR) AS id_de_caso,
         CAST(report_date AS VARCHAR) AS fecha_reporte_web, event_date AS fecha_reporte_web_date,
         year AS anio, month AS mes, day AS dia,
@@ -518,9 +554,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     if name.startswith("q_") and callable(fn)
 }
 
-# Queries whose result order is part of the answer (LIMIT over a total order).
-ORDERED = {"top_k_latest_rate", "top_k_strict_latest", "top_k_on_date", "latest_summary",
-           "last_n_rows", "preview_n", "ingest_limit"}
+# Row order that is part of a query's answer: columns, "-" for descending
+# (nulls first ascending and last descending).
+ORDER = {
+    "top_k_latest_rate": "-rate_per_100k code", "top_k_strict_latest": "-rate_per_100k code",
+    "top_k_on_date": "-rate_per_100k code", "monthly_trends": "year month", "preview_n": "year month",
+    "bin_share": "-total_cases", "outcome_breakdown": "-total_cases", "first_threshold_date": "first_date",
+    "moving_average": "-date", "summary_history": "date", "last_n_rows": "-date", "last_n_days": "-date",
+    "run_sql": "-date",
+}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -3,8 +3,7 @@ inference costs an extra pass and turns the code '05' into the int 5)."""
 
 from __future__ import annotations
 
-from pyspark.sql.types import (DateType, IntegerType, LongType, StringType,
-                               StructField, StructType)
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 #: Keyed region dimension.
 DIM_SCHEMA = StructType([
@@ -30,6 +29,3 @@ CASES_SCHEMA = StructType([
     StructField("sex", StringType(), True),
     StructField("status", StringType(), True),
 ])
-
-#: Typed view of the same records once dates are parsed.
-TRUSTED_DATE = DateType()

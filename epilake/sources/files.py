@@ -119,9 +119,10 @@ def export_tables(tables: dict[str, DataFrame], base_path: str, fmt: str = "csv"
     return out
 
 
-def ingest_limit(df: DataFrame, n: int, order_col: str) -> DataFrame:
+def ingest_limit(df: DataFrame, n: int, order_col: str, tie_break: Sequence[str] = ()) -> DataFrame:
     """First ``n`` records by ``order_col``, cut at the n-th key found by a
     distributed selection (:mod:`epilake.plans.selection`), so no task
     collects the top ``n`` of every split. The same on every run if the
-    column is unique; of rows tied at the cutoff some are taken."""
-    return first_n_by(df, n, order_col)
+    column is unique or the ``tie_break`` columns tell its ties apart; of
+    rows that are still tied at the cutoff some are taken."""
+    return first_n_by(df, n, order_col, tie_break)

@@ -11,11 +11,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 
-def jdbc_scan(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
+def jdbc_scan(spark: SparkSession, url: str, table: str, partition_column: str | None,
               lower_bound: int | None = None, upper_bound: int | None = None,
               num_partitions: int = 8, properties: Mapping[str, str] | None = None,
               fetch_size: int = 10_000) -> DataFrame:
-    """Read a table, in parallel ranges when ``partition_column`` is given."""
+    """Read a table in parallel ranges of ``partition_column``. Only an
+    explicit None reads it in one task (a small dimension)."""
     reader = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
               .option("fetchsize", fetch_size))
     for k, v in (properties or {}).items():

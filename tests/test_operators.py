@@ -162,7 +162,7 @@ def test_bin_share_sums_to_100(spark):
     df = spark.range(0, 1000).select((F.col("id") % 90).cast("int").alias("age"))
     out = an.bin_share(df).collect()
     assert sum(r.total_cases for r in out) == 1000
-    assert abs(sum(r.share_pct for r in out) - 100.0) < 0.05
+    assert abs(float(sum(r.share_pct for r in out)) - 100.0) < 0.05
 
 
 def test_first_threshold_date(spark):

@@ -46,7 +46,7 @@ def test_shares_sum_to_100(spark, ages):
     n = sum(a is not None for a in ages)
     assert sum(r.total_cases for r in out) == n
     if n:
-        assert abs(sum(r.share_pct for r in out) - 100.0) <= 0.005 * len(out) + 1e-9
+        assert abs(float(sum(r.share_pct for r in out)) - 100.0) <= 0.005 * len(out) + 1e-9
 
 
 keyed = st.dictionaries(st.sampled_from("abcdefgh"), st.integers(0, 99), max_size=8)
@@ -90,6 +90,6 @@ def test_trailing_means_and_prefix_sum_match_brute_force(spark, days, n, block):
        n=st.integers(1, 130))
 def test_first_n_by_matches_sorted_prefix(spark, vals, n):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, k long")
-    out = first_n_by(df, n, "k", small=3, accuracy=20).collect()
+    out = first_n_by(df, n, "k", sample=20).collect()
     ordered = sorted(vals, key=lambda v: (v is None, v if v is not None else 0))[:n]
     assert sorted((r.k for r in out), key=lambda v: (v is None, v if v is not None else 0)) == ordered
