@@ -90,14 +90,16 @@ def national_rollup(indicators: DataFrame) -> DataFrame:
     )
 
 
-def with_latest_date(df: DataFrame, date_col: str = "date", out: str = "latest_date") -> DataFrame:
-    """Attach the overall latest date to every row.
+def with_latest_date(df: DataFrame, date_col: str = "date", out: str = "latest_date",
+                     of: DataFrame | None = None) -> DataFrame:
+    """Attach the overall latest date to every row: that of ``of``, by
+    default of ``df`` itself.
 
     Planned as an uncorrelated scalar subquery: the one-value aggregate is
     computed once (partial max per task, one final row) and inlined; no row
     of ``df`` moves.
     """
-    latest = df.select(F.max(date_col)).scalar()
+    latest = (df if of is None else of).select(F.max(date_col)).scalar()
     return df.withColumn(out, latest)
 
 
@@ -140,4 +142,6 @@ def national_daily_summary(indicators: DataFrame, densify: bool = False) -> Data
         "rate_per_100k_national",
         F.try_divide(F.col("cumulative_cases_national") * F.lit(100000.0),
                      F.col("population_total")))
-    return with_latest_date(nat).select(*SUMMARY_COLUMNS)
+    # the series has the dates of the indicators, whose column is cheaper to
+    # read than the roll-up is to repeat
+    return with_latest_date(nat, of=indicators).select(*SUMMARY_COLUMNS)
