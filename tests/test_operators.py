@@ -303,3 +303,17 @@ def test_rate_decimal_overflow_is_null_not_error(spark):
     rows = [(D(2020, 1, 1), "A", "A", 1, 5, 5_000_000, 5e11), (D(2020, 1, 1), "B", "B", 100, 1, 1, 1000.0)]
     out = {r.code: r.rate_per_100k for r in an.top_k_latest_rate(ind_rows(spark, rows), 2).collect()}
     assert out["A"] is None and float(out["B"]) == 1000.0
+
+
+def test_region_indicators_scan_the_events_once(spark):
+    from epilake.session import scratch_path
+    path = scratch_path(spark, "once")
+    spark.range(500).selectExpr(
+        "CAST(id % 9 AS STRING) AS region_raw", "concat('N', id % 11) AS region_name_raw",
+        "lpad(id % 9, 2, '0') AS dim_code", "concat('N', id % 9) AS dim_name", "id % 9 * 10 AS population",
+        "date_add(DATE'2020-01-01', CAST(id % 40 AS INT)) AS event_date", "2020 AS year",
+        "1 AS month", "1 AS day").write.parquet(path)
+    df = ind.region_daily_indicators(spark.read.parquet(path))
+    assert sum(r.new_cases for r in df.collect()) == 500
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "Reused" in final
