@@ -1,13 +1,16 @@
 """Personal data: patterns, and a semi-Markov conditional random field.
 
 Base spans come from four fixed patterns. The field adds spans that the
-patterns' exact forms miss. It works on stretches of tokens around those
-that hold a digit or ``@`` (no other token can be part of a span here). A
-candidate segment is up to ``MAX_TOKENS`` tokens; its score for a type is a
-weighted sum of features of the whole span (shape, separators, number of
-digits and groups, checksum, octets, the word before). A dynamic program
-over the stretch, with segments of bounded length, chooses boundaries and
-types together: the partition function trains it, the best path decodes.
+patterns' exact forms miss. Its tokens are runs of letters and digits and
+single other characters, so a boundary can fall inside a word. It works on
+stretches: each token that holds a digit or ``@`` with at least
+``MAX_TOKENS - 1`` tokens, and ``MAX_WORDS - 1`` whole words, on each side.
+A candidate segment holds a digit or ``@`` and is up to ``MAX_TOKENS``
+tokens, or up to ``MAX_WORDS`` whole words of any length; its score for a
+type is a weighted sum of features of the whole span (shape, separators,
+number of digits and groups, checksum, octets, what stands before and
+after). A dynamic program over the stretch chooses boundaries and types
+together: the partition function trains it, the best path decodes.
 
 The weights are trained here by stochastic gradient ascent on the
 conditional likelihood of base spans in a bounded sample of texts
@@ -21,8 +24,9 @@ and empty texts have no spans. Offsets count code points, end exclusive.
 from __future__ import annotations
 
 import hashlib
+import math
 import random
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,10 +35,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, ship
+from .common import ship
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_TOKENS = 6
+MAX_TOKENS = 20
+MAX_WORDS = 6
 OTHER = len(KINDS)
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -43,9 +48,13 @@ _DOMAIN = regex.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = regex.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = regex.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = regex.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+#: More than the features of any segment.
+WIDTH = 32
 _TELLING = regex.compile(r"[0-9@]")
-_TOKEN = regex.compile(f"[^{SPACE}]+")
+_TOKEN = regex.compile(r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]")
+_LETTERS = regex.compile(r"\p{L}+")
 _DIGITS = regex.compile(r"[0-9]+")
+_OPENS, _ENDS = frozenset("@+(._%-"), frozenset("@-")  # other characters at which a span may start or end
 _NOT_DIGIT = regex.compile(r"[^0-9]")
 
 
@@ -84,64 +93,138 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def stretches(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Runs of neighbouring telling tokens, each as (start, end) with outer
-    punctuation trimmed; a run's tokens are all it needs."""
-    run: list[tuple[int, int]] = []
-    last = -1
-    for m in _TELLING.finditer(text):
-        if m.start() < last:
-            continue
-        start = m.start()
-        floor = run[-1][1] if run else 0
-        while start > floor and not text[start - 1].isspace():
-            start -= 1
-        tok = _TOKEN.match(text, start)
-        s, e = (tok.start(), tok.end()) if tok else (start, m.end())
-        last = e
-        while s < e and text[s] not in "+(@" and not text[s].isalnum():
-            s += 1
-        while e > s and not text[e - 1].isalnum():
-            e -= 1
-        if s >= e:
-            continue
-        if run and text[run[-1][1]:s].strip(" ()-.\t"):  # something else stands between
-            yield run
-            run = []
-        run.append((s, e))
-    if run:
-        yield run
-
-
-def features(text: str, start: int, end: int, tokens: int) -> list[str]:
-    """Features of the whole span."""
-    span = text[start:end]
+    """Runs of neighbouring tokens, each as (start, end): every segment that
+    holds a digit or ``@`` lies within one run."""
+    tokens, words, telling, word = [], [], [], []
+    end = -1
+    for m in _TOKEN.finditer(text):
+        if m.start() != end:
+            words.append(len(tokens))
+        end = m.end()
+        if not m.group().isalpha() and _TELLING.search(text, m.start(), end):
+            telling.append(len(tokens))
+            word.append(len(words) - 1)
+        tokens.append((m.start(), end))
+    words.append(len(tokens))
+    first = last = 0
+    for t, w in zip(telling, word):
+        lo = max(0, min(t - MAX_TOKENS + 1, words[max(0, w - MAX_WORDS + 1)]))
+        hi = min(len(tokens), max(t + MAX_TOKENS, words[min(len(words) - 1, w + MAX_WORDS)]))
+        if lo >= last:
+            if last:
+                yield tokens[first:last]
+            first = lo
+        last = max(last, hi)
+    if last:
+        yield tokens[first:last]
+
+
+def _trainable(text: str, run: list[tuple[int, int]]) -> bool:
+    """Runs of very many tokens take no part in training."""
+    return len(run) <= 1024 and len(_TELLING.findall(text, run[0][0], run[-1][1])) <= 256
+
+
+def _near(text: str, at: int, step: int) -> str:
+    """Up to two characters that touch a boundary, letters as a, digits as 9."""
+    near = ""
+    for k in (at, at + 1) if step > 0 else (at - 1, at - 2):
+        c = text[k] if 0 <= k < len(text) else " "
+        if c.isspace():
+            break
+        c = "a" if c.isalpha() else "9" if c.isdigit() else c
+        near = near + c if step > 0 else c + near
+    return near
+
+
+def candidates(text: str, run: list[tuple[int, int]]) -> Iterator[list[tuple[int, tuple]]]:
+    """For each token in turn the segments that end with it: (first token,
+    look), where all features follow from the look."""
+    mould, starts, ends, told, at = [], [], [], [0], 0
+    words: list[list[int]] = []         # first and last token of each word, outer punctuation trimmed
+    opens, closes, left, right, after = [], [], [], [], []
+    prev = run[0][0]
+    for i, (s, e) in enumerate(run):
+        tok, gap = text[s:e], text[prev:s][:2]
+        if s != prev or not i:
+            words.append([-1, -1])
+        prev = e
+        solid = tok[0].isalnum()
+        if words[-1][0] < 0 and (solid or tok in "+(@"):
+            words[-1][0] = i
+        if solid:
+            words[-1][1] = i
+        opens.append(solid or tok in _OPENS)
+        closes.append(solid or tok in _ENDS)
+        told.append(told[-1] + (not tok.isalpha() and bool(_TELLING.search(tok))))
+        # digit groups of 20 and more look alike
+        part = "a" if tok.isalpha() else _LETTERS.sub("a", _DIGITS.sub(lambda m: "9" * min(20, len(m.group())), tok))
+        mould += (gap, part)
+        starts.append(at + len(gap))
+        at += len(gap) + len(part)
+        ends.append(at)
+        left.append(_near(text, s, -1))
+        right.append(_near(text, e, 1))
+        before = text[max(0, s - 24):s].split()
+        after.append(before[-1][-1] if before and not before[-1][-1].isalnum() else "")
+    form = "".join(mould)
+    closing = {w[1]: k for k, w in enumerate(words) if w[0] >= 0 and w[1] >= w[0]}
+
+    def look(b: int, e: int) -> tuple:
+        m = form[starts[b]:ends[e]]
+        n, check = m.count("9"), None
+        if 16 <= n <= 19:
+            check = luhn("".join(_DIGITS.findall(text, run[b][0], run[e][1])))
+        elif n <= 12 and m.count(".") == 3 and len(g := _DIGITS.findall(text, run[b][0], run[e][1])) == 4:
+            check = all(int(x) <= 255 for x in g)
+        return m, check, after[b], left[b], right[e]
+
+    for e in range(len(run)):
+        out = []
+        if closes[e]:
+            low = max(0, e - MAX_TOKENS + 1)
+            out = [(b, look(b, e)) for b in range(low, e + 1) if opens[b] and told[e + 1] > told[b]]
+            if e in closing:
+                k = closing[e]
+                out += [(b, look(b, e)) for b, last in words[max(0, k - MAX_WORDS + 1):k + 1]
+                        if 0 <= b < low and told[e + 1] > told[b]]
+        yield out
+
+
+def features(look: tuple) -> list[str]:
+    """Features of the whole span and of what touches it."""
+    span, check, after, left, right = look
     groups = _DIGITS.findall(span)
-    digits = "".join(groups)
-    shape = regex.sub(r"[0-9]+", "9", regex.sub(r"\p{L}+", "a", span))
-    n = len(digits)
-    out = ["bias", f"tokens{min(tokens, 4)}", f"digits{n if n < 20 else 20}", f"groups{min(len(groups), 6)}"]
-    out.append(f"shape{shape[:24]}" if len(shape) <= 24 else "shape-long")
-    if any(c.isalpha() for c in span):
+    n = sum(map(len, groups))
+    shape = _DIGITS.sub("9", span)
+    out = ["bias", f"tokens{min(len(span.split()), 4)}", f"digits{n if n < 20 else 20}", f"groups{min(len(groups), 6)}"]
+    out.append(f"shape{shape}" if len(shape) <= 24 else "shape-long")
+    if "a" in span:
         out.append("letters")
-        if digits:
+        if groups:
             out.append("mixed")
     else:
         out.append("digits-only")
-        out.append("lengths" + "-".join(str(min(len(g), 20)) for g in groups[:6]))
+        out.append("lengths" + "-".join(str(len(g)) for g in groups[:6]))
     if "@" in span:
-        out.append("at")
-        tail = span.rsplit("@", 1)[1]
+        out.append("at" if span.count("@") == 1 else "ats")
+        head, tail = span.split("@", 1)
         out.append("at-dots" if "." in tail.strip(".") else "at-bare")
-    for c in ".-()+=/:_":
+        # words of the name and of the domain
+        out.append(f"name{min(len(head.split()), 3)}")
+        out.append(f"domain{min(len(tail.split()), 3)}")
+    elif "a" in span:
+        out.append("letters-no-at")
+    for c in ".-()+=/:_,":
         if c in span:
             out.append("has" + c)
     if 16 <= n <= 19:
-        out.append("luhn" if luhn(digits) else "no-luhn")
-    if len(groups) == 4 and span.count(".") == 3 and n <= 12:
-        out.append("octets" if all(int(g) <= 255 for g in groups) else "no-octets")
-    before = text[max(0, start - 24):start].split()
-    if before and not before[-1][-1].isalnum():
-        out.append("after" + before[-1][-1])
+        out.append("luhn" if check else "no-luhn")
+    elif check is not None:
+        out.append("octets" if check else "no-octets")
+    out.append(f"from{span[0]}")
+    if after:
+        out.append("after" + after)
+    out += ["left" + left, "right" + right]
     return out
 
 
@@ -157,7 +240,44 @@ class Config:
 
 def _logsum(x: list[float]) -> float:
     m = max(x)
-    return m + float(np.log(sum(np.exp(v - m) for v in x)))
+    return m + math.log(sum([math.exp(v - m) for v in x]))
+
+
+def _step(w: np.ndarray, inside: np.ndarray, first: list[int], end: list[int], gold: np.ndarray, n: int,
+          rate: float, decay: float) -> np.ndarray:
+    """Weights (feature by kind) after one step up the log-likelihood of
+    ``gold`` (segment by kind). ``inside``: each segment's features, filled
+    up with 0, whose weights stay 0; its tokens are from ``first`` to before ``end``."""
+    held = np.zeros((len(inside), len(w)))
+    held[np.arange(len(inside))[:, None], inside] = 1.0
+    held[:, 0] = 0.0
+    s = held @ w
+    top = s.max(axis=1)
+    flat = (top + np.log(np.exp(s - top[:, None]).sum(axis=1))).tolist()
+    ending: dict[int, list] = {}
+    opening: dict[int, list] = {}
+    for k, (b, e) in enumerate(zip(first, end)):
+        ending.setdefault(e, []).append(k)
+        opening.setdefault(b, []).append(k)
+    ahead = [0.0] * (n + 1)     # log sum over splits of the first tokens
+    back = [0.0] * (n + 1)      # and of the last
+    for e in range(1, n + 1):
+        ahead[e] = _logsum([ahead[e - 1], *[ahead[first[k]] + flat[k] for k in ending[e]]]) if e in ending else ahead[e - 1]
+    for b in range(n - 1, -1, -1):
+        back[b] = _logsum([back[b + 1], *[flat[k] + back[end[k]] for k in opening[b]]]) if b in opening else back[b + 1]
+    rest = np.array(ahead)[first] + np.array(back)[end] - ahead[n]
+    step = rate * (gold - np.exp(s + rest[:, None]))
+    return w * (1 - rate * decay) + held.T @ step
+
+
+def _hot(where: Iterable[tuple[int, int]], gold: dict[tuple[int, int], int]) -> np.ndarray:
+    return np.array([[float(gold.get(k) == c) for c in range(len(KINDS))] for k in where])
+
+
+def _row(feats: Iterable[str], names: dict[str, int]) -> list[int]:
+    """Numbers of the features from 1 on, filled up with 0."""
+    row = [names.setdefault(f, len(names) + 1) for f in feats]
+    return row + [0] * (WIDTH - len(row))
 
 
 @dataclass
@@ -166,14 +286,12 @@ class SemiCrf:
 
     weights: dict[tuple[str, int], float] = field(default_factory=dict)
     margin: float = 0.0
+    table: dict[str, list[float]] = field(default_factory=dict)             # weights by kind, made when decoding
+    scored: dict[tuple, tuple[float, int]] = field(default_factory=dict)    # best kind of a look
 
     def segments(self, text: str, run: list[tuple[int, int]]) -> dict[tuple[int, int], list[str]]:
         """Features of each candidate segment, by (first token, tokens)."""
-        out = {}
-        for i in range(len(run)):
-            for n in range(1, min(MAX_TOKENS, len(run) - i) + 1):
-                out[i, n] = features(text, run[i][0], run[i + n - 1][1], n)
-        return out
+        return {(b, e + 1 - b): features(x) for e, found in enumerate(candidates(text, run)) for b, x in found}
 
     def score(self, feats: list[str], kind: int) -> float:
         return sum(self.weights.get((f, kind), 0.0) for f in feats)
@@ -181,24 +299,31 @@ class SemiCrf:
     def learn(self, text: str, run: list[tuple[int, int]], gold: dict[tuple[int, int], int], rate: float, decay: float):
         """One step up the log-likelihood of ``gold`` (segments by kind)."""
         seg = self.segments(text, run)
-        s = {(k, c): self.score(f, c) for k, f in seg.items() for c in range(len(KINDS))}
-        n = len(run)
-        ahead = [0.0] * (n + 1)     # log sum over splits of the first tokens
-        back = [0.0] * (n + 1)      # and of the last
-        for e in range(1, n + 1):
-            ahead[e] = _logsum([ahead[e - 1], *[ahead[e - m] + s[(e - m, m), c] for m in range(1, min(MAX_TOKENS, e) + 1)
-                                                for c in range(len(KINDS))]])
-        for b in range(n - 1, -1, -1):
-            back[b] = _logsum([back[b + 1], *[s[(b, m), c] + back[b + m] for m in range(1, min(MAX_TOKENS, n - b) + 1)
-                                              for c in range(len(KINDS))]])
-        for (i, m), feats in seg.items():
-            for c in range(len(KINDS)):
-                p = float(np.exp(ahead[i] + s[(i, m), c] + back[i + m] - ahead[n]))
-                step = rate * ((gold.get((i, m)) == c) - p)
-                if abs(step) > 1e-6:
-                    for f in feats:
-                        w = self.weights.get((f, c), 0.0)
-                        self.weights[f, c] = w + step - rate * decay * w
+        names: dict[str, int] = {}
+        inside = np.array([_row(fs, names) for fs in seg.values()])
+        w = np.zeros((len(names) + 1, len(KINDS)))
+        for f, i in names.items():
+            w[i] = [self.weights.get((f, c), 0.0) for c in range(len(KINDS))]
+        w = _step(w, inside, [b for b, _ in seg], [b + m for b, m in seg], _hot(seg, gold), len(run), rate, decay)
+        self.weights.update({(f, c): float(w[i, c]) for f, i in names.items() for c in range(len(KINDS))})
+        self.table.clear()
+        self.scored.clear()
+
+    def best_kind(self, look: tuple) -> tuple[float, int]:
+        got = self.scored.get(look)
+        if got is None:
+            if not self.table:
+                for (f, c), v in self.weights.items():
+                    self.table.setdefault(f, [0.0] * len(KINDS))[c] = v
+            found = [x for x in map(self.table.get, features(look)) if x]
+            sums = list(map(sum, zip(*found))) or [0.0] * len(KINDS)
+            v = max(sums)
+            got = v - self.margin, sums.index(v)
+            if len(look[0]) <= 64:
+                if len(self.scored) >= 200_000:
+                    self.scored.clear()
+                self.scored[look] = got
+        return got
 
     def best(self, text: str, run: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
         """Segments of the best path: (kind, start, end)."""
@@ -212,22 +337,20 @@ class SemiCrf:
         n = len(run)
         top = [0.0] * (n + 1)
         how: list = [None] * (n + 1)
-        seg = self.segments(text, run)
-        for e in range(1, n + 1):
+        for e, found in enumerate(candidates(text, run), 1):
             top[e] = top[e - 1]
-            for m in range(1, min(MAX_TOKENS, e) + 1):
-                for c in range(len(KINDS)):
-                    v = top[e - m] + self.score(seg[e - m, m], c) - self.margin
-                    if v > top[e]:
-                        top[e], how[e] = v, (m, c)
+            for b, look in found:
+                v, c = self.best_kind(look)
+                if top[b] + v > top[e]:
+                    top[e], how[e] = top[b] + v, (b, c)
         out, e = [], n
         while e > 0:
             if how[e] is None:
                 e -= 1
             else:
-                m, c = how[e]
-                out.append((c, run[e - m][0], run[e - 1][1]))
-                e -= m
+                b, c = how[e]
+                out.append((c, run[b][0], run[e - 1][1]))
+                e = b
         return out[::-1]
 
     def spans(self, text: str | None) -> tuple[list, list]:
@@ -276,23 +399,42 @@ def _varied(text: str, base: list[tuple[int, int, int]], rng: random.Random) ->
 def fit(texts: list[str], cfg: Config = Config()) -> SemiCrf:
     """Train on the base spans of ``texts`` in a fixed random order."""
     model, rng = SemiCrf(), random.Random(cfg.seed)
+    names: dict[str, int] = {}
+    looks: dict[tuple, list[int]] = {}
     examples = []
     for t in texts:
         base = base_spans(t)
         for text, spans in ((t, base), _varied(t, base, rng)):
             for run in stretches(text):
-                if len(run) > 64:
+                if not _trainable(text, run):
+                    continue
+                first, end, rows = [], [], []
+                for e, found in enumerate(candidates(text, run), 1):
+                    for b, x in found:
+                        if x not in looks:
+                            looks[x] = np.array(_row(features(x), names), dtype=np.int32)
+                        first.append(b)
+                        end.append(e)
+                        rows.append(looks[x])
+                if not rows:
                     continue
-                first, last = {a: i for i, (a, _) in enumerate(run)}, {b: i for i, (_, b) in enumerate(run)}
-                gold = {(first[s], last[e] - first[s] + 1): k for k, s, e in spans
-                        if s in first and e in last and 0 <= last[e] - first[s] < MAX_TOKENS}
-                # a stretch is cut out of its text, with what stands before it
-                lo = max(0, run[0][0] - 24)
-                examples.append((text[lo:run[-1][1]], [(a - lo, b - lo) for a, b in run], gold))
+                at, to = {a: i for i, (a, _) in enumerate(run)}, {b: i + 1 for i, (_, b) in enumerate(run)}
+                gold = {(at[s], to[e]): k for k, s, e in spans if s in at and e in to}
+                table = np.stack(rows)
+                known, inside = np.unique(table[:, :int((table > 0).sum(axis=1).max()) + 1], return_inverse=True)
+                examples.append((known, inside.astype(np.uint16 if len(known) < 65536 else np.int32),
+                                 np.array(first, dtype=np.int16), np.array(end, dtype=np.int16), gold, len(run)))
+    looks.clear()
+    w = np.zeros((len(names) + 1, len(KINDS)))
     for epoch in range(cfg.epochs):
         rng.shuffle(examples)
-        for text, run, gold in examples:
-            model.learn(text, run, gold, cfg.rate / (1 + epoch), cfg.decay)
+        for known, inside, first, end, gold, n in examples:
+            b, e = first.tolist(), end.tolist()
+            hot = np.zeros((len(b), len(KINDS)))
+            for k in (np.flatnonzero([x in gold for x in zip(b, e)]).tolist() if gold else ()):
+                hot[k, gold[b[k], e[k]]] = 1.0
+            w[known] = _step(w[known], inside, b, e, hot, n, cfg.rate / (1 + epoch), cfg.decay)
+    model.weights = {(f, c): float(w[i, c]) for f, i in names.items() for c in range(len(KINDS)) if w[i, c]}
     model.margin = cfg.margin
     return model
 
@@ -307,7 +449,7 @@ def train(docs: DataFrame, cfg: Config = Config(), id_col: str = "doc_id", text_
     @F.pandas_udf("array<string>")
     def around(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield pd.Series([[t[max(0, run[0][0] - 24):run[-1][1] + 1] for run in stretches(t) if len(run) <= 64]
+            yield pd.Series([[t[max(0, run[0][0] - 24):run[-1][1] + 1] for run in stretches(t) if _trainable(t, run)]
                              for t in part])
 
     rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))

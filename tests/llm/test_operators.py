@@ -3,6 +3,7 @@ small table of odd rows."""
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -522,6 +523,64 @@ def test_field_learns_forms_beyond_the_patterns(spark):
     assert model.spans("Version 2.0 of 4.0 in 1999, page 37")[1] == []
 
 
+def test_each_rewritten_form_is_decoded(spark):
+    """Every span of the varied texts is a candidate, and decoded after training."""
+    texts = [r.text for r in docs_of(spark, SF01).filter(F.col("text").rlike("[0-9@]")).orderBy("doc_id").collect()]
+    model, rng, found, total = pii.fit(texts), random.Random(5), Counter(), Counter()
+    for text, spans in (pii._varied(t, pii.base_spans(t), rng) for t in texts * 3):
+        seen = {(run[b][0], run[e][1]) for run in pii.stretches(text)
+                for e, ends in enumerate(pii.candidates(text, run)) for b, _ in ends}
+        assert {(s, e) for _, s, e in spans} <= seen
+        got, base = set(model.spans(text)[1]), set(pii.base_spans(text))
+        for k, s, e in set(spans) - base:
+            sep = {0: " @ ", 2: text[s + 4:s + 6].rstrip("0123456789"), 3: "("}[k]
+            form = k, sep if sep in text[s:e] else "other"
+            total[form] += 1
+            found[form] += (k, s, e) in got
+    assert set(total) == {(0, " @ "), (0, "other"), (2, "/"), (2, "."), (2, "  "), (3, "("), (3, "other")}
+    assert all(found[f] >= 0.9 * total[f] for f in total), (found, total)
+
+
+@pytest.mark.parametrize("text, span", [
+    ("write to jane @ example.com now", "jane @ example.com"), ("write to jane7 @ example3.com now", "jane7 @ example3.com"),
+    ("phone:555-123-4567", "555-123-4567"), ('{"tel":"0151/2345678"}', "0151/2345678"),
+    (" @ ".join([".".join("abcdefghijklmnopqrstuvwxyz"), "x.com"]), ".".join("abcdefghijklmnopqrstuvwxyz") + " @ x.com"),
+    ("4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1")])
+def test_boundaries_around_and_inside_words(text, span):
+    start = text.index(span)
+    crf = pii.SemiCrf()
+    for run in pii.stretches(text):
+        first, last = {a: i for i, (a, _) in enumerate(run)}, {b: i for i, (_, b) in enumerate(run)}
+        b, e = first[start], last[start + len(span)]
+        for _ in range(60):
+            crf.learn(text, run, {(b, e + 1 - b): 3}, 0.2, 0.0)
+    assert (3, start, start + len(span)) in [x for run in pii.stretches(text) for x in crf.best(text, run)]
+
+
+def test_best_path_is_exact():
+    """Decoding equals the best of all segmentations of the candidates."""
+    rng = random.Random(2)
+    for _ in range(40):
+        text = "".join(rng.choice("a1@. -+") for _ in range(rng.randint(1, 9))) + "7"
+        for run in pii.stretches(text):
+            crf = pii.SemiCrf(margin=0.5)
+            seg = crf.segments(text, run)
+            crf.weights = {(f, c): rng.gauss(0, 1) for fs in seg.values() for f in fs for c in range(4)}
+
+            def paths(i):
+                if i == len(run):
+                    yield 0.0, []
+                    return
+                yield from paths(i + 1)
+                for (b, m), fs in seg.items():
+                    if b == i:
+                        for c in range(4):
+                            for v, rest in paths(i + m):
+                                yield v + crf.score(fs, c) - crf.margin, [(c, run[i][0], run[i + m - 1][1]), *rest]
+
+            assert crf.best(text, run) == max(paths(0), key=lambda x: x[0])[1]
+
+
 def test_partition_function_is_exact():
     """One training step's expectation equals enumeration of all segmentations."""
     text, run = "11 22 33", [(0, 2), (3, 5), (6, 8)]
