@@ -11,7 +11,8 @@ earlier in the table wins, and a sentence belongs to one match.
 DataFrame operations only, within each row: no shuffle, and the tables are
 literals of fixed size. Sentences end at a line's end or at .!? before white
 space; for texts with wrapped lines a second reading joins the lines of a
-paragraph, and matches of either reading count. Null and empty texts
+paragraph, and matches of either reading count. A line without letters or
+digits (a comment block's ``*``, ``#`` or ``//``) ends a paragraph. Null and empty texts
 have no sentences and no licence.
 """
 
@@ -81,19 +82,23 @@ RULES = [
 
 _ENDS = r"([.!?])[\x20\t]+"
 _WRAP = r"([^.!?:\n])\n([^\n])"
+_BARE = r"(?<![^\n])[^\p{L}\p{N}\n]++(?![^\n])"
 
 
 def normalise(sentence: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " "))
 
 
+def joined(text: Column) -> Column:
+    """The text with the lines of each paragraph joined."""
+    return F.regexp_replace(F.regexp_replace(text, _BARE, ""), _WRAP, "$1 $2")
+
+
 def sentence_ids(text: Column, sentences: dict[str, str]) -> Column:
     """Identifiers of the known sentences of ``text``, in order."""
     known = F.create_map(*[F.lit(x) for name, s in sentences.items() for x in (s, name)])
-    longest = max(map(len, sentences.values()))
     parts = F.split(F.regexp_replace(text, _ENDS, "$1\n"), "\n")
-    # a sentence of which even letters and digits are more than the longest is none of them
-    words = F.transform(F.filter(parts, lambda s: (F.length(s) >= 8) & (F.length(s) <= 3 * longest)), normalise)
+    words = F.transform(F.filter(parts, lambda s: F.length(s) >= 8), normalise)
     return F.filter(F.transform(words, lambda w: F.try_element_at(known, w)), lambda x: x.isNotNull())
 
 
@@ -125,7 +130,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rules = rules or RULES
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col), sentence_ids(text, sentences).alias("_line"),
-                       sentence_ids(F.regexp_replace(text, _WRAP, "$1 $2"), sentences).alias("_joined"))
+                       sentence_ids(joined(text), sentences).alias("_joined"))
     rows = rows.select(id_col, F.concat("_line", F.array_except("_joined", "_line")).alias("sentence_ids"),
                        matches(F.col("_line"), rules).alias("_a"), matches(F.col("_joined"), rules).alias("_b"))
     return rows.select(id_col, "sentence_ids",

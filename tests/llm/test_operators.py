@@ -185,6 +185,24 @@ def test_license_rules(spark, empty):
     assert license_scan.scan(empty).count() == 0
 
 
+@pytest.mark.parametrize("mark, top, bottom", [(" *", "/*\n", "\n */\nint x;"), ("#", "", "\n\nimport x"), ("//", "", "\nint x;")])
+def test_licenses_in_comment_blocks(spark, mark, top, bottom):
+    s = license_scan.SENTENCES
+
+    def block(*paragraphs):
+        lines = f"\n{mark}\n".join(re.sub("(?m)^", f"{mark} ", re.sub("(.{40,60}) ", "\\1\n", p)) for p in paragraphs)
+        return f"{top}{lines}{bottom}"
+
+    mit = block("Copyright (c) 2020 Foo", s["mit-grant"].capitalize() + ":", s["mit-notice"].capitalize() + ".", s["mit-as-is"].upper() + ".")
+    gpl = block("Copyright (C) 2020 Foo", s["gpl-free"].capitalize() + ".", "This program comes with no warranty.")
+    boxed = f"{mark} {s['mit-released']} {'=' * 3 * max(map(len, s.values()))}"
+    df = spark.createDataFrame([(0, mit), (1, gpl), (2, gpl.replace("\n", "\r\n")), (3, boxed)], "doc_id int, text string")
+    got = {r.doc_id: (r.sentence_ids, r.licenses) for r in license_scan.scan(df).collect()}
+    assert got[0] == (["mit-grant", "mit-notice", "mit-as-is"], ["MIT"])
+    assert got[1] == got[2] == (["gpl-free"], ["GPL-3.0-or-later"])
+    assert got[3] == (["mit-released"], ["MIT"])
+
+
 # -- mixing ------------------------------------------------------------------
 
 def brute_targets(sizes, weights=(5, 2, 1), cap=3):
