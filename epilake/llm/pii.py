@@ -10,7 +10,8 @@ tokens, or up to ``MAX_WORDS`` whole words of any length; its score for a
 type is a weighted sum of features of the whole span (shape, separators,
 number of digits and groups, checksum, octets, what stands before and
 after). A dynamic program over the stretch chooses boundaries and types
-together: the partition function trains it, the best path decodes.
+together: the partition function trains it, the best path decodes. A stretch
+of any length is one path; segments are built end by end and not kept.
 
 The weights are trained here by stochastic gradient ascent on the
 conditional likelihood of base spans in a bounded sample of texts
@@ -327,13 +328,6 @@ class SemiCrf:
 
     def best(self, text: str, run: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
         """Segments of the best path: (kind, start, end)."""
-        if len(run) > 4096:  # the path through a very long run, a part at a time in turn
-            out, i = [], 0
-            while i < len(run):
-                got = self.best(text, run[i:i + 4096])
-                out += got
-                i += 4096
-            return out
         n = len(run)
         top = [0.0] * (n + 1)
         how: list = [None] * (n + 1)

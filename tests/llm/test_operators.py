@@ -599,6 +599,13 @@ def test_best_path_is_exact():
             assert crf.best(text, run) == max(paths(0), key=lambda x: x[0])[1]
 
 
+def test_a_long_run_is_one_path():
+    card = "4111  1111  1111  1111"
+    text = "x1 " * 4094 + card + " x1" * 10
+    crf = pii.SemiCrf({("lengths4-4-4-4", 2): 5.0, ("luhn", 2): 5.0, ("letters", 2): -20.0})
+    assert crf.spans(text)[1] == [(2, 3 * 4094, 3 * 4094 + len(card))]
+
+
 def test_partition_function_is_exact():
     """One training step's expectation equals enumeration of all segmentations."""
     text, run = "11 22 33", [(0, 2), (3, 5), (6, 8)]
