@@ -180,7 +180,7 @@ def run(spark: SparkSession, argv: list[str]) -> pl.PipelineResult:
     cfg, rename = config_from(args)
     res = pl.PipelineResult()
     if args.step in ("trusted", "all"):
-        cases = pl.read_landed_cases(spark, args.cases, rename, fmt=args.cases_format)
+        cases = pl.read_landed_cases(spark, args.cases, rename, fmt=args.cases_format, keep_text=True)
         dim = io.scan_csv(spark, args.dim, DIM_SCHEMA)
         pl.step_trusted(spark, cases, dim, args.base, cfg, res)
     if args.step in ("refined", "all"):

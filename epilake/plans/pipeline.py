@@ -66,7 +66,7 @@ class PipelineConfig:
 class PipelineResult:
     paths: dict[str, str] = field(default_factory=dict)
     rows: dict[str, int] = field(default_factory=dict)
-    rejects: dict[str, int] = field(default_factory=dict)  # bad_dates, unmatched
+    rejects: dict[str, int] = field(default_factory=dict)  # bad_dates, unmatched, bad_ages
 
 
 #: Default folder of each published table under the base path.
@@ -114,12 +114,18 @@ def _partition_names(cfg: PipelineConfig, table: str, cols: Sequence[str]) -> li
     return [names.get(c, c) for c in cols]
 
 
+#: Suffix of a number's text as landed.
+LANDED = "__landed"
+
+
 def read_landed_cases(spark: SparkSession, path: str, rename: Mapping[str, str] | None = None,
-                      fmt: str = "csv", numeric: Sequence[str] = ("age",)) -> DataFrame:
+                      fmt: str = "csv", numeric: Sequence[str] = ("age",), keep_text: bool = False) -> DataFrame:
     """Raw event records as landed: header row, every column read as text
     (no inference pass, codes such as ``05`` stay as written), renamed to
     the operators' column names, ``numeric`` columns cast with ``try_cast``
-    (unreadable text becomes null instead of failing the job)."""
+    (unreadable text becomes null instead of failing the job). With
+    ``keep_text`` the landed text stays beside each as ``<name>__landed``, for
+    :func:`step_trusted` to count what was unreadable."""
     if fmt == "csv":
         df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
     else:
@@ -127,6 +133,8 @@ def read_landed_cases(spark: SparkSession, path: str, rename: Mapping[str, str]
     if rename:
         df = df.withColumnsRenamed(dict(rename))
     casts = {c: F.col(c).try_cast("double") for c in numeric if c in df.columns}
+    if keep_text:
+        df = df.withColumns({c + LANDED: F.col(c) for c in casts}) if casts else df
     return df.withColumns(casts) if casts else df
 
 
@@ -134,15 +142,18 @@ def step_trusted(spark: SparkSession, cases: DataFrame, dim: DataFrame, base_pat
                  config: PipelineConfig | None = None,
                  result: PipelineResult | None = None) -> PipelineResult:
     """Step 1: enrich + date parts, event level -> partitioned write of the
-    trusted table. Unreadable dates and events without a dimension row
-    are counted during the write (``result.rejects``)."""
+    trusted table. Unreadable dates, events without a dimension row and, of
+    cases read with ``keep_text``, unreadable numbers (``bad_ages``) are
+    counted during the write (``result.rejects``)."""
     cfg, res = config or PipelineConfig(), result or PipelineResult()
     path = table_paths(base_path, cfg.folders)["trusted"]
     trusted = cl.trusted_cases(cases, dim)
-    trusted, obs = observed(trusted, "trusted", {
+    landed = [c.removesuffix(LANDED) for c in trusted.columns if c.endswith(LANDED)]
+    trusted, obs = observed(trusted, "trusted", conditions := {
         "bad_dates": F.col("event_date").isNull() & F.col("report_date").isNotNull(),
-        "unmatched": F.col("dim_code").isNull()})
-    df = _publish_names(trusted, cfg, "trusted")
+        "unmatched": F.col("dim_code").isNull(),
+        **{f"bad_{c}s": F.col(c).isNull() & F.col(c + LANDED).isNotNull() for c in landed}})
+    df = _publish_names(trusted.drop(*[c + LANDED for c in landed]), cfg, "trusted")
     if cfg.trusted_columns:
         # a column that the landed file lacks is null text, so the table's
         # columns are the same whatever was landed
@@ -152,7 +163,7 @@ def step_trusted(spark: SparkSession, cases: DataFrame, dim: DataFrame, base_pat
                          dynamic=cfg.dynamic_overwrite)
     got = obs.get
     res.paths["trusted"], res.rows["trusted"] = path, got["rows"]
-    res.rejects = {k: got[k] for k in ("bad_dates", "unmatched")}
+    res.rejects = {k: got[k] for k in conditions}
     return res
 
 

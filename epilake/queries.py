@@ -327,11 +327,11 @@ def q_register_lake_tables(spark, sf):
     return tb.register_lake_table(spark, name, path, partitioned=True)
 
 
-def _landed_cases(spark, sf):
+def _landed_cases(spark, sf, keep_text=False):
     """The cases written as a landed CSV file with a header row."""
     path = scratch_path(spark, "cases_csv")
     fx.cases(spark, sf).write.option("header", True).csv(path)
-    return pl.read_landed_cases(spark, path)
+    return pl.read_landed_cases(spark, path, keep_text=keep_text)
 
 
 def q_scan_cases_csv(spark, sf):
@@ -340,7 +340,7 @@ def q_scan_cases_csv(spark, sf):
 
 def q_run_pipeline(spark, sf):
     """The three steps from the landed CSV; what the last one published."""
-    res = pl.run_pipeline(spark, _landed_cases(spark, sf), fx.region_dim(spark, sf),
+    res = pl.run_pipeline(spark, _landed_cases(spark, sf, keep_text=True), fx.region_dim(spark, sf),
                           scratch_path(spark, "steps"), pl.PipelineConfig(run_analytics=False))
     return io.scan_partitioned_parquet(spark, res.paths["summary"])
 
@@ -361,7 +361,7 @@ def q_trusted_source_columns(spark, sf):
     back = {c: n for n, c in SOURCE_LAYOUT["rename"].items()}
     (fx.cases(spark, sf).withColumnsRenamed({**back, "status": "estado"})
      .write.option("header", True).csv(raw))
-    res = pl.step_trusted(spark, pl.read_landed_cases(spark, raw, SOURCE_LAYOUT["rename"]),
+    res = pl.step_trusted(spark, pl.read_landed_cases(spark, raw, SOURCE_LAYOUT["rename"], keep_text=True),
                           fx.region_dim(spark, sf), scratch_path(spark, "source_trusted"),
                           pl.PipelineConfig(**SOURCE_NAMES))
     return io.scan_partitioned_parquet(spark, res.paths["trusted"])

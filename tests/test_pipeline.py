@@ -6,7 +6,7 @@ from oracle import canon
 
 from epilake import fixture as fx
 from epilake import queries as q
-from epilake.plans.pipeline import PipelineConfig, run_pipeline
+from epilake.plans.pipeline import PipelineConfig, read_landed_cases, run_pipeline, step_trusted
 from epilake.session import scratch_path
 
 
@@ -28,3 +28,18 @@ def test_pipeline_and_rerun(spark):
     res2 = run_pipeline(spark, cases, dim, base, cfg)
     second = {k: _rows(spark.read.parquet(p)) for k, p in res2.paths.items()}
     assert first == second
+
+
+def test_unreadable_values_are_counted(spark):
+    """Dates, codes and ages that the trusted step cannot use, each counted once."""
+    dim = fx.region_dim(spark, SF001)
+    code = dim.first().code
+    path = scratch_path(spark, "landed")
+    rows = [(code, "1995-01-01", "40"), (code, "1995-01-01", "forty"), (code, "1995-01-01", None),
+            (code, "not a date", "4o"), ("zz", "1995-01-01", "7.5")]
+    spark.createDataFrame(rows, "region_raw string, report_date string, age string").write.option("header", True).csv(path)
+    res = step_trusted(spark, read_landed_cases(spark, path, keep_text=True), dim, scratch_path(spark, "counted"))
+    assert res.rejects == {"bad_dates": 1, "unmatched": 1, "bad_ages": 2}
+    got = spark.read.parquet(res.paths["trusted"])
+    assert "age__landed" not in got.columns
+    assert sorted((r.age for r in got.collect()), key=str) == [40.0, 7.5, None, None, None]
