@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -44,7 +45,8 @@ MAX_WORDS = 6
 OTHER = len(KINDS)
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_DOMAIN = regex.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+# re, since regex looks for the dot in all that follows, at each @
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # a pattern that failed at a run's first digit fails at its others too
 _IP = regex.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = regex.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -81,7 +83,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
             done = m.end()
         at = text.find("@", at + 1)
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        octets = [p.lstrip("0") for p in m.group().split(".")]
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in octets):
             out.append((1, m.start(), m.end()))
     for m in _CARD.finditer(text):
         digits = _NOT_DIGIT.sub("", m.group())

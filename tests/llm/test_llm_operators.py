@@ -5,12 +5,13 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-import xxhash
+from brute import brute_components, brute_fingerprint, brute_groups, brute_targets
 from conftest import SF01, SF001
 from oracle import compare, duck
 from pyspark.sql import functions as F
@@ -53,8 +54,7 @@ def docs_of(spark, sf):
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, name):
-    sf = SF01 if name == "op9_url_filter" else SF001
-    problems, n = compare(queries.QUERIES[name](spark, sf), duck(sf), queries.ORACLES[name])
+    problems, n = compare(queries.QUERIES[name](spark, SF001), duck(SF001), queries.ORACLES[name])
     assert not problems and n
 
 
@@ -90,13 +90,6 @@ def test_trigrams_count(spark):
 
 # -- exact dedup -------------------------------------------------------------
 
-def brute_groups(rows):
-    groups = defaultdict(list)
-    for i, t in rows:
-        groups[re.sub("[\x20\x09-\x0d]+", " ", t or "")].append(i)
-    return groups
-
-
 def test_exact_dedup_odd_rows(spark, odd):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     groups = brute_groups(rows)
@@ -205,22 +198,6 @@ def test_licenses_in_comment_blocks(spark, mark, top, bottom):
 
 # -- mixing ------------------------------------------------------------------
 
-def brute_targets(sizes, weights=(5, 2, 1), cap=3):
-    order = sorted(sizes, key=lambda s: (s is None, s))
-    w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    left, free, out = sum(sizes.values()), set(order), {}
-    while free:
-        share = {s: left * w[s] / sum(w[x] for x in free) for s in free}
-        over = [s for s in free if share[s] > cap * sizes[s] + 1e-9]
-        if not over:
-            return {**out, **share}
-        for s in over:
-            out[s] = cap * sizes[s]
-            left -= out[s]
-            free.discard(s)
-    return out
-
-
 @pytest.mark.parametrize("block", [7, 512])
 def test_mixing_meets_targets(spark, odd, block):
     for df in (odd, docs_of(spark, SF001)):
@@ -273,34 +250,6 @@ def test_shard_counts_sum_to_draws(spark):
 
 # -- simhash -----------------------------------------------------------------
 
-def brute_fingerprint(text, k=3):
-    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
-    words = WORD.findall(low)
-    if not words:
-        return 0
-    parts = [" ".join(words)] if len(words) < k else [" ".join(words[i:i + k]) for i in range(len(words) - k + 1)]
-    h = [xxhash.xxh64(p.encode(), seed=42).intdigest() for p in parts]
-    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
-
-
-def brute_components(fps, bits=2):
-    fps = sorted(set(fps))
-    arr = np.array(fps, dtype=np.uint64)
-    root = {f: f for f in fps}
-
-    def find(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for i, f in enumerate(fps):
-        near = np.flatnonzero(np.bitwise_count(arr[i + 1:] ^ arr[i]) <= bits)
-        for j in near:
-            root[find(fps[i + 1 + j])] = find(f)
-    return {f: find(f) for f in fps}
-
-
 def test_simhash_query_equals_brute_force(spark, odd):
     for df in (odd, docs_of(spark, SF01)):
         rows = [(r.doc_id, r.text) for r in df.collect()]
@@ -508,6 +457,15 @@ def brute_spans(t):
     return out
 
 
+def test_base_spans_of_long_octets_and_many_ats():
+    zeros = "0" * 5000
+    text = f"1.2.3.{zeros}1 and 1.2.3.{zeros}256"
+    assert pii.base_spans(text) == [(1, 0, 5007)]
+    began = time.process_time()
+    assert pii.base_spans("a@" * 200_000) == []
+    assert time.process_time() - began < 1
+
+
 def test_base_spans_equal_patterns():
     import random
     rng = random.Random(4)

@@ -3,8 +3,8 @@
 import re
 from collections import Counter
 
+from brute import brute_components, brute_fingerprint, brute_groups, brute_targets
 from conftest import SF01
-from test_operators import brute_components, brute_fingerprint, brute_groups, brute_targets
 
 import corpus_pipeline
 from epilake.llm.common import materialise
