@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from epilake.session import shared_dir
 
-from . import (exact_dedup, language_id, license_scan, mixing, pii, quality_classifier, quality_rules,
+from . import (conversation_repair, exact_dedup, language_id, license_scan, mixing, pii, quality_classifier, quality_rules,
                sentencepiece_codec, simhash, url_filter)
 from .common import remainder, table
 
@@ -96,6 +96,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", pii.find(docs, pii.train(docs)).alias("p")).select("doc_id", "p.*")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of each conversation after its rows are damaged."""
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(rows)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -107,6 +113,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_url_filter": op9_url_filter,
     "op10_pii": op10_pii,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES = {
