@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from epilake.session import shared_dir
 
-from . import (chat_format, conversation_repair, exact_dedup, language_id, license_scan, mixing, pii, quality_classifier, quality_rules,
-               sentencepiece_codec, simhash, url_filter)
+from . import (chat_format, conversation_repair, exact_dedup, hard_negatives, language_id, license_scan, mixing,
+               pii, quality_classifier, quality_rules, sentencepiece_codec, simhash, url_filter)
 from .common import remainder, table
 
 #: Vocabulary file of the tokenizer queries; change it with the session
@@ -105,6 +105,14 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_turns(rows))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of each anchor and positive among all vectors."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    label = F.col("label").cast("long")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0).drop("positive_rank")
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cheapest repair of each conversation after its rows are damaged."""
     rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
@@ -123,6 +131,7 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_pii": op10_pii,
     "op11_chat_format": op11_chat_format,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
@@ -131,4 +140,5 @@ ORACLES = {
     "op4_license_scan": license_scan.oracle_sql(),
     "op5_mixing": mixing.oracle_sql(),
     "op11_chat_format": chat_format.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
