@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epilake.functions.columns import AGE_BINS, AGE_FALLBACK, bin_label, round2
-from epilake.plans.sequence import trailing_days_mean, trailing_rows_mean
 
 
 def _date_lit(d: str | _dt.date) -> Column:
@@ -178,18 +177,23 @@ def national_daily_cases(indicators: DataFrame) -> DataFrame:
     return indicators.groupBy("date").agg(F.sum("new_cases").alias("new_cases_national"))
 
 
-def moving_average(indicators: DataFrame, window: int = 7, block_days: int = 32,
-                   calendar: bool = False) -> DataFrame:
+def moving_average(indicators: DataFrame, window: int = 7, calendar: bool = False) -> DataFrame:
     """Trailing ``window``-row moving average of the national daily new
     cases (rows, not calendar days: a gap in dates is not filled), rounded
     to 2 places; early rows average the rows they have.
 
     ``calendar=True`` (an addition, off by default) averages over the last
-    ``window`` calendar days instead."""
+    ``window`` calendar days instead; a null date belongs to no such frame
+    and is left out.
+
+    The window has no partition: it runs after the aggregation, over one row
+    per date whatever the number of events."""
     daily = national_daily_cases(indicators)
     if calendar:
-        avg = trailing_days_mean(daily, "date", "new_cases_national", window, "__avg")
+        daily = daily.filter(F.col("date").isNotNull())
+        frame = Window.orderBy(F.unix_date("date")).rangeBetween(1 - window, Window.currentRow)
     else:
-        avg = trailing_rows_mean(daily, "date", "new_cases_national", window, "__avg", block_days)
-    return (avg.select("date", "new_cases_national", round2("__avg").alias("moving_avg"))
+        frame = Window.orderBy(F.col("date").asc_nulls_first()).rowsBetween(1 - window, Window.currentRow)
+    return (daily.withColumn("moving_avg", round2(F.avg("new_cases_national").over(frame)))
+            .select("date", "new_cases_national", "moving_avg")
             .orderBy(F.col("date").desc_nulls_last()))

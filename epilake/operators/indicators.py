@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from epilake.functions.columns import normalise_code, rate_per_n_expr
-from epilake.plans.sequence import prefix_sum
 
 #: Output columns of the per-region daily indicator table, in order.
 INDICATOR_COLUMNS = ("date", "year", "month", "day", "code", "name", "population",
@@ -103,7 +102,7 @@ def with_latest_date(df: DataFrame, date_col: str = "date", out: str = "latest_d
     return df.withColumn(out, latest)
 
 
-def national_rollup_dense(indicators: DataFrame, block_days: int = 32) -> DataFrame:
+def national_rollup_dense(indicators: DataFrame) -> DataFrame:
     """Densified national roll-up (an addition, not the reference's
     semantics): every region that has reported keeps counting on later
     dates, with its last cumulative total and its population.
@@ -112,7 +111,7 @@ def national_rollup_dense(indicators: DataFrame, block_days: int = 32) -> DataFr
     the running sum of national new cases, and the population the running
     sum of the populations entering on their group's first date (a null
     date sorts first). So no date x region spine is built: two per-date
-    aggregates and block-wise prefix sums (no single-task window).
+    aggregates and a running sum over one row per date.
     """
     d = F.col("date")
     daily = indicators.groupBy("date", "year", "month", "day").agg(
@@ -124,8 +123,11 @@ def national_rollup_dense(indicators: DataFrame, block_days: int = 32) -> DataFr
     series = (daily.join(entering, daily["date"].eqNullSafe(entering["__entry"]), "left")
               .drop("__entry")
               .withColumn("__pop_in", F.coalesce(F.col("__pop_in"), F.lit(0))))
-    series = prefix_sum(series, "date", "new_cases_national", "cumulative_cases_national", block_days)
-    series = prefix_sum(series, "date", "__pop_in", "population_total", block_days)
+    so_far = (Window.orderBy(F.col("date").asc_nulls_first())
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    series = series.withColumns({
+        "cumulative_cases_national": F.sum("new_cases_national").over(so_far),
+        "population_total": F.coalesce(F.sum("__pop_in").over(so_far), F.lit(0))})
     return series.select("date", "year", "month", "day", "new_cases_national",
                          "cumulative_cases_national", "population_total")
 

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from epilake.plans.selection import first_n_by
+from epilake.session import scratch_path
 
 #: Folder layout of event-level tables: one folder per day.
 PARTITION_COLUMNS = ("year", "month", "day")
@@ -119,10 +119,84 @@ def export_tables(tables: dict[str, DataFrame], base_path: str, fmt: str = "csv"
     return out
 
 
+def _rank(df: DataFrame, columns: Sequence[str]) -> Column:
+    """``columns`` as one comparable struct, nulls after values. Timestamps
+    are compared as microseconds, which no time zone changes."""
+    parts = []
+    for i, c in enumerate(columns):
+        v = F.unix_micros(c) if isinstance(df.schema[c].dataType, TimestampType) else F.col(c)
+        parts += [F.col(c).isNull().alias(f"n{i}"), v.alias(f"v{i}")]
+    return F.struct(*parts)
+
+
+#: Distinct keys that one task may sort to find the n-th among them.
+FEW_KEYS = 100_000
+
+
+def _nth_key(counts: DataFrame, n: int, few: int = FEW_KEYS) -> Row | None:
+    """The key ``k`` of ``counts`` (distinct ``k``, ``rows``) at or before
+    which ``n`` rows lie, or None if there are fewer. Sorts the keys by range
+    into a scratch table; the ranges' sums say which of them holds the n-th
+    row, and that one is sorted again until it has few keys."""
+    spark = counts.sparkSession
+    parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    while True:
+        path = scratch_path(spark, "key-ranges")
+        (counts.repartitionByRange(parts, "k").withColumn("range", F.spark_partition_id())
+         .write.parquet(path))
+        ranges = spark.read.parquet(path)
+        for number, rows, keys in sorted(ranges.groupBy("range").agg(F.sum("rows"), F.count("k")).collect()):
+            if rows >= n:
+                break
+            n -= rows
+        else:
+            return None
+        counts = ranges.filter(F.col("range") == number).select("k", "rows")
+        if keys <= few:
+            so_far = F.sum("rows").over(Window.orderBy("k"))
+            return counts.withColumn("upto", so_far).filter(F.col("upto") >= n).agg(F.min("k")).first()[0]
+
+
+def first_n_by(df: DataFrame, n: int, key: str, tie_break: Sequence[str] = (), few: int = FEW_KEYS) -> DataFrame:
+    """The ``n`` rows smallest by ``key``, then by the ``tie_break`` columns
+    (nulls last); exactly ``n`` rows when the input has that many.
+
+    ``orderBy().limit(n)`` would send every split's top ``n`` rows to one
+    task. Here the n-th key is found first, by Spark's range sort of the key
+    columns (:func:`_nth_key`), and the rows are a plain filter up to it. The
+    driver sees a count per range and one key. The sort runs when the
+    DataFrame is built, as the n-th key is part of its filter; give it landed
+    files or a written table, not a costly lineage.
+
+    Where rows are still tied at the n-th key, as many of them as needed are
+    taken (any of them, as SQL ``ORDER BY .. LIMIT`` does); name tie-break
+    columns that make rows distinct for the same rows on every run."""
+    if n <= 0:
+        return df.limit(0)
+    spark = df.sparkSession
+    rank = _rank(df, [key, *tie_break])
+    path = scratch_path(spark, "key-counts")
+    df.groupBy(rank.alias("k")).agg(F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    counts = spark.read.parquet(path)
+    value = _nth_key(counts, n, few)
+    if value is None:
+        return df
+    kind = counts.schema["k"].dataType
+    cut = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(value, kind)])
+    strict, upto = counts.agg(F.coalesce(F.sum(F.when(F.col("k") < cut, F.col("rows"))), F.lit(0)),
+                              F.sum(F.when(F.col("k") <= cut, F.col("rows")))).first()
+    rows = df
+    if value[1] is not None and not isinstance(df.schema[key].dataType, TimestampType):
+        # implied by the n-th key; on a plain column, so that it reaches the scan
+        rows = df.filter(F.col(key) <= F.lit(value[1]).cast(df.schema[key].dataType))
+    if upto == n:  # always so for a unique key
+        return rows.filter(rank <= cut)
+    # an unordered limit: its final task stops after n - strict rows
+    return rows.filter(rank < cut).unionByName(rows.filter(rank == cut).limit(n - strict))
+
+
 def ingest_limit(df: DataFrame, n: int, order_col: str, tie_break: Sequence[str] = ()) -> DataFrame:
-    """First ``n`` records by ``order_col``, cut at the n-th key found by a
-    distributed selection (:mod:`epilake.plans.selection`), so no task
-    collects the top ``n`` of every split. The same on every run if the
-    column is unique or the ``tie_break`` columns tell its ties apart; of
-    rows that are still tied at the cutoff some are taken."""
+    """First ``n`` records by ``order_col`` (:func:`first_n_by`). The same on
+    every run if the column is unique or the ``tie_break`` columns tell its
+    ties apart; of rows that are still tied at the n-th some are taken."""
     return first_n_by(df, n, order_col, tie_break)

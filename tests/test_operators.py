@@ -14,7 +14,6 @@ from epilake.functions.columns import bin_label, normalise_code
 from epilake.operators import analytics as an
 from epilake.operators import clean as cl
 from epilake.operators import indicators as ind
-from epilake.plans.sequence import ordered_index, trailing_rows_mean
 
 D = dt.date
 
@@ -115,19 +114,6 @@ def test_moving_average_rows_not_days(spark):
     assert [r.moving_avg for r in out3] == [10.0, 15.0, 30.0]
 
 
-def test_trailing_mean_matches_window(spark):
-    from pyspark.sql import Window
-    days = [D(2019, 12, 1) + dt.timedelta(days=i * 3) for i in range(200)] + [None]
-    df = spark.createDataFrame([(d, (i * 37) % 101) for i, d in enumerate(days)],
-                               "date date, v long")
-    ours = {r.date: r.m for r in trailing_rows_mean(df, "date", "v", 7, "m", block_days=16).collect()}
-    w = Window.orderBy(F.col("date").asc_nulls_first()).rowsBetween(-6, 0)
-    ref = {r.date: r.m for r in df.withColumn("m", F.avg("v").over(w)).collect()}
-    assert ours == ref
-    pos = {r.date: r.pos for r in ordered_index(df, "date", block_days=5).collect()}
-    assert pos[None] == 1 and sorted(pos.values()) == list(range(1, 202))
-
-
 def test_rank_before_vs_after_null_filter(spark):
     # T9: last day without a rate
     rows = [(D(2020, 1, 1), "A", "A", 1000, 5, 5, 500.0),
@@ -225,17 +211,6 @@ def test_densified_matches_carried_forward_spine(spark):
     assert got == expect
 
 
-def test_prefix_sum_matches_global_window(spark):
-    from epilake.plans.sequence import prefix_sum
-    base = D(2020, 1, 1)
-    data = [(base + timedelta(days=(i * 53) % 700), i % 11) for i in range(700)] + [(None, 4)]
-    df = spark.createDataFrame(data, "d date, v long")
-    w = Window.orderBy(F.col("d").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    ref = {r.d: r.s for r in df.withColumn("s", F.sum("v").over(w)).collect()}
-    got = {r.d: r.s for r in prefix_sum(df, "d", "v", "s", block_days=16).collect()}
-    assert got == ref
-
-
 def test_reports_from_profile_equal_event_level(spark):
     from epilake import fixture as fx
     from conftest import SF001

@@ -1,54 +1,32 @@
-"""Distributed first-n selection against a brute-force top-n."""
+"""First-n by key against a brute-force top-n."""
 
 import datetime as _dt
 
 import pytest
 from pyspark.sql import functions as F
 
-from epilake.plans.selection import cutoff, first_n_by
 from epilake.sources import files as io
+from epilake.sources.files import first_n_by
 from epilake.sources import tables as tb
 
 
-def _nth(df, n, sample):
-    """The cutoff of the one-column ``df`` and the counts beside it."""
-    k = F.col(df.columns[0])
-    found = cutoff(df.select(F.struct(k.isNull().alias("n"), k.alias("v")).alias("k")), n, sample)
-    return found and (found[0].v, *found[1:])
-
-
-def _brute_nth(values, n):
-    vals = sorted(values, key=lambda v: (v is None, v or 0))
-    if len(vals) <= n:
-        return None
-    c = vals[n - 1]
-    return c, vals.index(c), vals.index(c) + vals.count(c)
-
-
-@pytest.mark.parametrize("n", [1, 37, 999, 1000])
-def test_cutoff_unique_keys_many_rounds(spark, n):
-    df = spark.range(1000).select(((F.col("id") * 7919) % 1000 * 3 + 11).alias("k"))
-    vals = [r.k for r in df.collect()]
-    # a small sample forces several narrowing rounds
-    assert _nth(df, n, 100) == _brute_nth(vals, n)
-
-
-@pytest.mark.parametrize("n", [1, 51, 700, 1190])
-def test_cutoff_ties_and_nulls(spark, n):
+@pytest.mark.parametrize("n", [1, 51, 700, 1190, 1200])
+def test_first_n_by_ties_and_nulls(spark, n):
     # one value holds a third of the rows, plus nulls
     df = spark.range(1200).select(
         F.when(F.col("id") % 3 == 0, F.lit(42))
          .when(F.col("id") % 10 == 1, F.lit(None))
          .otherwise(F.col("id")).cast("long").alias("k"))
-    vals = [r.k for r in df.collect()]
-    assert _nth(df, n, 100) == _brute_nth(vals, n)
+    vals = sorted((r.k for r in df.collect()), key=lambda v: (v is None, v or 0))
+    got = sorted((r.k for r in first_n_by(df, n, "k", few=7).collect()), key=lambda v: (v is None, v or 0))
+    assert got == vals[:n]
 
 
 def test_first_n_by_matches_top_n(spark):
     df = spark.range(3000).select(
         F.col("id"), ((F.col("id") * 104729) % 5003).alias("k"),
         (F.col("id") % 17).alias("v"))
-    out = first_n_by(df, 1234, "k", sample=200)
+    out = first_n_by(df, 1234, "k")
     ref = df.orderBy("k").limit(1234)
     assert out.count() == 1234
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, ref.collect()))
@@ -57,7 +35,7 @@ def test_first_n_by_matches_top_n(spark):
 def test_first_n_by_ties_fill_exactly(spark):
     df = spark.range(600).select(F.col("id"), F.when(F.col("id") < 400, 5)
                                  .otherwise(F.col("id")).alias("k"))
-    out = first_n_by(df, 450, "k", sample=200)
+    out = first_n_by(df, 450, "k")
     rows = out.collect()
     assert len(rows) == 450
     assert sum(r.k == 5 for r in rows) == 400 and max(r.k for r in rows) == 449
@@ -65,7 +43,7 @@ def test_first_n_by_ties_fill_exactly(spark):
 
 def test_first_n_by_fewer_keys_than_n_keeps_nulls_last(spark):
     df = spark.createDataFrame([(i if i < 20 else None,) for i in range(30)], "k long")
-    out = first_n_by(df, 25, "k", sample=200).collect()
+    out = first_n_by(df, 25, "k").collect()
     assert len(out) == 25 and sum(r.k is None for r in out) == 5
 
 
@@ -73,7 +51,7 @@ def test_first_n_by_dates(spark):
     base = _dt.date(2020, 1, 1)
     df = spark.createDataFrame([(base + _dt.timedelta(days=(i * 37) % 400), i) for i in range(400)],
                                "d date, i int")
-    out = first_n_by(df, 123, "d", sample=200)
+    out = first_n_by(df, 123, "d")
     assert sorted(r.d for r in out.collect()) == sorted(r.d for r in df.orderBy("d").limit(123).collect())
 
 
@@ -111,7 +89,7 @@ def test_first_n_by_timestamps_and_doubles(spark):
     rows = [(base + _dt.timedelta(seconds=(i * 7919) % 5000), ((i * 104729) % 5000) / 7.0) for i in range(5000)]
     df = spark.createDataFrame(rows, "ts timestamp, x double")
     for key in ("ts", "x"):
-        out = first_n_by(df, 777, key, sample=200)
+        out = first_n_by(df, 777, key)
         want = sorted(getattr(r, key) for r in df.orderBy(key).limit(777).collect())
         assert sorted(getattr(r, key) for r in out.collect()) == want
 
@@ -121,7 +99,7 @@ def test_first_n_by_takes_every_orderable_type(spark, kind):
     value = {"string": "concat('k', id % 97)", "decimal(10,4)": "id % 97 / 3", "binary": "encode(concat(id % 97), 'utf-8')",
              "boolean": "id % 97 > 40", "timestamp_ntz": "timestamp_ntz'2020-10-25 00:00:00' + make_interval(0, 0, 0, 0, 0, id % 97)"}
     df = spark.range(500).selectExpr(f"CAST({value[kind]} AS {kind}) AS k", "id")
-    out = first_n_by(df, 50, "k", ["id"], sample=100)
+    out = first_n_by(df, 50, "k", ["id"])
     assert "TakeOrderedAndProject" not in out._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.id for r in out.collect()) == sorted(r.id for r in df.orderBy("k", "id").limit(50).collect())
 
@@ -131,18 +109,18 @@ def test_first_n_by_tie_break_fixes_the_rows(spark):
     df = spark.range(900).selectExpr("id", "IF(id % 3 = 0, 7, id % 5 + 8) AS k", "IF(id % 4 = 0, NULL, -id) AS t")
     want = sorted(r.id for r in df.orderBy("k", F.col("t").asc_nulls_last(), "id").limit(260).collect())
     for parts in (1, 7):
-        out = first_n_by(df.repartition(parts), 260, "k", ["t", "id"], sample=100)
+        out = first_n_by(df.repartition(parts), 260, "k", ["t", "id"])
         assert sorted(r.id for r in out.collect()) == want
 
 
 def test_first_n_by_equal_rows_and_edges(spark):
     df = spark.createDataFrame([(1,)] * 40 + [(None,)] * 5, "k int")
-    assert [r.k for r in first_n_by(df, 17, "k", sample=4).collect()] == [1] * 17
-    assert sorted((r.k is None) for r in first_n_by(df, 42, "k", sample=4).collect()) == [False] * 40 + [True] * 2
+    assert [r.k for r in first_n_by(df, 17, "k").collect()] == [1] * 17
+    assert sorted((r.k is None) for r in first_n_by(df, 42, "k").collect()) == [False] * 40 + [True] * 2
     assert first_n_by(df, 99, "k").count() == 45 and first_n_by(df, 0, "k").count() == 0
     assert first_n_by(df.limit(0), 3, "k").count() == 0
     nan = spark.createDataFrame([(float("nan"),), (1.0,), (0.0,), (-0.0,), (None,)] * 9, "k double")
-    assert sorted(str(r.k) for r in first_n_by(nan, 30, "k", sample=3).collect()).count("nan") == 3
+    assert sorted(str(r.k) for r in first_n_by(nan, 30, "k").collect()).count("nan") == 3
 
 
 def test_first_n_by_cutoff_reaches_the_scan(spark):
