@@ -8,6 +8,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from epilake.session import scratch_path
+from epilake.sources import versions as vs
+
 
 def upsert_by_key(target: DataFrame, incoming: DataFrame, key: str | Sequence[str],
                   seq_col: str | None = None) -> DataFrame:
@@ -45,6 +48,85 @@ def publish_upsert(spark: SparkSession, current_path: str, incoming: DataFrame,
     return new_path
 
 
+def enforced(df: DataFrame, not_null: Sequence[str] = (), max_length: Mapping[str, int] | None = None,
+             what: str = "table") -> DataFrame:
+    """``df`` with assertions on its columns: the write that it ends in fails
+    at the first null or overlong value, without a pass of its own. Columns
+    that the plan drops are not looked at."""
+    lengths = dict(max_length or {})
+    checked = {}
+    for c in df.columns:
+        expr = None
+        for broken, how in ((F.col(c).isNull() if c in not_null else None, f"{what}: null {c}"),
+                            (F.length(c) > lengths[c] if c in lengths else None, f"{what}: {c} too long")):
+            if broken is not None:
+                stop = F.raise_error(F.lit(how)).cast(df.schema[c].dataType)
+                expr = F.when(broken, stop) if expr is None else expr.when(broken, stop)
+        if expr is not None:
+            checked[c] = expr.otherwise(F.col(c))
+    return df.withColumns(checked) if checked else df
+
+
+def merge_by_key(target: DataFrame, incoming: DataFrame, key: str | Sequence[str], seq_col: str,
+                 unique: bool = False, what: str = "table") -> DataFrame:
+    """:func:`upsert_by_key` as one aggregate: the last row per key, incoming
+    ones after the target's, with ``batch_rows`` (incoming rows of the key).
+    ``unique`` asserts in the same aggregate that no key comes twice."""
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in target.columns if c not in keys]
+    order = F.struct(F.col("__new"), F.col("__seq").isNotNull(), F.col("__seq"))
+    kind = incoming.schema[seq_col].dataType
+    rows = (incoming.select(*keys, *rest, F.lit(1).alias("__new"), F.col(seq_col).alias("__seq"))
+            .unionByName(target.select(*keys, *rest, F.lit(0).alias("__new"), F.lit(None).cast(kind).alias("__seq"))))
+    merged = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__last"), F.sum("__new").alias("batch_rows"))
+    if unique:
+        again = F.raise_error(F.lit(f"{what}: repeated key")).cast("long")
+        merged = merged.withColumn("batch_rows", F.when(F.col("batch_rows") > 1, again).otherwise(F.col("batch_rows")))
+    return merged.select(*keys, *[F.col(f"__last.{c}").alias(c) for c in rest], "batch_rows")
+
+
+#: Partition column of a bucketed table.
+BUCKET = "bucket"
+
+
+def upsert_buckets(spark: SparkSession, root: str, name: str, incoming: DataFrame, key: str | Sequence[str],
+                   seq_col: str, buckets: int = 64, batch: str | None = None) -> vs.Commit:
+    """Upsert into a table that is kept in buckets of its key: only buckets
+    that hold a key of the batch are read and rewritten, sorted by key; the
+    files of the others stay as they are. The change is one commit
+    (:mod:`epilake.sources.versions`); read the table with :func:`read_buckets`.
+
+    ``buckets`` is fixed by the first batch. The last row of a key by
+    ``seq_col`` counts. Keys are hashed one row each, so no bucket is hot; the
+    driver sees the numbers of the buckets touched, at most ``buckets``."""
+    keys = [key] if isinstance(key, str) else list(key)
+    base = vs.latest(spark, root)
+    if batch is not None and batch in base.batches:
+        return base
+    known = base.tables.get(name)
+    n = known.settings["buckets"] if known else buckets
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
+    path = scratch_path(spark, "upsert-batch")
+    incoming.withColumn(BUCKET, bucket).write.parquet(path)
+    rows = spark.read.parquet(path)
+    touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
+    if not touched:
+        return base
+    if known:
+        target = vs.read(spark, root, name, base).filter(F.col(BUCKET).isin(touched))
+    else:
+        target = rows.drop(seq_col).limit(0)
+    merged = merge_by_key(target, rows, [BUCKET, *keys], seq_col).drop("batch_rows")
+    merged = merged.select(*[c for c in target.columns if c != BUCKET], BUCKET)
+    change = vs.Change(merged, [BUCKET], "parts", sort_within=keys, settings={"buckets": n})
+    return vs.publish(spark, root, {name: change}, base, batch)
+
+
+def read_buckets(spark: SparkSession, root: str, name: str, commit: vs.Commit | None = None) -> DataFrame:
+    """A table kept by :func:`upsert_buckets`."""
+    return vs.read(spark, root, name, commit).drop(BUCKET)
+
+
 def check_table_contract(df: DataFrame, key: str, not_null: Sequence[str] = (),
                          max_length: Mapping[str, int] | None = None) -> DataFrame:
     """One-row report of contract violations.

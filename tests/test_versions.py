@@ -1,0 +1,191 @@
+"""Tables published by commit: all of a change or none of it."""
+
+import datetime as dt
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from epilake.operators import indicators as ind
+from epilake.plans import incremental as inc
+from epilake.session import scratch_path
+from epilake.sources import tables as tb
+from epilake.sources import versions as vs
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, "k long, v string, year int")
+
+
+def test_replace_parts_and_append(spark):
+    root = scratch_path(spark, "lake")
+    assert vs.latest(spark, root).number == 0
+    one = vs.publish(spark, root, {"t": vs.Change(frame(spark, [(1, "a", 2000), (2, "b", 2001), (3, "c", None)]), ["year"])})
+    two = vs.publish(spark, root, {"t": vs.Change(frame(spark, [(9, "z", 2001)]), ["year"], "parts")})
+    assert rows(vs.read(spark, root, "t")) == [(1, "a", 2000), (3, "c", None), (9, "z", 2001)]
+    assert rows(vs.read(spark, root, "t", one)) == [(1, "a", 2000), (2, "b", 2001), (3, "c", None)]
+    vs.publish(spark, root, {"t": vs.Change(frame(spark, [(4, "d", 2001)]), ["year"], "append", drop=["year=2000"])}, two)
+    assert rows(vs.read(spark, root, "t")) == [(3, "c", None), (4, "d", 2001), (9, "z", 2001)]
+    plan = vs.read(spark, root, "t").filter("year = 2001")
+    assert len(plan.inputFiles()) == 3 and "PartitionFilters: [isnotnull(year" in plan._jdf.queryExecution().executedPlan().toString()
+    vs.publish(spark, root, {"t": vs.Change(frame(spark, []), ["year"])})
+    assert rows(vs.read(spark, root, "t")) == [] and vs.read(spark, root, "t").columns == ["k", "v", "year"]
+    with pytest.raises(KeyError):
+        vs.read(spark, root, "other")
+
+
+def test_failure_before_the_commit_leaves_the_old_rows(spark, monkeypatch):
+    root = scratch_path(spark, "lake")
+    both = {"t": vs.Change(frame(spark, [(1, "a", 2000)])), "u": vs.Change(spark.range(3))}
+    vs.publish(spark, root, both)
+    # a task fails while rows are written
+    bad = frame(spark, [(1, "a", 2000)]).withColumn("v", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        vs.publish(spark, root, {"u": vs.Change(spark.range(9)), "t": vs.Change(bad)})
+    assert rows(vs.read(spark, root, "t")) == [(1, "a", 2000)] and vs.read(spark, root, "u").count() == 3
+
+    # the driver fails between the files and the commit record
+    def fail(*_):
+        raise OSError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(vs.Folder, "write_once", fail)
+        with pytest.raises(OSError):
+            vs.publish(spark, root, {"t": vs.Change(frame(spark, [(2, "b", 2000)]))})
+    assert rows(vs.read(spark, root, "t")) == [(1, "a", 2000)]
+    assert vs.latest(spark, root).number == 1
+    vs.publish(spark, root, {"t": vs.Change(frame(spark, [(3, "c", 2000)]))})
+    gone = vs.expire(spark, root, keep=1)
+    assert len(gone) == 4 and rows(vs.read(spark, root, "t")) == [(3, "c", 2000)] and vs.read(spark, root, "u").count() == 3
+
+
+def test_one_of_two_publishes_from_one_state_commits(spark):
+    root = scratch_path(spark, "lake")
+    base = vs.publish(spark, root, {"t": vs.Change(spark.range(1))})
+    vs.publish(spark, root, {"t": vs.Change(spark.range(2))}, base)
+    with pytest.raises(vs.Conflict):
+        vs.publish(spark, root, {"t": vs.Change(spark.range(3))}, base)
+    assert vs.read(spark, root, "t").count() == 2
+    assert [n for n in vs.Folder(spark, root).names(vs.COMMITS) if not n.endswith(".crc")] == [
+        "000000000001.json", "000000000002.json"]
+
+
+def test_a_batch_is_taken_in_once(spark):
+    root = scratch_path(spark, "lake")
+    for _ in range(2):
+        vs.publish(spark, root, {"t": vs.Change(spark.range(4), mode="append")}, batch="b1")
+    vs.publish(spark, root, {"t": vs.Change(spark.range(1), mode="append")}, batch="b2")
+    assert vs.read(spark, root, "t").count() == 5
+
+
+def test_view_is_repointed(spark):
+    root, view = scratch_path(spark, "lake"), "pointed_view"
+    vs.publish(spark, root, {"t": vs.Change(frame(spark, [(1, "a", 2000), (2, "b", None)]), ["year"])})
+    vs.point_view(spark, view, root, "t")
+    assert rows(spark.table(view)) == [(1, "a", 2000), (2, "b", None)]
+    vs.publish(spark, root, {"t": vs.Change(frame(spark, [(3, "c", 2003)]), ["year"], "append")})
+    assert spark.table(view).count() == 2       # until it is repointed
+    vs.point_view(spark, view, root, "t")
+    assert rows(spark.table(view).filter("year = 2003")) == [(3, "c", 2003)] and spark.table(view).count() == 3
+    vs.publish(spark, root, {"t": vs.Change(frame(spark, [(4, "d", 2000)]), ["year"], "parts")})
+    with pytest.raises(ValueError):
+        vs.point_view(spark, view, root, "t")
+    vs.publish(spark, root, {"t": vs.Change(frame(spark, []), ["year"])})
+    vs.point_view(spark, view, root, "t")
+    assert rows(spark.table(view)) == []
+    spark.sql(f"DROP VIEW {view}")
+
+
+def test_compaction_keeps_rows_and_resumes(spark, monkeypatch):
+    root = scratch_path(spark, "lake")
+    for i in range(6):
+        df = spark.range(300 * i, 300 * i + 300).selectExpr("id AS k", "concat('v', id) AS v", "CAST(2000 + id % 3 AS INT) AS year")
+        vs.publish(spark, root, {"t": vs.Change(df, ["year"], "append")}, batch=str(i))
+    before, files = rows(vs.read(spark, root, "t")), len(vs.read(spark, root, "t").inputFiles())
+    assert files >= 18
+    publish, calls = vs.publish, []
+
+    def stops(*a, **k):
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("stopped")
+        return publish(*a, **k)
+    with monkeypatch.context() as m:
+        m.setattr(vs, "publish", stops)
+        with pytest.raises(OSError):
+            vs.compact(spark, root, "t", parts_at_once=1)
+    assert rows(vs.read(spark, root, "t")) == before
+    assert vs.compact(spark, root, "t", parts_at_once=2) == 2       # one part was done
+    assert rows(vs.read(spark, root, "t")) == before and len(vs.read(spark, root, "t").inputFiles()) == 3
+    assert vs.compact(spark, root, "t") == 0
+    size = vs.small_parts(spark, root, "t", 10**9, vs.latest(spark, root, 6)).agg(F.max("bytes")).first()[0]
+    assert vs.compact(spark, root, "t", target_bytes=size) == 0
+
+
+def files_of(spark, root, name):
+    return {f: os.path.getmtime(f.replace("file://", "")) for f in vs.read(spark, root, name).inputFiles()}
+
+
+def test_upsert_rewrites_only_buckets_of_the_batch(spark):
+    root = scratch_path(spark, "buckets")
+    rows = spark.range(1000).selectExpr("concat('k', id) AS k", "id AS v", "0 AS seq")
+    tb.upsert_buckets(spark, root, "t", rows, "k", "seq", buckets=16)
+    before = files_of(spark, root, "t")
+    assert len(before) == 16
+    batch = spark.createDataFrame([("k5", -5, 1), ("k5", -6, 2), ("new", 1, 0), ("k5", -7, None)], "k string, v long, seq int")
+    tb.upsert_buckets(spark, root, "t", batch, "k", "seq", buckets=99, batch="b")
+    tb.upsert_buckets(spark, root, "t", batch.withColumn("v", F.lit(0)), "k", "seq", batch="b")   # a retry
+    after = files_of(spark, root, "t")
+    assert len(after) == 16 and 14 <= len(before.keys() & after.keys()) < 16
+    assert all(after[f] == before[f] for f in before.keys() & after.keys())
+    got = {r.k: r.v for r in tb.read_buckets(spark, root, "t").collect()}
+    assert got == {**{f"k{i}": i for i in range(1000)}, "k5": -6, "new": 1}
+    assert tb.read_buckets(spark, root, "t").columns == ["k", "v"]
+    assert tb.upsert_buckets(spark, root, "t", batch.limit(0), "k", "seq").number == 2
+
+
+def test_upsert_buckets_equals_upsert(spark):
+    rng = random.Random(4)
+    root, want = scratch_path(spark, "buckets"), {}
+    for step in range(4):
+        data = [(f"k{rng.randrange(60)}", rng.randrange(9), f"r{step}-{i}", i) for i in range(rng.randrange(1, 40))]
+        want.update({(k, j): v for k, j, v, _ in data})
+        tb.upsert_buckets(spark, root, "t", spark.createDataFrame(data, "k string, j int, v string, seq int"), ["k", "j"], "seq", buckets=7)
+    assert {(r.k, r.j): r.v for r in tb.read_buckets(spark, root, "t").collect()} == want
+
+
+TRUSTED = ("event_date date, year int, month int, day int, dim_code string, region_raw string, dim_name string, "
+           "region_name_raw string, population long")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_increments_equal_a_full_run(spark, seed):
+    rng = random.Random(seed)
+
+    def event():
+        d = None if rng.random() < 0.05 * seed else dt.date(2019, 11, 1) + dt.timedelta(days=rng.randrange(500))
+        code = rng.choice(["05", "08", "11", None])
+        raw = code or rng.choice(["99", None])
+        return (d, d and d.year, d and d.month, d and d.day, code, raw, code and f"n{code}",
+                f"raw{rng.randrange(2)}", {"05": 100, "08": 0, "11": 7, None: None}[code])
+
+    root, every = scratch_path(spark, "totals"), []
+    for step in range(4):
+        batch = [event() for _ in range(rng.randrange(1, 60))]
+        if step == 2:   # an ordinary batch: the last year only
+            batch = [e for e in batch if e[1] == 2021] or [(dt.date(2021, 1, 1), 2021, 1, 1, "05", "05", "n05", "raw0", 100)]
+            held = files_of(spark, root, inc.INDICATORS)
+        every += batch
+        for _ in range(2):  # each is sent twice
+            inc.add_events(spark, root, spark.createDataFrame(batch, TRUSTED).repartition(3), batch=f"b{step}")
+        if step == 2:
+            kept = files_of(spark, root, inc.INDICATORS)
+            assert all(f in kept for f in held if "year=2021" not in f)
+        want = ind.region_daily_indicators(spark.createDataFrame(every, TRUSTED))
+        assert rows(inc.indicators(spark, root).select(*want.columns)) == rows(want)
+    inc.add_events(spark, root, spark.createDataFrame([], TRUSTED), batch="none")
+    assert inc.indicators(spark, root).count() == want.count()
