@@ -1,10 +1,16 @@
 """Command-line entry for ``spark-submit``: run one step or all of them.
 
     spark-submit epilake/cli.py all --cases RAW --dim DIM.csv --base OUT [options]
-    spark-submit epilake/cli.py trusted --cases RAW --dim DIM.csv --base OUT
+    spark-submit epilake/cli.py dimension --dim DIM.csv --base OUT
+    spark-submit epilake/cli.py trusted --cases RAW --base OUT
     spark-submit epilake/cli.py refined --base OUT
     spark-submit epilake/cli.py summary --base OUT
+    spark-submit epilake/cli.py register --base OUT --database DB
 
+``dimension`` checks a dimension file against its contract and upserts it into
+the dimension published under the base path, which ``trusted`` joins with; a
+``--dim`` given to ``trusted`` or ``all`` is taken in first. ``register`` makes
+catalog tables of all that is published, or follows what has changed.
 ``--layout source`` reads a case file with the public source's own column
 names and outcome labels; ``--rename a=b`` adds or overrides renames.
 ``--names source`` publishes the refined tables under the folder and column
@@ -28,8 +34,8 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from epilake.functions.columns import AGE_BINS  # noqa: E402
 from epilake.plans import pipeline as pl  # noqa: E402
-from epilake.schemas import DIM_SCHEMA  # noqa: E402
-from epilake.sources import files as io  # noqa: E402
+from epilake.sources import crawl as cw  # noqa: E402
+from epilake.sources import versions as vs  # noqa: E402
 
 # Column names of the public case file and the labels its
 # outcome columns are compared with (exact, case-sensitive).
@@ -52,7 +58,8 @@ SOURCE_LAYOUT = {
 }
 
 # Folder and column names of the published tables as the
-# source's downstream queries know them (table -> folder, table -> columns).
+# source's downstream queries know them (table -> folder, table -> columns;
+# None: not published).
 SOURCE_NAMES = {
     "folders": {
         "trusted": "trusted/covid",
@@ -89,7 +96,7 @@ SOURCE_NAMES = {
             "latest_date": "ultima_fecha_disponible",
         },
         "top_regions_rate": {
-            "code": "codigo_departamento", "name": "nombre_departamento",
+            "code": None, "name": "nombre_departamento",
             "rate_per_100k": "tasa_por_100k", "total_cases": "casos_totales",
             "last_date": "ultima_actualizacion",
         },
@@ -105,7 +112,7 @@ SOURCE_NAMES = {
             "recovered": "recuperados", "fatality_pct": "tasa_letalidad",
         },
         "threshold_dates": {
-            "code": "codigo_departamento", "name": "nombre_departamento",
+            "code": None, "name": "nombre_departamento",
             "first_date": "fecha_milestone_1000", "days_since_origin": "dias_desde_primer_caso",
         },
         "moving_average": {
@@ -125,7 +132,7 @@ SOURCE_NAMES = {
     ),
 }
 
-STEPS = ("trusted", "refined", "summary", "all")
+STEPS = ("dimension", "trusted", "refined", "summary", "register", "all")
 
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
@@ -148,9 +155,16 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--densify", action="store_true")
     p.add_argument("--preview", type=int, default=0, metavar="N",
                    help="print the first N rows of each report written")
+    p.add_argument("--quarantine", action="store_true",
+                   help="write records that can't be used apart from the trusted table")
+    p.add_argument("--dim-export", metavar="PATH", help="also export the dimension")
+    p.add_argument("--dim-export-format", default="csv")
+    p.add_argument("--database", help="catalog database of the step register")
     args = p.parse_args(argv)
-    if args.step in ("trusted", "all") and not (args.cases and args.dim):
-        p.error(f"step {args.step!r} needs --cases and --dim")
+    if args.step in ("trusted", "all") and not args.cases:
+        p.error(f"step {args.step!r} needs --cases")
+    if args.step == "dimension" and not args.dim:
+        p.error("step 'dimension' needs --dim")
     return args
 
 
@@ -171,6 +185,7 @@ def config_from(args: argparse.Namespace) -> tuple[pl.PipelineConfig, dict[str,
                             moving_window=args.moving_window,
                             run_analytics=not args.no_analytics,
                             dynamic_overwrite=args.dynamic_overwrite, densify=args.densify,
+                            quarantine=args.quarantine,
                             **labels, **(SOURCE_NAMES if args.names == "source" else {}))
     return cfg, rename
 
@@ -179,14 +194,29 @@ def run(spark: SparkSession, argv: list[str]) -> pl.PipelineResult:
     args = parse_args(argv)
     cfg, rename = config_from(args)
     res = pl.PipelineResult()
+    dimension = f"{args.base.rstrip('/')}/{pl.DIMENSION}"
+    if args.dim and args.step in ("dimension", "trusted", "all"):
+        commit, report = pl.ingest_dimension(spark, args.dim, dimension, args.dim_export, args.dim_export_format)
+        res.paths["dimension"], res.rows["dimension"] = dimension, report.first()["rows"]
     if args.step in ("trusted", "all"):
+        if pl.DIMENSION not in vs.latest(spark, dimension).tables:
+            raise SystemExit(f"no dimension is published under {args.base}; run the step dimension or give --dim")
         cases = pl.read_landed_cases(spark, args.cases, rename, fmt=args.cases_format, keep_text=True)
-        dim = io.scan_csv(spark, args.dim, DIM_SCHEMA)
-        pl.step_trusted(spark, cases, dim, args.base, cfg, res)
+        pl.step_trusted(spark, cases, pl.read_dimension(spark, dimension), args.base, cfg, res)
     if args.step in ("refined", "all"):
         pl.step_refined(spark, args.base, cfg, res)
     if args.step in ("summary", "all"):
         pl.step_summary(spark, args.base, cfg, res)
+    if args.step == "register":
+        report = cw.crawl(spark, args.base, args.database).collect()
+        for r in report:
+            res.paths[r["table"]] = r["root"]
+            print(f"{r['table']}: {r['action']}, {r['partitions_added']} partitions added, "
+                  f"{r['partitions_dropped']} dropped, columns added: {', '.join(r['columns_added']) or 'none'}")
+        if pl.DIMENSION in vs.latest(spark, dimension).tables:
+            name = f"{args.database}.{pl.DIMENSION}" if args.database else pl.DIMENSION
+            vs.point_view(spark, name, dimension, pl.DIMENSION)
+            res.paths[name] = dimension
     if args.preview > 0:
         for name in REPORT_ORDER:
             if name in res.paths:
@@ -206,11 +236,11 @@ def preview(spark: SparkSession, path: str, name: str, n: int):
     are bounded: one row per region, month, bin, label or date)."""
     from pyspark.sql import functions as F
     df = spark.read.parquet(path)
-    order = {"top_regions_rate": [F.col(df.columns[2]).desc_nulls_last(), F.col(df.columns[0])],
+    order = {"top_regions_rate": [F.col(df.columns[-3]).desc_nulls_last(), F.col(df.columns[0])],
              "monthly_trends": [F.col(df.columns[0]), F.col(df.columns[1])],
              "age_distribution": [F.col(df.columns[1]).desc()],
              "outcomes_by_sex": [F.col(df.columns[1]).desc()],
-             "threshold_dates": [F.col(df.columns[2])],
+             "threshold_dates": [F.col(df.columns[-2])],
              "moving_average": [F.col(df.columns[0]).desc()]}[name]
     return df.orderBy(*order).limit(n)
 
@@ -220,7 +250,7 @@ def main(argv: list[str] | None = None) -> int:
     parse_args(argv)  # usage errors before any JVM starts
     spark = SparkSession.builder.appName("epilake").getOrCreate()
     res = run(spark, argv)
-    print(json.dumps({"paths": res.paths, "rows": res.rows}))
+    print(json.dumps({"paths": res.paths, "rows": res.rows, "rejects": res.rejects}))
     return 0
 
 

@@ -297,14 +297,15 @@ def q_ingest_dimension(spark, sf):
     and repeated codes, whose last row counts."""
     first, second, base = (scratch_path(spark, n) for n in ("dim_csv", "dim_csv", "dim"))
     fx.region_dim(spark, sf).write.option("header", True).csv(first)
-    pl.ingest_dimension(spark, first, base, "1")
+    pl.ingest_dimension(spark, first, base)
     batch = _dim_incoming(spark, sf)
     early = batch.select(F.col("code").cast("int").cast("string").alias("code"), "name",
                          F.lit(1).cast("bigint").alias("population"), F.lit(0).alias("nr"))
     # one file: the order of its rows decides
     (early.unionByName(batch.withColumn("nr", F.lit(1))).coalesce(1).sortWithinPartitions("nr").drop("nr")
      .write.option("header", True).csv(second))
-    return spark.read.parquet(pl.ingest_dimension(spark, second, base, "2", "1")[0])
+    pl.ingest_dimension(spark, second, base)
+    return pl.read_dimension(spark, base)
 
 
 def q_check_table_contract(spark, sf):

@@ -16,7 +16,9 @@ table takes no DDL. Columns are never dropped or retyped: a table whose files
 don't merge with its schema stays as it is and is reported as ``conflict``,
 like one whose name belongs to another location or to a managed table, and a
 root whose depths or keys of partition folders differ. Tables whose folder is
-empty or gone stay, reported as ``absent``.
+empty or gone stay, reported as ``absent``. Tables published by commit
+(:mod:`epilake.sources.versions`) are left out: their files are not all current;
+``point_view`` registers those.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegerType, LongType, StringType, StructType
 
+from epilake.sources.versions import VERSION
+
 STATE = "epilake.crawl.state"
 NEWEST = "epilake.crawl.newest"
 NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
@@ -60,7 +64,8 @@ def list_partitions(spark: SparkSession, root: str) -> DataFrame:
     """A row per partition folder below ``root``: table root, ``spec`` (the
     ``key=value`` folders, empty for none), files, bytes, time of the newest."""
     listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-              .option("recursiveFileLookup", True).load(root).select("path", "length", "modificationTime"))
+              .option("recursiveFileLookup", True).load(root).select("path", "length", "modificationTime")
+              .filter(~F.contains("path", F.lit(f"/{VERSION}="))))
     folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
     spec = F.regexp_extract(folder, r"((?:/[^/=]+=[^/]*)*)$", 1)
     return (listed.select(folder.alias("folder"), spec.alias("spec"), "length", "modificationTime")

@@ -1,7 +1,9 @@
 """Command-line steps over a literal case file in the source's own layout."""
 
 import datetime
+import json
 
+import pytest
 from oracle import canon
 
 from epilake import cli
@@ -54,7 +56,8 @@ def test_steps_one_by_one_equal_all(spark):
     a, b = scratch_path(spark, "cli_all"), scratch_path(spark, "cli_steps")
     common = ["--cases", cases, "--dim", dim, "--layout", "source"]
     all_res = cli.run(spark, ["all", "--base", a] + common)
-    cli.run(spark, ["trusted", "--base", b] + common)
+    cli.run(spark, ["dimension", "--base", b, "--dim", dim])
+    cli.run(spark, ["trusted", "--base", b, "--cases", cases, "--layout", "source"])
     cli.run(spark, ["refined", "--base", b, "--layout", "source"])
     cli.run(spark, ["summary", "--base", b])
     for name in ("indicators", "summary"):
@@ -144,3 +147,52 @@ def test_cli_preview_prints_each_report(spark, capsys):
     for name in cli.REPORT_ORDER:
         assert name in out
     assert "30-49 años" in out and "No reportado" in out
+
+
+def test_cli_dimension_feeds_the_trusted_step(spark):
+    cases, base = _write(spark, "raw", CASES_CSV), scratch_path(spark, "cli_dim")
+    with pytest.raises(SystemExit, match="no dimension"):
+        cli.run(spark, ["trusted", "--cases", cases, "--base", base, "--layout", "source"])
+    out = scratch_path(spark, "dim_out")
+    res = cli.run(spark, ["dimension", "--dim", _write(spark, "dim", DIM_CSV), "--base", base, "--dim-export", out])
+    assert res.rows["dimension"] == 3 and spark.read.option("header", True).csv(out).count() == 3
+    later = _write(spark, "dim", "c,n,p\n8,Barranquilla,5\n99,Otro,1")
+    cli.run(spark, ["dimension", "--dim", later, "--base", base])
+    res = cli.run(spark, ["trusted", "--cases", cases, "--base", base, "--layout", "source"])
+    got = {r.case_id: (r.dim_code, r.dim_name) for r in spark.read.parquet(res.paths["trusted"]).collect()}
+    assert got == {"1": ("05", "Antioquia"), "2": ("05", "Antioquia"), "3": ("08", "Barranquilla"),
+                   "4": ("11", "Bogotá D.C."), "5": ("99", "Otro")}
+    with pytest.raises(ValueError, match="population"):
+        cli.run(spark, ["dimension", "--dim", _write(spark, "dim", "c,n,p\n11,X,many"), "--base", base])
+
+
+def test_cli_prints_rejects_and_sets_records_apart(spark, capsys):
+    cases, dim, base = _write(spark, "raw", CASES_CSV), _write(spark, "dim", DIM_CSV), scratch_path(spark, "cli_rej")
+    cli.main(["all", "--cases", cases, "--dim", dim, "--base", base, "--layout", "source", "--quarantine",
+              "--names", "source"])
+    said = json.loads(capsys.readouterr().out.strip().split("\n")[-1])
+    assert said["rejects"] == {"bad_dates": 1, "unmatched": 1, "bad_ages": 0, "malformed_lines": 0}
+    assert said["rows"]["trusted"] == 4 and said["rows"]["rejected"] == 1 and said["rows"]["summary"] == 3
+    trusted = spark.read.parquet(said["paths"]["trusted"])
+    assert sorted(trusted.columns) == sorted([*cli.SOURCE_NAMES["trusted_columns"], "reject"])
+    # reports have the source's columns
+    assert spark.read.parquet(said["paths"]["top_regions_rate"]).columns == [
+        "nombre_departamento", "tasa_por_100k", "casos_totales", "ultima_actualizacion"]
+    assert spark.read.parquet(said["paths"]["threshold_dates"]).columns == [
+        "nombre_departamento", "fecha_milestone_1000", "dias_desde_primer_caso"]
+    cli.run(spark, ["refined", "--base", base, "--layout", "source", "--quarantine", "--names", "source", "--preview", "2"])
+    assert "tasa_por_100k" in capsys.readouterr().out
+
+
+def test_cli_registers_the_lake(spark, capsys):
+    cases, dim, base = _write(spark, "raw", CASES_CSV), _write(spark, "dim", DIM_CSV), scratch_path(spark, "cli_reg")
+    cli.run(spark, ["all", "--cases", cases, "--dim", dim, "--base", base, "--layout", "source"])
+    db = "lake_" + base.rsplit("-", 1)[-1]
+    res = cli.run(spark, ["register", "--base", base, "--database", db])
+    assert {t.split(".")[1] for t in res.paths} >= {"cases", "region_indicators", "national_summary", "dimension",
+                                                    "moving_average"}
+    assert spark.table(f"{db}.cases").count() == 5 and spark.table(f"{db}.dimension").count() == 3
+    assert spark.sql(f"SELECT sum(new_cases) FROM {db}.region_indicators WHERE year = 2020").first()[0] == 4
+    cli.run(spark, ["dimension", "--dim", _write(spark, "dim", "c,n,p\n99,Otro,1"), "--base", base])
+    cli.run(spark, ["register", "--base", base, "--database", db])
+    assert spark.table(f"{db}.dimension").count() == 4 and "unchanged" in capsys.readouterr().out

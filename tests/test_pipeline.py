@@ -39,7 +39,32 @@ def test_unreadable_values_are_counted(spark):
             (code, "not a date", "4o"), ("zz", "1995-01-01", "7.5")]
     spark.createDataFrame(rows, "region_raw string, report_date string, age string").write.option("header", True).csv(path)
     res = step_trusted(spark, read_landed_cases(spark, path, keep_text=True), dim, scratch_path(spark, "counted"))
-    assert res.rejects == {"bad_dates": 1, "unmatched": 1, "bad_ages": 2}
+    assert res.rejects == {"bad_dates": 1, "unmatched": 1, "bad_ages": 2, "malformed_lines": 0}
     got = spark.read.parquet(res.paths["trusted"])
-    assert "age__landed" not in got.columns
+    assert not {"age__landed", "__malformed", "reject"} & set(got.columns)
     assert sorted((r.age for r in got.collect()), key=str) == [40.0, 7.5, None, None, None]
+
+
+def test_quarantine_holds_each_fault_and_counts_add_up(spark):
+    from epilake.plans.pipeline import step_refined
+    base, path = scratch_path(spark, "quarantine"), scratch_path(spark, "faulty")
+    lines = ["region_raw,report_date,region_name_raw,age,sex,status",
+             "05,2020-03-06,A,40,F,Deceased", "5,2020-03-07,A,,M,Active", "05,,A,7,M,Active",
+             "05,6/3/2020,A,40,F,Deceased", "05,2020-03-06,A,forty,F,Deceased",
+             "05,2020-03-06,A,40,F,Deceased,extra", "05,2020-03-06", "zz,31/31/2020,A,4o,F,Active"]
+    spark.createDataFrame([(x,) for x in lines], "v string").coalesce(1).write.text(path)
+    dim = spark.createDataFrame([("05", "Antioquia", 1000)], "code string, name string, population long")
+    cfg = PipelineConfig(quarantine=True)
+    res = step_trusted(spark, read_landed_cases(spark, path, keep_text=True), dim, base, cfg)
+    assert res.rows == {"trusted": 3, "rejected": 5}
+    assert res.rejects == {"bad_dates": 2, "unmatched": 1, "bad_ages": 2, "malformed_lines": 2}
+    rejected = spark.read.parquet(res.paths["rejected"]).select("reject.*").collect()
+    assert sorted(r.reason for r in rejected) == ["bad_age", "bad_date", "bad_date,bad_age", "malformed_line", "malformed_line"]
+    assert all(path.rsplit("/", 1)[1] in r.file for r in rejected)
+    said = {r.reason: r.record for r in rejected if r.reason != "malformed_line"}
+    assert '"age":"forty"' in said["bad_age"] and '"report_date":"6/3/2020"' in said["bad_date"]
+    assert sorted(r.record for r in rejected if r.reason == "malformed_line") == sorted(lines[6:8])
+    trusted = spark.read.parquet(res.paths["trusted"])
+    assert trusted.count() == 3 and trusted.filter("reject IS NOT NULL").count() == 0
+    step_refined(spark, base, cfg, res)     # the refined step reads the trusted folder
+    assert spark.read.parquet(res.paths["indicators"]).agg({"new_cases": "sum"}).first()[0] == 3

@@ -3,10 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from epilake.plans import pipeline as pl
 from epilake.schemas import DIM_SCHEMA
 from epilake.session import scratch_path
 from epilake.sources import files as io
 from epilake.sources import tables as tb
+from epilake.sources import versions as vs
 
 
 def test_upsert_literal_and_idempotent(spark):
@@ -111,36 +113,65 @@ def test_named_parameter_sql(spark):
 
 
 def test_ingest_dimension_versions(spark):
-    from epilake.plans.pipeline import ingest_dimension
-    csv1, csv2, table = (scratch_path(spark, n) for n in ("d1", "d2", "dimtbl"))
+    csv1, csv2, root, out = (scratch_path(spark, n) for n in ("d1", "d2", "dimtbl", "dimexp"))
     spark.createDataFrame([("05", "A", 1), ("08", "B", 2)], DIM_SCHEMA).write.option("header", True).csv(csv1)
     spark.createDataFrame([("08", "B2", 3), ("11", "C", 4)], DIM_SCHEMA).write.option("header", True).csv(csv2)
-    v1, rep = ingest_dimension(spark, csv1, table, "1")
-    assert rep.collect()[0].duplicate_keys == 0
-    v2, _ = ingest_dimension(spark, csv2, table, "2", previous_version="1",
-                             export_path=scratch_path(spark, "dimexp"))
-    assert sorted(map(tuple, spark.read.parquet(v2).collect())) == [("05", "A", 1), ("08", "B2", 3), ("11", "C", 4)]
-    assert spark.read.parquet(v1).count() == 2
+    one, rep = pl.ingest_dimension(spark, csv1, root)
+    assert rep.first().asDict() == {"rows": 2, "null_code": 0, "null_name": 0, "null_population": 0,
+                                    "long_code": 0, "long_name": 0, "duplicate_keys": 0}
+    pl.ingest_dimension(spark, csv2, root, export_path=out)
+    want = [("05", "A", 1), ("08", "B2", 3), ("11", "C", 4)]
+    assert sorted(map(tuple, pl.read_dimension(spark, root).collect())) == want
+    assert sorted(map(tuple, spark.read.schema(DIM_SCHEMA).option("header", True).csv(out).collect())) == want
+    assert vs.read(spark, root, pl.DIMENSION, one).count() == 2
+    assert pl.ingest_dimension(spark, csv2, root, batch="b")[0].number == 3
+    assert pl.ingest_dimension(spark, csv2, root, batch="b")[0].number == 3
 
 
 def test_ingest_dimension_last_row_of_a_key_wins(spark):
-    from epilake.plans.pipeline import ingest_dimension
-    csv, table = (scratch_path(spark, n) for n in ("d3", "dimtbl3"))
+    csv, root = (scratch_path(spark, n) for n in ("d3", "dimtbl3"))
     rows = [("05", "A", 1), ("8", "B", 2), ("5", "A2", 4), ("08", "B3", 5)]
     spark.createDataFrame(rows, DIM_SCHEMA).coalesce(1).write.option("header", True).csv(csv)
-    v1, rep = ingest_dimension(spark, csv, table, "1")
+    rep = pl.ingest_dimension(spark, csv, root)[1]
     assert rep.first().duplicate_keys == 2
-    assert sorted(map(tuple, spark.read.parquet(v1).collect())) == [("05", "A2", 4), ("08", "B3", 5)]
-
-
-def test_ingest_dimension_stops_on_violations(spark):
-    import pytest
-
-    from epilake.plans.pipeline import ingest_dimension
-    csv, table = (scratch_path(spark, n) for n in ("d4", "dimtbl4"))
-    spark.createDataFrame([("05", None, 1)], DIM_SCHEMA).write.option("header", True).csv(csv)
-    with pytest.raises(ValueError, match="null_name"):
-        ingest_dimension(spark, csv, table, "1")
+    assert sorted(map(tuple, pl.read_dimension(spark, root).collect())) == [("05", "A2", 4), ("08", "B3", 5)]
+
+
+def test_ingest_dimension_takes_files_in_order_of_their_names(spark):
+    from epilake.sources.versions import Folder
+    csv, root = (scratch_path(spark, n) for n in ("d5", "dimtbl5"))
+    # Spark reads the large file first
+    Folder(spark, csv).write_once("code,name,population\n" + "".join(f"{i:02d},first,1\n" for i in range(99)), "a.csv")
+    Folder(spark, csv).write_once("code,name,population\n07,second,2\n07,third,3\n", "b.csv")
+    pl.ingest_dimension(spark, csv, root)
+    got = {r.code: r.name for r in pl.read_dimension(spark, root).collect()}
+    assert got["07"] == "third" and got["08"] == "first" and len(got) == 99
+
+
+@pytest.mark.parametrize("row, broken", [(("05", None, 1), "null name"), (("123", "A", 1), "code too long"),
+                                         (("05", "A", None), "null population"), ((None, "A", 1), "null code")])
+def test_ingest_dimension_stops_on_violations(spark, row, broken):
+    good, bad, root = (scratch_path(spark, n) for n in ("d4", "d4", "dimtbl4"))
+    spark.createDataFrame([("05", "A", 1)], DIM_SCHEMA).write.option("header", True).csv(good)
+    spark.createDataFrame([("08", "B", 1), row], DIM_SCHEMA).write.option("header", True).csv(bad)
+    pl.ingest_dimension(spark, good, root)
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    with pytest.raises(ValueError, match=broken):
+        pl.ingest_dimension(spark, bad, root)
+    failed = [j for j in set(tracker.getJobIdsForGroup(None)) - before if tracker.getJobInfo(j).status == "FAILED"]
+    assert len(failed) == 1
+    assert vs.latest(spark, root).number == 1
+    assert [tuple(r) for r in pl.read_dimension(spark, root).collect()] == [("05", "A", 1)]
+
+
+def test_merge_asserts_unique_keys(spark):
+    target = spark.createDataFrame([("a", 1)], "k string, v int")
+    batch = spark.createDataFrame([("b", 1, 0), ("b", 2, 1)], "k string, v int, seq int")
+    got = {r.k: (r.v, r.batch_rows) for r in tb.merge_by_key(target, batch, "k", "seq").collect()}
+    assert got == {"a": (1, 0), "b": (2, 2)}
+    with pytest.raises(Exception, match="repeated key"):
+        tb.merge_by_key(target, batch, "k", "seq", unique=True).collect()
 
 
 def test_upsert_keeps_a_row_with_null_sequence(spark):
