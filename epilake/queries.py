@@ -20,11 +20,14 @@ from epilake.operators import analytics as an
 from epilake.operators import clean as cl
 from epilake.operators import indicators as ind
 from epilake.operators import serve as sv
+from epilake.plans import incremental as inc
 from epilake.plans import pipeline as pl
 from epilake.schemas import DIM_CONTRACT, DIM_SCHEMA
 from epilake.session import scratch_path, shared_dir
+from epilake.sources import crawl as cw
 from epilake.sources import files as io
 from epilake.sources import tables as tb
+from epilake.sources import versions as vs
 
 # Fixed parameters of the registered queries (oracle SQL uses the same).
 TOP_K = 10
@@ -328,6 +331,96 @@ def q_register_lake_tables(spark, sf):
     return tb.register_lake_table(spark, name, path, partitioned=True)
 
 
+def q_crawl_lake(spark, sf):
+    """Three tables below one folder, registered in one go; then one gets a
+    later column, one loses and gains partitions; crawled again, and a third
+    time, which finds nothing to do."""
+    root = scratch_path(spark, "lake")
+    db = "lake_" + root.rsplit("-", 1)[-1]
+    indic = published_indicators(spark, sf)
+    io.write_partitioned(indic.filter("year IS NULL OR year <= 2000"), f"{root}/refined/indicators", ["year"])
+    fx.region_dim(spark, sf).write.parquet(f"{root}/raw/regions")
+    io.publish_result(an.monthly_trends(indic), f"{root}/refined/monthly")
+    cw.crawl(spark, root, db)
+    io.write_partitioned(indic.filter("year >= 1994"), f"{root}/refined/indicators", ["year"])
+    _dim_incoming(spark, sf).withColumn("note", F.lit("revised")).write.mode("append").parquet(f"{root}/raw/regions")
+    cw.crawl(spark, root, db)
+    again = {r["action"] for r in cw.crawl(spark, root, db).collect()}
+    if again != {"unchanged"}:
+        raise RuntimeError(f"an unchanged lake was changed: {again}")
+    return spark.sql(f"""
+        SELECT 'indicators' AS source, year, count(*) AS rows, sum(new_cases) AS value, 0L AS noted
+        FROM {db}.indicators GROUP BY year
+        UNION ALL SELECT 'regions', CAST(NULL AS INT), count(*), sum(population), count(note) FROM {db}.regions
+        UNION ALL SELECT 'monthly', year, count(*), sum(monthly_cases), 0L FROM {db}.monthly GROUP BY year""")
+
+
+def q_publish_by_commit(spark, sf):
+    """Two tables in one commit, then a commit that replaces some years of
+    one of them; read through the latest commit."""
+    root, indic = scratch_path(spark, "commits"), published_indicators(spark, sf)
+    early = indic.filter("year IS NULL OR year < 1996").withColumn("new_cases", F.col("new_cases"))
+    stale = indic.filter("year >= 1996").withColumn("new_cases", F.lit(0).cast("bigint"))
+    vs.publish(spark, root, {"monthly": vs.Change(an.monthly_trends(indic)),
+                             "indicators": vs.Change(early.unionByName(stale), ["year"])})
+    vs.publish(spark, root, {"indicators": vs.Change(indic.filter("year >= 1996"), ["year"], "parts")})
+    return vs.read(spark, root, "indicators")
+
+
+def q_upsert_buckets(spark, sf):
+    root = scratch_path(spark, "dim_buckets")
+    for nr, batch in enumerate((fx.region_dim(spark, sf), _dim_incoming(spark, sf))):
+        tb.upsert_buckets(spark, root, "regions", batch.withColumn("seq", F.lit(nr)), "code", "seq", buckets=8)
+    return tb.read_buckets(spark, root, "regions")
+
+
+def q_incremental_totals(spark, sf):
+    """Most events first, then late ones of the last years, then late ones
+    of all years and without a date; each batch sent twice."""
+    root, events = scratch_path(spark, "totals"), trusted(spark, sf)
+    late = F.col("case_id") % 5 == 0
+    recent = F.coalesce(F.col("year") >= 2000, F.lit(False))
+    for name, part in (("first", ~late), ("recent", late & recent), ("late", late & ~recent)):
+        for _ in range(2):
+            inc.add_events(spark, root, events.filter(part), batch=name)
+    return inc.indicators(spark, root)
+
+
+def q_compact_parts(spark, sf):
+    """Indicators appended day by day of the week, then compacted."""
+    root, indic = scratch_path(spark, "small_files"), published_indicators(spark, sf)
+    for day in range(4):
+        part = indic.filter(F.coalesce(F.col("day"), F.lit(0)) % 4 == day)
+        vs.publish(spark, root, {"indicators": vs.Change(part, ["year"], "append")})
+    vs.compact(spark, root, "indicators", sort_within=("date",))
+    return vs.read(spark, root, "indicators")
+
+
+def q_quarantine(spark, sf):
+    """Landed lines, some with faults; every record with the reason, if any,
+    for which it is apart from the trusted table."""
+    path = scratch_path(spark, "faulty_csv")
+    columns = ["case_id", "report_date", "region_raw", "region_name_raw", "age", "sex", "status"]
+    fault = F.col("case_id") % 1000
+    said = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns}
+    said["report_date"] = F.when(fault.isin(1, 5), "31/31/2020").otherwise(said["report_date"])
+    said["age"] = F.when(fault.isin(2, 5), "unknown").otherwise(said["age"])
+    line = F.concat_ws(",", *said.values())
+    line = (F.when(fault == 3, F.concat(line, F.lit(",extra")))
+            .when(fault == 4, F.concat_ws(",", said["case_id"], said["report_date"])).otherwise(line))
+    fx.cases(spark, sf).select(line.alias("line")).write.text(path)
+    cases = pl.read_landed_cases(spark, path, keep_text=True, columns=columns)
+    res = pl.step_trusted(spark, cases, fx.region_dim(spark, sf), scratch_path(spark, "quarantined"),
+                          pl.PipelineConfig(quarantine=True))
+    kept, apart = (io.scan_partitioned_parquet(spark, res.paths[p]) for p in ("trusted", "rejected"))
+    return kept.unionByName(apart).select("case_id", F.col("reject.reason").alias("reason"))
+
+
+def q_enrich_large_dimension(spark, sf):
+    return cl.trusted_cases(fx.cases(spark, sf), fx.region_dim(spark, sf), large_dim=True).select(
+        "case_id", "region_raw", "dim_code", "dim_name", "population")
+
+
 def _landed_cases(spark, sf, keep_text=False):
     """The cases written as a landed CSV file with a header row."""
     path = scratch_path(spark, "cases_csv")
@@ -545,6 +638,22 @@ SQL: dict[str, str] = {
         CAST(latest_date AS VARCHAR)]]}})::VARCHAR AS body FROM summary {which} LIMIT 1)"""
         for sep, name, which in (("", "latest", "ORDER BY date DESC NULLS LAST"),
                                  (" UNION ALL ", "by_date", f"WHERE date = DATE '{FIXED_DATE}'"))),
+    "crawl_lake": f"""WITH incoming AS (SELECT CAST(n * 1000 AS BIGINT) AS population FROM nation
+          JOIN (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1) s ON n_nationkey = s.s_nationkey)
+      SELECT 'indicators' AS source, year, count(*) AS rows, CAST(sum(new_cases) AS BIGINT) AS value,
+        CAST(0 AS BIGINT) AS noted FROM indicators WHERE year >= 1994 GROUP BY year
+      UNION ALL SELECT 'regions', NULL, (SELECT count(*) FROM region_dim) + (SELECT count(*) FROM incoming),
+        CAST((SELECT sum(population) FROM region_dim) + (SELECT sum(population) FROM incoming) AS BIGINT),
+        (SELECT count(*) FROM incoming)
+      UNION ALL SELECT 'monthly', year, count(*), CAST(sum(monthly_cases) AS BIGINT), 0 FROM ({_MONTHLY}) GROUP BY year""",
+    "publish_by_commit": "SELECT * FROM indicators",
+    "upsert_buckets": _UPSERT,
+    "incremental_totals": "SELECT * FROM indicators",
+    "compact_parts": "SELECT * FROM indicators",
+    "quarantine": """SELECT CAST(case_id AS VARCHAR) AS case_id, CASE case_id % 1000 WHEN 1 THEN 'bad_date'
+        WHEN 2 THEN 'bad_age' WHEN 5 THEN 'bad_date,bad_age' WHEN 3 THEN 'malformed_line'
+        WHEN 4 THEN 'malformed_line' END AS reason FROM cases""",
+    "enrich_large_dimension": "SELECT case_id, region_raw, dim_code, dim_name, population FROM trusted",
     "run_sql": f"""SELECT date, new_cases_national, cumulative_cases_national,
         {r2('rate_per_100k_national')} AS rate_national FROM summary
       WHERE date >= DATE '{AS_OF}' - INTERVAL {LAST_DAYS} DAY""",

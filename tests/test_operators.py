@@ -230,6 +230,43 @@ def test_enrich_multiplies_no_event(spark):
     assert {(r.k, r.name) for r in got.collect()} == {("0", "b"), ("1", "c"), ("2", None), ("3", None), ("4", None)}
 
 
+def test_large_dimension_join_spares_hopeless_rows_and_deals_hot_codes(spark):
+    own = spark.newSession()
+    for k, v in {"autoBroadcastJoinThreshold": "-1", "adaptive.enabled": "false", "shuffle.partitions": "16"}.items():
+        own.conf.set(f"spark.sql.{k}", v)
+    # a third without a code, a third of one code, a ninth unknown
+    fact = own.range(0, 90_000, 1, 8).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN '7' WHEN id % 9 = 2 THEN concat('u', id) "
+              "ELSE CAST(id % 5000 AS STRING) END AS raw")
+    dim = own.range(5000).selectExpr("CAST(id AS STRING) AS code", "concat('n', id) AS name")
+    args = ("raw", "code", {"code": "dim_code", "name": "dim_name"})
+    got, want = cl.enrich_large_dimension(fact, dim, *args), cl.enrich_left_join(fact, dim, *args)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+
+    def tasks(df):
+        # a column of the dimension is used, else the join is left out
+        found = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("id").alias("n"), F.max("dim_name"))
+        return sorted(r.n for r in found.collect())
+    assert tasks(want)[-1] > 30_000 and tasks(got)[-1] < 10_000
+    # the exchange below the join carries no hopeless row
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 4 and plan.count("SortMergeJoin") == 1
+    wide = cl.key_filter(dim, "code", 1 << 17)
+    maybe = cl._maybe_known(fact, "raw", wide, 1 << 17, "m").groupBy("m").count().collect()
+    counts = {r.m: r["count"] for r in maybe}
+    hopeful = fact.filter("raw IS NOT NULL AND raw NOT LIKE 'u%'").count()
+    assert hopeful <= counts[True] <= hopeful + 100
+
+
+def test_large_dimension_join_on_odd_input(spark):
+    fact = spark.createDataFrame([(1, "5"), (2, None), (3, "zz")], "id int, raw string")
+    dim = spark.createDataFrame([("05", "A"), ("5", "B"), (None, "C")], "code string, name string")
+    args = ("raw", "code", {"code": "dim_code", "name": "dim_name"})
+    for f, d in ((fact, dim), (fact, dim.limit(0)), (fact.limit(0), dim)):
+        got, want = cl.enrich_large_dimension(f, d, *args), cl.enrich_left_join(f, d, *args)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+
+
 def test_running_total_with_many_names_of_a_null_code(spark):
     rows = [(None, D(2020, 1, 1), f"n{i}", 1) for i in range(50)] + [
         (None, None, "x", 2), (None, D(2020, 1, 2), "y", 3), ("05", D(2020, 1, 1), "A", 4)]
