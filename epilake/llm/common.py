@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,14 +58,41 @@ def remainder(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``docs`` whose ``keys`` are in ``kept``, one row for each key."""
-    on = None
-    right = kept.select(*[F.col(k).alias(f"_kept_{k}") for k in keys])
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_kept_{k}"))
-        on = c if on is None else on & c
-    return docs.join(right, on, "left_semi").dropDuplicates(list(keys))
+def named(columns: Iterable[str], *wanted: str) -> list[str]:
+    """The wanted names, each with underscores after it until none of
+    ``columns`` has it (helper columns beside a caller's)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(columns: Iterable[str]) -> list[Column]:
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
+def mark(c: Column) -> Column:
+    """A value as text that is never null."""
+    return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("~"))
+
+
+def keep_rows(docs: DataFrame, marks: Sequence[Column], kept: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``marks`` are a row of ``kept`` (its columns in
+    their order; no nulls, no repeats), one row for each.
+
+    Copies combine before the one exchange that carries the rows: the join
+    meets them where the aggregate has dealt them by the same columns.
+    """
+    mine = named(docs.columns, *[f"_mark{i}" for i in range(len(marks))])
+    theirs = named([*docs.columns, *mine], *[f"_kept{i}" for i in range(len(marks))])
+    rows = docs.withColumns(dict(zip(mine, marks))).dropDuplicates(mine)
+    on = [F.col(a) == F.col(b) for a, b in zip(mine, theirs)]
+    # merge: a broadcast of kept would grow with the data
+    return rows.join(kept.toDF(*theirs).hint("merge"), on).select(*quoted(docs.columns))
 
 
 def chunks(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:

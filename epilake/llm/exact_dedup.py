@@ -10,7 +10,9 @@ a repeated one adds nothing.
 DataFrame operations only. A group of copies, however large, is combined on
 the map side before its digest is shuffled; the text itself is never
 shuffled here. Null text counts as empty, a null id sorts after all others,
-and of rows with equal id and text one is kept.
+and of rows with equal id and text one is kept. A text of any length is one
+digest. An empty table leaves the index as it is and gives no rows. Other
+columns pass through ``deduplicated`` as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +22,11 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, keep_rows, materialise
+from .common import SPACE, keep_rows, mark, materialise
+
+
+#: Copies of one row that are written out together.
+COPIES = 4096
 
 
 def normalised(text: Column) -> Column:
@@ -96,9 +102,15 @@ def dedup(docs: DataFrame, index_path: str, id_col: str = "doc_id", text_col: st
     # the id's side repeats a digest, and Spark splits such a partition
     groups = materialise(seen.groupBy("digest").agg(F.sum("n").alias("group_size"))
                          .join(index.rows().hint("merge"), "digest"), "digest-groups")
-    joined = seen.join(groups, "digest").select(
+    pieces = seen.withColumn("piece", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES).cast("long"))))
+    met = pieces.join(groups, "digest")
+    # a row with very many copies is written out by many tasks
+    met = met.filter("piece = 0").unionByName(met.filter("piece > 0").repartition("digest", "id", "piece"))
+    joined = met.select(
         "id", "digest", "keep_id", "group_size",
-        F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy"))
+        F.explode(F.sequence(F.col("piece") * COPIES + 1,
+                             F.least(F.col("n"), (F.col("piece") + 1) * COPIES))).alias("copy"))
     return joined.select(
         F.col("id").alias(id_col), "keep_id", "group_size",
         (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"), "digest")
@@ -107,10 +119,9 @@ def dedup(docs: DataFrame, index_path: str, id_col: str = "doc_id", text_col: st
 def deduplicated(docs: DataFrame, index_path: str, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their columns."""
-    kept = dedup(docs, index_path, id_col, text_col).filter("kept").select(
-        F.col(id_col), F.col("digest").alias("_digest"))
-    return (keep_rows(docs.withColumn("_digest", digest(F.col(text_col))), kept, [id_col, "_digest"])
-            .drop("_digest"))
+    kept = dedup(docs, index_path, id_col, text_col).filter("kept")
+    return keep_rows(docs, [mark(F.col(id_col).cast("long")), digest(F.col(text_col))],
+                     kept.select(mark(F.col(id_col)), "digest"))
 
 
 ORACLE = r"""

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialise
+from .common import WORD, mark, materialise, named, quoted
 
 #: Weights of the sources by code point, repeating (fixed by the contract).
 WEIGHTS = (5, 2, 1)
@@ -239,31 +239,33 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     A pass that takes the whole document repeats its text as it is; one that
     takes part of it gives the taken words, in order, joined by spaces
     (``n_chars``, if there, follows). Documents without words have nothing
-    to take and are left out.
+    to take and are left out. Other columns pass through as they are,
+    whatever their names; an empty table gives no rows.
     """
     cols = docs.columns
-    row = docs.withColumn("_th", F.xxhash64("text"))
-    placed = materialise(starts(materialise(row.select(
-        F.struct("doc_id", "_th").alias("doc_id"), F.col("source").cast("string").alias("source"),
+    text_hash = F.xxhash64("text")
+    placed = materialise(starts(materialise(docs.select(
+        F.struct(F.col("doc_id"), text_hash.alias("_th")).alias("doc_id"), F.col("source").cast("string").alias("source"),
         n_words(F.col("text")).alias("size")), "sizes")), "starts")
     targets = materialise(source_targets(placed), "targets")
+    a, b, id_, hash_, whole, spans = named(cols, "_id", "_hash", "_of", "_th", "_whole", "_spans")
     takes = (mix(placed, drawn(targets, block), block).groupBy("doc_id", "source", "start", "size", "pass")
-             .agg(F.sum("n").alias("_taken"), F.sort_array(F.collect_list(F.struct("first", "n"))).alias("_spans"))
-             # rows with equal id and text are told apart by their order
-             .withColumn("_whole", F.col("_taken") == F.col("size"))
-             .select(F.col("doc_id.doc_id").alias("_d"), F.col("doc_id._th").alias("_t"), "_whole",
-                     F.when(~F.col("_whole"), F.col("_spans")).alias("_spans")))
-    # one row of text for each id and text; repeats of it are in takes
-    uniq = row.dropDuplicates(["doc_id", "_th"])
-    joined = uniq.join(takes, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")))
+             .agg(F.sum("n").alias("taken"), F.sort_array(F.collect_list(F.struct("first", "n"))).alias("spans"))
+             .select(mark(F.col("doc_id.doc_id")).alias(id_), F.col("doc_id._th").alias(hash_),
+                     (F.col("taken") == F.col("size")).alias(whole),
+                     F.when(F.col("taken") != F.col("size"), F.col("spans")).alias(spans)))
+    # one row of text for each id and text, repeats of it are in takes; the
+    # join meets the texts where the aggregate has dealt them by the same columns
+    uniq = docs.withColumns({a: mark(F.col("doc_id")), b: text_hash}).dropDuplicates([a, b])
+    joined = uniq.join(takes.hint("merge"), (F.col(a) == F.col(id_)) & (F.col(b) == F.col(hash_)))
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"))
-    part = F.array_join(F.flatten(F.transform("_spans", lambda s: F.slice(
+    part = F.array_join(F.flatten(F.transform(spans, lambda s: F.slice(
         words, s["first"].cast("int") + 1, s["n"].cast("int")))), " ")
-    out = joined.withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(part))
+    out = joined.withColumn("text", F.when(F.col(whole), F.col("text")).otherwise(part))
     if "n_chars" in cols:
-        out = out.withColumn("n_chars", F.when(F.col("_whole"), F.col("n_chars"))
+        out = out.withColumn("n_chars", F.when(F.col(whole), F.col("n_chars"))
                              .otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*cols)
+    return out.select(*quoted(cols))
 
 
 def oracle_sql(weights=WEIGHTS, max_repeat: int = MAX_REPEAT, block: int = BLOCK_WORDS, seed: int = SEED) -> str:

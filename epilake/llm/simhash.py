@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import SPACE, keep_rows, materialise, ship
+from .common import SPACE, keep_rows, mark, materialise, ship
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -187,9 +187,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` reduced to the row with the least id of each component."""
-    named = docs.withColumn("_th", F.xxhash64(text_col))
-    found = near_duplicates(named, id_col, text_col, shingle, max_bits, keep=("_th",))
-    kept = found.filter(F.col(id_col).eqNullSafe(F.col("component_id")))
+    text_hash = F.xxhash64(F.col(text_col))
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), text_hash.alias("_th"))
+    found = near_duplicates(rows, "_id", "_text", shingle, max_bits, keep=("_th",))
+    kept = found.filter(F.col("_id").eqNullSafe(F.col("component_id")))
     # rows with one id in one component: the least text hash stays
-    kept = kept.groupBy(id_col, "component_id").agg(F.min("_th").alias("_th"))
-    return keep_rows(named, kept, [id_col, "_th"]).drop("_th")
+    kept = kept.groupBy("_id", "component_id").agg(F.min("_th").alias("_th"))
+    return keep_rows(docs, [mark(F.col(id_col)), text_hash], kept.select(mark(F.col("_id")), "_th"))
