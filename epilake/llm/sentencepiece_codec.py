@@ -40,8 +40,12 @@ from pyspark.sql.types import ArrayType, BooleanType, DataType, IntegerType, Str
 from .common import ship
 
 MARK = "▁"
-#: Words, pairs of pieces kept by a worker; beyond that the table starts anew.
+#: Words, characters of words and pairs of pieces kept by a worker; beyond
+#: that the table starts anew. A word of more than LONG_WORD characters (text
+#: written without spaces) isn't kept.
 WORDS_KEPT = 600_000
+CHARS_KEPT = 4_000_000
+LONG_WORD = 64
 PAIRS_KEPT = 1_000_000
 
 UNIGRAM, BPE = "unigram", "bpe"
@@ -76,6 +80,7 @@ class Codec:
     voc: Vocabulary
     ids: dict[str, int] = field(init=False)
     kept: dict[str, bytes] = field(default_factory=dict)
+    kept_chars: int = 0
     pairs: dict[int, bool] = field(default_factory=dict)
 
     def __post_init__(self):
@@ -185,16 +190,19 @@ class Codec:
         if self.voc.prefix:
             text = MARK + text
         words = self.words.findall(text)
-        kept = self.kept
-        new = set(words).difference(kept)
-        if len(kept) + len(new) > WORDS_KEPT:
+        kept, word = self.kept, self.word
+        short = {w for w in set(words) if len(w) <= LONG_WORD}
+        new = short.difference(kept)
+        size = sum(map(len, new))
+        if len(kept) + len(new) > WORDS_KEPT or self.kept_chars + size > CHARS_KEPT:
             kept.clear()
-            new = set(words)
-        if len(new) > WORDS_KEPT:  # one text with more words than are kept
-            return b"".join(map(self.word, words))
-        for w in new:
-            kept[w] = self.word(w)
-        return b"".join([kept[w] for w in words])
+            self.kept_chars = 0
+            new, size = short, sum(map(len, short))
+        if len(new) <= WORDS_KEPT and size <= CHARS_KEPT:  # else one text with more than is kept
+            for w in new:
+                kept[w] = word(w)
+            self.kept_chars += size
+        return b"".join([kept.get(w) or word(w) for w in words])
 
     def decode(self, ids) -> str:
         ids = np.asarray(ids, dtype=np.int32)
