@@ -18,7 +18,14 @@ DataFrame operations only. Counts are of distinct addresses, gathered once
 as counts of windows of ORDER + 1 characters; each lower order sums the one
 above. Null addresses and those without ``://`` have an empty host and
 path, fit no rule and are judged as the empty string. Without examples of
-both classes all addresses without a rule are allowed.
+both classes all addresses without a rule are allowed. An address of any
+length is cut in one pass; repeated ones are judged once; an empty table gives
+no rows; other columns aren't read.
+
+The table of ratios has a row per window that occurs, so it grows with the
+characters in use, not with the addresses (at most 65 million rows for the 36
+letters and digits, far fewer in fact). Spark broadcasts it below its threshold
+and shuffles the windows beyond.
 """
 
 from __future__ import annotations
@@ -63,10 +70,11 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 def _grams(rows: DataFrame) -> DataFrame:
     """``rows`` with each window of the address (column s) as ``gram``; the
-    last character is the one to be told, what stands before it the context."""
+    last character is the one to be told, what stands before it the context.
+    One pass over the address: a match is one character, its group the window."""
     padded = F.concat(F.lit(EDGE * ORDER), F.col("s"), F.lit(EDGE))
-    return rows.withColumn("gram", F.explode(F.transform(
-        F.sequence(F.lit(1), F.char_length("s") + 1), lambda i: F.substring(padded, i, ORDER + 1))))
+    window = F.lit(f"(?s)(?=(.{{{ORDER + 1}}})).")
+    return rows.withColumn("gram", F.explode(F.regexp_extract_all(padded, window, 1)))
 
 
 def gram_ratios(addresses: DataFrame) -> DataFrame:
@@ -142,3 +150,47 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
             .select(id_col, "host", "path", "rule",
                     F.when(F.col("score") >= least, "allow").otherwise("block").alias("verdict"), "score"))
     return ruled.unionByName(rest)
+
+
+def oracle_sql(rules=RULES) -> str:
+    """The result of the query over ``pages`` in DuckDB."""
+    def case(value) -> str:
+        arms = " ".join(
+            f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{value(what, h, p)}'"
+            for what, h, p in sorted(rules, key=lambda r: -len(r[1] + r[2])))
+        return f"CASE {arms} END"
+
+    parts = "'(?s)^.*?://([^/?#]*)([^?#]*)'"
+    levels = []
+    for k in range(ORDER + 1):
+        rest = f"JOIN o{k - 1} u ON substr(l.gram, 2, {k}) = u.gram" if k else ""
+        qa, qb = ("u.pa", "u.pb") if k else (f"{UNIFORM}::DOUBLE",) * 2
+        levels.append(f"""
+l{k} AS (SELECT substr(gram, {ORDER + 1 - k}, {k + 1}) AS gram, sum(a) AS a, sum(b) AS b FROM top GROUP BY 1),
+c{k} AS (SELECT substr(gram, 1, {k}) AS context, sum(a) AS na, sum(b) AS nb FROM l{k} GROUP BY 1),
+o{k} AS (SELECT l.gram, (l.a + {PRIOR}::DOUBLE * {qa}) / (na + {PRIOR}::DOUBLE) AS pa,
+           (l.b + {PRIOR}::DOUBLE * {qb}) / (nb + {PRIOR}::DOUBLE) AS pb
+         FROM l{k} l JOIN c{k} c ON substr(l.gram, 1, {k}) = c.context {rest}),""")
+    grams = (f"unnest(list_transform(generate_series(1, length(s) + 1), "
+             f"lambda i: substr(repeat(chr(2), {ORDER}) || s || chr(2), i, {ORDER + 1})))")
+    return f"""
+WITH h AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), {parts}, 1), '{_UPPER}', '{_LOWER}') AS host,
+             regexp_extract(coalesce(url, ''), {parts}, 2) AS path FROM pages),
+r AS (SELECT *, host || path AS s, {case(lambda w, h, p: h + p)} AS rule, {case(lambda w, h, p: w)} AS v FROM h),
+d AS (SELECT DISTINCT s, v, CAST('0x' || substr(md5(s), 1, 8) AS BIGINT) % {CALIBRATE} = 0 AS held FROM r),
+m AS (SELECT s, CASE WHEN NOT held THEN v END AS label, CASE WHEN held THEN v END AS example FROM d),
+g AS (SELECT *, {grams} AS gram FROM m),
+top AS (SELECT gram, count(*) FILTER (label = 'allow') AS a, count(*) FILTER (label = 'block') AS b FROM g GROUP BY 1),
+{"".join(levels)}
+sc AS (SELECT s, example, sum(ln(pa / pb)) / count(*) AS score FROM g JOIN o{ORDER} USING (gram)
+       WHERE label IS NULL GROUP BY s, example),
+st AS (SELECT CAST(floor(score * {BINS}) AS BIGINT) AS bin, count(*) FILTER (example = 'allow') AS a,
+         count(*) FILTER (example = 'block') AS b FROM sc WHERE example IS NOT NULL GROUP BY 1),
+rt AS (SELECT bin, coalesce(sum(b) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+           / sum(b) OVER () + sum(a) OVER (ORDER BY bin ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+           / sum(a) OVER () AS good, sum(a) OVER () AS na, sum(b) OVER () AS nb FROM st),
+best AS (SELECT bin / {BINS}::DOUBLE AS least FROM rt WHERE na > 0 AND nb > 0 ORDER BY round(good, 9) DESC, bin LIMIT 1)
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN score >= coalesce((SELECT least FROM best), '-inf'::DOUBLE)
+         THEN 'allow' ELSE 'block' END) AS verdict
+FROM r LEFT JOIN (SELECT s, score FROM sc WHERE example IS NULL) sc USING (s)
+"""
