@@ -139,6 +139,7 @@ ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op4_license_scan": license_scan.oracle_sql(),
     "op5_mixing": mixing.oracle_sql(),
+    "op9_url_filter": url_filter.oracle_sql(),
     "op11_chat_format": chat_format.ORACLE,
     "op12_hard_negatives": hard_negatives.ORACLE,
 }

@@ -145,6 +145,21 @@ def test_sentencepiece_equals_library(spark, library, odd, empty):
     assert sentencepiece_codec.encode(empty, voc).count() == 0
 
 
+def test_codec_keeps_a_bounded_number_of_characters(monkeypatch, library):
+    from epilake.llm.sentencepiece_codec import Codec
+    monkeypatch.setattr(sentencepiece_codec, "CHARS_KEPT", 2_000)
+    rng = random.Random(2)
+    codec = Codec(sentencepiece_codec.Vocabulary.read(queries.SENTENCEPIECE_MODEL, sentencepiece_codec.BPE))
+    for _ in range(40):
+        unspaced = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(rng.randrange(1, 3_000)))
+        spaced = " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(1, 70))) for _ in range(90))
+        for text in (unspaced, spaced):
+            got = np.frombuffer(codec.encode(text), np.int32).tolist()
+            assert got == library.encode(text)
+            assert codec.kept_chars == sum(map(len, codec.kept)) <= 2_000
+            assert all(len(w) <= sentencepiece_codec.LONG_WORD for w in codec.kept)
+
+
 def test_unigram_viterbi_is_best():
     pieces = ("<unk>", "▁", "a", "b", "ab", "ba", "▁a", "bab")
     scores = (0.0, -3.0, -2.0, -2.5, -2.2, -1.9, -2.1, -4.0)
@@ -187,15 +202,85 @@ def test_licenses_in_comment_blocks(spark, mark, top, bottom):
         return f"{top}{lines}{bottom}"
 
     mit = block("Copyright (c) 2020 Foo", s["mit-grant"].capitalize() + ":", s["mit-notice"].capitalize() + ".", s["mit-as-is"].upper() + ".")
-    gpl = block("Copyright (C) 2020 Foo", s["gpl-free"].capitalize() + ".", "This program comes with no warranty.")
+    gpl = block("Copyright (C) 2020 Foo", s["gpl3-free"].capitalize() + ".", "This program comes with no warranty.")
     boxed = f"{mark} {s['mit-released']} {'=' * 3 * max(map(len, s.values()))}"
     df = spark.createDataFrame([(0, mit), (1, gpl), (2, gpl.replace("\n", "\r\n")), (3, boxed)], "doc_id int, text string")
     got = {r.doc_id: (r.sentence_ids, r.licenses) for r in license_scan.scan(df).collect()}
     assert got[0] == (["mit-grant", "mit-notice", "mit-as-is"], ["MIT"])
-    assert got[1] == got[2] == (["gpl-free"], ["GPL-3.0-or-later"])
+    assert got[1] == got[2] == (["gpl3-free"], ["GPL-3.0-or-later"])
     assert got[3] == (["mit-released"], ["MIT"])
 
 
+HEADERS = {
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software is distributed as is.""",
+    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.""",
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "AGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.""",
+}
+HEADERS["BSD-3-Clause"] = HEADERS["BSD-2-Clause"] + """
+3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission."""
+
+
+def wrappings(text):
+    """As it is, on one line a paragraph, one word a line, wrapped in comments at 33."""
+    paragraphs = [re.sub(r"\s*\n\s*(?!\d\.)", " ", p) for p in text.split("\n\n")]
+    flat = "\n\n".join(paragraphs)
+    return [text, flat, flat.replace(" ", "\n"),
+            "\n *\n".join(re.sub("(?m)^", " * ", re.sub("(.{20,33}) ", "\\1\n", p)) for p in paragraphs)]
+
+
+def test_common_headers_in_any_wrapping(spark):
+    rows = [(f"{name}/{i}/{end!r}", "int a;\n\n" + t.replace("\n", end) + end) for name, text in HEADERS.items()
+            for i, t in enumerate(wrappings(text)) for end in ("\n", "\r\n")]
+    rows += [(f"{t}/{i}", f"{m} SPDX-License-Identifier: {t}{e}\nimport x")
+             for t in license_scan.TAGS for i, (m, e) in enumerate([("//", ""), ("/*", " */"), ("#", "")])]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    for r in license_scan.scan(df).collect():
+        assert r.licenses == [r.doc_id.split("/")[0]], (r.doc_id, r.sentence_ids)
+    # the SQL reads them alike
+    con = duck(SF001)
+    con.execute("DROP VIEW documents")
+    con.execute("CREATE TABLE documents (doc_id VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows + [("none", None), ("one", "a\nb\nc")])
+    got = dict(con.execute(f"SELECT doc_id, licenses FROM ({license_scan.oracle_sql()})").fetchall())
+    assert got == {**{k: k.split("/")[0] for k, _ in rows}, "none": "", "one": ""}
+
+
+def test_license_sentences_of_any_length(spark):
+    own, rules = {"x": "mit", "y": "see x"}, [("X", ("x", "y"))]
+    df = spark.createDataFrame([(1, "MIT. See X!"), (2, "MIT"), (3, "word " * 300_000 + "\nMIT.\nSee X")], "doc_id int, text string")
+    got = {r.doc_id: r.licenses for r in license_scan.scan(df, sentences=own, rules=rules).collect()}
+    assert got == {1: ["X"], 2: [], 3: ["X"]}
+
+
 # -- mixing ------------------------------------------------------------------
 
 @pytest.mark.parametrize("block", [7, 512])
@@ -429,6 +514,20 @@ def test_url_scores_equal_brute_force(spark):
         assert math.isclose(got[s], want / (len(s) + 1), abs_tol=1e-9)
 
 
+def test_very_long_and_odd_addresses(spark):
+    # windows of whole characters, beyond the basic plane too
+    df = spark.createDataFrame([("ab\U0001F600c",), ("",)], "s string")
+    pad = url_filter.EDGE * url_filter.ORDER
+    got = {g for r in url_filter._grams(df).collect() for g in [r.gram]}
+    assert got == {(pad + s + url_filter.EDGE)[i:i + url_filter.ORDER + 1] for s in ("ab\U0001F600c", "") for i in range(len(s) + 1)}
+    urls = [f"http://a{i}.{['com', 'net'][i % 2]}/{['en', 'fr', 'es'][i % 3]}/{i}" for i in range(60)]
+    urls += ["http://x.org/" + "a/b" * 350_000, None, "", "no scheme", "http://x.org/p", "http://x.org/p"]
+    began = time.time()
+    rows = url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")).collect()
+    assert len(rows) == len(urls) and time.time() - began < 120
+    assert {r.verdict for r in rows} <= {"allow", "block"} and len({r.verdict for r in rows if r.page_id >= 64}) == 1
+
+
 def test_url_query(spark):
     rows = queries.op9_url_filter(spark, SF01).collect()
     assert len(rows) == spark.read.parquet(f"{SF01}/pages.parquet").count()
