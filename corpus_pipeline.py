@@ -2,7 +2,10 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
 and returns a DataFrame, which is written as Parquet and read back as the
-next one's ``docs``. All but the last return the columns of documents.
+next one's ``docs``. All but the last return the columns of documents; columns
+beyond those pass through as they are, whatever their names. A null text is an
+empty one; rows with equal id and text are one row after the second stage; an
+empty table stays empty.
 """
 
 from __future__ import annotations
@@ -23,9 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts (score of at least 0.3)."""
     labels = table(spark, sf_dir, "labels").filter(remainder(F.col("doc_id"), 5) != 0)
     model = quality_classifier.train(docs, labels)
-    score = quality_classifier.score(docs, model)
-    return docs.withColumn("_score", score).filter(
-        F.col("_score") >= quality_classifier.THRESHOLD).select(*docs.columns)
+    return docs.filter(quality_classifier.score(docs, model) >= quality_classifier.THRESHOLD)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
