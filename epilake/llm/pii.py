@@ -123,9 +123,9 @@ def stretches(text: str) -> Iterator[list[tuple[int, int]]]:
         yield tokens[first:last]
 
 
-def _trainable(text: str, run: list[tuple[int, int]]) -> bool:
-    """Runs of very many tokens take no part in training."""
-    return len(run) <= 1024 and len(_TELLING.findall(text, run[0][0], run[-1][1])) <= 256
+def _trainable(text: str, run: list[tuple[int, int]], cfg: "Config") -> bool:
+    """Runs of very many tokens take no part in training (they do in decoding)."""
+    return len(run) <= cfg.run_tokens and len(_TELLING.findall(text, run[0][0], run[-1][1])) <= cfg.run_telling
 
 
 def _near(text: str, at: int, step: int) -> str:
@@ -235,6 +235,8 @@ def features(look: tuple) -> list[str]:
 @dataclass(frozen=True)
 class Config:
     sample: int = 3000      # texts with a telling character used for training, at most
+    run_tokens: int = 1024  # tokens, and telling characters, of a run used for training, at most
+    run_telling: int = 256
     epochs: int = 6
     rate: float = 0.2
     decay: float = 1e-3     # weights shrink a little, so rare features stay small
@@ -403,7 +405,7 @@ def fit(texts: list[str], cfg: Config = Config()) -> SemiCrf:
         base = base_spans(t)
         for text, spans in ((t, base), _varied(t, base, rng)):
             for run in stretches(text):
-                if not _trainable(text, run):
+                if not _trainable(text, run, cfg):
                     continue
                 first, end, rows = [], [], []
                 for e, found in enumerate(candidates(text, run), 1):
@@ -446,7 +448,7 @@ def train(docs: DataFrame, cfg: Config = Config(), id_col: str = "doc_id", text_
     @F.pandas_udf("array<string>")
     def around(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield pd.Series([[t[max(0, run[0][0] - 24):run[-1][1] + 1] for run in stretches(t) if _trainable(t, run)]
+            yield pd.Series([[t[max(0, run[0][0] - 24):run[-1][1] + 1] for run in stretches(t) if _trainable(t, run, cfg)]
                              for t in part])
 
     rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
