@@ -7,17 +7,21 @@ repeated words) and held against the bulk of their language and source: a
 minimum-covariance-determinant estimate of centre and scatter, and the
 Mahalanobis distance of the vector from it.
 
-The estimate starts from the rows nearest the medians and takes
-concentration steps: centre and scatter of the kept rows, distances of all
-rows, the nearest 75 % kept. Each step is a map-side combined aggregation
-by group over a narrow written table; a hot group is a partial row a task.
+The estimate has several fixed starts (medians and absolute deviations; mean
+and covariance of all rows; those of the rows nearest the medians on their
+worst axis) and takes concentration steps from each: centre and scatter of the
+kept rows, distances of all rows, the nearest 75 % kept, until no group's
+determinant changes. Of a group's starts the one with the least determinant
+counts. Each step is a map-side combined aggregation by group and start over a
+narrow written table; a hot group is a partial row a task.
 The scatter's inverse is a Cholesky factorisation written out as columns.
 A group of fewer than ``MIN_ROWS`` rows uses its language's estimate, and
 failing that the whole table's. Each axis has a least spread (``FLOOR``),
 as most texts have no symbols or repeats at all.
 
 DataFrame operations only. Null text has no words and fails the base
-rules. Null languages and sources are groups like any other.
+rules. Null languages and sources are groups like any other. Repeated rows
+count each; an empty table gives no rows; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -34,15 +38,17 @@ MIN_WORDS = 20
 #: Rows of a group that has an estimate of its own.
 MIN_ROWS = 60
 KEEP = 0.75
-STEPS = 3
+#: Concentration steps at most, and the change of a log determinant that ends them.
+STEPS, SETTLED = 12, 1e-3
+STARTS = 3
 #: Least standard deviation of each axis, in its transformed unit: a single
 #: repeated line or passage of a short text is no outlier by itself.
 FLOOR = (0.02, 0.03, 0.05, 0.1)
 #: A mean word length is taken as if the text had so many more words of five letters.
 PRIOR_WORDS, PRIOR_LENGTH = 50, 5.0
-#: Squared distance beyond which a vector is rejected: 8 standard
-#: deviations in the plane of the estimate; the bulk's own tails stay.
-CUTOFF = 64.0
+#: Share of a normal bulk beyond the distance at which a vector is rejected:
+#: real tails are heavier than normal ones, so a far quantile.
+TAIL = 1e-9
 ACCURACY = 10_000
 #: A group's estimate meets its rows in so many parts, so that a hot group is split.
 SALTS = 32
@@ -105,6 +111,18 @@ def _chi2(x: float, k: int) -> float:
     return 1 - math.exp(-x / 2) * sum((x / 2) ** i / math.factorial(i) for i in range(k // 2))
 
 
+def cutoff(tail: float = TAIL, k: int = len(AXES)) -> float:
+    """Squared distance that a share of ``tail`` of normal rows is beyond (47.9
+    for four axes and one in 10^9)."""
+    lo, hi = 0.0, 1000.0
+    for _ in range(100):
+        mid = (lo + hi) / 2
+        # the upper tail itself: 1 - _chi2 would lose its digits
+        over = math.exp(-mid / 2) * sum((mid / 2) ** i / math.factorial(i) for i in range(k // 2))
+        lo, hi = (mid, hi) if over > tail else (lo, mid)
+    return hi
+
+
 def consistency(keep: float, k: int) -> float:
     """What the scatter of the nearest ``keep`` of normal rows must be multiplied by."""
     lo, hi = 0.0, 100.0
@@ -136,7 +154,9 @@ def _factor(stats: DataFrame, scale: float) -> DataFrame:
                 v = v - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             stats = stats.withColumn(f"l{i}{j}", F.sqrt(F.greatest(v, F.lit(FLOOR[i] ** 2 * 1e-3))) if i == j
                                      else v / F.col(f"l{j}{j}"))
-    return stats.select("g", *[f"m{i}" for i in range(p)], *[f"l{i}{j}" for i in range(p) for j in range(i + 1)])
+    det = sum((F.log(f"l{i}{i}") for i in range(1, p)), F.log("l00")) * 2
+    return stats.select("g", "start", *[f"m{i}" for i in range(p)],
+                        *[f"l{i}{j}" for i in range(p) for j in range(i + 1)], det.alias("det"))
 
 
 def _salted(small: DataFrame) -> DataFrame:
@@ -148,32 +168,60 @@ def _salt(*columns: str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
 
 
+def _moments(rows: DataFrame) -> DataFrame:
+    """Centre and scatter by group and start."""
+    p = len(AXES)
+    return rows.groupBy("g", "start").agg(
+        *[F.avg(a).alias(f"m{i}") for i, a in enumerate(AXES)],
+        *[F.covar_pop(AXES[i], AXES[j]).alias(f"s{i}{j}") for i in range(p) for j in range(i + 1)])
+
+
+def _started(rows: DataFrame) -> DataFrame:
+    """Centre and factor by group and start to begin the steps from."""
+    p = len(AXES)
+    mid = materialise(rows.groupBy("g").agg(
+        *[F.percentile_approx(a, 0.5, ACCURACY).alias(f"m{i}") for i, a in enumerate(AXES)]), "mcd-middle")
+    off = rows.join(_salted(mid), ["g", "_salt"])
+    mad = materialise(off.groupBy("g").agg(
+        *[F.first(f"m{i}").alias(f"m{i}") for i in range(p)],
+        *[(F.percentile_approx(F.abs(F.col(a) - F.col(f"m{i}")), 0.5, ACCURACY) * 1.4826 + FLOOR[i]).alias(f"a{i}")
+          for i, a in enumerate(AXES)]), "mcd-spread")
+    # the worst axis, in spreads: half of the rows are nearer than its median
+    worst = F.greatest(*[F.abs(F.col(a) - F.col(f"m{i}")) / F.col(f"a{i}") for i, a in enumerate(AXES)])
+    far = rows.join(_salted(mad), ["g", "_salt"]).select("g", "_salt", worst.alias("worst"), *AXES)
+    half = materialise(far.groupBy("g").agg(F.percentile_approx("worst", 0.5, ACCURACY).alias("half")), "mcd-half")
+    near = far.join(_salted(half), ["g", "_salt"]).filter(F.col("worst") <= F.col("half"))
+    diagonal = mad.select("g", F.lit(0).alias("start"), *[f"m{i}" for i in range(p)],
+                          *[(F.col(f"a{i}") * F.col(f"a{i}") if i == j else F.lit(0.0)).alias(f"s{i}{j}")
+                            for i in range(p) for j in range(i + 1)])
+    every = _moments(rows.withColumn("start", F.lit(1)))
+    middle = _moments(near.withColumn("start", F.lit(2)))
+    return materialise(_factor(diagonal.unionByName(every).unionByName(middle), 1.0), "mcd-start")
+
+
 def estimate(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     """Centre and factor by group of ``rows`` (g, axes, and ``_salt``, by
-    default made of the axes): a row per group."""
+    default made of the axes): a row per group, of the start that ends with
+    the least determinant (``det``, its logarithm)."""
     if "_salt" not in rows.columns:
         rows = rows.withColumn("_salt", _salt(*AXES))
-    on = ["g", "_salt"]
-    p, scale = len(AXES), consistency(KEEP, len(AXES))
-    mid = materialise(rows.groupBy("g").agg(
-        *[F.percentile_approx(a, 0.5, ACCURACY).alias(f"m{i}") for i, a in enumerate(AXES)]), "mcd-middle")
-    mad = rows.join(_salted(mid), on).groupBy("g").agg(
-        *[F.first(f"m{i}").alias(f"m{i}") for i in range(p)],
-        *[F.percentile_approx(F.abs(F.col(a) - F.col(f"m{i}")), 0.5, ACCURACY).alias(f"a{i}")
-          for i, a in enumerate(AXES)])
-    now = materialise(mad.select(
-        "g", *[f"m{i}" for i in range(p)],
-        *[(F.col(f"a{i}") * 1.4826 + FLOOR[i] if i == j else F.lit(0.0)).alias(f"l{i}{j}")
-          for i in range(p) for j in range(i + 1)]), "mcd-start")
-    for _ in range(steps):
+    on = ["g", "start", "_salt"]
+    scale = consistency(KEEP, len(AXES))
+    now = _started(rows)
+    rows = rows.withColumn("start", F.explode(F.sequence(F.lit(0), F.lit(STARTS - 1))))
+    for k in range(steps):
         far = _mahalanobis(rows.join(_salted(now), on)).select(*on, "d", *AXES)
-        cut = materialise(far.groupBy("g").agg(F.percentile_approx("d", KEEP, ACCURACY).alias("cut")), "mcd-cut")
+        cut = materialise(far.groupBy("g", "start").agg(F.percentile_approx("d", KEEP, ACCURACY).alias("cut")), "mcd-cut")
         near = far.join(_salted(cut), on).filter(F.col("d") <= F.col("cut"))
-        got = near.groupBy("g").agg(
-            *[F.avg(a).alias(f"m{i}") for i, a in enumerate(AXES)],
-            *[F.covar_pop(AXES[i], AXES[j]).alias(f"s{i}{j}") for i in range(p) for j in range(i + 1)])
-        now = materialise(_factor(got, scale), "mcd-step")
-    return now
+        after = materialise(_factor(_moments(near), scale), "mcd-step")
+        change = (after.join(now.select("g", "start", F.col("det").alias("was")), ["g", "start"])
+                  .agg(F.max(F.abs(F.col("det") - F.col("was")))).first()[0])
+        now = after
+        if k and (change is None or change < SETTLED):
+            break
+    names = [c for c in now.columns if c != "g"]
+    best = now.groupBy("g").agg(F.min_by(F.struct(*names), F.struct("det", "start")).alias("best"))
+    return best.select("g", *[F.col(f"best.{c}").alias(c) for c in names if c != "start"])
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -208,6 +256,6 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     found = materialise(groups.join(estimate(base), "g"), "estimates")
     far = _mahalanobis(good.join(_salted(found), ["_lang", "_source", "_salt"]))
     out = [id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    judged = far.select(*out, (F.col("d") <= CUTOFF).alias("kept"), F.col("d").alias("distance"))
+    judged = far.select(*out, (F.col("d") <= cutoff()).alias("kept"), F.col("d").alias("distance"))
     return judged.unionByName(rows.filter("base_failed").select(
         *out, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance")))

@@ -430,6 +430,76 @@ def test_mcd_ignores_far_rows(spark):
     assert np.allclose(low @ low.T, np.cov(clean.T), rtol=0.45, atol=0.8)
 
 
+def brute_mcd(x):
+    """(centre, scatter, log determinant by start) by plain numpy, from the same starts."""
+    q = quality_rules
+    floor, n = np.diag(np.square(q.FLOOR)), len(x)
+
+    def at(values, share):  # the smallest value that a share of all is at or below
+        return np.sort(values, axis=0)[max(0, math.ceil(share * n) - 1)]
+
+    mid = at(x, 0.5)
+    mad = at(np.abs(x - mid), 0.5) * 1.4826 + q.FLOOR
+    worst = (np.abs(x - mid) / mad).max(axis=1)
+    near = x[worst <= at(worst, 0.5)]
+    found = []
+    for m, s in ((mid, np.diag(mad ** 2)), (x.mean(0), np.cov(x.T, bias=True)), (near.mean(0), np.cov(near.T, bias=True))):
+        s, was = s + floor, None
+        for _ in range(q.STEPS):
+            d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
+            kept = x[d <= at(d, q.KEEP)]
+            m, s = kept.mean(0), np.cov(kept.T, bias=True) * q.consistency(q.KEEP, 4) + floor
+        found.append((np.linalg.slogdet(s)[1], m, s))
+    return min(found, key=lambda f: f[0])[1:] + ([f[0] for f in found],)
+
+
+def test_cutoff_is_the_chi_square_quantile():
+    x = quality_rules.cutoff()
+    assert abs(math.exp(-x / 2) * (1 + x / 2) / quality_rules.TAIL - 1) < 1e-6 and 47 < x < 48
+
+
+def test_estimate_equals_plain_concentration_from_the_same_starts(spark):
+    rng = np.random.default_rng(8)
+    groups = {"a": rng.normal(0, 1, (400, 4)), "b": np.vstack([rng.normal(0, 1, (200, 4)), rng.normal(7, 0.1, (80, 4))]),
+              "c": np.tile([1.0, 2.0, 3.0, 4.0], (50, 1))}
+    rows = [(g, *map(float, r)) for g, x in groups.items() for r in x]
+    df = spark.createDataFrame(rows, "g string, " + ", ".join(f"{a} double" for a in quality_rules.AXES)).repartition(3)
+    for r in quality_rules.estimate(df).collect():
+        m, s, dets = brute_mcd(groups[r.g])
+        low = np.array([[r[f"l{i}{j}"] if j <= i else 0 for j in range(4)] for i in range(4)])
+        assert np.allclose([r[f"m{i}"] for i in range(4)], m, atol=0.02) and np.allclose(low @ low.T, s, atol=0.05)
+        assert abs(r.det - min(dets)) < 0.02
+
+
+def test_kept_equals_brute_force(spark):
+    docs = docs_of(spark, SF01)
+    got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    rows = (quality_rules.vectors(docs.select("doc_id", "lang", "source")
+            .join(spark.createDataFrame(list(got.values())).drop("distance"), "doc_id"))
+            .filter("NOT base_failed").collect())
+    pairs, langs = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pairs[r.lang, r.source].append(r)
+        langs[r.lang].append(r)
+
+    def matrix(part):
+        return np.array([[r[a] for a in quality_rules.AXES] for r in part])
+
+    far = 0
+    for (lang, source), part in pairs.items():
+        of = part if len(part) >= quality_rules.MIN_ROWS else langs[lang] if len(langs[lang]) >= quality_rules.MIN_ROWS else rows
+        m, s, _ = brute_mcd(matrix(of))
+        x = matrix(part) - m
+        d = np.einsum("ij,jk,ik->i", x, np.linalg.inv(s), x)
+        for r, v in zip(part, d):
+            mine = got[r.doc_id].distance
+            assert abs(mine - v) <= 0.05 * v + 0.05
+            if abs(v - quality_rules.cutoff()) > 0.1 * v:
+                assert r.kept == (v <= quality_rules.cutoff())
+                far += not r.kept
+    assert far > 20
+
+
 def test_quality_rules_empty(spark, empty):
     assert quality_rules.judge(empty).count() == 0
 
