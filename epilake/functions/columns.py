@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampType
 
 # The age bins of the case-distribution report. The first bin is
 # open below (x < 18), the middle ones are closed ranges (18..29, 30..49,
@@ -51,8 +51,6 @@ def as_date(c: str | Column, source_type: DataType | None = None) -> Column:
         return col
     if isinstance(source_type, (TimestampType, TimestampNTZType)):
         return F.to_date(col)
-    if source_type is None or isinstance(source_type, StringType):
-        return F.try_to_date(col.cast("string"))
     return F.try_to_date(col.cast("string"))
 
 

@@ -1,7 +1,7 @@
 """Incremental raw -> trusted ingest with Structured Streaming.
 
 ``readStream`` over the landing folder (explicit schema, no inference)
--> stream-static left join to the dimension (broadcast after a size check)
+-> stream-static left join to the dimension (the planner's choice of join)
 -> date parts -> Parquet file sink partitioned by year/month/day.
 
 The file source remembers which files it has processed and the file sink
