@@ -9,6 +9,10 @@ totals, and the totals are met to the word. A source's j-th draw takes the
 block at position j of a pseudorandom permutation of the source's blocks, a
 new one for each pass, and slots meet blocks in a join by block index.
 
+``blocks`` packs the drawn text, ``write_shards`` writes it shard by shard in
+slot order; ``words_taken`` reports by document and ``mixed_documents`` gives
+the mix as documents.
+
 DataFrame operations only, with every random value a hash of the seed, so
 reruns agree. A hot source's documents are numbered in three levels of
 partial sums, never in one window, and its draws are made in bounded
@@ -17,6 +21,8 @@ pieces. What grows with the input is shuffled by (source, block).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,10 +109,11 @@ def permuted(df: DataFrame, out: str, x: Column, n: Column, *key: Column) -> Dat
     return df.withColumn(out, F.col("_x")).drop("_x", "_n", "_bits", "_size", "_half", "_k", "_low")
 
 
-def starts(sizes: DataFrame) -> DataFrame:
+def starts(sizes: DataFrame, by: Column | None = None) -> DataFrame:
     """``sizes`` (doc_id, source, size) with ``start``: words of the source
-    before the document, by a fixed pseudorandom order of the documents."""
-    spread = sizes.withColumn("_h", _key(F.col("doc_id"), F.lit(SEED), digits=10))
+    before the document, by a fixed pseudorandom order of the documents
+    (a hash of ``by``, the id by default)."""
+    spread = sizes.withColumn("_h", _key(F.col("doc_id") if by is None else by, F.lit(SEED), digits=10))
     rows = sizes.count()
     # as many buckets as hold BUCKET rows each, by ranges of the hash
     n = max(1, -(-rows // BUCKET))
@@ -174,9 +181,9 @@ def shard_counts(out_slots: DataFrame) -> DataFrame:
     return out_slots.groupBy("shard", "source").agg(F.count(F.lit(1)).alias("n"))
 
 
-def drawn(targets: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
+def drawn(targets: DataFrame, block: int = BLOCK_WORDS, per_shard: int = SLOTS_PER_SHARD) -> DataFrame:
     """The slots as a written table, one narrow row per block."""
-    return materialise(slots(targets, block), "slots")
+    return materialise(slots(targets, block, per_shard), "slots")
 
 
 def mix(placed: DataFrame, out_slots: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
@@ -210,7 +217,9 @@ def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 def words_taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 block: int = BLOCK_WORDS) -> DataFrame:
-    """A row per row of ``docs``: doc_id, size, source_size, target, taken.
+    """A row per row of ``docs``: doc_id, size, source_size, target, taken, and
+    where the draw put its words: first_slot (null if none are taken) and
+    n_slots.
 
     Null text has no words; null is a source of its own, the last; rows with
     equal ids are mixed as documents of their own. An empty input gives no
@@ -219,17 +228,85 @@ def words_taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed = materialise(starts(materialise(sized(docs, id_col, text_col, source_col), "sizes")), "starts")
     targets = materialise(source_targets(placed), "targets")
     taken = (mix(placed, drawn(targets, block), block)
-             .groupBy("doc_id", "source", "start", "size").agg(F.sum("n").alias("taken")))
+             .groupBy("doc_id", "source", "start", "size")
+             .agg(F.sum("n").alias("taken"), F.min("slot").alias("first_slot"), F.count(F.lit(1)).alias("n_slots")))
     with_words = placed.filter("size > 0").join(
         taken.withColumnsRenamed({"doc_id": "_d", "source": "_s", "start": "_st", "size": "_z"}),
         F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
-        & (F.col("start") == F.col("_st")) & (F.col("size") == F.col("_z")), "left"
-    ).select("doc_id", "source", "size", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
-    rows = with_words.unionByName(
-        placed.filter("size = 0").select("doc_id", "source", "size", F.lit(0).cast("long").alias("taken")))
+        & (F.col("start") == F.col("_st")) & (F.col("size") == F.col("_z")), "left")
+    without = placed.filter("size = 0").withColumns(
+        {c: F.lit(None).cast("long") for c in ("taken", "first_slot", "n_slots")})
+    names = ["doc_id", "source", "size", "taken", "first_slot", "n_slots"]
+    rows = with_words.select(names).unionByName(without.select(names)).fillna(0, ["taken", "n_slots"])
     t = targets.select(F.col("source").alias("_s"), "source_size", "target")
     return rows.join(t, F.col("source").eqNullSafe(F.col("_s"))).select(
-        "doc_id", "size", "source_size", "target", "taken")
+        "doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots")
+
+
+def _mixed_by_text(docs: DataFrame, block: int, per_shard: int = SLOTS_PER_SHARD) -> DataFrame:
+    """What the slots take (the columns of :func:`mix`) of each id and text:
+    ``doc_id`` is a struct of the id and ``_th``, the text's hash. Documents lie
+    as in :func:`words_taken`; those without an id are spread by their texts."""
+    by = F.coalesce(F.col("doc_id.doc_id").cast("string"), F.concat(F.lit("~"), F.col("doc_id._th").cast("string")))
+    placed = materialise(starts(materialise(docs.select(
+        F.struct(F.col("doc_id"), F.xxhash64("text").alias("_th")).alias("doc_id"),
+        F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size")), "sizes"), by), "starts")
+    targets = materialise(source_targets(placed), "targets")
+    return mix(placed, drawn(targets, block, per_shard), block)
+
+
+def _join_texts(docs: DataFrame, takes: DataFrame, a: str, b: str, id_: str, hash_: str) -> DataFrame:
+    """``takes`` (``id_``, ``hash_`` and more) with the row of ``docs`` of that id
+    and text; ``a`` and ``b`` are names for its own marks. One row of text
+    stands for its repeats, which are in takes; the join meets the texts where
+    the aggregate has dealt them by the same columns."""
+    uniq = docs.withColumns({a: mark(F.col("doc_id")), b: F.xxhash64("text")}).dropDuplicates([a, b])
+    return uniq.join(takes.hint("merge"), (F.col(a) == F.col(id_)) & (F.col(b) == F.col(hash_)))
+
+
+def _with_words(text: str, of: Callable[[Column], Column]) -> Column:
+    """``of`` the words of ``text``, as a bound variable: within a lambda an
+    expression would cut the text anew for each element."""
+    return F.transform(F.array(F.regexp_extract_all(text, F.lit(f"({WORD})"))), of)[0]
+
+
+def _cut(words: Column, span: Column) -> Column:
+    return F.slice(words, span["first"].cast("int") + 1, span["n"].cast("int"))
+
+
+def blocks(docs: DataFrame, block: int = BLOCK_WORDS, per_shard: int = SLOTS_PER_SHARD) -> DataFrame:
+    """The packed output, a row per slot: shard, slot, source, pass, block, n
+    (words), doc_ids (of its pieces, in order) and text (the words, joined by
+    spaces).
+
+    Every block has ``block`` words but for a source's last one and the one
+    that finishes its target. Documents without words are in none; null is a
+    source of its own; repeated rows are documents of their own; other columns
+    aren't read, and an empty table gives no rows. A very long document is cut
+    into words once for each pass that takes it; a slot's pieces are at most
+    ``block``.
+    """
+    takes = (_mixed_by_text(docs, block, per_shard).groupBy("doc_id", "source", "start", "pass")
+             .agg(F.collect_list(F.struct("slot", "shard", "block", "first", "n")).alias("spans"))
+             .select(mark(F.col("doc_id.doc_id")).alias("_id"), F.col("doc_id._th").alias("_hash"),
+                     F.col("source").alias("_source"), "start", "pass", "spans"))
+    joined = _join_texts(docs.select("doc_id", "text"), takes, "_of", "_th", "_id", "_hash")
+    pieces = joined.select("doc_id", "_source", "start", "pass", F.explode(_with_words(
+        "text", lambda w: F.transform("spans", lambda s: F.struct(
+            s["slot"].alias("slot"), s["shard"].alias("shard"), s["block"].alias("block"),
+            s["first"].alias("first"), s["n"].alias("n"), F.array_join(_cut(w, s), " ").alias("text"))))).alias("p"))
+    packed = pieces.groupBy("p.shard", "p.slot", F.col("_source").alias("source"), "pass", "p.block").agg(
+        F.sum("p.n").alias("n"), F.sort_array(F.collect_list(F.struct(
+            (F.col("start") + F.col("p.first")).alias("at"), "doc_id", "p.text"))).alias("parts"))
+    return packed.select("shard", "slot", "source", "pass", "block", "n", F.col("parts.doc_id").alias("doc_ids"),
+                         F.array_join("parts.text", " ").alias("text"))
+
+
+def write_shards(docs: DataFrame, path: str, block: int = BLOCK_WORDS, per_shard: int = SLOTS_PER_SHARD) -> None:
+    """Write :func:`blocks` as Parquet: a shard is whole within one file, in
+    slot order."""
+    (blocks(docs, block, per_shard).repartition("shard").sortWithinPartitions("shard", "slot")
+     .write.parquet(path))
 
 
 def mixed_documents(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
@@ -243,24 +320,14 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     whatever their names; an empty table gives no rows.
     """
     cols = docs.columns
-    text_hash = F.xxhash64("text")
-    placed = materialise(starts(materialise(docs.select(
-        F.struct(F.col("doc_id"), text_hash.alias("_th")).alias("doc_id"), F.col("source").cast("string").alias("source"),
-        n_words(F.col("text")).alias("size")), "sizes")), "starts")
-    targets = materialise(source_targets(placed), "targets")
     a, b, id_, hash_, whole, spans = named(cols, "_id", "_hash", "_of", "_th", "_whole", "_spans")
-    takes = (mix(placed, drawn(targets, block), block).groupBy("doc_id", "source", "start", "size", "pass")
+    takes = (_mixed_by_text(docs, block).groupBy("doc_id", "source", "start", "size", "pass")
              .agg(F.sum("n").alias("taken"), F.sort_array(F.collect_list(F.struct("first", "n"))).alias("spans"))
              .select(mark(F.col("doc_id.doc_id")).alias(id_), F.col("doc_id._th").alias(hash_),
                      (F.col("taken") == F.col("size")).alias(whole),
                      F.when(F.col("taken") != F.col("size"), F.col("spans")).alias(spans)))
-    # one row of text for each id and text, repeats of it are in takes; the
-    # join meets the texts where the aggregate has dealt them by the same columns
-    uniq = docs.withColumns({a: mark(F.col("doc_id")), b: text_hash}).dropDuplicates([a, b])
-    joined = uniq.join(takes.hint("merge"), (F.col(a) == F.col(id_)) & (F.col(b) == F.col(hash_)))
-    words = F.regexp_extract_all("text", F.lit(f"({WORD})"))
-    part = F.array_join(F.flatten(F.transform(spans, lambda s: F.slice(
-        words, s["first"].cast("int") + 1, s["n"].cast("int")))), " ")
+    joined = _join_texts(docs, takes, a, b, id_, hash_)
+    part = _with_words("text", lambda w: F.array_join(F.flatten(F.transform(spans, lambda s: _cut(w, s))), " "))
     out = joined.withColumn("text", F.when(F.col(whole), F.col("text")).otherwise(part))
     if "n_chars" in cols:
         out = out.withColumn("n_chars", F.when(F.col(whole), F.col("n_chars"))
@@ -274,17 +341,24 @@ def oracle_sql(weights=WEIGHTS, max_repeat: int = MAX_REPEAT, block: int = BLOCK
         text = " || ':' || ".join(f"coalesce(CAST({p} AS VARCHAR), '~null')" for p in parts)
         return f"CAST('0x' || substr(md5({text}), 1, {digits}) AS BIGINT)"
 
-    rounds = ["x0 AS (SELECT *, j % n AS pos, greatest(full_n, 1) AS m, j // n AS pass FROM draws)",
-              "x1 AS (SELECT *, CAST(floor(log2(m + 0.5)) AS INTEGER) AS bits, pos AS v FROM x0)"]
-    level = "x1"
-    for r in range(ROUNDS):
-        rounds += [
-            f"k{r} AS (SELECT * EXCLUDE (v), (v + {key(str(seed), 'source', 'pass', str(r))}) % m AS v, "
-            f"{key(str(seed), 'source', 'pass', str(r))} AS k FROM {level})",
-            f"l{r} AS (SELECT *, (v * (((k % 1048576) << 1) + 1) + (k >> 3)) % (1::BIGINT << bits) AS w FROM k{r})",
-            f"m{r} AS (SELECT * EXCLUDE (v, w, k), CASE WHEN v < (1::BIGINT << bits) THEN xor(w, w >> "
-            f"greatest((bits + 1) // 2, 1)) ELSE v END AS v FROM l{r})"]
-        level = f"m{r}"
+    def permuted_sql(level: str, to: str, value: str, n: str, *parts: str) -> tuple[str, str]:
+        """Steps that add ``value`` permuted within ``n`` as v, and the last one's name."""
+        steps = [f"{to}0 AS (SELECT *, CAST(floor(log2(m + 0.5)) AS INTEGER) AS bits FROM "
+                 f"(SELECT *, greatest({n}, 1) AS m, {value} AS v FROM {level}))"]
+        at = f"{to}0"
+        for r in range(ROUNDS):
+            k = key(str(seed), *parts, str(r))
+            steps += [
+                f"{to}k{r} AS (SELECT * EXCLUDE (v), (v + {k}) % m AS v, {k} AS k FROM {at})",
+                f"{to}l{r} AS (SELECT *, (v * (((k % 1048576) << 1) + 1) + (k >> 3)) % (1::BIGINT << bits) AS w "
+                f"FROM {to}k{r})",
+                f"{to}m{r} AS (SELECT * EXCLUDE (v, w, k), CASE WHEN v < (1::BIGINT << bits) THEN xor(w, w >> "
+                f"greatest((bits + 1) // 2, 1)) ELSE v END AS v FROM {to}l{r})"]
+            at = f"{to}m{r}"
+        return ",\n".join(steps), at
+
+    by_block, blocks_at = permuted_sql("drawn", "in_pass_", "pos", "full_n", "source", "pass")
+    by_slot, slots_at = permuted_sql("placed", "in_mix_", "place", "n_slots", "'slots'")
     return f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source,
@@ -305,17 +379,28 @@ s5 AS (SELECT *, max(CASE WHEN lv <= ratio THEN lv END) OVER () AS l FROM s4),
 t AS (SELECT source, source_size, least(coalesce(l * weight, cap), cap) AS target FROM s5),
 u AS (SELECT *, CAST(round(target) AS BIGINT) AS tt, source_size // {block} AS full_n,
         (source_size + {block} - 1) // {block} AS n FROM t WHERE round(target) > 0 AND source_size > 0),
-v AS (SELECT *, tt // source_size AS passes, tt % source_size AS rest FROM u),
-draws AS (SELECT *, unnest(generate_series(0, passes * n + (rest + {block} - 1) // {block} - 1)) AS j FROM v),
-{', '.join(rounds)},
-slots AS (SELECT source, CASE WHEN pos < full_n THEN v ELSE pos END AS block,
-            CASE WHEN pass < passes THEN {block} ELSE least({block}, rest - pos * {block}) END AS words FROM {level}),
+w AS (SELECT *, tt // source_size AS passes, tt % source_size AS rest FROM u),
+y AS (SELECT *, passes * n + (rest + {block} - 1) // {block} AS n_draws FROM w),
+z AS (SELECT *, CAST(sum(n_draws) OVER () AS BIGINT) AS n_slots,
+        CAST(coalesce(sum(n_draws) OVER (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING
+          AND 1 PRECEDING), 0) AS BIGINT) AS before FROM y),
+drawn AS (SELECT *, j % n AS pos, j // n AS pass
+          FROM (SELECT *, unnest(generate_series(0, n_draws - 1)) AS j FROM z)),
+{by_block},
+placed AS (SELECT source, n_slots, before + j AS place, CASE WHEN pos < full_n THEN v ELSE pos END AS block,
+             CASE WHEN pass < passes THEN {block} ELSE least({block}, rest - pos * {block}) END AS words
+           FROM {blocks_at}),
+{by_slot},
+slots AS (SELECT source, block, words, v AS slot FROM {slots_at}),
 pieces AS (SELECT doc_id, source, start, size, unnest(generate_series(start // {block}, (start + size - 1) // {block})) AS block
            FROM p WHERE size > 0),
-got AS (SELECT a.doc_id, a.source, a.start, a.size, sum(greatest(0, least(a.start + a.size, (a.block + 1) * {block},
-          a.block * {block} + b.words) - greatest(a.start, a.block * {block}))) AS taken
-        FROM pieces a JOIN slots b ON a.source IS NOT DISTINCT FROM b.source AND a.block = b.block GROUP BY ALL)
-SELECT p.doc_id, p.size, t.source_size, t.target, CAST(coalesce(g.taken, 0) AS BIGINT) AS taken
+met AS (SELECT a.doc_id, a.source, a.start, a.size, b.slot, least(a.start + a.size, (a.block + 1) * {block},
+          a.block * {block} + b.words) - greatest(a.start, a.block * {block}) AS n
+        FROM pieces a JOIN slots b ON a.source IS NOT DISTINCT FROM b.source AND a.block = b.block),
+got AS (SELECT doc_id, source, start, size, sum(n) AS taken, min(slot) AS first_slot, count(*) AS n_slots
+        FROM met WHERE n > 0 GROUP BY ALL)
+SELECT p.doc_id, p.size, t.source_size, t.target, CAST(coalesce(g.taken, 0) AS BIGINT) AS taken,
+       CAST(g.first_slot AS BIGINT) AS first_slot, CAST(coalesce(g.n_slots, 0) AS BIGINT) AS n_slots
 FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
 LEFT JOIN got g ON g.doc_id IS NOT DISTINCT FROM p.doc_id AND g.source IS NOT DISTINCT FROM p.source
   AND g.start = p.start AND g.size = p.size AND p.size > 0

@@ -317,6 +317,65 @@ def test_mixed_documents_hold_the_words(spark, odd, empty):
     assert mixing.words_taken(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
 
 
+@pytest.mark.parametrize("block, per_shard, only", [(7, 10, "true"), (512, 1024, "source = 's1'"), (512, 2, "text is null")])
+def test_blocks_hold_the_sources_streams(spark, odd, block, per_shard, only):
+    df = odd.filter(only)
+    placed = mixing.starts(mixing.sized(df.select(
+        F.struct("doc_id", F.xxhash64("text").alias("_th")).alias("doc_id"), "source", "text")),
+        F.expr("coalesce(string(doc_id.doc_id), '~' || doc_id._th)"))
+    texts = {(r.doc_id, r.h): WORD.findall(r.text or "")
+             for r in df.select("doc_id", F.xxhash64("text").alias("h"), "text").collect()}
+    streams = defaultdict(list)
+    for r in sorted(placed.filter("size > 0").collect(), key=lambda r: r.start):
+        assert len(streams[r.source]) == r.start
+        streams[r.source] += texts[r.doc_id.doc_id, r.doc_id._th]
+    got = mixing.blocks(df, block, per_shard).collect()
+    assert sorted(r.slot for r in got) == list(range(len(got)))
+    for r in got:
+        assert r.shard == r.slot // per_shard and r.n <= block
+        assert r.text.split(" ") == streams[r.source][r.block * block:r.block * block + r.n]
+    want = brute_targets(Counter({s: len(w) for s, w in streams.items()}))
+    for s, t in want.items():
+        mine = [r for r in got if r.source == s]
+        assert abs(sum(r.n for r in mine) - t) <= 1
+        # a short block is the source's last or finishes the target
+        assert sum(r.n < block and r.block != len(streams[s]) // block for r in mine) <= 1
+        # no block twice in a pass, every block before any is taken again
+        assert len({(r["pass"], r.block) for r in mine}) == len(mine)
+
+def test_slots_of_a_document_are_those_of_its_blocks(spark):
+    docs = docs_of(spark, SF001)
+    slots = defaultdict(set)
+    for r in mixing.blocks(docs, 64).collect():
+        for d in r.doc_ids:
+            slots[d].add(r.slot)
+    for r in mixing.words_taken(docs, block=64).collect():
+        assert r.n_slots == len(slots[r.doc_id]) and r.first_slot == min(slots[r.doc_id], default=None)
+
+
+def test_shards_are_written_whole_in_slot_order(spark, odd):
+    path = scratch_path(spark, "shards")
+    mixing.write_shards(odd, path, block=64, per_shard=50)
+    rows = spark.read.parquet(path).select(F.input_file_name().alias("f"), "shard", "slot",
+                                           F.monotonically_increasing_id().alias("i")).collect()
+    assert len({r.shard for r in rows}) > 5 and len({(r.f, r.shard) for r in rows}) == len({r.shard for r in rows})
+    last = {}
+    for r in sorted(rows, key=lambda r: r.i):
+        assert last.get(r.f, (-1, -1)) < (r.shard, r.slot)
+        last[r.f] = (r.shard, r.slot)
+
+
+def test_a_long_cut_document_is_cut_into_words_once(spark):
+    long = " ".join(f"w{i}" for i in range(200_000))
+    docs = spark.createDataFrame([(1, "a", long), (2, "b", "only a few words"), (3, "c", "x " * 150_000)],
+                                 "doc_id long, source string, text string")
+    start = time.time()
+    rows = mixing.mixed_documents(docs, block=16).collect()
+    took = time.time() - start
+    assert any(len(r.text.split()) not in (4, 150_000, 200_000) for r in rows)
+    assert took < 30, took
+
+
 def test_permutation_is_one_to_one(spark):
     for n in (1, 2, 3, 17, 64, 1000, 4097):
         df = mixing.permuted(spark.range(n), "y", F.col("id"), F.lit(n).cast("long"), F.lit("k"))
