@@ -343,6 +343,7 @@ def test_blocks_hold_the_sources_streams(spark, odd, block, per_shard, only):
         # no block twice in a pass, every block before any is taken again
         assert len({(r["pass"], r.block) for r in mine}) == len(mine)
 
+
 def test_slots_of_a_document_are_those_of_its_blocks(spark):
     docs = docs_of(spark, SF001)
     slots = defaultdict(set)
