@@ -344,6 +344,10 @@ def test_blocks_hold_the_sources_streams(spark, odd, block, per_shard, only):
         assert len({(r["pass"], r.block) for r in mine}) == len(mine)
 
 
+def test_no_documents_make_no_blocks(spark, empty):
+    assert mixing.blocks(empty).count() == 0
+
+
 def test_slots_of_a_document_are_those_of_its_blocks(spark):
     docs = docs_of(spark, SF001)
     slots = defaultdict(set)
