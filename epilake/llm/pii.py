@@ -15,8 +15,11 @@ of any length is one path; segments are built end by end and not kept.
 
 The weights are trained here by stochastic gradient ascent on the
 conditional likelihood of base spans in a bounded sample of texts
-(``Config.sample``), with some spans' telling marks (a leading plus, the
-separators) rewritten, so that the field learns forms beyond the patterns.
+(``Config.sample``), each text as it is and in ``Config.copies`` copies with
+most spans rewritten into forms that the patterns miss (``FORMS``: other separators,
+national phone numbers, spaced addresses), some between marks, and some
+replaced by what only looks alike (``DECOYS``: a wrong check digit, an octet
+above 255, dates, amounts).
 
 Base spans always stay; a decoded span is added if it overlaps none. Null
 and empty texts have no spans. Offsets count code points, end exclusive.
@@ -28,7 +31,7 @@ import hashlib
 import math
 import random
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -145,7 +148,7 @@ def candidates(text: str, run: list[tuple[int, int]]) -> Iterator[list[tuple[int
     look), where all features follow from the look."""
     mould, starts, ends, told, at = [], [], [], [0], 0
     words: list[list[int]] = []         # first and last token of each word, outer punctuation trimmed
-    opens, closes, left, right, after = [], [], [], [], []
+    opens, closes, left, right, after, zeros = [], [], [], [], [], []
     prev = run[0][0]
     for i, (s, e) in enumerate(run):
         tok, gap = text[s:e], text[prev:s][:2]
@@ -168,8 +171,10 @@ def candidates(text: str, run: list[tuple[int, int]]) -> Iterator[list[tuple[int
         ends.append(at)
         left.append(_near(text, s, -1))
         right.append(_near(text, e, 1))
+        zeros.append(2 if tok.startswith("00") else int(tok[0] == "0"))
         before = text[max(0, s - 24):s].split()
-        after.append(before[-1][-1] if before and not before[-1][-1].isalnum() else "")
+        last = before[-1][-1] if before else ""
+        after.append("9" if last.isdigit() else "" if last.isalnum() else last)
     form = "".join(mould)
     closing = {w[1]: k for k, w in enumerate(words) if w[0] >= 0 and w[1] >= w[0]}
 
@@ -180,7 +185,7 @@ def candidates(text: str, run: list[tuple[int, int]]) -> Iterator[list[tuple[int
             check = luhn("".join(_DIGITS.findall(text, run[b][0], run[e][1])))
         elif n <= 12 and m.count(".") == 3 and len(g := _DIGITS.findall(text, run[b][0], run[e][1])) == 4:
             check = all(int(x) <= 255 for x in g)
-        return m, check, after[b], left[b], right[e]
+        return m, check, after[b], left[b], right[e], zeros[b]
 
     for e in range(len(run)):
         out = []
@@ -196,7 +201,7 @@ def candidates(text: str, run: list[tuple[int, int]]) -> Iterator[list[tuple[int
 
 def features(look: tuple) -> list[str]:
     """Features of the whole span and of what touches it."""
-    span, check, after, left, right = look
+    span, check, after, left, right, zeros = look
     groups = _DIGITS.findall(span)
     n = sum(map(len, groups))
     shape = _DIGITS.sub("9", span)
@@ -209,6 +214,7 @@ def features(look: tuple) -> list[str]:
     else:
         out.append("digits-only")
         out.append("lengths" + "-".join(str(len(g)) for g in groups[:6]))
+        out.append(f"zeros{zeros}-digits{n if n < 20 else 20}")
     if "@" in span:
         out.append("at" if span.count("@") == 1 else "ats")
         head, tail = span.split("@", 1)
@@ -228,7 +234,7 @@ def features(look: tuple) -> list[str]:
     out.append(f"from{span[0]}")
     if after:
         out.append("after" + after)
-    out += ["left" + left, "right" + right]
+    out += ["left" + left, "right" + right, "before" + left[-1:], "behind" + right[:1]]
     return out
 
 
@@ -237,11 +243,13 @@ class Config:
     sample: int = 3000      # texts with a telling character used for training, at most
     run_tokens: int = 1024  # tokens, and telling characters, of a run used for training, at most
     run_telling: int = 256
-    epochs: int = 6
+    epochs: int = 4
     rate: float = 0.2
     decay: float = 1e-3     # weights shrink a little, so rare features stay small
-    margin: float = 2.0     # log odds by which a span's own score must beat no span
+    margin: float = 1.0     # log odds by which a span's own score must beat no span
     seed: int = 11
+    forms: tuple[str, ...] | None = None    # FORMS that training texts are rewritten into; None: all
+    copies: int = 2         # rewritten copies of a text with base spans
 
 
 def _logsum(x: list[float]) -> float:
@@ -370,29 +378,136 @@ def _written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans)
 
 
-def _varied(text: str, base: list[tuple[int, int, int]], rng: random.Random) -> tuple[str, list[tuple[int, int, int]]]:
-    """The text with some spans rewritten into forms the patterns miss."""
-    out, at, moved = [], 0, []
+def _digits(span: str, n: int) -> str:
+    """The last ``n`` digits of a span, repeated if it has fewer."""
+    d = _NOT_DIGIT.sub("", span)
+    return (d * n)[-n:]
+
+
+def _short(span: str, rng: random.Random) -> str:
+    """An address with its name in one word and two parts of its domain, some without digits."""
+    name, domain = span.split("@")
+    parts = domain.split(".")
+    short = f"{name.replace('.', '')} @ {parts[0]}.{parts[-1]}"
+    plain = _DIGITS.sub("", short)
+    return plain if rng.random() < 0.5 and re.fullmatch(r"[^ ]+ @ [^ .]+\.[^ .]+", plain) else short
+
+
+def _fours(span: str, sep: str) -> str:
+    d = _NOT_DIGIT.sub("", span)
+    return sep.join(d[i:i + 4] for i in range(0, len(d), 4))
+
+
+def _ten(span: str, sep: str) -> str:
+    d = _digits(span, 10)
+    return sep.join((d[:3], d[3:6], d[6:]))
+
+
+def _trunk(span: str, rng: random.Random, lead: str, sep: str) -> str:
+    """A number behind a trunk or exit code."""
+    area = rng.randint(2, 4)
+    d = _digits(span, area + rng.randint(6, 8))
+    return lead + d[:area] + sep + d[area:]
+
+
+def _pairs(span: str, sep: str) -> str:
+    d = "0" + _digits(span, 9)
+    return sep.join(d[i:i + 2] for i in range(0, 10, 2))
+
+
+def _area(span: str, sep: str) -> str:
+    d = _digits(span, 10)
+    return f"({d[:3]}) {d[3:6]}{sep}{d[6:]}"
+
+
+Form = tuple[int, Callable[[str, random.Random], str]]
+
+
+def _forms() -> dict[str, Form]:
+    """Forms that the patterns miss: kind, and how a base span is written in it."""
+    out: dict[str, Form] = {
+        "email spaced": (0, lambda s, rng: s.replace("@", " @ ", 1)),
+        "email marked": (0, lambda s, rng: s.replace("@", "(at)@", 1)),
+        "email doubled": (0, lambda s, rng: s.replace("@", "@@", 1)),
+        "email one space": (0, lambda s, rng: s.replace("@", rng.choice(("@ ", " @")), 1)),
+        "email short": (0, lambda s, rng: _short(s, rng))}
+    for name, sep in (("spaced", " . "), ("brackets", "[.]"), ("parentheses", "(.)")):
+        out["ip " + name] = 1, lambda s, rng, sep=sep: s.replace(".", sep)
+    for name, sep in (("slashes", "/"), ("dots", "."), ("wide gaps", "  "), ("spaced dashes", " - "), ("underscores", "_")):
+        out["card " + name] = 2, lambda s, rng, sep=sep: _fours(s, sep)
+    for name, sep in (("spaces", " "), ("dashes", "-"), ("dots", "."), ("slashes", "/")):
+        out["phone ten " + name] = 3, lambda s, rng, sep=sep: _ten(s, sep)
+        out["phone country " + name] = 3, lambda s, rng, sep=sep: f"{rng.randint(1, 99)}{sep}{_ten(s, sep)}"
+        if sep != ".":  # four pairs and dots are an address by its pattern
+            out["phone pairs " + name] = 3, lambda s, rng, sep=sep: _pairs(s, sep)
+        out["phone trunk " + name] = 3, lambda s, rng, sep=sep: _trunk(s, rng, "0", sep)
+        out["phone exit " + name] = 3, lambda s, rng, sep=sep: _trunk(s, rng, f"00{rng.randint(1, 99)}{sep}", sep)
+        out["phone area " + name] = 3, lambda s, rng, sep=sep: _area(s, sep)
+    return out
+
+
+FORMS = _forms()
+
+
+def _wrong_check(span: str, rng: random.Random) -> str:
+    d = _NOT_DIGIT.sub("", span)
+    return _fours(d[:-1] + str((int(d[-1]) + rng.randint(1, 9)) % 10), rng.choice(("", "", " ", "-", "/", ".")))
+
+
+def _wrong_octet(span: str, rng: random.Random) -> str:
+    parts = span.split(".")
+    parts[rng.randrange(len(parts))] = str(rng.randint(256, 999))
+    return rng.choice((".", ".", " . ")).join(parts)
+
+
+def _number(span: str, rng: random.Random) -> str:
+    """A date, time, amount, range, book number or release."""
+    n = rng.randint
+    return rng.choice((
+        f"{n(1900, 2099)}-{n(1, 12):02}-{n(1, 28):02}", f"{n(1, 28):02}/{n(1, 12):02}/{n(1900, 2099)}",
+        f"{n(1, 28):02}.{n(1, 12):02}.{n(1900, 2099)}", f"{n(1900, 2099)}{n(1, 12):02}{n(1, 28):02}",
+        f"{n(0, 23)}:{n(0, 59):02} - {n(0, 23)}:{n(0, 59):02}", f"{n(1, 999)},{n(0, 999):03},{n(0, 999):03}.{n(0, 99):02}",
+        f"{n(1900, 2099)}-{n(1900, 2099)}", f"{n(1, 999)} - {n(1, 999)}", f"{n(1, 999)} {n(1, 999)} {n(1, 999)}",
+        f"{n(1, 999)} - {n(1, 999)} - {n(1, 9999)}", f"978-{n(0, 9)}-{n(10, 99)}-{n(100000, 999999)}-{n(0, 9)}",
+        f"{n(0, 99)}.{n(0, 99)}.{n(0, 99)}", str(n(1, 10 ** 12))))
+
+
+#: What stands where a span did and is none, by kind.
+DECOYS: tuple[Callable[[str, random.Random], str], ...] = (
+    lambda s, rng: f"{rng.randint(1, 99)} @ {rng.randint(1, 99)}.{rng.randint(0, 99):02}", _wrong_octet, _wrong_check, _number)
+#: Marks that may stand before a span in place of a space, and after it.
+_LEADS = ((":", ""), ("=", ""), (':"', '"'), ("(", ")"), ("<", ">"), (" ", ","))
+
+
+def _varied(text: str, base: list[tuple[int, int, int]], rng: random.Random, forms: Sequence[str] = tuple(FORMS),
+            share: float = 0.7, decoys: float = 0.15) -> tuple[str, list[tuple[int, int, int]], list[int]]:
+    """The text with a share of its spans rewritten into ``forms``, some of
+    them between marks, and a share replaced by decoys; where the spans are
+    then, and where what is new starts."""
+    out, at, length, moved, news = [], 0, 0, [], []
+    by_kind = [[FORMS[f][1] for f in forms if FORMS[f][0] == k] for k in range(len(KINDS))]
     for k, s, e in sorted(base, key=lambda x: x[1]):
         if s < at:
             continue
-        span = text[s:e]
-        if rng.random() < 0.5:
-            if k == 3:
-                span = span.lstrip("+").split(" ", 1)[-1] if rng.random() < 0.5 else regex.sub(r"[ ()]+", "-", span.lstrip("+")).strip("-")
-            elif k == 2:
-                sep = rng.choice(("/", ".", "  "))
-                d = _NOT_DIGIT.sub("", span)
-                span = sep.join(d[i:i + 4] for i in range(0, len(d), 4))
-            elif k == 0:
-                span = span.replace("@", rng.choice((" @ ", "(at)@")), 1) if rng.random() < 0.5 else span
-        out.append(text[at:s])
-        start = sum(map(len, out))
-        out.append(span)
-        moved.append((k, start, start + len(span)))
+        span, before, behind, draw = text[s:e], text[at:s], "", rng.random()
+        old = span
+        if by_kind[k] and draw < share:
+            span = rng.choice(by_kind[k])(span, rng)
+            if before.endswith(" ") and rng.random() < 0.3:
+                lead, behind = rng.choice(_LEADS)
+                before = before[:-1] + lead
+        elif decoys and draw >= 1 - decoys:
+            span = DECOYS[k](span, rng)
+        start = length + len(before)
+        length = start + len(span) + len(behind)
+        out += (before, span, behind)
+        if not decoys or draw < 1 - decoys:
+            moved.append((k, start, start + len(span)))
+        if span != old:
+            news.append(start)
         at = e
     out.append(text[at:])
-    return "".join(out), moved
+    return "".join(out), moved, news
 
 
 def fit(texts: list[str], cfg: Config = Config()) -> SemiCrf:
@@ -401,12 +516,16 @@ def fit(texts: list[str], cfg: Config = Config()) -> SemiCrf:
     names: dict[str, int] = {}
     looks: dict[tuple, list[int]] = {}
     examples = []
+    forms = tuple(FORMS) if cfg.forms is None else cfg.forms
     for t in texts:
         base = base_spans(t)
-        for text, spans in ((t, base), _varied(t, base, rng)):
+        for text, spans, news in ((t, base, None), *[_varied(t, base, rng, forms) for _ in range(cfg.copies if base else 0)]):
             for run in stretches(text):
                 if not _trainable(text, run, cfg):
                     continue
+                # a run in which nothing is new has been seen in the text itself
+                if news is not None and not any(run[0][0] <= x < run[-1][1] for x in news):
+                    continue
                 first, end, rows = [], [], []
                 for e, found in enumerate(candidates(text, run), 1):
                     for b, x in found:
