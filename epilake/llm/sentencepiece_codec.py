@@ -14,8 +14,10 @@ and exactly one piece at each position can. So either kind gives the
 library's own ids. The test of two pieces is kept for later texts.
 
 No piece runs over a new word's mark, so a text is handled word by word and
-a word's ids are kept in a bounded table of the worker. Characters without a
-piece become bytes. The vocabulary is fixed in size and read on the driver
+a word's ids are kept in a bounded table of the worker. A BPE model's new words
+of many texts go through the two passes together: one run of the automaton
+over all of them, then numpy follows the output links of all words at once,
+position by position. Characters without a piece become bytes. The vocabulary is fixed in size and read on the driver
 once; tasks get it as a broadcast value.
 
 Null and empty texts have no ids. As in the library, the mark U+2581 in a
@@ -24,20 +26,22 @@ text reads back as a space; all else reads back as it was.
 
 from __future__ import annotations
 
+import math
+import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, IntegerType, StringType, StructType
 
-from .common import ship
+from .common import chunks, ship
 
 MARK = "▁"
 #: Words, characters of words and pairs of pieces kept by a worker; beyond
@@ -47,6 +51,15 @@ WORDS_KEPT = 600_000
 CHARS_KEPT = 4_000_000
 LONG_WORD = 64
 PAIRS_KEPT = 1_000_000
+#: Characters of new words searched together, and the array of latest tests
+#: of two pieces that numpy looks them up in (2 to this power).
+TOGETHER_CHARS = 100_000
+SLOT_BITS = 20
+UNSET = -3
+
+#: What a text may be cut into, finest first: words by letters and other
+#: characters, words, the whole.
+PARTS = (f"{MARK}*[{{letters}}]+|{MARK}*[^{MARK}{{letters}}]+|{MARK}+", f"{MARK}+[^{MARK}]*|^[^{MARK}]+", "(?s:.+)")
 
 UNIGRAM, BPE = "unigram", "bpe"
 
@@ -82,37 +95,48 @@ class Codec:
     kept: dict[str, bytes] = field(default_factory=dict)
     kept_chars: int = 0
     pairs: dict[int, bool] = field(default_factory=dict)
+    slots: np.ndarray = field(init=False)
 
     def __post_init__(self):
         voc = self.voc
         self.ids = {p: i for i, p in enumerate(voc.pieces) if voc.kinds[i] == "n"}
+        self.score = {p: voc.scores[i] for p, i in self.ids.items()}
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(voc.pieces) if voc.kinds[i] == "b"}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.alphabet = frozenset(p for p in self.ids if len(p) == 1)
         self.plain = np.array([k == "n" for k in voc.kinds])
         self.special = frozenset(i for i, k in enumerate(voc.kinds) if k == "x")
+        self.sizes = np.array([len(p) for p in voc.pieces])
+        self.slots = np.full(1 << SLOT_BITS, np.iinfo(np.int64).min)
         self.automaton = ahocorasick.Automaton()
         for p, i in self.ids.items():
-            self.automaton.add_word(p, (len(p), i))
+            self.automaton.add_word(p, i)
         self.automaton.make_automaton()
-        # words may be handled alone if no piece has the mark behind another character
-        apart = not any(MARK in p.lstrip(MARK) for p in self.ids)
-        self.words = regex.compile(f"{MARK}+[^{MARK}]*|^[^{MARK}]+" if apart else r"(?s).+")
+        # parts of a text may be handled alone if no piece runs from one into the next;
+        # where a part ends depends on two neighbouring characters only
+        letters = re.escape("".join(sorted(c for c in set().union(*self.ids) if c.isalpha()))) or MARK
+        parts = [re.compile(p.replace("{letters}", letters)) for p in PARTS]
+        self.words = next(w for w in parts if all(w.findall(p) == [p] for p in self.ids))
         self.search = self._merged if voc.model == BPE else self._summed
+        self.sized = self.sizes.tolist()
 
     def merge(self, text: str) -> list[str]:
         """Pieces left by the merges, best score first, leftmost first."""
+        score, none = self.score.get, -math.inf
         out = list(text)
-        while True:
-            best = None
-            for k in range(len(out) - 1):
-                i = self.ids.get(out[k] + out[k + 1])
-                if i is not None and (best is None or self.voc.scores[i] > best[0]):
-                    best = self.voc.scores[i], k
-            if best is None:
-                return out
-            k = best[1]
+        joins = [score(a + b, none) for a, b in zip(out, out[1:])]
+        while joins:
+            best = max(joins)
+            if best == none:
+                break
+            k = joins.index(best)
             out[k:k + 2] = [out[k] + out[k + 1]]
+            del joins[k]
+            if k:
+                joins[k - 1] = score(out[k - 1] + out[k], none)
+            if k < len(joins):
+                joins[k] = score(out[k] + out[k + 1], none)
+        return out
 
     def beside(self, a: int, b: int) -> bool:
         """Whether merging leaves the two pieces side by side (``a`` -1: the one piece alone)."""
@@ -129,14 +153,15 @@ class Codec:
         last: list = [None] * (n + 1)
         start = [0] * (n + 1)
         last[0] = -1  # no piece before
-        pairs, beside = self.pairs, self.beside
+        pairs, beside, sized = self.pairs, self.beside, self.sized
         if not self.alphabet.issuperset(text):  # -2: a character that has no piece
             for e, c in enumerate(text, 1):
                 if c not in self.alphabet:
                     last[e], start[e] = -2, e - 1
-        for end, (size, i) in self.automaton.iter(text):
+        for end, i in self.automaton.iter(text):
             end += 1
             if last[end] is None:
+                size = sized[i]
                 before = last[end - size]
                 if before is not None:
                     if before == -2:
@@ -159,7 +184,8 @@ class Codec:
         for e in range(1, n + 1):
             best[e], last[e], start[e] = best[e - 1] + worst, -2, e - 1
             while hit is not None and hit[0] + 1 == e:
-                size, i = hit[1]
+                i = hit[1]
+                size = self.sized[i]
                 s = best[e - size] + self.voc.scores[i]
                 if s > best[e]:
                     best[e], last[e], start[e] = s, i, e - size
@@ -182,16 +208,87 @@ class Codec:
         out.reverse()
         return array("i", out).tobytes()
 
+    def _beside(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``beside`` of many pairs."""
+        key = a << 24 | b
+        slot = (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).view(np.int64)
+        held = self.slots[slot]
+        missing = np.flatnonzero(held >> 1 != key)
+        if missing.size:
+            pairs = self.pairs
+            for j in missing.tolist():
+                ok = pairs.get(int(key[j]))
+                held[j] = key[j] << 1 | (self.beside(int(a[j]), int(b[j])) if ok is None else ok)
+            self.slots[slot[missing]] = held[missing]
+        return (held & 1).astype(bool)
+
+    def together(self, words: Sequence[str]) -> list[bytes]:
+        """``word`` of each, for a BPE model and characters that all have pieces."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        first = np.zeros(len(words) + 1, np.int64)  # a word's first position; it has one more than characters
+        np.cumsum(lengths + 1, out=first[1:])
+        found = np.fromiter(chain.from_iterable(self.automaton.iter("".join(words))), np.int64).reshape(-1, 2)
+        of = np.repeat(np.arange(len(words)), lengths)[found[:, 0]]
+        end, piece = found[:, 0] + of + 1, found[:, 1]
+        begin = end - self.sizes[piece]
+        inside = begin >= first[of]
+        of, end, piece, begin = of[inside], end[inside], piece[inside], begin[inside]
+        # by distance from the word's start, then as found: longest first
+        new = np.ones(len(end), bool)
+        new[1:] = end[1:] != end[:-1]
+        at = np.arange(len(end))
+        turn = at - np.maximum.accumulate(np.where(new, at, 0))
+        step = (end - first[of]) * (int(turn.max(initial=0)) + 1) + turn
+        order = np.argsort(step, kind="stable")
+        end, piece, begin, step = end[order], piece[order], begin[order], step[order]
+        last = np.full(first[-1], UNSET)
+        last[first[:-1]] = -1  # no piece before
+        start = np.zeros(first[-1], np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), len(step)]
+        for x, y in zip(cuts, cuts[1:]):
+            e, b, p = end[x:y], begin[x:y], piece[x:y]
+            before = last[b]
+            open_ = np.flatnonzero((last[e] == UNSET) & (before != UNSET))
+            good = open_[self._beside(before[open_], p[open_])]
+            last[e[good]] = p[good]
+            start[e[good]] = b[good]
+        path = np.zeros(first[-1], bool)
+        now, stop = first[1:] - 1, first[:-1]
+        while now.size:
+            path[now] = True
+            now = start[now]
+            more = now > stop
+            now, stop = now[more], stop[more]
+        ids = last[path].astype(np.int32).tobytes()
+        ends = (4 * np.cumsum(path)[first[1:] - 1]).tolist()
+        return [ids[x:y] for x, y in zip([0, *ends], ends)]
+
+    def learn(self, words: set[str]) -> None:
+        """Keep the ids of words."""
+        plain = []
+        for w in words:
+            if self.voc.model == BPE and self.alphabet.issuperset(w):
+                plain.append(w)
+            else:
+                self.kept[w] = self.word(w)
+        for x, y in chunks(plain, TOGETHER_CHARS):
+            self.kept.update(zip(plain[x:y], self.together(plain[x:y])))
+
     def encode(self, text: str | None) -> bytes:
         """The ids of a text, as 32-bit integers."""
-        if not text:
-            return b""
-        text = text.replace(" ", MARK)
-        if self.voc.prefix:
-            text = MARK + text
-        words = self.words.findall(text)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: Sequence[str | None]) -> list[bytes]:
+        out = []
+        for x, y in chunks(texts):
+            out += self._encode(texts[x:y])
+        return out
+
+    def _encode(self, texts: Sequence[str | None]) -> list[bytes]:
+        start = MARK if self.voc.prefix else ""
+        split = [self.words.findall(start + t.replace(" ", MARK)) if t else [] for t in texts]
         kept, word = self.kept, self.word
-        short = {w for w in set(words) if len(w) <= LONG_WORD}
+        short = {w for w in set().union(*split) if len(w) <= LONG_WORD}
         new = short.difference(kept)
         size = sum(map(len, new))
         if len(kept) + len(new) > WORDS_KEPT or self.kept_chars + size > CHARS_KEPT:
@@ -199,10 +296,9 @@ class Codec:
             self.kept_chars = 0
             new, size = short, sum(map(len, short))
         if len(new) <= WORDS_KEPT and size <= CHARS_KEPT:  # else one text with more than is kept
-            for w in new:
-                kept[w] = word(w)
+            self.learn(new)
             self.kept_chars += size
-        return b"".join([kept.get(w) or word(w) for w in words])
+        return [b"".join([kept.get(w) or word(w) for w in words]) for words in split]
 
     def decode(self, ids) -> str:
         ids = np.asarray(ids, dtype=np.int32)
@@ -280,7 +376,7 @@ def _lists(rows: list[bytes]) -> pa.ListArray:
 def encode(docs: DataFrame, voc: Vocabulary, text_col: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (array of int) and ``n_ids`` in place of the text."""
     def make(codec: Codec, texts: list) -> list:
-        rows = [codec.encode(t) for t in texts]
+        rows = codec.encode_all(texts)
         return [_lists(rows), pa.array([len(r) // 4 for r in rows], pa.int32())]
 
     return _mapped(docs, text_col, voc, [("ids", ArrayType(IntegerType())), ("n_ids", IntegerType())], make)
@@ -298,7 +394,7 @@ def encode_checked(docs: DataFrame, voc: Vocabulary, text_col: str = "text") ->
     """``encode`` with ``round_trip``: whether the ids decode to the text
     (its mark characters read as spaces)."""
     def make(codec: Codec, texts: list) -> list:
-        rows = [codec.encode(t) for t in texts]
+        rows = codec.encode_all(texts)
         same = [codec.decode(np.frombuffer(r, np.int32)) == (t or "").replace(MARK, " ") for r, t in zip(rows, texts)]
         return [_lists(rows), pa.array([len(r) // 4 for r in rows], pa.int32()), pa.array(same, pa.bool_())]
 

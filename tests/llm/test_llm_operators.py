@@ -160,6 +160,45 @@ def test_codec_keeps_a_bounded_number_of_characters(monkeypatch, library):
             assert all(len(w) <= sentencepiece_codec.LONG_WORD for w in codec.kept)
 
 
+def test_new_words_are_searched_together(monkeypatch, library):
+    from epilake.llm.sentencepiece_codec import Codec
+    rng = random.Random(6)
+    alphabet = "aeinrst  EU.,;\n\t09'-éßñ²▁日\U0001F600\ud7ff"
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(0, 60))) for _ in range(3_000)] + [None, "", " ", LONG]
+    texts += ["s" * 64 + " " + "s" * 65, "².² ².a", "\n\n", "▁▁ a▁b"]
+    codec, alone = [Codec(sentencepiece_codec.Vocabulary.read(queries.SENTENCEPIECE_MODEL)) for _ in range(2)]
+    got = codec.encode_all(texts)
+    assert [np.frombuffer(g, np.int32).tolist() for g in got] == [library.encode(t) if t else [] for t in texts]
+    words = sorted({w for w in codec.kept if codec.alphabet.issuperset(w)})
+    assert len(words) > 3_000
+    monkeypatch.setattr(sentencepiece_codec, "SLOT_BITS", 4)  # so that pairs push each other out
+    small = Codec(codec.voc)
+    assert small.together(words) == codec.together(words) == [alone.word(w) for w in words]
+    assert codec.together([]) == []
+    # one by one only what has characters without a piece
+    fresh, single, word = Codec(codec.voc), [], Codec.word
+    monkeypatch.setattr(Codec, "word", lambda self, w: single.append(w) or word(self, w))
+    assert fresh.encode_all(texts) == got
+    assert all(len(w) > sentencepiece_codec.LONG_WORD or not fresh.alphabet.issuperset(w) for w in single)
+
+
+@pytest.mark.parametrize("more, part", [((), 0), (("a.",), 1), (("▁a▁",), 2)])
+def test_texts_are_cut_where_no_piece_runs(more, part):
+    from epilake.llm.sentencepiece_codec import PARTS, Codec, Vocabulary
+    pieces = ("<unk>", "▁", "a", "b", ".", "ab", "▁a", "▁ab", "..", *more)
+    voc = Vocabulary(pieces, tuple(-float(i) for i in range(len(pieces))), "x" + "n" * (len(pieces) - 1), 0)
+    codec = Codec(voc)
+    assert codec.words.pattern == PARTS[part].replace("{letters}", "ab")
+    for text in ("ab. a.b..a", ".a.", "  ab ▁ a.", "a a a", "é.a b"):
+        marked = "▁" + text.replace(" ", "▁")
+        whole = np.frombuffer(Codec(voc).word(marked), np.int32).tolist()
+        assert np.frombuffer(codec.encode(text), np.int32).tolist() == whole
+        assert [i for i in whole if i] == [voc.pieces.index(p) for p in codec.merge(marked) if p in voc.pieces]
+    ids = [np.frombuffer(Codec(Vocabulary(pieces, voc.scores, voc.kinds, 0, prefix=False)).encode(t), np.int32).tolist()
+           for t in ("ab.", "b a")]
+    assert ids == [[i for p in codec.merge(t) for i in [voc.pieces.index(p)]] for t in ("ab.", "b▁a")]
+
+
 def test_unigram_viterbi_is_best():
     pieces = ("<unk>", "▁", "a", "b", "ab", "ba", "▁a", "bab")
     scores = (0.0, -3.0, -2.0, -2.5, -2.2, -1.9, -2.1, -4.0)
