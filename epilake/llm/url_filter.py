@@ -107,9 +107,12 @@ def scores(addresses: DataFrame) -> DataFrame:
     """(s, example, score) of distinct ``addresses`` that are not counted:
     length-normalised log ratio."""
     ratios = gram_ratios(addresses)
-    # a window that most addresses share is one row of ratios; Spark splits the windows' side
-    return (_grams(addresses.filter(F.col("label").isNull())).join(ratios, "gram").groupBy("s", "example")
-            .agg((F.sum("ratio") / F.count(F.lit(1))).alias("score")))
+    left = addresses.filter(F.col("label").isNull()).withColumn("digest", F.unhex(F.sha2("s", 256)))
+    # windows carry a digest: carrying the address would grow with the square of its length.
+    # A window that most addresses share is one row of ratios; Spark splits the windows' side
+    found = (_grams(left.select("digest", "s")).select("digest", "gram").join(ratios, "gram").groupBy("digest")
+             .agg((F.sum("ratio") / F.count(F.lit(1))).alias("score")))
+    return left.join(found, "digest").select("s", "example", "score")
 
 
 def threshold(scored: DataFrame) -> float:
